@@ -47,14 +47,14 @@ def number_rows(df: DataFrame, name: str = "row_number", base: Column | None = N
         F.col("_metadata.file_block_start").alias("__block"),
         F.monotonically_increasing_id().alias("__position"),
     )
-    return _number_tagged(tagged, name, base, split_bound=_split_bound(df))
+    return number_tagged(tagged, name, base, split_bound=_split_bound(df))
 
 
 def _split_bound(df: DataFrame) -> int:
     return len(df.inputFiles()) + df.rdd.getNumPartitions()
 
 
-def _number_tagged(tagged: DataFrame, name: str, base: Column, split_bound: int | None) -> DataFrame:
+def number_tagged(tagged: DataFrame, name: str, base: Column, split_bound: int | None) -> DataFrame:
     in_file_order = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
     splits = (
         tagged.groupBy("__file", "__block")
