@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def quoted(name: str) -> Column:
     """Column by its literal name, whatever dots, quotes or blanks the header has."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(_name(name))
 
 
 def as_number(col: Column) -> Column:
@@ -24,16 +24,28 @@ def flag_to_boolean(col: Column) -> Column:
     return F.when(number == 1.0, F.lit(True)).when(number == 0.0, F.lit(False))
 
 
-def any_answered(cols: Sequence[Column]) -> Column:
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def any_answered(columns: Sequence[str]) -> Column:
     """True where at least one column of a block holds an answer."""
-    if not cols:
+    if not columns:
         raise ValueError("an option block needs at least one column")
-    return F.coalesce(*[c.cast("string") for c in cols]).isNotNull()
+    return F.expr(f"coalesce({', '.join(_name(c) for c in columns)}) IS NOT NULL")
+
+
+def selected_sql(column: str) -> str:
+    """True only for an explicit 1; blank and malformed values are false.
+
+    SQL text, because blocks have dozens of columns and one parsed expression per column keeps
+    planning fast.
+    """
+    return f"coalesce(try_cast({_name(column)} AS DOUBLE) = 1.0D, false)"
 
 
-def is_selected(col: Column) -> Column:
-    """True only for an explicit 1; blank and malformed values are false."""
-    return F.coalesce(as_number(col) == 1.0, F.lit(False))
+def is_selected(column: str) -> Column:
+    return F.expr(selected_sql(column))
 
 
 def blank_to_null(col: Column) -> Column:

@@ -12,11 +12,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelloom.functions.scalars import any_answered, is_selected, quoted, ratio
+from panelloom.functions.scalars import any_answered, is_selected, ratio, selected_sql
 
 
 def eligible(columns: Sequence[str]) -> Column:
-    return any_answered([quoted(c) for c in columns])
+    return any_answered(columns)
 
 
 def option_bridge(
@@ -33,7 +33,7 @@ def option_bridge(
     ``options`` maps columns to canonical names. ``offered_in`` limits an option to the editions
     whose questionnaire had it. One scan, one Expand; ineligible rows go before they multiply.
     """
-    flags = [is_selected(quoted(c)).alias(f"__o{i}") for i, c in enumerate(options)]
+    flags = [F.expr(f"{selected_sql(c)} AS __o{i}") for i, c in enumerate(options)]
     names = F.array(*[F.lit(name) for name in options.values()])
     number = F.substring("__option", len("__o") + 1, 10).cast("int")
     long = (
@@ -65,18 +65,17 @@ def option_adoption(
     Users are counted in the wide layout, one counter per option, and only the one row per
     period is unpivoted, so rows never multiply. Options that share a canonical name add up.
     """
-    block = eligible(list(options))
-    counters = [
-        F.count_if(block & is_selected(quoted(c))).alias(f"__o{i}") for i, c in enumerate(options)
-    ]
-    wide = df.groupBy(period).agg(F.count_if(block).alias("eligible_respondents"), *counters)
+    counters = [F.expr(f"count_if({selected_sql(c)}) AS __o{i}") for i, c in enumerate(options)]
+    wide = df.groupBy(period).agg(F.count_if(eligible(list(options))).alias("eligible_respondents"), *counters)
     names = F.array(*[F.lit(name) for name in options.values()])
     number = F.substring("__option", len("__o") + 1, 10).cast("int")
-    long = (
-        wide.unpivot([period, "eligible_respondents"], [f"__o{i}" for i in range(len(options))], "__option", "__users")
-        .groupBy(period, F.get(names, number).alias(option))
-        .agg(F.sum("__users").alias(users), F.max("eligible_respondents").alias("eligible_respondents"))
-    )
+    long = wide.unpivot(
+        [period, "eligible_respondents"], [f"__o{i}" for i in range(len(options))], "__option", users
+    ).select(period, F.get(names, number).alias(option), users, "eligible_respondents")
+    if len(set(options.values())) < len(options):
+        long = long.groupBy(period, option).agg(
+            F.sum(users).alias(users), F.max("eligible_respondents").alias("eligible_respondents")
+        )
     for name, editions in (offered_in or {}).items():
         long = long.where((F.col(option) != name) | F.col(period).isin(*editions))
     return _with_rate(long.where(F.col("eligible_respondents") > 0), users)
@@ -111,7 +110,7 @@ def nullable_flags(options: Mapping[str, str], asked: Column | None = None) -> d
     shown = eligible(list(options))
     if asked is not None:
         shown = asked & shown
-    return {name: F.when(shown, is_selected(quoted(c))) for c, name in options.items()}
+    return {name: F.when(shown, is_selected(c)) for c, name in options.items()}
 
 
 def eligibility_agreement(df: DataFrame, period: str, blocks: Mapping[str, Sequence[str]]) -> DataFrame:

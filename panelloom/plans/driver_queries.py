@@ -331,3 +331,703 @@ add(
     f"WITH {', '.join(_SCORE_CTES)} SELECT technology, round(priority_score, 6) AS priority_score FROM score "
     "ORDER BY score.priority_score DESC, technology LIMIT 10",
 )
+
+# ---- Sources, keys, sinks ---------------------------------------------------------------
+
+_EDITION_CASE = (
+    "CASE WHEN year(o_orderdate) <= 1996 THEN 'year_1' WHEN year(o_orderdate) <= 1998 THEN 'year_2' ELSE 'year_3' END"
+)
+
+
+@query(
+    "ingest_metadata",
+    "SELECT 'orders' AS survey_year, 'orders.parquet' AS source_file, true AS stamped, o_orderkey, o_custkey, "
+    "o_orderstatus, round(o_totalprice, 6) AS o_totalprice, o_orderpriority FROM orders",
+)
+def _(spark, sf_dir):
+    landed = bronze.with_lineage(panel.scan(spark, sf_dir, "orders"), "orders", "orders.parquet")
+    return landed.select(
+        "survey_year", "source_file", F.col("ingestion_timestamp").isNotNull().alias("stamped"),
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority",
+    )
+
+
+@query(
+    "surrogate_key",
+    "SELECT o_orderkey, o_custkey, printf('orders_%06d', row_number() OVER (ORDER BY o_orderkey) - 1) AS respondent_id FROM orders",
+)
+def _(spark, sf_dir):
+    numbered = bronze.number_parquet_rows(panel.scan(spark, sf_dir, "orders"), "row")
+    return numbered.select(
+        "o_orderkey", "o_custkey", F.format_string("orders_%06d", F.col("row")).alias("respondent_id")
+    )
+
+
+@query(
+    "surrogate_key_csv",
+    "SELECT count(*) AS row_count, count(DISTINCT o_orderkey) AS distinct_keys, min(o_orderkey) AS lowest, max(o_orderkey) AS highest, "
+    "CAST(0 AS BIGINT) AS out_of_order FROM orders",
+)
+def _(spark, sf_dir):
+    """Numbers given while reading CSV: gapless, unique, and in file order."""
+    path = f"{new_folder(spark, 'csv')}/orders"
+    panel.scan(spark, sf_dir, "orders").repartitionByRange(6, "o_orderkey").sortWithinPartitions("o_orderkey").write.option(
+        "header", True
+    ).csv(path)
+    numbered = bronze.number_rows(tables.read_headered_csv(spark, path), "row")
+    key = F.col("o_orderkey").cast("bigint")
+    return numbered.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct("row").alias("distinct_keys"),
+        F.min("row").alias("lowest"),
+        F.max("row").alias("highest"),
+        F.count_if(F.col("row") != key).alias("out_of_order"),
+    )
+
+
+@query(
+    "csv_round_trip",
+    "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, round(c_acctbal, 6) AS c_acctbal, c_mktsegment FROM customer",
+)
+def _(spark, sf_dir):
+    """Written as headered CSV and read back as strings."""
+    path = f"{new_folder(spark, 'csv')}/customer"
+    sinks.write_answer(panel.scan(spark, sf_dir, "customer"), path)
+    back = tables.read_headered_csv(spark, path)
+    return back.select(
+        F.col("c_custkey").try_cast("bigint").alias("c_custkey"), "c_name",
+        F.col("c_nationkey").try_cast("bigint").alias("c_nationkey"),
+        F.col("c_acctbal").try_cast("double").alias("c_acctbal"), "c_mktsegment",
+    )
+
+
+@query(
+    "partitioned_overwrite",
+    f"SELECT {_EDITION_CASE} AS survey_year, count(*) AS respondent_count, count(DISTINCT o_custkey) AS customers FROM orders GROUP BY 1",
+)
+def _(spark, sf_dir):
+    """Partitioned by edition, one edition written again: the others stay, nothing doubles."""
+    path = f"{new_folder(spark, 'partitioned')}/orders"
+    tagged = panel.scan(spark, sf_dir, "orders").selectExpr(f"{panel.EDITION_SQL} AS survey_year", "o_orderkey", "o_custkey")
+    sinks.write_partitioned(tagged, path)
+    sinks.write_partitioned(tagged.where(F.col("survey_year") == "year_2"), path)
+    return spark.read.parquet(path).groupBy("survey_year").agg(
+        F.count(F.lit(1)).alias("respondent_count"), F.count_distinct("o_custkey").alias("customers")
+    )
+
+
+@query(
+    "catalog_sql",
+    f"WITH {P}, {oracle.market()} SELECT survey_year, dimension_value AS region, round(respondent_share_within_year, 6) AS share "
+    "FROM market WHERE dimension = 'region' AND respondent_share_within_year > 0.2",
+)
+def _(spark, sf_dir):
+    """Ad-hoc SQL over a registered Gold table."""
+    tables.register_views({"panelloom_market_overview": panel.gold(spark, sf_dir, "gold_market_overview")})
+    return spark.sql(
+        "SELECT survey_year, dimension_value AS region, respondent_share_within_year AS share "
+        "FROM panelloom_market_overview WHERE dimension = 'region' AND respondent_share_within_year > 0.2"
+    )
+
+
+@query(
+    "stream_new_files",
+    f"SELECT survey_year, count(*) AS respondent_count, count(*) AS distinct_keys FROM (SELECT {_EDITION_CASE} AS survey_year FROM orders) "
+    "WHERE survey_year = 'year_3' GROUP BY 1",
+)
+def _(spark, sf_dir):
+    """Two drops of raw files, landed by two runs of the same stream; keys continue."""
+    root = new_folder(spark, "stream")
+    orders = panel.scan(spark, sf_dir, "orders").selectExpr(f"{panel.EDITION_SQL} AS ed", "*").where("ed = 'year_3'").drop("ed")
+    for status in (("F", "O"), ("P",)):
+        orders.where(F.col("o_orderstatus").isin(*status)).write.mode("append").option("header", True).csv(f"{root}/landing")
+        landed = land_new_files(spark, f"{root}/landing", f"{root}/bronze", f"{root}/progress", "year_3")
+    return landed.groupBy("survey_year").agg(
+        F.count(F.lit(1)).alias("respondent_count"), F.count_distinct("respondent_id").alias("distinct_keys")
+    )
+
+
+# ---- Header resolution ------------------------------------------------------------------
+
+
+@query(
+    "resolve_fields",
+    f"WITH {P} SELECT survey_year, count(*) AS respondent_count, count(region) AS with_region, count(salary_open_ended) AS with_salary, "
+    "count(CASE WHEN survey_year <> 'year_1' THEN 1 END) AS with_ethnicity FROM panel GROUP BY 1",
+)
+def _(spark, sf_dir):
+    """Canonical fields found by question code in three header dialects; unasked ones are NULL."""
+    fields = [*S.FIELD_CODES]
+    answers = panel.raw_panel(spark, sf_dir, fields)
+    parts = {}
+    for edition in S.EDITIONS:
+        headers = {h: f for h, f in landing.edition_headers(edition).items() if f in fields}
+        raw = answers.where(F.col("survey_year") == edition).select(
+            F.lit(edition).alias("survey_year"), *[F.col(f).alias(h) for h, f in headers.items()]
+        )
+        found = resolve_fields(raw.columns, S.field_codes(edition), S.HEADER_DIALECT[edition])
+        parts[edition] = raw.select(
+            "survey_year",
+            *[(F.lit(None).cast("string") if c is None else F.col(f"`{c}`")).alias(f) for f, c in found.items()],
+        )
+    return silver.stack(parts).groupBy("survey_year").agg(
+        F.count(F.lit(1)).alias("respondent_count"),
+        F.count("region").alias("with_region"),
+        F.count("salary_band").alias("with_salary"),
+        F.count("ethnicity").alias("with_ethnicity"),
+    )
+
+
+@query(
+    "question_availability",
+    "SELECT field, survey_year, CASE WHEN field IN ('ethnicity', 'pcd_flag') AND survey_year = 'year_1' THEN false ELSE true END AS question_available, "
+    "CASE WHEN field IN ('ethnicity', 'pcd_flag') AND survey_year = 'year_1' THEN 0 ELSE n END AS answer_slots FROM "
+    f"(SELECT unnest([{', '.join(repr(f) for f in S.FIELD_CODES)}]) AS field), "
+    f"(SELECT {_EDITION_CASE} AS survey_year, count(*) AS n FROM orders GROUP BY 1)",
+)
+def _(spark, sf_dir):
+    """Which edition asked which field, with the number of respondents who could answer."""
+    headers = {e: list(landing.edition_headers(e)) for e in S.EDITIONS}
+    asked = silver.question_availability(spark, headers).select("field", "survey_year", "question_available")
+    sizes = SH.counts_by(panel.raw_panel(spark, sf_dir, []), ["survey_year"])
+    return asked.join(sizes, "survey_year").select(
+        "field", "survey_year", "question_available",
+        F.when(F.col("question_available"), F.col("respondent_count")).otherwise(0).alias("answer_slots"),
+    )
+
+
+# ---- Silver tables and mapping operators ------------------------------------------------
+
+_FACT_COLUMNS = (
+    "gender", "seniority", "employment_status", "current_work_model", "ideal_work_model", "current_role", "region",
+    "manager_flag", "salary_lower_bound", "salary_upper_bound", "salary_midpoint", "salary_open_ended",
+    "salary_anomaly_flag", "sector", "state",
+)
+_FACT = "survey_year respondent_id " + " ".join(
+    f"~{c}" if c in ("salary_lower_bound", "salary_upper_bound", "salary_midpoint") else c for c in _FACT_COLUMNS
+)
+add("fact_respondent", lambda s, d: panel.fact(s, d, _FACT_COLUMNS), sql([P], "panel", _FACT))
+
+_GROUPED = ("survey_year", "current_role", "seniority", "salary_open_ended")
+
+
+@query(
+    "from_raw_fact_respondent",
+    f"WITH {P} SELECT survey_year, current_role, seniority, salary_open_ended, count(*) AS respondent_count, "
+    "count(*) FILTER (WHERE manager_flag) AS managers, round(sum(salary_midpoint), 6) AS salary_total FROM panel GROUP BY 1, 2, 3, 4",
+)
+def _(spark, sf_dir):
+    fact = landing.stored_silver(spark, sf_dir).fact
+    return fact.groupBy(*_GROUPED).agg(
+        F.count(F.lit(1)).alias("respondent_count"),
+        F.count_if(F.coalesce("manager_flag", F.lit(False))).alias("managers"),
+        F.sum("salary_midpoint").alias("salary_total"),
+    )
+
+
+@query(
+    "map_category",
+    f"WITH {P} SELECT respondent_id, seniority FROM panel",
+)
+def _(spark, sf_dir):
+    raw = panel.raw_panel(spark, sf_dir, ["seniority"])
+    seniority = silver.default_mappings(spark)["seniority"]
+    return M.map_values(raw, "seniority", {"seniority": "canonical_value"}, seniority).select("respondent_id", "seniority")
+
+
+@query("map_scoped", f"WITH {P} SELECT survey_year, current_role_raw, current_role, count(*) AS n FROM panel GROUP BY 1, 2, 3")
+def _(spark, sf_dir):
+    raw = panel.raw_panel(spark, sf_dir, ["current_role"]).withColumnRenamed("current_role", "current_role_raw")
+    roles = silver.default_mappings(spark)["role"]
+    mapped = M.map_values(
+        raw, "current_role_raw", {"current_role": "canonical_role"}, roles, also_on={"survey_year": "survey_year"}
+    )
+    return mapped.groupBy("survey_year", "current_role_raw", "current_role").agg(F.count(F.lit(1)).alias("n"))
+
+
+_RANKS = ", ".join(f"('{c}', {r})" for c, r in {c: r for _, c, r in S.COMPANY_SIZE if r}.items())
+
+
+@query(
+    "ordinal_map",
+    f"WITH {P}, ranks(company_size, r) AS (VALUES {_RANKS}) SELECT survey_year, company_size, CAST(r AS BIGINT) AS ordinal_rank, "
+    "count(*) AS n FROM panel LEFT JOIN ranks USING (company_size) GROUP BY 1, 2, 3",
+)
+def _(spark, sf_dir):
+    raw = panel.raw_panel(spark, sf_dir, ["company_size"])
+    sizes = silver.default_mappings(spark)["company_size"]
+    mapped = M.map_values(raw, "company_size", {"company_size": "canonical_value", "ordinal_rank": "ordinal_rank"}, sizes)
+    return mapped.groupBy("survey_year", "company_size", "ordinal_rank").agg(F.count(F.lit(1)).alias("n"))
+
+
+_GROUP = oracle.compensation("comparability_group")
+add(
+    "comparability_rollup",
+    lambda s, d: G.compensation_by(panel.fact(s, d, ("comparability_group", "salary_midpoint")), "comparability_group"),
+    sql([P, _GROUP], "comp", f"survey_year comparability_group {_STATS}"),
+)
+
+
+@query(
+    "unmapped_values",
+    "SELECT DISTINCT 'o_orderpriority' AS field, CAST(NULL AS VARCHAR) AS edition, o_orderpriority AS raw_value FROM orders "
+    "WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH') "
+    f"UNION SELECT DISTINCT 'o_orderstatus', survey_year, o_orderstatus FROM (SELECT *, {_EDITION_CASE} AS survey_year FROM orders) "
+    "WHERE NOT (o_orderstatus = 'F' OR (o_orderstatus = 'O' AND survey_year = 'year_1'))",
+)
+def _(spark, sf_dir):
+    """Values two incomplete mappings, one of them scoped by edition, do not know."""
+    priority = tables.mapping_table(spark, [("1-URGENT", "HIGH"), ("2-HIGH", "HIGH"), (None, "UNKNOWN")])
+    status = M.expand_scope(
+        tables.literal_table(spark, [("F", "all"), ("O", "year_1")], "raw_value string, scope string"), S.EDITIONS, "scope"
+    )
+    orders = panel.scan(spark, sf_dir, "orders").selectExpr(
+        f"{panel.EDITION_SQL} AS survey_year", "o_orderpriority", "o_orderstatus"
+    )
+    specs = [("o_orderpriority", priority, "raw_value"), ("o_orderstatus", status, "raw_value")]
+    return M.unmapped_values(orders, specs, "survey_year")
+
+
+@query(
+    "option_labels_mapped",
+    f"WITH {B} SELECT technology AS canonical_value, count(*) AS n FROM bridge GROUP BY 1",
+)
+def _(spark, sf_dir):
+    """Option labels harmonized after the unpivot through the technology table."""
+    names = {c: next((a for a, n in S.DATABASE_ALIASES.items() if n == name), name) for c, name in panel.OPTION_COLUMNS.items()}
+    long = O.option_bridge(panel.block(spark, sf_dir), ["respondent_id", "survey_year"], names, option="label")
+    mapped = M.map_values(long, "label", {"canonical_value": "canonical_value"}, silver.default_mappings(spark)["technology"])
+    offered = mapped.where((F.col("canonical_value") != "SAP") | (F.col("survey_year") == "year_1"))
+    return offered.groupBy("canonical_value").agg(F.count(F.lit(1)).alias("n"))
+
+
+_BAND = "~lower_bound ~upper_bound ~midpoint open_ended anomaly_flag"
+
+
+@query(
+    "parse_band",
+    sql([P], "(SELECT respondent_id, salary_lower_bound AS lower_bound, salary_upper_bound AS upper_bound, salary_midpoint AS midpoint, "
+        "salary_open_ended AS open_ended, salary_anomaly_flag AS anomaly_flag FROM panel)", f"respondent_id {_BAND}"),
+)
+def _(spark, sf_dir):
+    """Bounds parsed row by row from the label."""
+    raw = panel.raw_panel(spark, sf_dir, ["salary_band"])
+    return raw.withColumn("band", parse_band(F.col("salary_band"))).select("respondent_id", "band.*")
+
+
+@query(
+    "band_lookup",
+    sql([P], "panel", "respondent_id ~salary_lower_bound ~salary_upper_bound ~salary_midpoint salary_open_ended salary_anomaly_flag"),
+)
+def _(spark, sf_dir):
+    raw = panel.raw_panel(spark, sf_dir, ["salary_band"])
+    return M.attach_bands(raw, "salary_band", silver.default_mappings(spark)["salary_band"]).drop("salary_band", "survey_year")
+
+
+# ---- Shares and statistics --------------------------------------------------------------
+
+add(
+    "share_null_keep",
+    lambda s, d: G.market_overview(panel.fact(s, d, G.MARKET_DIMENSIONS), null_policy="keep"),
+    sql([P, oracle.market("keep")], "market", _MARKET),
+)
+
+
+@query(
+    "share_single",
+    "SELECT lang, source, count(*) AS documents, round(count(*) / CAST(sum(count(*)) OVER (PARTITION BY lang) AS DOUBLE), 6) AS share "
+    "FROM documents GROUP BY lang, source",
+)
+def _(spark, sf_dir):
+    documents = panel.scan(spark, sf_dir, "documents")
+    return SH.share_of_total(SH.counts_by(documents, ["lang", "source"], "documents"), ["lang"], "documents", "share")
+
+
+@query("edition_totals", f"SELECT {_EDITION_CASE} AS survey_year, count(*) AS respondent_count FROM orders GROUP BY 1")
+def _(spark, sf_dir):
+    return SH.counts_by(panel.raw_panel(spark, sf_dir, []), ["survey_year"])
+
+
+_NAMES = {"known": "known_count", "median": "median_value", "mean": "mean_value", "p25": "p25", "p75": "p75", "iqr": "iqr"}
+
+
+@query(
+    "stats_quantity",
+    "SELECT l_returnflag, l_linestatus, count(*) AS respondent_count, count(v) AS known_count, round(quantile_cont(v, 0.5), 6) AS median_value, "
+    "round(avg(v), 6) AS mean_value, round(quantile_cont(v, 0.25), 6) AS p25, round(quantile_cont(v, 0.75), 6) AS p75, "
+    "round(quantile_cont(v, 0.75) - quantile_cont(v, 0.25), 6) AS iqr, count(*) < 30 AS low_sample_flag FROM "
+    "(SELECT *, CASE WHEN l_discount <> 0 THEN l_quantity END AS v FROM lineitem) GROUP BY 1, 2",
+)
+def _(spark, sf_dir):
+    """Quantity has fifty values, so it counts as a banded measure; undiscounted lines are unknown."""
+    lines = panel.scan(spark, sf_dir, "lineitem").select(
+        "l_returnflag", "l_linestatus", F.when(F.col("l_discount") != 0, F.col("l_quantity")).alias("quantity")
+    )
+    return ST.distribution_stats(lines, ["l_returnflag", "l_linestatus"], "quantity", names=_NAMES)
+
+
+@query(
+    "stats_open_domain",
+    "SELECT o_orderpriority, round(quantile_cont(o_totalprice, 0.25), 6) AS p25, round(quantile_cont(o_totalprice, 0.5), 6) AS median_value, "
+    "round(quantile_cont(o_totalprice, 0.75), 6) AS p75, round(quantile_cont(o_totalprice, 0.99), 6) AS p99 FROM orders GROUP BY 1",
+)
+def _(spark, sf_dir):
+    """Exact percentiles of a measure with an open value domain, without collecting a group."""
+    orders = panel.scan(spark, sf_dir, "orders")
+    quantiles = ST.exact_quantiles(orders, ["o_orderpriority"], "o_totalprice", [0.25, 0.5, 0.75, 0.99])
+    names = ("p25", "median_value", "p75", "p99")
+    return quantiles.select("o_orderpriority", *[F.get("quantiles", i).alias(n) for i, n in enumerate(names)])
+
+
+# ---- Options, rank and trend ------------------------------------------------------------
+
+add("option_bridge", panel.bridge, sql([B], "bridge", "respondent_id survey_year technology technology_family selected"))
+add("option_adoption", panel.adoption, sql([B], "adoption", _ADOPTION))
+add(
+    "option_adoption_from_bridge",
+    lambda s, d: O.adoption_from_bridge(panel.bridge(s, d)),
+    sql([B], "adoption", _ADOPTION),
+)
+
+
+@query(
+    "eligible_counts",
+    f"WITH {B} SELECT survey_year, count(*) AS eligible_respondents FROM shown GROUP BY 1",
+)
+def _(spark, sf_dir):
+    return O.eligible_counts(panel.block(spark, sf_dir), "survey_year", list(panel.OPTION_COLUMNS))
+
+
+@query(
+    "adoption_joined_eligible",
+    sql([B], "adoption", _ADOPTION),
+)
+def _(spark, sf_dir):
+    """Bridge counts joined with separately counted eligible respondents."""
+    block = panel.block(spark, sf_dir)
+    eligible = O.eligible_counts(block, "survey_year", list(panel.OPTION_COLUMNS))
+    return O.adoption_from_bridge(panel.bridge(spark, sf_dir), eligible)
+
+
+@query(
+    "adoption_rank",
+    sql([B], "ranked", "technology survey_year ~adoption_rate #rank"),
+)
+def _(spark, sf_dir):
+    return TR.with_rank(panel.adoption(spark, sf_dir), "survey_year", "adoption_rate").select(
+        "technology", "survey_year", "adoption_rate", "rank"
+    )
+
+
+@query("adoption_yoy", sql([B], "trend", "technology survey_year ~adoption_rate ~yoy=change_pp"))
+def _(spark, sf_dir):
+    changed = TR.with_change(panel.adoption(spark, sf_dir), "technology", "survey_year", S.EDITIONS, "adoption_rate", "change_pp")
+    return changed.select("technology", "survey_year", "adoption_rate", "change_pp")
+
+
+_GROWTH = (
+    "growth AS (SELECT technology, (max(CASE WHEN survey_year = 'year_3' THEN adoption_rate END) - "
+    "max(CASE WHEN survey_year = 'year_1' THEN adoption_rate END)) * 100 AS adoption_growth_pp FROM adoption GROUP BY 1)"
+)
+add(
+    "growth_first_last",
+    lambda s, d: G.adoption_growth(panel.adoption(s, d)),
+    sql([B, _GROWTH], "growth", "technology ~adoption_growth_pp"),
+)
+add(
+    "no_trend",
+    lambda s, d: TR.without_trend(G.adoption_growth(panel.adoption(s, d)), "technology", "adoption_growth_pp"),
+    f"WITH {B}, {_GROWTH} SELECT technology FROM growth WHERE adoption_growth_pp IS NULL",
+)
+
+
+@query(
+    "options_with_trend",
+    f"WITH {B}, {_GROWTH} SELECT survey_year, technology, count(*) FILTER (WHERE selected) AS users FROM bridge "
+    "WHERE technology IN (SELECT technology FROM growth WHERE adoption_growth_pp IS NOT NULL) GROUP BY 1, 2",
+)
+def _(spark, sf_dir):
+    """Semi-join: bridge rows of options that have a trend."""
+    trend = G.adoption_growth(panel.adoption(spark, sf_dir)).where(F.col("adoption_growth_pp").isNotNull())
+    kept = panel.bridge(spark, sf_dir).join(trend, "technology", "left_semi")
+    return kept.groupBy("survey_year", "technology").agg(F.count_if("selected").alias("users"))
+
+
+# ---- AI block ---------------------------------------------------------------------------
+
+_FLAGS = " ".join(S.GENAI_METRICS)
+add(
+    "fact_ai_adoption",
+    panel.ai_facts,
+    sql([AI], "ai", f"respondent_id survey_year enterprise_ai_priority {_FLAGS} genai_question_available genai_eligible"),
+)
+add(
+    "ai_available_only",
+    lambda s, d: AN.ai_adoption_available(panel.gold(s, d, "gold_ai_adoption_overview")),
+    sql([AI], "ai_rates WHERE question_available", "survey_year metric #eligible_respondents ~rate"),
+)
+add(
+    "availability_by_edition",
+    lambda s, d: A.availability_by_period(panel.gold(s, d, "gold_ai_adoption_overview"), "survey_year"),
+    f"WITH {AI} SELECT survey_year, bool_or(question_available) AS question_available FROM ai_rates GROUP BY 1",
+)
+
+_WEEK = "CASE WHEN day(ts) <= 10 THEN 'ten_days_1' WHEN day(ts) <= 20 THEN 'ten_days_2' ELSE 'ten_days_3' END"
+_TYPES = ("click", "error", "purchase", "signup", "view")
+_PERIODS = ("ten_days_1", "ten_days_2", "ten_days_3", "ten_days_4")
+_EVENT_RATES = f"""
+people AS (SELECT DISTINCT user_id FROM events),
+grid AS (SELECT user_id, unnest([{', '.join(repr(p) for p in _PERIODS)}]) AS period FROM people),
+seen AS (SELECT user_id, {_WEEK} AS period, {', '.join(f"bool_or(event_type = '{t}') AS {t}" for t in _TYPES)} FROM events GROUP BY 1, 2),
+flags AS (SELECT g.period, s.user_id IS NOT NULL AS shown, {', '.join(_TYPES)} FROM grid g LEFT JOIN seen s USING (user_id, period)),
+rates AS ({' UNION ALL '.join(
+    f"SELECT period, '{t}' AS metric, count(*) FILTER (WHERE shown) AS eligible, count(*) FILTER (WHERE shown AND {t}) AS hits FROM flags GROUP BY 1"
+    for t in _TYPES)})"""
+
+
+@query(
+    "rates_with_availability",
+    f"WITH {_EVENT_RATES} SELECT period, metric, eligible > 0 AS question_available, eligible AS eligible_respondents, "
+    "CASE WHEN eligible > 0 THEN CAST(hits AS DOUBLE) END AS numerator, CASE WHEN eligible > 0 THEN round(hits / CAST(eligible AS DOUBLE), 6) END AS rate FROM rates",
+)
+def _(spark, sf_dir):
+    """Users in ten-day periods of the event log; a fourth period had no log and is scaffolded."""
+    events = panel.scan(spark, sf_dir, "events").selectExpr(
+        "user_id", "event_type",
+        "CASE WHEN dayofmonth(ts) <= 10 THEN 'ten_days_1' WHEN dayofmonth(ts) <= 20 THEN 'ten_days_2' ELSE 'ten_days_3' END AS period",
+    )
+    flags = events.groupBy("user_id", "period").agg(
+        *[F.expr(f"CAST(bool_or(event_type = '{t}') AS DOUBLE) AS {t}") for t in _TYPES]
+    )
+    adopted = O.option_adoption(flags, {t: t for t in _TYPES}, period="period", option="metric", users="numerator")
+    rates = adopted.select(
+        "period", "metric", F.lit(True).alias("question_available"), "eligible_respondents",
+        F.col("numerator").cast("double").alias("numerator"), F.col("adoption_rate").alias("rate"),
+    )
+    return A.scaffold(rates, "period", _PERIODS, "metric", _TYPES)
+
+
+# ---- Score parts ------------------------------------------------------------------------
+
+add(
+    "skill_components",
+    lambda s, d: panel.gold(s, d, "gold_skill_priority_score").select("technology", "year_3_users", *S.SCORE_WEIGHTS),
+    sql(_SCORE_CTES, "parts", f"technology #year_3_users {_COMPONENTS}"),
+)
+
+
+@query(
+    "min_max_normalize",
+    "WITH v AS (SELECT n_name, count(*) AS customers, avg(c_acctbal) AS balance, 7.0 AS constant FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1) "
+    "SELECT n_name, round((customers - min(customers) OVER ()) / CAST(max(customers) OVER () - min(customers) OVER () AS DOUBLE), 6) AS normalized_customers, "
+    "round((balance - min(balance) OVER ()) / (max(balance) OVER () - min(balance) OVER ()), 6) AS normalized_balance, CAST(0 AS DOUBLE) AS normalized_constant FROM v",
+)
+def _(spark, sf_dir):
+    nations = panel.scan(spark, sf_dir, "customer").join(
+        panel.scan(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    measured = nations.groupBy("n_name").agg(
+        F.count(F.lit(1)).alias("customers"), F.avg("c_acctbal").alias("balance"), F.lit(7.0).alias("constant")
+    )
+    columns = ["customers", "balance", "constant"]
+    return SC.normalize(measured, columns).select("n_name", *[f"normalized_{c}" for c in columns])
+
+
+@query(
+    "distinct_users",
+    f"WITH {B} SELECT technology, count(DISTINCT respondent_id) AS users FROM bridge WHERE selected GROUP BY 1 HAVING count(DISTINCT respondent_id) >= 30",
+)
+def _(spark, sf_dir):
+    """Distinct respondents per option and the minimum-users cut."""
+    users = panel.bridge(spark, sf_dir).where(F.col("selected")).groupBy("technology").agg(
+        F.count_distinct("respondent_id").alias("users")
+    )
+    return users.where(F.col("users") >= S.MIN_SAMPLE_SIZE)
+
+
+# ---- Reshape, top-k ---------------------------------------------------------------------
+
+
+@query(
+    "pivot_share",
+    "SELECT o_orderpriority, "
+    + ", ".join(f"round(count(*) FILTER (WHERE {_EDITION_CASE} = '{e}') / CAST(sum(count(*) FILTER (WHERE {_EDITION_CASE} = '{e}')) OVER () AS DOUBLE), 4) AS {e}" for e in S.EDITIONS)
+    + " FROM orders GROUP BY 1",
+)
+def _(spark, sf_dir):
+    orders = panel.scan(spark, sf_dir, "orders").selectExpr(f"{panel.EDITION_SQL} AS survey_year", "o_orderpriority")
+    shares = SH.share_within(orders, "survey_year", ["o_orderpriority"])
+    wide = RS.pivot_periods(shares, "dimension_value", "survey_year", S.EDITIONS, "respondent_share_within_year", digits=4)
+    return wide.withColumnRenamed("dimension_value", "o_orderpriority")
+
+
+@query(
+    "melt_share",
+    f"WITH {P}, {oracle.market()} SELECT dimension_value, survey_year, round(respondent_share_within_year, 4) AS share FROM market WHERE dimension = 'region'",
+)
+def _(spark, sf_dir):
+    wide = _answer("q1_market_structure_region")(spark, sf_dir)
+    return RS.melt(wide, ["dimension_value"], list(S.EDITIONS), "survey_year", "share")
+
+
+@query(
+    "top_k_latest",
+    "SELECT n_name, orders, rank_in_year FROM (SELECT n_name, count(*) AS orders, CAST(row_number() OVER (ORDER BY count(*) DESC, n_name) AS BIGINT) AS rank_in_year "
+    f"FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE {_EDITION_CASE} = 'year_3' GROUP BY 1) WHERE rank_in_year <= 5",
+)
+def _(spark, sf_dir):
+    """Five busiest nations of the latest edition."""
+    states = SH.counts_by(panel.raw_panel(spark, sf_dir, ["state"]), ["survey_year", "state"], "orders")
+    best = R.top_k(R.latest_only(states, "survey_year"), 5, "orders", "state")
+    return SC.numbered_by(best, "orders", "state", "rank_in_year").select(
+        F.col("state").alias("n_name"), "orders", "rank_in_year"
+    )
+
+
+@query(
+    "movers",
+    "WITH m AS (SELECT p_brand, avg(CASE WHEN l_returnflag = 'A' THEN l_quantity END) - avg(CASE WHEN l_returnflag = 'R' THEN l_quantity END) AS change "
+    "FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY change DESC, p_brand) AS up, "
+    "row_number() OVER (ORDER BY change, p_brand) AS down FROM m) SELECT p_brand, round(change, 6) AS change, "
+    "CASE WHEN change > 0 THEN 'Alta' ELSE 'Queda' END AS sign FROM r WHERE up <= 4 OR down <= 4",
+)
+def _(spark, sf_dir):
+    lines = panel.scan(spark, sf_dir, "lineitem").join(panel.scan(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+
+    def mean(flag: str):
+        return F.avg(F.when(F.col("l_returnflag") == flag, F.col("l_quantity")))
+
+    change = lines.groupBy("p_brand").agg((mean("A") - mean("R")).alias("change"))
+    return R.movers(change, 4, "p_brand", "change", S.CHANGE_SIGN_LABELS)
+
+
+@query(
+    "label_lookup",
+    f"WITH {P} SELECT survey_year, {_case('seniority', {**S.SENIORITY_LABELS, 'UNKNOWN': 'UNKNOWN'})} AS label, count(*) AS n FROM panel GROUP BY 1, 2",
+)
+def _(spark, sf_dir):
+    """Display labels from a table, the code itself where there is none."""
+    labels = tables.literal_table(spark, S.SENIORITY_LABELS.items(), "code string, label string")
+    counts = SH.counts_by(panel.fact(spark, sf_dir, ("seniority",)), ["survey_year", "seniority"], "n")
+    return M.label_table(counts, "seniority", "label", labels, "code", "label").select("survey_year", "label", "n")
+
+
+# ---- Data quality -----------------------------------------------------------------------
+
+add(
+    "reconcile",
+    lambda s, d: Q.reconcile(panel.raw_panel(s, d, []), panel.fact(s, d, ("gender", "salary_midpoint")), "survey_year"),
+    f"SELECT {_EDITION_CASE} AS survey_year, count(*) AS rows_before, count(*) AS rows_after, CAST(0 AS BIGINT) AS rows_lost FROM orders GROUP BY 1",
+)
+add(
+    "from_raw_reconcile",
+    lambda s, d: Q.reconcile(panel.raw_panel(s, d, []), landing.stored_silver(s, d).fact, "survey_year"),
+    f"SELECT {_EDITION_CASE} AS survey_year, count(*) AS rows_before, count(*) AS rows_after, CAST(0 AS BIGINT) AS rows_lost FROM orders GROUP BY 1",
+)
+add(
+    "key_unique",
+    lambda s, d: Q.repeated_keys(panel.raw_panel(s, d, []), ["respondent_id"]),
+    "SELECT printf('%06d', o_orderkey) AS respondent_id, count(*) AS rows FROM orders GROUP BY 1 HAVING count(*) > 1",
+)
+add(
+    "from_raw_key_unique",
+    lambda s, d: Q.repeated_keys(landing.stored_silver(s, d).fact, ["respondent_id"]),
+    "SELECT printf('%06d', o_orderkey) AS respondent_id, count(*) AS rows FROM orders GROUP BY 1 HAVING count(*) > 1",
+)
+add(
+    "repeated_keys",
+    lambda s, d: Q.repeated_keys(panel.scan(s, d, "lineitem"), ["l_partkey", "l_suppkey"]),
+    "SELECT l_partkey, l_suppkey, count(*) AS rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
+)
+
+_UNKNOWN_FIELDS = ("gender", "employment_status", "seniority", "current_work_model", "current_role")
+add(
+    "unknown_matrix",
+    lambda s, d: Q.value_rate_matrix(panel.fact(s, d, _UNKNOWN_FIELDS), "survey_year", S.EDITIONS, _UNKNOWN_FIELDS),
+    f"WITH {P} " + " UNION ALL ".join(
+        f"SELECT '{f}' AS field, " + ", ".join(
+            f"round(avg(CASE WHEN survey_year = '{e}' THEN CASE WHEN {f} = 'UNKNOWN' THEN 1.0 ELSE 0.0 END END), 6) AS {e}" for e in S.EDITIONS
+        ) + " FROM panel"
+        for f in _UNKNOWN_FIELDS
+    ),
+)
+_MISSING = ("region", "manager_flag", "salary_midpoint", "salary_open_ended", "current_role_raw", "state")
+add(
+    "missing_profile",
+    lambda s, d: Q.missing_profile(panel.fact(s, d, ("region", "manager_flag", "salary_midpoint", "salary_open_ended", "current_role_raw", "current_role", "state")), _MISSING),
+    f"WITH {P} " + " UNION ALL ".join(
+        f"SELECT '{f}' AS \"column\", round(avg(CASE WHEN {f} IS NULL THEN 1.0 ELSE 0.0 END), 6) AS missing_rate FROM panel" for f in _MISSING
+    ),
+)
+
+
+@query(
+    "missing_cells",
+    f"WITH {B} SELECT e.survey_year, round(sum(34 - CASE WHEN s.o_orderkey IS NULL THEN 0 WHEN e.survey_year = 'year_1' THEN 34 ELSE 33 END) "
+    "/ (34.0 * count(*)), 6) AS missing_rate FROM eds e LEFT JOIN shown s USING (o_orderkey) GROUP BY 1",
+)
+def _(spark, sf_dir):
+    """Missing share of all block cells, mostly structural."""
+    return Q.missing_cells(panel.block(spark, sf_dir), "survey_year", list(panel.OPTION_COLUMNS))
+
+
+@query(
+    "duplicate_rows",
+    "SELECT lang, CAST(sum(n - 1) AS BIGINT) AS duplicated_rows FROM (SELECT lang, text, source, n_chars, count(*) AS n FROM documents GROUP BY ALL) GROUP BY 1",
+)
+def _(spark, sf_dir):
+    """Copies of whole documents apart from the technical id."""
+    return Q.duplicate_rows(panel.scan(spark, sf_dir, "documents"), "lang", ignore=["doc_id"])
+
+
+@query(
+    "duplicate_rows_with_id",
+    "SELECT lang, CAST(sum(n - 1) AS BIGINT) AS duplicated_rows FROM (SELECT doc_id, lang, text, source, n_chars, count(*) AS n FROM documents GROUP BY ALL) GROUP BY 1",
+)
+def _(spark, sf_dir):
+    return Q.duplicate_rows(panel.scan(spark, sf_dir, "documents"), "lang")
+
+
+add(
+    "band_flags",
+    lambda s, d: Q.band_counts(panel.fact(s, d, ("salary_open_ended", "salary_anomaly_flag")), "survey_year", "salary_open_ended", "salary_anomaly_flag"),
+    f"WITH {P} SELECT survey_year, count(*) FILTER (WHERE salary_open_ended <> 'CLOSED') AS open_ended_rows, "
+    "count(*) FILTER (WHERE salary_anomaly_flag) AS anomaly_rows FROM panel GROUP BY 1",
+)
+
+
+@query(
+    "eligibility_check",
+    f"WITH {B}, {AI} SELECT a.survey_year, n AS technology, m AS genai, n = m AS blocks_agree FROM "
+    "(SELECT survey_year, count(*) AS n FROM shown GROUP BY 1) a JOIN (SELECT survey_year, count(*) FILTER (WHERE genai_eligible) AS m FROM ai GROUP BY 1) b USING (survey_year)",
+)
+def _(spark, sf_dir):
+    raw = panel.raw_panel(spark, sf_dir, [*panel.OPTION_COLUMNS, *panel.GENAI_COLUMNS])
+    blocks = {"technology": list(panel.OPTION_COLUMNS), "genai": list(panel.GENAI_COLUMNS)}
+    return O.eligibility_agreement(raw, "survey_year", blocks)
+
+
+@query(
+    "answer_status",
+    f"WITH {P}, {B}, s AS (SELECT p.survey_year, CASE WHEN p.company_size = 'UNKNOWN' THEN CASE WHEN sh.o_orderkey IS NULL THEN 'NOT_ELIGIBLE' ELSE 'NOT_ANSWERED' END "
+    "WHEN p.company_size = 'INVALID' THEN 'INVALID' ELSE 'ANSWERED' END AS answer_status FROM panel p LEFT JOIN shown sh USING (o_orderkey)) "
+    "SELECT survey_year, answer_status, count(*) AS respondent_count FROM s GROUP BY 1, 2",
+)
+def _(spark, sf_dir):
+    """Answered, blank, not shown and invalid company sizes told apart."""
+    raw = panel.raw_panel(spark, sf_dir, ["company_size", *panel.OPTION_COLUMNS])
+    shown = raw.select("survey_year", "company_size", O.eligible(list(panel.OPTION_COLUMNS)).alias("shown"))
+    invalid = [r for r, c, _ in S.COMPANY_SIZE if c == "INVALID"]
+    return Q.answer_status(shown, "survey_year", "company_size", {e: True for e in S.EDITIONS}, "shown", invalid)
+
+
+@query(
+    "work_model_gap",
+    f"WITH {P} SELECT survey_year, current_work_model, ideal_work_model, count(*) AS respondent_count, "
+    "round(count(*) / CAST(sum(count(*)) OVER (PARTITION BY survey_year, current_work_model) AS DOUBLE), 6) AS share FROM panel GROUP BY 1, 2, 3",
+)
+def _(spark, sf_dir):
+    """Current against ideal work model."""
+    people = panel.fact(spark, sf_dir, ("current_work_model", "ideal_work_model"))
+    counts = SH.counts_by(people, ["survey_year", "current_work_model", "ideal_work_model"])
+    return SH.share_of_total(counts, ["survey_year", "current_work_model"], "respondent_count", "share")

@@ -11,10 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Collection, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.functions.scalars import numbered_key
 from panelloom.operators.options import option_adoption, option_bridge
 from panelloom.plans import gold as G
 from panelloom.plans import silver
@@ -36,6 +35,17 @@ GENDER_BY_STATUS = {"F": "Feminino", "O": "Masculino", "P": "Prefiro não inform
 BAND_WIDTH = 31250.0
 
 
+_scans: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table; its schema and file listing are read once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _scans:
+        _scans[key] = read_table(spark, sf_dir, name)
+    return _scans[key]
+
+
 def roles_offered(edition: str) -> list[str]:
     return [raw for raw, scope, *_ in S.ROLE if raw and (scope == "all" or edition in scope.split(","))]
 
@@ -44,74 +54,92 @@ def _answers(rows: Sequence[tuple]) -> list[str]:
     return [row[0] for row in rows if row[0] is not None]
 
 
-def _nth(values: Sequence[str], index: Column) -> Column:
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _nth(values: Sequence[str], index: str) -> str:
     """The index-th label, NULL outside the list."""
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+    return f"get(array({', '.join(_text(v) for v in values)}), CAST({index} AS INT))"
 
 
-def _lookup(labels: dict[str, str], col: Column) -> Column:
-    pairs = [F.lit(x) for item in labels.items() for x in item]
-    return F.try_element_at(F.create_map(*pairs), col)
+def _case(column: str, labels: dict[str, str]) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN {_text(k)} THEN {_text(v)}" for k, v in labels.items()) + " END"
 
 
-def edition_of(date: Column) -> Column:
-    year = F.year(date)
-    return F.when(year <= 1996, "year_1").when(year <= 1998, "year_2").otherwise("year_3")
+# The edition of an order, and every panel field as an expression over the joined tables.
+EDITION_SQL = (
+    "CASE WHEN year(o_orderdate) <= 1996 THEN 'year_1' WHEN year(o_orderdate) <= 1998 THEN 'year_2' ELSE 'year_3' END"
+)
+_ASKED = f"{EDITION_SQL} <> 'year_1'"
 
 
-def _order_fields() -> dict[str, Column]:
-    date = F.col("o_orderdate")
-    month, day = F.month(date), F.dayofmonth(date)
-    december = month == 12
-    models = _answers(S.WORK_MODEL)
+def _order_fields() -> dict[str, str]:
+    models = [_text(m) for m in _answers(S.WORK_MODEL)]
+    day, month = "dayofmonth(o_orderdate)", "month(o_orderdate)"
     return {
-        "age_band": F.concat(F.lit("faixa_"), F.quarter(date).cast("string")),
-        "gender": F.when(
-            (F.col("o_orderstatus") != "P") | (F.col("o_orderpriority") != "4-NOT SPECIFIED"),
-            _lookup(GENDER_BY_STATUS, F.col("o_orderstatus")),
-        ),
-        "pcd_flag": F.when(edition_of(date) != "year_1", F.when(day <= 3, F.lit("Sim")).otherwise(F.lit("Não"))),
-        "education_level": F.col("o_orderpriority"),
-        "employment_status": _nth(_answers(S.EMPLOYMENT_STATUS), F.floor((day - 1) / 2)),
-        "manager_flag": F.when(day <= 10, F.lit("1.0")).when(day <= 25, F.lit("0.0")),
-        "seniority": _lookup(SENIORITY_BY_PRIORITY, F.col("o_orderpriority")),
-        "salary_band": F.when(~december, _nth(S.SALARY_BAND_LABELS, F.floor(F.col("o_totalprice") / BAND_WIDTH))),
-        "data_experience_band": F.concat(F.lit("exp_"), F.floor(day / 8).cast("string")),
-        "it_experience_band": F.concat(F.lit("exp_"), F.floor(day / 11).cast("string")),
-        "current_work_model": F.when(month <= 3, models[0]).when(month <= 6, models[1])
-        .when(month <= 9, models[2]).when(month <= 11, models[3]),
-        "rto_attitude": F.concat(F.lit("atitude_"), F.quarter(date).cast("string")),
+        "age_band": "concat('faixa_', quarter(o_orderdate))",
+        "gender": "CASE WHEN o_orderstatus <> 'P' OR o_orderpriority <> '4-NOT SPECIFIED' "
+        f"THEN {_case('o_orderstatus', GENDER_BY_STATUS)} END",
+        "pcd_flag": f"CASE WHEN {_ASKED} THEN IF({day} <= 3, 'Sim', 'Não') END",
+        "education_level": "o_orderpriority",
+        "employment_status": _nth(_answers(S.EMPLOYMENT_STATUS), f"floor(({day} - 1) / 2)"),
+        "manager_flag": f"CASE WHEN {day} <= 10 THEN '1.0' WHEN {day} <= 25 THEN '0.0' END",
+        "seniority": _case("o_orderpriority", SENIORITY_BY_PRIORITY),
+        "salary_band": f"CASE WHEN {month} <> 12 THEN {_nth(S.SALARY_BAND_LABELS, f'floor(o_totalprice / {BAND_WIDTH}D)')} END",
+        "data_experience_band": f"concat('exp_', floor({day} / 8))",
+        "it_experience_band": f"concat('exp_', floor({day} / 11))",
+        "current_work_model": f"CASE WHEN {month} <= 3 THEN {models[0]} WHEN {month} <= 6 THEN {models[1]} "
+        f"WHEN {month} <= 9 THEN {models[2]} WHEN {month} <= 11 THEN {models[3]} END",
+        "rto_attitude": "concat('atitude_', quarter(o_orderdate))",
     }
 
 
-def _customer_fields() -> dict[str, Column]:
-    balance = F.col("c_acctbal")
-    models = _answers(S.WORK_MODEL)
-    date = F.col("o_orderdate")
-    role = F.lit(None).cast("string")
-    for edition in S.EDITIONS:
-        role = F.when(edition_of(date) == edition, _nth(roles_offered(edition), F.col("c_nationkey"))).otherwise(role)
+def _customer_fields() -> dict[str, str]:
+    models = [_text(m) for m in _answers(S.WORK_MODEL)]
+    roles = " ".join(f"WHEN {_text(e)} THEN {_nth(roles_offered(e), 'c_nationkey')}" for e in S.EDITIONS)
     return {
-        "ideal_work_model": F.when(balance < 0, F.lit(None)).when(balance < 2500, models[0])
-        .when(balance < 5000, models[1]).when(balance < 7500, models[2]).otherwise(models[3]),
-        "sector": F.col("c_mktsegment"),
-        "education_area": F.col("c_mktsegment"),
-        "company_size": F.when(balance >= 0, _nth(_answers(S.COMPANY_SIZE), F.floor(balance / 800))),
-        "current_role": role,
+        "ideal_work_model": f"CASE WHEN c_acctbal < 0 THEN NULL WHEN c_acctbal < 2500 THEN {models[0]} "
+        f"WHEN c_acctbal < 5000 THEN {models[1]} WHEN c_acctbal < 7500 THEN {models[2]} ELSE {models[3]} END",
+        "sector": "c_mktsegment",
+        "education_area": "c_mktsegment",
+        "company_size": f"CASE WHEN c_acctbal >= 0 THEN {_nth(_answers(S.COMPANY_SIZE), 'floor(c_acctbal / 800)')} END",
+        "current_role": f"CASE {EDITION_SQL} {roles} END",
     }
 
 
-def _place_fields() -> dict[str, Column]:
-    date = F.col("o_orderdate")
+def _place_fields() -> dict[str, str]:
     return {
-        "state": F.col("n_name"),
-        "region": F.nullif(F.col("r_name"), F.lit(REGION_NOT_TOLD)),
-        "ethnicity": F.when(edition_of(date) != "year_1", F.col("r_name")),
+        "state": "n_name",
+        "region": f"nullif(r_name, {_text(REGION_NOT_TOLD)})",
+        "ethnicity": f"CASE WHEN {_ASKED} THEN r_name END",
     }
 
 
-def _bit(position: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), position.cast("int"))
+def _block_fields() -> dict[str, str]:
+    """Wide block columns, 1.0 / 0.0, NULL where the block was not shown or not offered."""
+    def has(bit: int) -> str:
+        return f"(mask & {1 << bit}L) <> 0"
+
+    def flag(condition: str, offered: str = "true") -> str:
+        return f"CASE WHEN mask IS NOT NULL AND {offered} THEN IF({condition}, 1.0D, 0.0D) END"
+
+    fields = {}
+    for i, (column, name) in enumerate(OPTION_COLUMNS.items()):
+        editions = S.DATABASE_OFFERED_IN.get(name)
+        listed = "true" if editions is None else f"{EDITION_SQL} IN ({', '.join(_text(e) for e in editions)})"
+        fields[column] = flag(has(i), listed)
+    genai = [f"NOT {has(34)} AND NOT {has(35)}", has(34), has(35), has(36), has(37)]
+    genai[0] = f"(mask & {(1 << 34) | (1 << 35)}L) = 0"
+    for column, condition in zip(GENAI_COLUMNS, genai):
+        fields[column] = flag(condition, _ASKED)
+    labels = [_text(v) for v in _answers(S.AI_PRIORITY)]
+    fields["ai_priority"] = (
+        f"CASE WHEN {_ASKED} THEN CASE line_count WHEN 1 THEN {labels[0]} "
+        f"WHEN 2 THEN IF({EDITION_SQL} = 'year_2', {labels[1]}, {labels[2]}) "
+        f"WHEN 3 THEN {labels[3]} WHEN 4 THEN {labels[4]} WHEN 5 THEN {labels[5]} END END"
+    )
+    return fields
 
 
 def block_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,74 +148,37 @@ def block_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     The block is a bit mask until the last moment, so the shuffle by order carries two numbers
     per row instead of forty flags.
     """
-    lines = read_table(spark, sf_dir, "lineitem").select(
+    lines = scan(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_returnflag", "l_linestatus", "l_discount"
     )
-    brand = F.substring("p_brand", len("Brand#") + 1, 3).cast("int")
-    kind = F.array_position(F.array(*[F.lit(t) for t in TYPES]), F.col("p_type")).cast("int")
-    size = F.when(F.col("p_size") <= 10, 0).when(F.col("p_size") <= 30, 1).otherwise(2)
-    parts = read_table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("l_partkey"),
-        _bit(brand - 1).bitwiseOR(_bit(kind + 24)).bitwiseOR(_bit(size + 31)).alias("part_bits"),
+    kinds = ", ".join(_text(t) for t in TYPES)
+    parts = scan(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS l_partkey",
+        "shiftleft(1L, CAST(substring(p_brand, 7) AS INT) - 1)"
+        f" | shiftleft(1L, CAST(array_position(array({kinds}), p_type) AS INT) + 24)"
+        " | shiftleft(1L, CASE WHEN p_size <= 10 THEN 31 WHEN p_size <= 30 THEN 32 ELSE 33 END) AS part_bits",
     )
-    traits = [
-        F.col("l_returnflag") == "A",
-        F.col("l_returnflag") == "R",
-        F.col("l_linestatus") == "O",
-        F.col("l_discount") >= 0.08,
-    ]
-    bits = F.col("part_bits")
-    for i, trait in enumerate(traits):
-        bits = bits.bitwiseOR(F.when(trait, F.lit(1 << (34 + i))).otherwise(F.lit(0)).cast("bigint"))
+    traits = ("l_returnflag = 'A'", "l_returnflag = 'R'", "l_linestatus = 'O'", "l_discount >= 0.08D")
+    bits = " | ".join(["part_bits", *[f"IF({t}, {1 << (34 + i)}L, 0L)" for i, t in enumerate(traits)]])
     return (
         lines.join(parts, "l_partkey")
         .groupBy("l_orderkey")
-        .agg(F.bit_or(bits).alias("mask"), F.count(F.lit(1)).alias("line_count"))
-    )
-
-
-def _block_fields() -> dict[str, Column]:
-    """Wide block columns, 1.0 / 0.0, NULL where the block was not shown or not offered."""
-    mask, edition = F.col("mask"), edition_of(F.col("o_orderdate"))
-
-    def has(bit: int) -> Column:
-        return mask.bitwiseAND(F.lit(1 << bit).cast("bigint")) != 0
-
-    def flag(condition: Column) -> Column:
-        return F.when(mask.isNotNull(), F.when(condition, 1.0).otherwise(0.0))
-
-    fields = {}
-    for i, (column, name) in enumerate(OPTION_COLUMNS.items()):
-        offered = S.DATABASE_OFFERED_IN.get(name)
-        fields[column] = flag(has(i)) if offered is None else F.when(edition.isin(*offered), flag(has(i)))
-    asked = edition != "year_1"
-    genai = [~has(34) & ~has(35), has(34), has(35), has(36), has(37)]
-    for column, condition in zip(GENAI_COLUMNS, genai):
-        fields[column] = F.when(asked, flag(condition))
-    labels = _answers(S.AI_PRIORITY)
-    count = F.col("line_count")
-    secondary = F.when(edition == "year_2", labels[1]).otherwise(labels[2])
-    fields["ai_priority"] = F.when(
-        asked,
-        F.when(count == 1, labels[0]).when(count == 2, secondary).when(count == 3, labels[3])
-        .when(count == 4, labels[4]).when(count == 5, labels[5]),
+        .agg(F.expr(f"bit_or({bits})").alias("mask"), F.count(F.lit(1)).alias("line_count"))
     )
-    return fields
 
 
 def raw_panel(spark: SparkSession, sf_dir: str, fields: Collection[str], key: str = "respondent_id") -> DataFrame:
     """Edition, respondent key and the asked-for raw fields; only the tables they need are joined."""
-    order, customer, place = _order_fields(), _customer_fields(), _place_fields()
-    block = _block_fields()
+    order, customer, place, block = _order_fields(), _customer_fields(), _place_fields(), _block_fields()
     unknown = [f for f in fields if f not in {**order, **customer, **place, **block}]
     if unknown:
         raise KeyError(f"unknown panel fields {unknown}")
-    df = read_table(spark, sf_dir, "orders")
+    df = scan(spark, sf_dir, "orders")
     if any(f in customer or f in place for f in fields):
-        customers = read_table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
+        customers = scan(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
         if any(f in place for f in fields):
-            nations = read_table(spark, sf_dir, "nation").join(
-                read_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
+            nations = scan(spark, sf_dir, "nation").join(
+                scan(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
             )
             customers = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         df = df.join(customers, "o_custkey", "left")
@@ -195,11 +186,10 @@ def raw_panel(spark: SparkSession, sf_dir: str, fields: Collection[str], key: st
         masks = block_masks(spark, sf_dir).withColumnRenamed("l_orderkey", "o_orderkey")
         df = df.join(masks, "o_orderkey", "left")
     every = {**order, **customer, **place, **block}
-    edition = edition_of(F.col("o_orderdate"))
-    return df.select(
-        edition.alias(EDITION),
-        numbered_key(edition, F.col("o_orderkey")).alias(key),
-        *[every[f].alias(f) for f in fields],
+    return df.selectExpr(
+        f"{EDITION_SQL} AS {EDITION}",
+        f"format_string('%s_%06d', {EDITION_SQL}, o_orderkey) AS {key}",
+        *[f"{every[f]} AS {f}" for f in fields],
     )
 
 

@@ -40,26 +40,44 @@ FACT_COLUMNS = (
 )
 
 
-def default_mappings(spark: SparkSession) -> dict[str, DataFrame]:
-    """The nine mapping tables of the questionnaire. Replace entries to use newer versions."""
-    roles = literal_table(
-        spark, S.ROLE,
-        "raw_value string, survey_year_scope string, canonical_role string, comparability_group string",
-    )
-    labels = literal_table(spark, [(label,) for label in S.SALARY_BAND_LABELS], "raw_value string")
-    return {
-        "gender": mapping_table(spark, S.GENDER),
-        "seniority": mapping_table(spark, S.SENIORITY),
-        "work_model": mapping_table(spark, S.WORK_MODEL),
-        "employment_status": mapping_table(spark, S.EMPLOYMENT_STATUS),
-        "ai_priority": mapping_table(spark, S.AI_PRIORITY),
-        "company_size": literal_table(
-            spark, S.COMPANY_SIZE, "raw_value string, canonical_value string, ordinal_rank int"
-        ),
-        "role": M.expand_scope(roles, S.EDITIONS, "survey_year_scope", EDITION),
-        "salary_band": M.band_table(labels),
-        "technology": mapping_table(spark, technology_names().items()),
-    }
+class Mappings(dict):
+    """The nine mapping tables by name, each built when first used.
+
+    Assign to an entry, for instance a table read from a newer mapping file, to replace it.
+    """
+
+    def __init__(self, spark: SparkSession):
+        super().__init__()
+        self._spark = spark
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self._build(name)
+        return self[name]
+
+    def _build(self, name: str) -> DataFrame:
+        pairs = {
+            "gender": S.GENDER, "seniority": S.SENIORITY, "work_model": S.WORK_MODEL,
+            "employment_status": S.EMPLOYMENT_STATUS, "ai_priority": S.AI_PRIORITY,
+        }
+        if name in pairs:
+            return mapping_table(self._spark, pairs[name])
+        if name == "company_size":
+            schema = "raw_value string, canonical_value string, ordinal_rank int"
+            return literal_table(self._spark, S.COMPANY_SIZE, schema)
+        if name == "role":
+            schema = "raw_value string, survey_year_scope string, canonical_role string, comparability_group string"
+            roles = literal_table(self._spark, S.ROLE, schema)
+            return M.expand_scope(roles, S.EDITIONS, "survey_year_scope", EDITION)
+        if name == "salary_band":
+            labels = literal_table(self._spark, [(label,) for label in S.SALARY_BAND_LABELS], "raw_value string")
+            return M.band_table(labels)
+        if name == "technology":
+            return mapping_table(self._spark, technology_names().items())
+        raise KeyError(name)
+
+
+def default_mappings(spark: SparkSession) -> Mappings:
+    return Mappings(spark)
 
 
 def technology_names() -> dict[str, str]:
