@@ -44,6 +44,11 @@ def selected_sql(column: str) -> str:
     return f"coalesce(try_cast({_name(column)} AS DOUBLE) = 1.0D, false)"
 
 
+def selected_or_null_sql(column: str) -> str:
+    """1 for an explicit 1, else NULL: what ``count`` adds up with the least generated code."""
+    return f"CASE WHEN try_cast({_name(column)} AS DOUBLE) = 1.0D THEN 1 END"
+
+
 def is_selected(column: str) -> Column:
     return F.expr(selected_sql(column))
 

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelloom.functions.scalars import any_answered, is_selected, ratio, selected_sql
+from panelloom.functions.scalars import any_answered, is_selected, quoted, ratio, selected_or_null_sql
 
 
 def eligible(columns: Sequence[str]) -> Column:
@@ -33,16 +33,19 @@ def option_bridge(
     ``options`` maps columns to canonical names. ``offered_in`` limits an option to the editions
     whose questionnaire had it. One scan, one Expand; ineligible rows go before they multiply.
     """
-    flags = [F.expr(f"{selected_sql(c)} AS __o{i}") for i, c in enumerate(options)]
     names = F.array(*[F.lit(name) for name in options.values()])
     number = F.substring("__option", len("__o") + 1, 10).cast("int")
-    long = (
-        df.where(eligible(list(options)))
-        .select(*ids, *flags)
-        .unpivot(list(ids), [f"__o{i}" for i in range(len(options))], "__option", "selected")
+    answers = df.where(eligible(list(options))).select(
+        *ids, *[quoted(c).alias(f"__o{i}") for i, c in enumerate(options)]
     )
+    # The answer is read after the unpivot: one small expression instead of one per option.
+    long = answers.unpivot(list(ids), [f"__o{i}" for i in range(len(options))], "__option", "__answer")
+    selected = is_selected("__answer").alias("selected")
     tags = [F.lit(family).alias(f"{option}_family")] if family else []
-    bridge = long.select(*ids, F.get(names, number).alias(option), *tags, "selected")
+    bridge = long.select(*ids, F.get(names, number).alias(option), *tags, selected)
+    if len(set(options.values())) < len(options):  # two columns, one option: one row all the same
+        keys = [c for c in bridge.columns if c != "selected"]
+        bridge = bridge.groupBy(*keys).agg(F.bool_or("selected").alias("selected"))
     for name, editions in (offered_in or {}).items():
         bridge = bridge.where((F.col(option) != name) | F.col(period).isin(*editions))
     return bridge
@@ -65,7 +68,7 @@ def option_adoption(
     Users are counted in the wide layout, one counter per option, and only the one row per
     period is unpivoted, so rows never multiply. Options that share a canonical name add up.
     """
-    counters = [F.expr(f"count_if({selected_sql(c)}) AS __o{i}") for i, c in enumerate(options)]
+    counters = [F.expr(f"count({selected_or_null_sql(c)}) AS __o{i}") for i, c in enumerate(options)]
     wide = df.groupBy(period).agg(F.count_if(eligible(list(options))).alias("eligible_respondents"), *counters)
     names = F.array(*[F.lit(name) for name in options.values()])
     number = F.substring("__option", len("__o") + 1, 10).cast("int")

@@ -13,17 +13,30 @@ from panelloom.operators.stats import global_scalar
 
 
 def normalize(df: DataFrame, columns: Sequence[str], prefix: str = "normalized_") -> DataFrame:
-    """Min-max to [0, 1] over the whole table; a constant column becomes 0."""
+    """Min-max to [0, 1] over the whole table; a constant column becomes 0.
+
+    For tables with one row per scored entity (see :func:`numbered_by`). The bounds come from a
+    window, so the table behind the components is computed once.
+    """
+    everything = Window.partitionBy()
+    normalized = {}
+    for c in columns:
+        low, high = F.min(c).over(everything), F.max(c).over(everything)
+        normalized[f"{prefix}{c}"] = F.when(high == low, F.col(c) * 0.0).otherwise(ratio(F.col(c) - low, high - low))
+    return df.withColumns(normalized)
+
+
+def normalize_rows(df: DataFrame, columns: Sequence[str], prefix: str = "normalized_") -> DataFrame:
+    """The same for tables of any size: a second pass over ``df`` with the one row of bounds."""
     bounds = df.agg(
         *[F.min(c).alias(f"__lo_{c}") for c in columns], *[F.max(c).alias(f"__hi_{c}") for c in columns]
     )
-    joined = df.crossJoin(F.broadcast(bounds))
+    normalized = []
     for c in columns:
         low, high = F.col(f"__lo_{c}"), F.col(f"__hi_{c}")
-        joined = joined.withColumn(
-            f"{prefix}{c}", F.when(high == low, F.col(c) * 0.0).otherwise(ratio(F.col(c) - low, high - low))
-        )
-    return joined.drop(*[f"__lo_{c}" for c in columns], *[f"__hi_{c}" for c in columns])
+        value = F.when(high == low, F.col(c) * 0.0).otherwise(ratio(F.col(c) - low, high - low))
+        normalized.append(value.alias(f"{prefix}{c}"))
+    return df.crossJoin(F.broadcast(bounds)).select(*df.columns, *normalized)
 
 
 def weighted_score(df: DataFrame, weights: Mapping[str, float], name: str, prefix: str = "normalized_") -> DataFrame:
@@ -53,18 +66,12 @@ def user_profile(
 ) -> DataFrame:
     """Per option: users, breadth of categories, lift of the median value and of the senior share.
 
-    ``bridge`` and ``fact`` hold one edition. The join is on the respondent, a unique key, and
-    only selected rows take part. What follows the join works on counts per (option, category,
+    ``bridge`` and ``fact`` hold one edition and one row per respondent and option, or respondent.
+    The join is on the respondent, a unique key, and only selected rows take part. What follows the join works on counts per (option, category,
     level, value), a table bounded by the vocabularies, so a popular option is no hot group.
     """
     people = fact.select(key, category, level, value)
-    users = (
-        bridge.where(F.col("selected"))
-        .select(key, option)
-        .join(people, key, "left")
-        .groupBy(key, option)  # already partitioned by the join key: no further shuffle
-        .agg(*[F.first(c).alias(c) for c in (category, level, value)])
-    )
+    users = bridge.where(F.col("selected")).select(key, option).join(people, key, "left")
     profile = count_combinations(users, [option, category, level, value])
     known = F.when(F.col(category) != unknown, F.col(category))
     senior = F.sum(F.when(any_of(F.col(level), senior_levels), F.col(WEIGHT)).otherwise(0))

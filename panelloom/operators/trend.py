@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelloom.functions.scalars import position_in
@@ -26,12 +26,17 @@ def with_change(df: DataFrame, entity: str, period: str, periods: Sequence[str],
     return df.withColumn(name, F.when(adjacent, (F.col(measure) - F.lag(measure).over(by_time)) * scale))
 
 
-def first_to_last(df: DataFrame, entity: str, period: str, first: str, last: str, measure: str, name: str, scale: float = 100.0) -> DataFrame:
-    """Growth from the first to the last edition; NULL for entities missing in either."""
-    def at(edition: str):
+def growth_between(period: str, first: str, last: str, measure: str, scale: float = 100.0) -> Column:
+    """Aggregate: measure of the last edition minus that of the first, NULL if either is missing."""
+    def at(edition: str) -> Column:
         return F.max(F.when(F.col(period) == edition, F.col(measure)))
 
-    return df.groupBy(entity).agg(((at(last) - at(first)) * scale).alias(name))
+    return (at(last) - at(first)) * scale
+
+
+def first_to_last(df: DataFrame, entity: str, period: str, first: str, last: str, measure: str, name: str, scale: float = 100.0) -> DataFrame:
+    """Growth of each entity from the first to the last edition."""
+    return df.groupBy(entity).agg(growth_between(period, first, last, measure, scale).alias(name))
 
 
 def without_trend(growth: DataFrame, entity: str, name: str) -> DataFrame:

@@ -830,7 +830,7 @@ def _(spark, sf_dir):
         F.count(F.lit(1)).alias("customers"), F.avg("c_acctbal").alias("balance"), F.lit(7.0).alias("constant")
     )
     columns = ["customers", "balance", "constant"]
-    return SC.normalize(measured, columns).select("n_name", *[f"normalized_{c}" for c in columns])
+    return SC.normalize_rows(measured, columns).select("n_name", *[f"normalized_{c}" for c in columns])
 
 
 @query(

@@ -11,7 +11,7 @@ from panelloom.operators.rates import availability_rates
 from panelloom.operators.scoring import normalize, numbered_by, user_profile, weighted_score
 from panelloom.operators.shares import representation, share_within
 from panelloom.operators.stats import distribution_stats
-from panelloom.operators.trend import first_to_last, with_change, with_rank
+from panelloom.operators.trend import first_to_last, growth_between, with_change, with_rank
 from panelloom.plans import survey_config as S
 
 EDITION = "survey_year"
@@ -82,20 +82,22 @@ def skill_priority_score(bridge: DataFrame, fact: DataFrame, adoption: DataFrame
         bridge.where(now), fact.where(now), "respondent_id", "technology", "current_role", "seniority",
         "salary_midpoint", S.SENIOR_LEVELS, min_users,
     )
-    trend = adoption_growth(adoption).where(F.col("adoption_growth_pp").isNotNull())
-    asked = F.broadcast(adoption.where(now).agg(F.max("eligible_respondents").alias("eligible")))
-    components = (
-        profile.join(trend, "technology")
-        .crossJoin(asked)
-        .select(
-            "technology",
-            F.col("users").alias(f"{latest}_users"),
-            F.col("eligible").alias(f"{latest}_eligible_respondents"),
-            "adoption_growth_pp",
-            F.col("breadth").alias("cross_role_prevalence"),
-            F.col("value_lift").alias("salary_association"),
-            F.col("senior_lift").alias("senior_role_prevalence"),
+    trend = (
+        adoption.groupBy("technology")
+        .agg(
+            growth_between(EDITION, S.EDITIONS[0], latest, "adoption_rate").alias("adoption_growth_pp"),
+            F.max(F.when(now, F.col("eligible_respondents"))).alias("eligible"),
         )
+        .where(F.col("adoption_growth_pp").isNotNull())
+    )
+    components = profile.join(trend, "technology").select(
+        "technology",
+        F.col("users").alias(f"{latest}_users"),
+        F.col("eligible").alias(f"{latest}_eligible_respondents"),
+        "adoption_growth_pp",
+        F.col("breadth").alias("cross_role_prevalence"),
+        F.col("value_lift").alias("salary_association"),
+        F.col("senior_lift").alias("senior_role_prevalence"),
     )
     scored = weighted_score(normalize(components, list(S.SCORE_WEIGHTS)), S.SCORE_WEIGHTS, "priority_score")
     noted = scored.withColumn("future_interest_component", F.lit(S.FUTURE_INTEREST_NOTE))

@@ -118,21 +118,20 @@ def _place_fields() -> dict[str, str]:
 
 def _block_fields() -> dict[str, str]:
     """Wide block columns, 1.0 / 0.0, NULL where the block was not shown or not offered."""
-    def has(bit: int) -> str:
-        return f"(mask & {1 << bit}L) <> 0"
+    def flag(bit: int) -> str:
+        return f"CAST((mask >> {bit}) & 1L AS DOUBLE)"
 
-    def flag(condition: str, offered: str = "true") -> str:
-        return f"CASE WHEN mask IS NOT NULL AND {offered} THEN IF({condition}, 1.0D, 0.0D) END"
+    def only(condition: str, value: str) -> str:
+        return f"CASE WHEN {condition} THEN {value} END"
 
     fields = {}
     for i, (column, name) in enumerate(OPTION_COLUMNS.items()):
         editions = S.DATABASE_OFFERED_IN.get(name)
-        listed = "true" if editions is None else f"{EDITION_SQL} IN ({', '.join(_text(e) for e in editions)})"
-        fields[column] = flag(has(i), listed)
-    genai = [f"NOT {has(34)} AND NOT {has(35)}", has(34), has(35), has(36), has(37)]
-    genai[0] = f"(mask & {(1 << 34) | (1 << 35)}L) = 0"
-    for column, condition in zip(GENAI_COLUMNS, genai):
-        fields[column] = flag(condition, _ASKED)
+        listed = ", ".join(_text(e) for e in editions or ())
+        fields[column] = flag(i) if editions is None else only(f"{EDITION_SQL} IN ({listed})", flag(i))
+    neither = f"CAST((mask & {(1 << 34) | (1 << 35)}L) = 0L AS DOUBLE)"
+    for column, value in zip(GENAI_COLUMNS, [neither, *[flag(i) for i in (34, 35, 36, 37)]]):
+        fields[column] = only(_ASKED, value)
     labels = [_text(v) for v in _answers(S.AI_PRIORITY)]
     fields["ai_priority"] = (
         f"CASE WHEN {_ASKED} THEN CASE line_count WHEN 1 THEN {labels[0]} "
