@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from panelloom.functions.scalars import any_of, ratio, relative_lift
 from panelloom.operators.shares import WEIGHT, count_combinations
-from panelloom.operators.stats import global_scalar
+from panelloom.operators.stats import one_row
 
 
 def normalize(df: DataFrame, columns: Sequence[str], prefix: str = "normalized_") -> DataFrame:
@@ -28,15 +28,12 @@ def normalize(df: DataFrame, columns: Sequence[str], prefix: str = "normalized_"
 
 def normalize_rows(df: DataFrame, columns: Sequence[str], prefix: str = "normalized_") -> DataFrame:
     """The same for tables of any size: a second pass over ``df`` with the one row of bounds."""
-    bounds = df.agg(
-        *[F.min(c).alias(f"__lo_{c}") for c in columns], *[F.max(c).alias(f"__hi_{c}") for c in columns]
-    )
-    normalized = []
+    bounds = one_row(df, **{f"lo_{c}": F.min(c) for c in columns}, **{f"hi_{c}": F.max(c) for c in columns})
+    normalized = {}
     for c in columns:
-        low, high = F.col(f"__lo_{c}"), F.col(f"__hi_{c}")
-        value = F.when(high == low, F.col(c) * 0.0).otherwise(ratio(F.col(c) - low, high - low))
-        normalized.append(value.alias(f"{prefix}{c}"))
-    return df.crossJoin(F.broadcast(bounds)).select(*df.columns, *normalized)
+        low, high = bounds[f"lo_{c}"], bounds[f"hi_{c}"]
+        normalized[f"{prefix}{c}"] = F.when(high == low, F.col(c) * 0.0).otherwise(ratio(F.col(c) - low, high - low))
+    return df.withColumns(normalized)
 
 
 def weighted_score(df: DataFrame, weights: Mapping[str, float], name: str, prefix: str = "normalized_") -> DataFrame:
@@ -56,6 +53,7 @@ def user_profile(
     bridge: DataFrame,
     fact: DataFrame,
     key: str,
+    period: str,
     option: str,
     category: str,
     level: str,
@@ -64,38 +62,34 @@ def user_profile(
     min_users: int,
     unknown: str = "UNKNOWN",
 ) -> DataFrame:
-    """Per option: users, breadth of categories, lift of the median value and of the senior share.
+    """Per period and option: users, breadth of categories, lift of the median value and of the
+    senior share against everybody in the period.
 
-    ``bridge`` and ``fact`` hold one edition and one row per respondent and option, or respondent.
-    The join is on the respondent, a unique key, and only selected rows take part. What follows the join works on counts per (option, category,
-    level, value), a table bounded by the vocabularies, so a popular option is no hot group.
+    ``bridge`` has one row per respondent and option, ``fact`` one per respondent. They join on
+    the respondent, a unique key, and only selected rows take part. What follows works on counts
+    per (option, category, level, value), a table bounded by the vocabularies, so a popular
+    option is no hot group. The totals are one row per period.
     """
-    people = fact.select(key, category, level, value)
-    users = bridge.where(F.col("selected")).select(key, option).join(people, key, "left")
-    profile = count_combinations(users, [option, category, level, value])
+    people = fact.select(key, period, category, level, value)
+    users = bridge.where(F.col("selected")).select(key, period, option).join(people, [key, period], "left")
     known = F.when(F.col(category) != unknown, F.col(category))
     senior = F.sum(F.when(any_of(F.col(level), senior_levels), F.col(WEIGHT)).otherwise(0))
-    median = F.percentile(value, 0.5, F.col(WEIGHT))
-    per_option = (
-        profile.groupBy(option)
-        .agg(
-            F.sum(WEIGHT).alias("users"),
-            F.count_distinct(known).alias("__categories"),
-            median.alias("__median"),
-            ratio(senior, F.sum(WEIGHT)).alias("__senior"),
+
+    def profile(rows: DataFrame, keys: list[str], prefix: str) -> DataFrame:
+        return count_combinations(rows, [*keys, category, level, value]).groupBy(*keys).agg(
+            F.sum(WEIGHT).alias(f"{prefix}users"),
+            F.count_distinct(known).alias(f"{prefix}categories"),
+            F.percentile(value, 0.5, F.col(WEIGHT)).alias(f"{prefix}median"),
+            ratio(senior, F.sum(WEIGHT)).alias(f"{prefix}senior"),
         )
-        .where(F.col("users") >= min_users)
-    )
-    overall = global_scalar(
-        count_combinations(people, [category, level, value]),
-        __all_categories=F.count_distinct(known),
-        __all_median=median,
-        __all_senior=ratio(senior, F.sum(WEIGHT)),
-    )
-    return per_option.crossJoin(overall).select(
+
+    per_option = profile(users, [period, option], "").where(F.col("users") >= min_users)
+    everybody = profile(people, [period], "all_")
+    return per_option.join(everybody, period).select(
+        period,
         option,
         "users",
-        ratio(F.col("__categories"), F.col("__all_categories")).alias("breadth"),
-        relative_lift(F.col("__median"), F.col("__all_median")).alias("value_lift"),
-        relative_lift(F.col("__senior"), F.col("__all_senior")).alias("senior_lift"),
+        ratio(F.col("categories"), F.col("all_categories")).alias("breadth"),
+        relative_lift(F.col("median"), F.col("all_median")).alias("value_lift"),
+        relative_lift(F.col("senior"), F.col("all_senior")).alias("senior_lift"),
     )

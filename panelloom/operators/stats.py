@@ -73,9 +73,9 @@ def with_spread(df: DataFrame, names: Mapping[str, str], min_sample: int) -> Dat
     )
 
 
-def global_scalar(df: DataFrame, **aggregates: Column) -> DataFrame:
-    """A one-row table of aggregates, small enough to broadcast by construction."""
-    return F.broadcast(df.agg(*[agg.alias(name) for name, agg in aggregates.items()]))
+def one_row(df: DataFrame, **aggregates: Column) -> Column:
+    """Global aggregates as one struct, a scalar subquery: no join, no trip through the driver."""
+    return df.agg(F.struct(*[agg.alias(name) for name, agg in aggregates.items()]).alias("__row")).scalar()
 
 
 _BINS = 1024

@@ -79,7 +79,7 @@ def skill_priority_score(bridge: DataFrame, fact: DataFrame, adoption: DataFrame
     latest = S.EDITIONS[-1]
     now = F.col(EDITION) == latest
     profile = user_profile(
-        bridge.where(now), fact.where(now), "respondent_id", "technology", "current_role", "seniority",
+        bridge.where(now), fact.where(now), "respondent_id", EDITION, "technology", "current_role", "seniority",
         "salary_midpoint", S.SENIOR_LEVELS, min_users,
     )
     trend = (

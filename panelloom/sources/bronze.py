@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelloom.functions.scalars import numbered_key
+from panelloom.session import shared_folder
 from panelloom.sources.sinks import write_partitioned
 from panelloom.sources.tables import read_headered_csv
 
@@ -65,7 +66,11 @@ def number_tagged(tagged: DataFrame, name: str, base: Column, split_bound: int |
             (F.coalesce(F.sum("__rows").over(in_file_order), F.lit(0)) - F.col("__first")).alias("__shift"),
         )
     )
-    if split_bound is not None and split_bound <= _BROADCAST_SPLITS:
+    if split_bound is None:  # nothing known beforehand: store the small table and count it
+        shared_folder(tagged.sparkSession)
+        splits = splits.checkpoint()
+        split_bound = splits.count()
+    if split_bound <= _BROADCAST_SPLITS:
         splits = F.broadcast(splits)
     number = F.coalesce(
         F.col("__position") + F.col("__shift"),
