@@ -157,12 +157,16 @@ def build_technology_bridge(bronze: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def build_family_bridge(bronze: Mapping[str, DataFrame], family: str, option: str = "technology") -> DataFrame:
-    """The same bridge for any configured option family; labels are their own names."""
+    """The same bridge for any configured option family; a label is its own name.
+
+    Editions whose questionnaire had no such block contribute no rows.
+    """
     parts = {}
-    for edition, prefix in S.OPTION_FAMILIES[family].items():
-        block = option_block(bronze[edition].columns, prefix, S.HEADER_DIALECT[edition])
-        options = {column: label.strip() for column, label in block}
-        parts[edition] = option_bridge(bronze[edition], [ROW_ID, EDITION], options, option=option, family=family)
+    for edition, df in bronze.items():
+        prefix = S.OPTION_FAMILIES[family].get(edition)
+        if prefix is not None:
+            options = {c: label.strip() for c, label in option_block(df.columns, prefix, S.HEADER_DIALECT[edition])}
+            parts[edition] = option_bridge(df, [ROW_ID, EDITION], options, option=option, family=family)
     return stack(parts)
 
 

@@ -270,12 +270,15 @@ GENAI_USAGE_METRIC = "personal_genai_usage_rate"
 AI_PRIORITY_METRIC = "enterprise_ai_priority_rate"
 AI_TOP_PRIORITY = ("TOP_PRIORITY_MAIN", "TOP_PRIORITY_MEDIUM_TERM")
 
-# Further option families whose blocks exist in every edition: prefix per edition.
+# Option families: prefix of the block in each edition that has it.
 OPTION_FAMILIES = {
     "DATABASE": DATABASE_PREFIX,
     "LANGUAGE": {"year_1": "P4_d_", "year_2": "P4_d_", "year_3": "4.c."},
     "CLOUD": {"year_1": "P4_g_", "year_2": "P4_h_", "year_3": "4.e."},
     "BI_TOOL": {"year_1": "P4_h_", "year_2": "P4_j_", "year_3": "4.g."},
+    "ETL_TOOL": {"year_1": "P6_b_", "year_2": "P6_b_", "year_3": "6.b."},
+    "DATA_SCIENCE_METHOD": {"year_1": "P8_b_", "year_2": "P8_b_", "year_3": "8.b."},
+    "DATA_SCIENCE_TOOL": {"year_1": "P8_c_", "year_2": "P8_c_", "year_3": "8.c."},
     "AI_USE_CASE": {"year_2": "P3_f_", "year_3": "3.f."},
     "AI_BLOCKER": {"year_2": "P3_g_", "year_3": "3.h."},
 }
