@@ -27,15 +27,18 @@ def option_bridge(
     family: str | None = None,
     offered_in: Mapping[str, Sequence[str]] | None = None,
     period: str = "survey_year",
+    shown: str | None = None,
 ) -> DataFrame:
     """One row per eligible respondent and option: ids, option name, optional family, selected.
 
     ``options`` maps columns to canonical names. ``offered_in`` limits an option to the editions
-    whose questionnaire had it. One scan, one Expand; ineligible rows go before they multiply.
+    whose questionnaire had it. ``shown`` names a stored eligibility column; give it where the block is
+    computed rather than stored, because a filter over dozens of computed columns below a join
+    makes the optimizer's constraint inference explode. One scan, one Expand; ineligible rows go before they multiply.
     """
     names = F.array(*[F.lit(name) for name in options.values()])
     number = F.substring("__option", len("__o") + 1, 10).cast("int")
-    answers = df.where(eligible(list(options))).select(
+    answers = df.where(eligible(list(options)) if shown is None else F.col(shown)).select(
         *ids, *[quoted(c).alias(f"__o{i}") for i, c in enumerate(options)]
     )
     # The answer is read after the unpivot: one small expression instead of one per option.

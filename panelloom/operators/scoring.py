@@ -49,10 +49,20 @@ def numbered_by(df: DataFrame, measure: str, tiebreak: str, name: str = "rank")
     return df.withColumn(name, F.row_number().over(Window.orderBy(F.desc(measure), F.asc(tiebreak))))
 
 
+def selected_users(bridge: DataFrame, fact: DataFrame, keys: Sequence[str], option: str, attributes: Sequence[str]) -> DataFrame:
+    """Selected bridge rows with the respondent's attributes, from stored tables.
+
+    ``keys`` identify a respondent, so no key is hot; only selected rows are shuffled. Where options
+    and attributes still sit in one wide row, build the bridge with the attributes as ids
+    instead: that needs no join.
+    """
+    users = bridge.where(F.col("selected")).select(*keys, option)
+    return users.join(fact.select(*keys, *attributes), list(keys), "left")
+
+
 def user_profile(
-    bridge: DataFrame,
-    fact: DataFrame,
-    key: str,
+    users: DataFrame,
+    people: DataFrame,
     period: str,
     option: str,
     category: str,
@@ -65,13 +75,10 @@ def user_profile(
     """Per period and option: users, breadth of categories, lift of the median value and of the
     senior share against everybody in the period.
 
-    ``bridge`` has one row per respondent and option, ``fact`` one per respondent. They join on
-    the respondent, a unique key, and only selected rows take part. What follows works on counts
-    per (option, category, level, value), a table bounded by the vocabularies, so a popular
-    option is no hot group. The totals are one row per period.
+    ``users`` has one row per option a respondent uses, ``people`` one per respondent. Both are
+    first counted per (option, category, level, value), a table bounded by the vocabularies, so
+    a popular option is no hot group. The totals are one row per period.
     """
-    people = fact.select(key, period, category, level, value)
-    users = bridge.where(F.col("selected")).select(key, period, option).join(people, [key, period], "left")
     known = F.when(F.col(category) != unknown, F.col(category))
     senior = F.sum(F.when(any_of(F.col(level), senior_levels), F.col(WEIGHT)).otherwise(0))
 

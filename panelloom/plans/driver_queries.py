@@ -809,6 +809,12 @@ def _(spark, sf_dir):
 
 # ---- Score parts ------------------------------------------------------------------------
 
+add(
+    "skill_score_joined",
+    lambda s, d: G.skill_priority_score(panel.bridge(s, d), panel.fact(s, d, G.PROFILE), panel.adoption(s, d)),
+    GOLD_SQL["gold_skill_priority_score"],
+)
+
 add(
     "skill_components",
     lambda s, d: panel.gold(s, d, "gold_skill_priority_score").select("technology", "year_3_users", *S.SCORE_WEIGHTS),

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.operators.mapping import UNKNOWN
-from panelloom.operators.options import adoption_from_bridge
+from panelloom.operators.options import adoption_from_bridge, option_bridge
 from panelloom.operators.rates import availability_rates
-from panelloom.operators.scoring import normalize, numbered_by, user_profile, weighted_score
+from panelloom.operators.scoring import normalize, numbered_by, selected_users, user_profile, weighted_score
 from panelloom.operators.shares import representation, share_within
 from panelloom.operators.stats import distribution_stats
 from panelloom.operators.trend import first_to_last, growth_between, with_change, with_rank
@@ -71,17 +73,38 @@ def adoption_growth(adoption: DataFrame) -> DataFrame:
     )
 
 
+PROFILE = ("current_role", "seniority", "salary_midpoint")
+
+
 def skill_priority_score(bridge: DataFrame, fact: DataFrame, adoption: DataFrame, min_users: int = S.MIN_SAMPLE_SIZE) -> DataFrame:
-    """Composite score of the latest edition, every component and its normalized form beside it.
+    """Composite score of the latest edition from the stored bridge and fact."""
+    now = F.col(EDITION) == S.EDITIONS[-1]
+    people = fact.where(now)
+    users = selected_users(bridge.where(now), people, ["respondent_id", EDITION], "technology", PROFILE)
+    return score_users(users, people, adoption, min_users)
+
+
+def skill_priority_score_wide(
+    wide: DataFrame, options: Mapping[str, str], adoption: DataFrame, min_users: int = S.MIN_SAMPLE_SIZE, shown: str | None = None
+) -> DataFrame:
+    """The same score from rows that hold the harmonized profile and the option block side by side.
+
+    Nothing is joined and no row-level data is shuffled: each task counts its own combinations.
+    """
+    people = wide.where(F.col(EDITION) == S.EDITIONS[-1])
+    offered = {c: name for c, name in options.items() if S.EDITIONS[-1] in S.DATABASE_OFFERED_IN.get(name, S.EDITIONS)}
+    users = option_bridge(people, [EDITION, *PROFILE], offered, shown=shown).where(F.col("selected"))
+    return score_users(users, people, adoption, min_users)
+
+
+def score_users(users: DataFrame, people: DataFrame, adoption: DataFrame, min_users: int) -> DataFrame:
+    """Every component, its normalized form and the score, one row per option of the latest edition.
 
     Options without a first-to-last trend and options with too few users are not scored.
     """
     latest = S.EDITIONS[-1]
     now = F.col(EDITION) == latest
-    profile = user_profile(
-        bridge.where(now), fact.where(now), "respondent_id", EDITION, "technology", "current_role", "seniority",
-        "salary_midpoint", S.SENIOR_LEVELS, min_users,
-    )
+    profile = user_profile(users, people, EDITION, "technology", *PROFILE, S.SENIOR_LEVELS, min_users)
     trend = (
         adoption.groupBy("technology")
         .agg(

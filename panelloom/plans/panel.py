@@ -132,6 +132,7 @@ def _block_fields() -> dict[str, str]:
     neither = f"CAST((mask & {(1 << 34) | (1 << 35)}L) = 0L AS DOUBLE)"
     for column, value in zip(GENAI_COLUMNS, [neither, *[flag(i) for i in (34, 35, 36, 37)]]):
         fields[column] = only(_ASKED, value)
+    fields["block_shown"] = "mask IS NOT NULL"
     labels = [_text(v) for v in _answers(S.AI_PRIORITY)]
     fields["ai_priority"] = (
         f"CASE WHEN {_ASKED} THEN CASE line_count WHEN 1 THEN {labels[0]} "
@@ -214,8 +215,8 @@ def block(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return option_bridge(
-        block(spark, sf_dir), ["respondent_id", EDITION], OPTION_COLUMNS, family="DATABASE",
-        offered_in=S.DATABASE_OFFERED_IN,
+        raw_panel(spark, sf_dir, [*OPTION_COLUMNS, "block_shown"]), ["respondent_id", EDITION], OPTION_COLUMNS,
+        family="DATABASE", offered_in=S.DATABASE_OFFERED_IN, shown="block_shown",
     )
 
 
@@ -247,9 +248,11 @@ def gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "gold_ai_adoption_overview":
         return G.ai_adoption_overview(ai_facts(spark, sf_dir))
     if name == "gold_skill_priority_score":
-        return G.skill_priority_score(
-            bridge(spark, sf_dir), people("current_role", "seniority", "salary_midpoint"), adoption(spark, sf_dir)
+        wide = silver.harmonize(
+            raw_panel(spark, sf_dir, ["current_role", "seniority", "salary_band", *OPTION_COLUMNS, "block_shown"]),
+            silver.default_mappings(spark), G.PROFILE,
         )
+        return G.skill_priority_score_wide(wide, OPTION_COLUMNS, adoption(spark, sf_dir), shown="block_shown")
     raise KeyError(name)
 
 
