@@ -91,7 +91,3 @@ def display_label(col: Column, labels: Mapping[str, str], keep_unknown: bool = T
 def any_of(col: Column, values: Sequence[str]) -> Column:
     """Membership where a missing value counts as not a member."""
     return F.coalesce(col.isin(*values), F.lit(False))
-
-
-def rounded(col: Column, digits: int = 4) -> Column:
-    return F.round(col, digits)

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from panelloom.functions.bands import parse_band
 from panelloom.functions.headers import resolve_fields
-from panelloom.functions.scalars import ratio, rounded
 from panelloom.operators import mapping as M
 from panelloom.operators import options as O
 from panelloom.operators import quality as Q

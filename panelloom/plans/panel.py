@@ -254,15 +254,3 @@ def gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         )
         return G.skill_priority_score_wide(wide, OPTION_COLUMNS, adoption(spark, sf_dir), shown="block_shown")
     raise KeyError(name)
-
-
-class LazyGold(dict):
-    """Gold tables by name, built when first read."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        super().__init__()
-        self._source = (spark, sf_dir)
-
-    def __missing__(self, name: str) -> DataFrame:
-        self[name] = gold(*self._source, name)
-        return self[name]
