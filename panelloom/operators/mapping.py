@@ -50,9 +50,7 @@ def map_values(
         if types[f"__value_{i}"] == "string":
             value = F.when(quoted(source).isNull(), F.coalesce(value, F.lit(unknown))).otherwise(value)
         values[target] = value
-    joined = df.join(renamed, on, "left")
-    kept = [quoted(c) for c in df.columns if c not in values]
-    return joined.select(*kept, *[value.alias(target) for target, value in values.items()])
+    return df.join(renamed, on, "left").withColumns(values).drop(*renamed.columns)
 
 
 def expand_scope(mapping: DataFrame, editions: Sequence[str], scope: str, edition: str = "survey_year") -> DataFrame:
@@ -85,14 +83,15 @@ def attach_bands(df: DataFrame, source: str, bands: DataFrame, raw: str = "raw_v
         F.col("open_ended").alias("__open_ended"),
         F.col("anomaly_flag").cast("boolean").alias("__anomaly_flag"),
     )
-    return df.join(looked_up, quoted(source) == F.col("__raw"), "left").select(
-        *[quoted(c) for c in df.columns],
-        F.col("__lower_bound").alias(f"{prefix}lower_bound"),
-        F.col("__upper_bound").alias(f"{prefix}upper_bound"),
-        F.col("__midpoint").alias(f"{prefix}midpoint"),
-        F.col("__open_ended").alias(f"{prefix}open_ended"),
-        F.coalesce("__anomaly_flag", F.lit(False)).alias(f"{prefix}anomaly_flag"),
-    )
+    attached = {
+        f"{prefix}lower_bound": F.col("__lower_bound"),
+        f"{prefix}upper_bound": F.col("__upper_bound"),
+        f"{prefix}midpoint": F.col("__midpoint"),
+        f"{prefix}open_ended": F.col("__open_ended"),
+        f"{prefix}anomaly_flag": F.coalesce("__anomaly_flag", F.lit(False)),
+    }
+    joined = df.join(looked_up, quoted(source) == F.col("__raw"), "left")
+    return joined.withColumns(attached).drop(*looked_up.columns)
 
 
 def _known_values(specs: Sequence[tuple[str, DataFrame, str]], edition: str | None) -> DataFrame:
