@@ -104,13 +104,23 @@ def words(part: Texts) -> Words:
     return Words(starts, np.flatnonzero(stops) + 1, np.searchsorted(starts, part.offsets))
 
 
+class Spans:
+    """Hashes of any spans of a buffer."""
+
+    def __init__(self, data: np.ndarray):
+        up, self._down = powers("bytes", len(data))
+        self._total = np.zeros(len(data) + 1, np.uint64)
+        with np.errstate(over="ignore"):
+            np.cumsum(_BYTE_VALUES[data] * up[: len(data)], out=self._total[1:])
+
+    def hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mix((self._total[ends] - self._total[starts]) * self._down[starts] + (ends - starts).astype(np.uint64))
+
+
 def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each ``data[start:end]``."""
-    up, down = powers("bytes", len(data))
-    total = np.zeros(len(data) + 1, np.uint64)
-    with np.errstate(over="ignore"):
-        np.cumsum(_BYTE_VALUES[data] * up[: len(data)], out=total[1:])
-        return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return Spans(data).hash(starts, ends)
 
 
 class Rolling:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,10 +15,17 @@ from panelloom.session import new_folder
 # Arrow batches between the JVM and Python: rows and bytes of text at once in a worker.
 BATCH_ROWS = 2000
 BATCH_BYTES = 8 << 20
+_ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Limit Arrow batches by bytes, so a run of long texts does not fill a worker."""
+    """Limit Arrow batches by bytes, so a run of long texts does not fill a worker.
+
+    Workers also look for this package where the driver found it; on a cluster ship it as usual (``--py-files``).
+    """
+    environment = spark.sparkContext.environment
+    if _ROOT not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH", ""), _ROOT]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

@@ -6,11 +6,11 @@ import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.llm import byte_bpe, exact_dedup, packing
-from panelloom.llm.frames import read_documents
+from panelloom.llm import byte_bpe, exact_dedup, language_id, packing, quality, toxicity
+from panelloom.llm.frames import crc32_of_id, read_documents, read_labels
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -38,6 +38,28 @@ def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _held_out(modulus: int, remainder: int) -> Column:
+    return F.pmod(crc32_of_id(F.col("doc_id")), F.lit(modulus)) == remainder
+
+
+def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = read_documents(spark, sf_dir), _held_out(3, 1)
+    model = quality.learn_quality(docs.where(~held_out), read_labels(spark, sf_dir).where(~held_out))
+    return quality.score_quality(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = read_documents(spark, sf_dir), _held_out(5, 0)
+    model = toxicity.learn_toxicity(docs.where(~held_out), read_labels(spark, sf_dir).where(~held_out))
+    return toxicity.score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = read_documents(spark, sf_dir), _held_out(3, 1)
+    profiles = language_id.learn(docs.where(~held_out))
+    return language_id.identify(docs, profiles).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_documents(spark, sf_dir))
 
@@ -45,6 +67,9 @@ def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": byte_bpe_query,
     "op5_packing": packing_query,
+    "op6_quality": quality_query,
+    "op7_toxicity": toxicity_query,
+    "op8_language_id": language_query,
     "op9_exact_dedup": exact_dedup_query,
 }
 
