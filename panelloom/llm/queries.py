@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.llm import byte_bpe, exact_dedup, language_id, packing, quality, toxicity
+from panelloom.llm import byte_bpe, exact_dedup, language_id, packing, phrase_fingerprint, quality, toxicity
 from panelloom.llm.frames import crc32_of_id, read_documents, read_labels
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -31,6 +31,10 @@ def byte_bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fingerprint_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_fingerprint.compare_with_next(read_documents(spark, sf_dir))
+
+
 def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(read_documents(spark, sf_dir), public_tokenizers.path(WORD_TOKENIZER), END_ID)
     return pieces.select(
@@ -66,6 +70,7 @@ def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": byte_bpe_query,
+    "op4_phrase_fingerprint": fingerprint_query,
     "op5_packing": packing_query,
     "op6_quality": quality_query,
     "op7_toxicity": toxicity_query,
