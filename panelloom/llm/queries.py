@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.llm import byte_bpe, exact_dedup, language_id, packing, phrase_fingerprint, quality, toxicity
+from panelloom.llm import byte_bpe, exact_dedup, language_id, packing, phrase_fingerprint, quality, substring_dedup, toxicity
 from panelloom.llm.frames import crc32_of_id, read_documents, read_labels
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -22,6 +22,11 @@ def _id_digests(doc_id: int, ids: list[int], decoded: bytes) -> tuple[int, str,
     return len(ids), hashlib.sha256(joined).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
 
+def substring_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.substring_dedup(read_documents(spark, sf_dir))
+    return out.select("__row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def byte_bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(
         read_documents(spark, sf_dir),
@@ -69,6 +74,7 @@ def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": substring_query,
     "op2_byte_bpe": byte_bpe_query,
     "op4_phrase_fingerprint": fingerprint_query,
     "op5_packing": packing_query,
@@ -80,7 +86,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
 ORACLE: dict[str, str] = {
+    "op1_substring_dedup": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        p AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+        s AS (SELECT doc_id, i, w[i] AS word,
+                     CASE WHEN i + 34 <= len(w) THEN array_to_string(w[i:i + 34], ' ') END AS win FROM p),
+        r AS (SELECT doc_id, i, word, win IS NOT NULL AND count(*) OVER (PARTITION BY win) > 1 AS rep FROM s),
+        c AS (SELECT doc_id, i, word,
+                     max(rep::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM r),
+        k AS (SELECT doc_id, sum(gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0) AS kept FROM c GROUP BY doc_id)
+        SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN k ON d.doc_id = k.doc_id""",
     "op9_exact_dedup": f"""
         WITH n AS (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
