@@ -49,7 +49,7 @@ class Kind(NamedTuple):
     most: int = 1  # a feature counts at most so often in one text
 
 
-def _bucket(rows: int, number: int, share: np.ndarray, steps: int = 40) -> tuple[np.ndarray, np.ndarray]:
+def _bucket(rows: int, number: int, share: np.ndarray, steps: int = 20) -> tuple[np.ndarray, np.ndarray]:
     """One feature per row: which of ``steps`` equal parts of 0..1 the share falls into, and all lower ones."""
     level = np.clip(np.ceil(np.nan_to_num(share) * steps), 0, steps).astype(np.int64)
     owner = np.repeat(np.arange(rows), level + 1)
@@ -97,7 +97,8 @@ def _make_up(part: Texts, w: Words, owner: np.ndarray, spans: Spans, rows: int)
     again = np.zeros(len(hashes), bool)
     again[1:] = (hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])
     with np.errstate(over="ignore"):
-        distinct = np.bincount((np.unique(np.stack([owner.astype(np.uint64), hashes]), axis=1)[0]).astype(np.int64), minlength=rows) if len(hashes) else np.zeros(rows)
+        pairs = np.unique(hashes + mix(owner.astype(np.uint64)), return_index=True)[1]
+    distinct = np.bincount(owner[pairs], minlength=rows)
     lengths = w.ends - w.starts
     shares = (
         per_row(_UPPER[part.data]) / size,
@@ -154,24 +155,42 @@ class Index:
         return pairs // len(self.hashes), pairs % len(self.hashes), np.minimum(counts, most).astype(float)
 
 
-def fit_weights(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, positive: np.ndarray, width: int, prior: float, steps: int = 800, decay: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Minimises the non-negative risk with Adam over all rows at once; ``positive`` marks P, the others are U.
+def _folds(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, positive: np.ndarray, count: int) -> list[tuple[np.ndarray, ...]]:
+    """The rows dealt into ``count`` parts with P and U in proportion."""
+    order = np.argsort(~positive, kind="stable")
+    part_of = np.empty(len(positive), np.int64)
+    part_of[order] = np.arange(len(positive)) % count
+    out = []
+    for k in range(count):
+        own = np.flatnonzero(part_of == k)
+        take = part_of[rows] == k
+        local = np.searchsorted(own, rows[take])
+        filled, first = np.unique(local, return_index=True)
+        out.append((local, columns[take], values[take], positive[own], filled, first))
+    return out
+
+
+def fit_weights(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, positive: np.ndarray, width: int, prior: float, steps: int = 1200, decay: float = 3e-3) -> tuple[np.ndarray, float]:
+    """Minimises the non-negative risk with Adam, an eighth of the rows a step; ``positive`` marks P, the others are U.
 
-    The step size falls to a hundredth, so the last steps settle where the second part of the risk meets zero.
+    ``rows`` ascend. The step size falls to a hundredth, so the last steps settle where the second part of the risk meets zero.
     """
-    n = len(positive)
-    n_p, n_u = max(1, int(positive.sum())), max(1, int((~positive).sum()))
+    parts = _folds(rows, columns, values, positive, max(1, min(8, int(positive.sum()), int((~positive).sum()))))
     w, first, second = np.zeros(width + 1), np.zeros(width + 1), np.zeros(width + 1)
     w[-1] = np.log(prior / (1 - prior))
     for step in range(1, steps + 1):
-        z = np.bincount(rows, w[columns] * values, n) + w[-1]
+        row, column, value, is_p, filled, starts = parts[step % len(parts)]
+        n_p, n_u = int(is_p.sum()), int((~is_p).sum())
+        z = np.full(len(is_p), w[-1])
+        if len(filled):
+            z[filled] += np.add.reduceat(w[column] * value, starts)
         up = 1 / (1 + np.exp(-np.clip(z, -50, 50)))  # slope of the loss as a negative; minus one: as a positive
         loss_neg = np.logaddexp(0, z)
-        rest = loss_neg[~positive].mean() - prior * loss_neg[positive].mean()
-        as_positive = np.where(positive, prior * (up - 1) / n_p, 0)
-        as_negative = np.where(positive, -prior * up / n_p, up / n_u)
+        rest = loss_neg[~is_p].mean() - prior * loss_neg[is_p].mean()
+        as_positive = np.where(is_p, prior * (up - 1) / n_p, 0)
+        as_negative = np.where(is_p, -prior * up / n_p, up / n_u)
         slope = as_positive + as_negative if rest >= 0 else -as_negative
-        gradient = np.append(np.bincount(columns, slope[rows] * values, width), slope.sum())
+        gradient = np.append(np.bincount(column, slope[row] * value, width), slope.sum())
         gradient[:-1] += decay * w[:-1]
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
@@ -187,11 +206,12 @@ def learn(
     kind: Kind,
     id_col: str = "doc_id",
     text_col: str = "text",
-    max_positive: int = 20_000,
-    max_unlabelled: int = 40_000,
-    max_features: int = 8192,
+    max_positive: int = 8_000,
+    max_unlabelled: int = 16_000,
+    max_features: int = 4096,
     least: int = 3,
     min_gap: float = 5.0,
+    decay: float = 3e-3,
 ) -> Model:
     """A model from rows labelled 1 and rows without a label; the prior is the labelled rows' share of 1.
 
@@ -277,7 +297,7 @@ def learn(
     columns = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     rows = np.repeat(np.arange(len(positive)), lists.value_lengths().to_numpy(zero_copy_only=False))
     values = sample.column("values").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float)
-    weights, bias = fit_weights(rows, columns, values, positive, len(hashes), float(prior))
+    weights, bias = fit_weights(rows, columns, values, positive, len(hashes), float(prior), decay=decay)
     return Model(kind, hashes, weights, bias, float(prior), True)
 
 
