@@ -170,12 +170,12 @@ def _folds(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, positive:
     return out
 
 
-def fit_weights(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, positive: np.ndarray, width: int, prior: float, steps: int = 1200, decay: float = 3e-3) -> tuple[np.ndarray, float]:
-    """Minimises the non-negative risk with Adam, an eighth of the rows a step; ``positive`` marks P, the others are U.
+def fit_weights(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, positive: np.ndarray, width: int, prior: float, steps: int = 1200, decay: float = 3e-3, folds: int = 8) -> tuple[np.ndarray, float]:
+    """Minimises the non-negative risk with Adam, one of ``folds`` parts of the rows a step; ``positive`` marks P, the others are U.
 
     ``rows`` ascend. The step size falls to a hundredth, so the last steps settle where the second part of the risk meets zero.
     """
-    parts = _folds(rows, columns, values, positive, max(1, min(8, int(positive.sum()), int((~positive).sum()))))
+    parts = _folds(rows, columns, values, positive, max(1, min(folds, int(positive.sum()), int((~positive).sum()))))
     w, first, second = np.zeros(width + 1), np.zeros(width + 1), np.zeros(width + 1)
     w[-1] = np.log(prior / (1 - prior))
     for step in range(1, steps + 1):
@@ -212,6 +212,7 @@ def learn(
     least: int = 3,
     min_gap: float = 5.0,
     decay: float = 3e-3,
+    folds: int = 8,
 ) -> Model:
     """A model from rows labelled 1 and rows without a label; the prior is the labelled rows' share of 1.
 
@@ -297,7 +298,7 @@ def learn(
     columns = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     rows = np.repeat(np.arange(len(positive)), lists.value_lengths().to_numpy(zero_copy_only=False))
     values = sample.column("values").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float)
-    weights, bias = fit_weights(rows, columns, values, positive, len(hashes), float(prior), decay=decay)
+    weights, bias = fit_weights(rows, columns, values, positive, len(hashes), float(prior), decay=decay, folds=folds)
     return Model(kind, hashes, weights, bias, float(prior), True)
 
 

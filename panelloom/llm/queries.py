@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.llm import byte_bpe, exact_dedup, language_id, packing, phrase_fingerprint, quality, substring_dedup, toxicity
+from panelloom.llm import byte_bpe, exact_dedup, language_id, ngram_jaccard, packing, phrase_fingerprint, quality, substring_dedup, toxicity
 from panelloom.llm.frames import crc32_of_id, read_documents, read_labels
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -36,6 +36,10 @@ def byte_bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def jaccard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.ngram_jaccard(read_documents(spark, sf_dir))
+
+
 def fingerprint_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_fingerprint.compare_with_next(read_documents(spark, sf_dir))
 
@@ -76,6 +80,7 @@ def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substring_query,
     "op2_byte_bpe": byte_bpe_query,
+    "op3_ngram_jaccard": jaccard_query,
     "op4_phrase_fingerprint": fingerprint_query,
     "op5_packing": packing_query,
     "op6_quality": quality_query,
@@ -100,6 +105,17 @@ ORACLE: dict[str, str] = {
         k AS (SELECT doc_id, sum(gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0) AS kept FROM c GROUP BY doc_id)
         SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
         FROM d LEFT JOIN k ON d.doc_id = k.doc_id""",
+    "op3_ngram_jaccard": f"""
+        WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.replace("coalesce(text, '')", f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')")} AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, sh FROM (
+                SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS sh FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0))),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id != b.doc_id
+              JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+              GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 80 * (na.n + nb.n - count(*))),
+        r(v, u) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.v, l.b FROM r JOIN l ON r.u = l.a)
+        SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
+        FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT v, min(u) AS component_id FROM r GROUP BY v) c ON c.v = d.doc_id""",
     "op9_exact_dedup": f"""
         WITH n AS (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,

@@ -19,9 +19,9 @@ from panelloom.llm.pu_learning import Kind, Model, learn, score, score_column
 KIND = Kind(word=True, beginnings=True, most=4)
 
 
-def learn_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", decay: float = 1e-4, **bounds: int) -> Model:
+def learn_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", decay: float = 1e-4, folds: int = 1, **bounds: int) -> Model:
     """Single words decide here, so weights are held back less than where many weak features add up."""
-    return learn(docs, labels, label_col, KIND, decay=decay, **bounds)
+    return learn(docs, labels, label_col, KIND, decay=decay, folds=folds, **bounds)
 
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
