@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.llm import byte_bpe, exact_dedup, language_id, ngram_jaccard, packing, phrase_fingerprint, quality, substring_dedup, toxicity
+from panelloom.llm import byte_bpe, exact_dedup, language_id, ngram_jaccard, packing, phrase_fingerprint, pitman_yor, quality, substring_dedup, toxicity
 from panelloom.llm.frames import crc32_of_id, read_documents, read_labels
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -73,6 +73,15 @@ def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, profiles).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def language_model_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = read_documents(spark, sf_dir), _held_out(7, 2)
+    model = pitman_yor.learn(docs.where(~held_out))
+    return pitman_yor.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.train_tokens).cast("bigint").alias("train_tokens"),
+        "base_score", "score",
+    )
+
+
 def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_documents(spark, sf_dir))
 
@@ -87,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity": toxicity_query,
     "op8_language_id": language_query,
     "op9_exact_dedup": exact_dedup_query,
+    "op10_pitman_yor": language_model_query,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
