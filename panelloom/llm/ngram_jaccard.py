@@ -301,3 +301,15 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         own.alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(own).alias("component_id"),
     )
+
+
+def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that name their component, all columns unchanged.
+
+    Rows that share an id stay or go together, and stay if one of them names its component; rows with a NULL id stay.
+    """
+    found = ngram_jaccard(docs, id_col, text_col).where(F.col(id_col).isNotNull())
+    named = found.groupBy(F.col(id_col).alias("__id")).agg(F.max((F.col("component_id") == F.col(id_col)).cast("int")).alias("__names"))
+    gone = stored(named.where("__names = 0").select("__id"), "jaccard-gone")
+    row = docs.select(F.col(id_col).cast("bigint").alias("__id"), F.struct("*").alias("__row"))
+    return row.join(gone, "__id", "left_anti").select("__row.*")
