@@ -25,9 +25,8 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.llm.arrays import Rolling, mix, texts
@@ -83,7 +82,7 @@ def parse(symbols: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def sketches(column: pa.Array) -> np.ndarray:
     """One row of slots per text: the smallest name of each slot and level, cut to 16 bits; 0 where there is none."""
     out = np.full((len(column), len(LEVELS) * SLOTS), _EMPTY, np.uint64)
-    for part in texts(column, 1 << 20):
+    for part in texts(column, 1 << 18):
         points = np.frombuffer(part.data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
         lengths = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
         rows = np.searchsorted(np.append(0, np.cumsum(lengths)), part.offsets)
@@ -138,9 +137,10 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, ranges: int) -> DataF
     cuts = source.select("__k").stat.approxQuantile("__k", [i / ranges for i in range(1, ranges)], 0.25 / ranges)
     edges = np.unique(np.array(cuts, float).astype(np.int64)) if cuts else np.zeros(0, np.int64)
 
-    @F.pandas_udf("int")
-    def place_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(edges, ids.to_numpy(np.int64), side="left").astype(np.int32))
+    bounds = F.array(*[F.lit(int(e)) for e in edges]) if len(edges) else F.array().cast("array<bigint>")
+
+    def place_of(key: str) -> Column:
+        return F.size(F.filter(bounds, lambda e: e < F.col(key)))
 
     placed = source.withColumn("__place", place_of("__k"))
     # One row per range: small by construction.
@@ -169,7 +169,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    ranges = ranges or min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), 4096)
+    ranges = ranges or min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), 2048)
     names = [id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
