@@ -175,7 +175,7 @@ def fit_weights(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, posit
 
     ``rows`` ascend. The step size falls to a hundredth, so the last steps settle where the second part of the risk meets zero.
     """
-    parts = _folds(rows, columns, values, positive, max(1, min(folds, int(positive.sum()), int((~positive).sum()))))
+    parts = _folds(rows, columns, values, positive, max(1, min(folds, len(positive) // 3000)))  # a part must estimate the risk well
     w, first, second = np.zeros(width + 1), np.zeros(width + 1), np.zeros(width + 1)
     w[-1] = np.log(prior / (1 - prior))
     for step in range(1, steps + 1):
