@@ -161,7 +161,8 @@ def repeated_spans(source: DataFrame, k: int = K, m: int = M) -> DataFrame:
     rows = source.select("__id", "__th", "__text")
     kmers = map_batches(rows, _super_kmers(k, m), "__h bigint, __e bigint, __id bigint, __th bigint, __lo int, __hi int")
     seeds = kmers.groupBy("__h").agg(F.count(F.lit(1)).alias("n"), (F.min("__e") != F.max("__e")).alias("__mixed")).where("n > 1").drop("n")
-    found = stored(kmers.join(seeds, "__h"), "substring-kmers")
+    # Stored first, so that both sides of the join are plain exchanges and adaptive execution can split a hot minimizer.
+    found = stored(kmers.join(stored(seeds, "substring-seeds"), "__h"), "substring-kmers")
     vertices = found.groupBy(*_VERTEX).agg(
         F.count(F.lit(1)).alias("__n"), F.min(F.struct("__id", "__th", "__lo", "__hi")).alias("__first"), F.first("__mixed").alias("__mixed")
     )
