@@ -37,7 +37,7 @@ def option_bridge(
     makes the optimizer's constraint inference explode. One scan, one Expand; ineligible rows go before they multiply.
     """
     names = F.array(*[F.lit(name) for name in options.values()])
-    number = F.substring("__option", len("__o") + 1, 10).cast("int")
+    number = F.substr("__option", F.lit(len("__o") + 1)).cast("int")
     answers = df.where(eligible(list(options)) if shown is None else F.col(shown)).select(
         *ids, *[quoted(c).alias(f"__o{i}") for i, c in enumerate(options)]
     )
@@ -69,19 +69,22 @@ def option_adoption(
     """Users, eligible respondents and adoption rate per period and option, from the wide block.
 
     Users are counted in the wide layout, one counter per option, and only the one row per
-    period is unpivoted, so rows never multiply. Options that share a canonical name add up.
+    period is unpivoted, so rows never multiply. A respondent who selected several columns of one
+    canonical name is one user of it.
     """
-    counters = [F.expr(f"count({selected_or_null_sql(c)}) AS __o{i}") for i, c in enumerate(options)]
+    columns_of: dict[str, list[str]] = {}
+    for column, name in options.items():
+        columns_of.setdefault(name, []).append(column)
+    counters = [
+        F.expr(f"count(coalesce({', '.join(selected_or_null_sql(c) for c in columns)})) AS __o{i}")
+        for i, columns in enumerate(columns_of.values())
+    ]
     wide = df.groupBy(period).agg(F.count_if(eligible(list(options))).alias("eligible_respondents"), *counters)
-    names = F.array(*[F.lit(name) for name in options.values()])
-    number = F.substring("__option", len("__o") + 1, 10).cast("int")
+    names = F.array(*[F.lit(name) for name in columns_of])
+    number = F.substr("__option", F.lit(len("__o") + 1)).cast("int")
     long = wide.unpivot(
-        [period, "eligible_respondents"], [f"__o{i}" for i in range(len(options))], "__option", users
+        [period, "eligible_respondents"], [f"__o{i}" for i in range(len(columns_of))], "__option", users
     ).select(period, F.get(names, number).alias(option), users, "eligible_respondents")
-    if len(set(options.values())) < len(options):
-        long = long.groupBy(period, option).agg(
-            F.sum(users).alias(users), F.max("eligible_respondents").alias("eligible_respondents")
-        )
     for name, editions in (offered_in or {}).items():
         long = long.where((F.col(option) != name) | F.col(period).isin(*editions))
     return _with_rate(long.where(F.col("eligible_respondents") > 0), users)
@@ -128,13 +131,3 @@ def eligibility_agreement(df: DataFrame, period: str, blocks: Mapping[str, Seque
         agree = agree & (first == other)
     return counts.withColumn("blocks_agree", agree)
 
-
-__all__ = [
-    "adoption_from_bridge",
-    "eligibility_agreement",
-    "eligible",
-    "eligible_counts",
-    "nullable_flags",
-    "option_adoption",
-    "option_bridge",
-]

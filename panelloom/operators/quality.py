@@ -4,21 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelloom.functions.scalars import quoted, ratio
 
 
 def reconcile(before: DataFrame, after: DataFrame, period: str) -> DataFrame:
-    """Rows per period on both sides and the difference."""
-    left = before.groupBy(period).agg(F.count(F.lit(1)).alias("rows_before"))
-    right = after.groupBy(period).agg(F.count(F.lit(1)).alias("rows_after"))
-    return left.join(right, period, "full").select(
-        period,
-        F.coalesce("rows_before", F.lit(0)).alias("rows_before"),
-        F.coalesce("rows_after", F.lit(0)).alias("rows_after"),
-        (F.coalesce("rows_before", F.lit(0)) - F.coalesce("rows_after", F.lit(0))).alias("rows_lost"),
+    """Rows per period on both sides and the difference; a NULL period is one like any other."""
+    sides = before.select(period, F.lit(1).alias("__b"), F.lit(0).alias("__a")).unionByName(
+        after.select(period, F.lit(0).alias("__b"), F.lit(1).alias("__a"))
+    )
+    return sides.groupBy(period).agg(
+        F.sum("__b").alias("rows_before"), F.sum("__a").alias("rows_after"), (F.sum("__b") - F.sum("__a")).alias("rows_lost")
     )
 
 
@@ -51,26 +50,26 @@ def missing_cells(df: DataFrame, period: str, columns: Sequence[str]) -> DataFra
     )
 
 
+def _row_hash(df: DataFrame, columns: Sequence[str], seed: int) -> Column:
+    """64-bit hash of a row. A NULL leaves Spark's hash as it was, so which columns are NULL is hashed too."""
+    values = []
+    for c in columns:
+        number = isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))
+        values += [quoted(c).isNull(), quoted(c) + 0.0 if number else quoted(c)]  # 0.0 and -0.0 are equal
+    return F.xxhash64(F.lit(seed), *values)
+
+
 def duplicate_rows(df: DataFrame, period: str, ignore: Sequence[str] = ()) -> DataFrame:
     """Surplus copies per period: rows equal to an earlier one in every column not ignored.
 
-    A first pass groups on a 64-bit row hash, so that wide rows are not shuffled. Only rows whose
-    hash repeats are then compared on the columns themselves, which settles hash collisions.
+    One pass over the table; two independent 64-bit hashes stand for a row, so a few dozen bytes a row are shuffled
+    and rows of any width stay where they are. A NULL period is one like any other.
     """
     compared = [c for c in df.columns if c not in (*ignore, period)]
-    hashed = df.select(period, *[quoted(c) for c in compared], F.xxhash64(*[quoted(c) for c in compared]).alias("__hash"))
-    repeated = (
-        hashed.groupBy(period, "__hash").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).drop("__n")
-    )
-    copies = (
-        hashed.join(repeated, [period, "__hash"], "left_semi")
-        .groupBy(period, *[quoted(c) for c in compared])
-        .agg((F.count(F.lit(1)) - 1).alias("__surplus"))
-        .groupBy(period)
-        .agg(F.sum("__surplus").alias("duplicated_rows"))
-    )
-    return df.select(period).distinct().join(copies, period, "left").select(
-        period, F.coalesce("duplicated_rows", F.lit(0)).alias("duplicated_rows")
+    rows = df.select(period, *[_row_hash(df, compared, seed).alias(f"__h{seed}") for seed in (1, 2)])
+    return (
+        rows.groupBy(period, "__h1", "__h2").agg(F.count(F.lit(1)).alias("__n"))
+        .groupBy(period).agg(F.sum(F.col("__n") - 1).alias("duplicated_rows"))
     )
 
 

@@ -81,7 +81,7 @@ def representation(
     )
     long = (
         cells.unpivot([period, attribute, value, WEIGHT], [f"__b_{name}" for name in buckets], "__dim", "cross_dimension_value")
-        .withColumn("cross_dimension", F.substring("__dim", len("__b_") + 1, 1000))
+        .withColumn("cross_dimension", F.substr("__dim", F.lit(len("__b_") + 1)))
         .where(F.col("cross_dimension_value").isNotNull())
     )
     for name, condition in (keep or {}).items():

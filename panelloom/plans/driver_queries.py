@@ -7,6 +7,7 @@ name to SQL. Doubles are rounded to six decimals and counts are bigint on both s
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -364,24 +365,14 @@ def _(spark, sf_dir):
 
 @query(
     "surrogate_key_csv",
-    "SELECT count(*) AS row_count, count(DISTINCT o_orderkey) AS distinct_keys, min(o_orderkey) AS lowest, max(o_orderkey) AS highest, "
-    "CAST(0 AS BIGINT) AS out_of_order FROM orders",
+    "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_number FROM orders",
 )
 def _(spark, sf_dir):
-    """Numbers given while reading CSV: gapless, unique, and in file order."""
+    """The number every order gets from its place in the CSV files."""
     path = f"{new_folder(spark, 'csv')}/orders"
-    panel.scan(spark, sf_dir, "orders").repartitionByRange(6, "o_orderkey").sortWithinPartitions("o_orderkey").write.option(
-        "header", True
-    ).csv(path)
-    numbered = bronze.number_rows(tables.read_headered_csv(spark, path), "row")
-    key = F.col("o_orderkey").cast("bigint")
-    return numbered.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count_distinct("row").alias("distinct_keys"),
-        F.min("row").alias("lowest"),
-        F.max("row").alias("highest"),
-        F.count_if(F.col("row") != key).alias("out_of_order"),
-    )
+    sinks.write_csv(panel.scan(spark, sf_dir, "orders").repartitionByRange(6, "o_orderkey").sortWithinPartitions("o_orderkey"), path)
+    numbered = bronze.number_rows(tables.read_headered_csv(spark, path, multi_line=False), "row_number")
+    return numbered.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "row_number")
 
 
 @query(
@@ -429,20 +420,38 @@ def _(spark, sf_dir):
     )
 
 
+@query(
+    "csv_round_trip_texts",
+    "SELECT doc_id, nullif(text, '') AS text, nullif(lang, '') AS lang FROM documents",
+)
+def _(spark, sf_dir):
+    """Texts with quotes, commas, line breaks and blanks at their ends, written as CSV and read back."""
+    path = f"{new_folder(spark, 'csv-texts')}/documents"
+    sinks.write_csv(panel.scan(spark, sf_dir, "documents").select("doc_id", "text", "lang"), path)
+    return tables.read_headered_csv(spark, path).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
 @query(
     "stream_new_files",
-    f"SELECT survey_year, count(*) AS respondent_count, count(*) AS distinct_keys FROM (SELECT {_EDITION_CASE} AS survey_year FROM orders) "
-    "WHERE survey_year = 'year_3' GROUP BY 1",
+    f"SELECT {_EDITION_CASE} AS survey_year, count(*) AS respondent_count, count(*) AS distinct_keys, count(*) - 1 AS last_row, "
+    "sum(o_orderkey)::BIGINT AS orders FROM orders GROUP BY 1",
 )
 def _(spark, sf_dir):
-    """Two drops of raw files, landed by two runs of the same stream; keys continue."""
+    """All editions in two drops each, the second landed under a new checkpoint: nothing is lost and keys continue."""
     root = new_folder(spark, "stream")
-    orders = panel.scan(spark, sf_dir, "orders").selectExpr(f"{panel.EDITION_SQL} AS ed", "*").where("ed = 'year_3'").drop("ed")
-    for status in (("F", "O"), ("P",)):
-        orders.where(F.col("o_orderstatus").isin(*status)).write.mode("append").option("header", True).csv(f"{root}/landing")
-        landed = land_new_files(spark, f"{root}/landing", f"{root}/bronze", f"{root}/progress", "year_3")
-    return landed.groupBy("survey_year").agg(
-        F.count(F.lit(1)).alias("respondent_count"), F.count_distinct("respondent_id").alias("distinct_keys")
+    orders = panel.scan(spark, sf_dir, "orders").selectExpr(f"{panel.EDITION_SQL} AS ed", "o_orderkey", "o_orderstatus")
+    landed = []
+    for edition in S.EDITIONS:
+        own = orders.where(F.col("ed") == edition).drop("ed")
+        for run, status in enumerate((("F", "O"), ("P",))):
+            drop = f"{root}/landing/{edition}/{run}"
+            sinks.write_csv(own.where(F.col("o_orderstatus").isin(*status)), drop)
+            table = land_new_files(spark, drop, f"{root}/bronze", f"{root}/progress/{edition}/{run}", edition)
+        landed.append(table.select("survey_year", "respondent_id", "o_orderkey"))
+    rows = reduce(DataFrame.unionByName, landed)
+    return rows.groupBy("survey_year").agg(
+        F.count(F.lit(1)).alias("respondent_count"), F.count_distinct("respondent_id").alias("distinct_keys"),
+        F.max(F.substring_index("respondent_id", "_", -1).cast("bigint")).alias("last_row"), F.sum(F.col("o_orderkey").cast("bigint")).alias("orders"),
     )
 
 

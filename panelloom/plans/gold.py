@@ -53,7 +53,7 @@ def technology_adoption(adoption: DataFrame) -> DataFrame:
     changed = with_change(ranked, "technology", EDITION, S.EDITIONS, "adoption_rate", YOY)
     return changed.select(
         "technology", EDITION, "technology_users", "eligible_respondents", "adoption_rate", "rank", YOY
-    )
+    ).orderBy(EDITION, "rank", "technology")
 
 
 def technology_adoption_from_bridge(bridge: DataFrame) -> DataFrame:

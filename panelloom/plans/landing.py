@@ -12,6 +12,7 @@ from panelloom.plans import panel
 from panelloom.plans import survey_config as S
 from panelloom.plans.survey_job import SilverTables, land_bronze, write_silver
 from panelloom.session import new_folder
+from panelloom.sources.sinks import write_csv
 
 _ALIAS_OF = {canonical: label for label, canonical in S.DATABASE_ALIASES.items()}
 
@@ -64,7 +65,7 @@ def write_raw_editions(spark: SparkSession, sf_dir: str, root: str) -> dict[str,
     paths = {}
     for edition in S.EDITIONS:
         paths[edition] = f"{root}/raw/{edition}"
-        raw_edition(answers, edition).write.mode("overwrite").option("header", True).option("escape", '"').csv(paths[edition])
+        write_csv(raw_edition(answers, edition), paths[edition])
     return paths
 
 

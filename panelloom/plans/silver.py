@@ -27,6 +27,7 @@ _CATEGORIES = {
     "current_work_model": "work_model",
     "ideal_work_model": "work_model",
 }
+_BAND_FIELDS = ("salary_lower_bound", "salary_upper_bound", "salary_midpoint", "salary_open_ended", "salary_anomaly_flag")
 _KEPT_RAW = ("ethnicity", "pcd_flag", "company_size", "current_role", "salary_band", "rto_attitude")
 
 FACT_COLUMNS = (
@@ -121,7 +122,7 @@ def harmonize(raw: DataFrame, tables: Mapping[str, DataFrame], fields: Collectio
             {"current_role": "canonical_role", "comparability_group": "comparability_group"},
             tables["role"], also_on={EDITION: EDITION},
         )
-    if "salary_band" in raw.columns and wanted("salary_midpoint", "salary_open_ended", "salary_anomaly_flag"):
+    if "salary_band" in raw.columns and wanted(*_BAND_FIELDS):
         df = M.attach_bands(df, "salary_band_raw", tables["salary_band"])
     if "manager_flag" in raw.columns and wanted("manager_flag"):
         df = df.withColumn("manager_flag", flag_to_boolean(F.col("manager_flag")))

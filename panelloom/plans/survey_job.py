@@ -29,10 +29,10 @@ class SilverTables:
     ai: DataFrame
 
 
-def land_bronze(spark: SparkSession, raw: Mapping[str, str], root: str, multi_line: bool = False) -> dict[str, DataFrame]:
+def land_bronze(spark: SparkSession, raw: Mapping[str, str], root: str, multi_line: bool = True) -> dict[str, DataFrame]:
     """Ingest each edition's raw CSV (edition to path) below ``root``/bronze."""
     return {
-        edition: ingest_edition(spark, path, f"{root}/bronze", edition, S.RAW_FILES.get(edition, path), multi_line)
+        edition: ingest_edition(spark, path, f"{root}/bronze", edition, multi_line=multi_line)
         for edition, path in raw.items()
     }
 
@@ -71,7 +71,7 @@ def gold_tables(tables: SilverTables, adoption: DataFrame | None = None) -> dict
     }
 
 
-def run(spark: SparkSession, raw: Mapping[str, str], root: str, multi_line: bool = False) -> dict[str, DataFrame]:
+def run(spark: SparkSession, raw: Mapping[str, str], root: str, multi_line: bool = True) -> dict[str, DataFrame]:
     """Raw CSV files to stored answers. Every layer is read back from storage by the next one."""
     stored = write_silver(spark, land_bronze(spark, raw, root, multi_line), root)
     for name, table in gold_tables(stored).items():

@@ -10,17 +10,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelloom.functions.scalars import numbered_key
-from panelloom.session import shared_folder
+from panelloom.session import new_folder
 from panelloom.sources.sinks import write_partitioned
 from panelloom.sources.tables import read_headered_csv
 
 ROW_ID = "respondent_id"
 LINEAGE = ("survey_year", "source_file", "ingestion_timestamp")
 
-# One offset row per file split. Up to this many, the offsets are a few dozen MB and are
-# broadcast, so the raw rows are numbered where they were read. Beyond it the join is left
-# to the optimizer, which is slower and gives the same numbers.
-_BROADCAST_SPLITS = 200_000
+# The running totals per split or file are sent to all tasks up to this size, measured; beyond it the join is a shuffle
+# with the same numbers. 16 bytes a split: a thousand million splits are needed to get there.
+_SENT_BYTES = 256 << 20
 
 
 def with_lineage(df: DataFrame, edition: str, source_file: Column | str) -> DataFrame:
@@ -37,86 +36,77 @@ def with_lineage(df: DataFrame, edition: str, source_file: Column | str) -> Data
 def number_rows(df: DataFrame, name: str = "row_number", base: Column | None = None) -> DataFrame:
     """Consecutive numbers from 0 in file order: file name, then position in the file.
 
-    ``df`` must be a plain file scan. A split is identified by its file and byte offset, so
-    task retries and lost executors give the same numbers again. The first pass only counts
-    rows per split; the running total over the splits is a table with one row per split.
+    ``df`` must be a plain file scan. Its rows are stored once with the file and byte offset of their split; the numbers come from
+    the stored rows alone, so it does not matter how splits were dealt to tasks, then or later.
     """
-    base = F.lit(0) if base is None else base
     tagged = df.select(
         "*",
         F.col("_metadata.file_path").alias("__file"),
         F.col("_metadata.file_block_start").alias("__block"),
-        F.monotonically_increasing_id().alias("__position"),
     )
-    return number_tagged(tagged, name, base, split_bound=_split_bound(df))
+    return number_tagged(tagged, name, F.lit(0) if base is None else base)
 
 
-def _split_bound(df: DataFrame) -> int:
-    return len(df.inputFiles()) + df.rdd.getNumPartitions()
-
-
-def number_tagged(tagged: DataFrame, name: str, base: Column, split_bound: int | None) -> DataFrame:
+def number_tagged(tagged: DataFrame, name: str, base: Column) -> DataFrame:
+    """The same for rows that already carry ``__file`` and ``__block``, in the order of their split."""
+    spark = tagged.sparkSession
+    split = F.xxhash64("__file", "__block")
+    path = new_folder(spark, "numbering")
+    tagged.withColumn("__split", split).write.parquet(f"{path}/rows")
+    # A task writes the rows of a split one after the other into one part file.
+    rows = spark.read.schema(tagged.withColumn("__split", split).schema).parquet(f"{path}/rows").select("*", F.col("_metadata.row_index").alias("__index"))
     in_file_order = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = (
-        tagged.groupBy("__file", "__block")
-        .agg(F.count(F.lit(1)).alias("__rows"), F.min("__position").alias("__first"))
-        .select(
-            "__file",
-            "__block",
-            (F.coalesce(F.sum("__rows").over(in_file_order), F.lit(0)) - F.col("__first")).alias("__shift"),
+    (
+        rows.groupBy("__split").agg(
+            F.min("__file").alias("__file"), F.min("__block").alias("__block"), F.count(F.lit(1)).alias("__rows"), F.min("__index").alias("__first")
         )
+        .select("__split", (F.coalesce(F.sum("__rows").over(in_file_order), F.lit(0)) - F.col("__first")).alias("__shift"))
+        .write.parquet(f"{path}/splits")
     )
-    if split_bound is None:  # nothing known beforehand: store the small table and count it
-        shared_folder(tagged.sparkSession)
-        splits = splits.checkpoint()
-        split_bound = splits.count()
-    if split_bound <= _BROADCAST_SPLITS:
-        splits = F.broadcast(splits)
-    number = F.coalesce(
-        F.col("__position") + F.col("__shift"),
-        F.raise_error(F.lit("input files changed while rows were numbered")).cast("bigint"),
-    )
-    return (
-        tagged.join(splits, ["__file", "__block"], "left")
-        .withColumn(name, number + base)
-        .drop("__file", "__block", "__position", "__shift")
-    )
+    splits = spark.read.parquet(f"{path}/splits")
+    numbered = rows.join(_sent(splits, 16), "__split").withColumn(name, F.col("__index") + F.col("__shift") + base)
+    return numbered.drop("__file", "__block", "__split", "__index", "__shift")
+
+
+def _sent(df: DataFrame, row_bytes: int) -> DataFrame:
+    return F.broadcast(df) if df.count() * row_bytes <= _SENT_BYTES else df
 
 
 def number_parquet_rows(df: DataFrame, name: str = "row_number") -> DataFrame:
     """Like :func:`number_rows` for parquet, whose scan already knows the row's index in its file."""
-    tagged = df.select(
-        "*",
-        F.col("_metadata.file_path").alias("__file"),
-        F.col("_metadata.row_index").alias("__index"),
-    )
+    spark = df.sparkSession
+    file = F.xxhash64(F.col("_metadata.file_path"))
+    tagged = df.select("*", file.alias("__split"), F.col("_metadata.row_index").alias("__index"))
     before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
-    files = (
+    path = new_folder(spark, "numbering")
+    (
         df.groupBy(F.col("_metadata.file_path").alias("__file"))
         .agg(F.count(F.lit(1)).alias("__rows"))
-        .select("__file", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"))
-    )
-    if len(df.inputFiles()) <= _BROADCAST_SPLITS:
-        files = F.broadcast(files)
-    return (
-        tagged.join(files, "__file", "left")
-        .withColumn(name, F.col("__offset") + F.col("__index"))
-        .drop("__file", "__index", "__offset")
+        .select(F.xxhash64("__file").alias("__split"), F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"))
+        .write.parquet(path)
     )
+    files = spark.read.parquet(path)
+    return tagged.join(_sent(files, 16), "__split").withColumn(name, F.col("__offset") + F.col("__index")).drop("__split", "__index", "__offset")
 
 
-def read_raw_edition(spark: SparkSession, path: str, edition: str, source_file: str, multi_line: bool = False) -> DataFrame:
-    """Raw CSV with lineage and the surrogate key ``{edition}_{row:06d}``."""
+def read_raw_edition(spark: SparkSession, path: str, edition: str, source_file: str | None = None, multi_line: bool = True) -> DataFrame:
+    """Raw CSV with lineage and the surrogate key ``{edition}_{row:06d}``; the source is the file a row came from."""
     raw = read_headered_csv(spark, path, multi_line=multi_line)
-    numbered = number_rows(raw, "__row")
-    keyed = numbered.select(
+    named = raw.select(
+        (F.lit(source_file) if source_file else F.col("_metadata.file_name")).alias("__source"),
+        "*",
+        F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__block"),
+    )
+    keyed = number_tagged(named, "__row", F.lit(0)).select(
+        "__source",
         numbered_key(F.lit(edition), F.col("__row")).alias(ROW_ID),
         *[F.col("`" + c.replace("`", "``") + "`") for c in raw.columns],
     )
-    return with_lineage(keyed, edition, source_file)
+    return with_lineage(keyed, edition, F.col("__source")).drop("__source")
 
 
-def ingest_edition(spark: SparkSession, raw_path: str, bronze_path: str, edition: str, source_file: str, multi_line: bool = False) -> DataFrame:
+def ingest_edition(spark: SparkSession, raw_path: str, bronze_path: str, edition: str, source_file: str | None = None, multi_line: bool = True) -> DataFrame:
     """Land one edition below its own Bronze folder and return the stored table.
 
     Editions have different headers, so each has a folder of its own rather than one merged

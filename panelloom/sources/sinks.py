@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from panelloom.sources.tables import CSV_FORMAT
+
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("survey_year",)) -> None:
     """Overwrite only the partitions present in ``df``; others stay."""
@@ -21,9 +23,14 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Headered CSV that :func:`panelloom.sources.tables.read_headered_csv` reads back as it was, any text included."""
+    df.write.mode(mode).options(**CSV_FORMAT).csv(path)
+
+
 def write_answer(df: DataFrame, path: str) -> None:
     """Headered CSV of a report-sized answer table."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    write_csv(df, path)
 
 
 def publish(df: DataFrame, name: str, path: str) -> None:

@@ -12,21 +12,28 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def read_headered_csv(spark: SparkSession, path: str, multi_line: bool = False, schema: T.StructType | None = None) -> DataFrame:
-    """Headered CSV with every column a string, quotes escaped by doubling.
+# How CSV files are written and read: quotes doubled, blanks kept, columns checked against each file's header.
+CSV_FORMAT = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+CSV_READ = {**CSV_FORMAT, "enforceSchema": "false"}
+
+
+def read_headered_csv(spark: SparkSession, path: str, multi_line: bool = True, schema: T.StructType | None = None) -> DataFrame:
+    """Headered CSV with every column a string, as :func:`panelloom.sources.sinks.write_csv` writes it.
 
-    ``multi_line`` accepts line breaks inside quoted answers. Such a file is read by one task,
-    so land large editions as several files.
+    A file whose header differs from the schema (by default the first file's), in names or in order, fails: no value is
+    ever taken by position. Empty text and NULL are both blank in a file and come back as NULL. Line breaks inside quoted answers need ``multi_line``. Such a file is read by one task,
+    so land large editions as several files; ``multi_line=False`` splits files that have no such answers.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-    )
-    if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
-    return reader.csv(path)
+    reader = spark.read.options(**CSV_READ).option("inferSchema", False).option("multiLine", multi_line)
+    if schema is None:
+        schema = reader.csv(path).schema
+    return reader.schema(schema).csv(path)
 
 
 def _sql_literal(value: object) -> str:

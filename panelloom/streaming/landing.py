@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.functions.scalars import numbered_key
 from panelloom.sources.bronze import ROW_ID, number_tagged
-from panelloom.sources.tables import read_headered_csv
+from panelloom.sources.tables import CSV_READ, read_headered_csv
 
 BATCH = "landing_batch"
 
@@ -22,40 +23,47 @@ def land_new_files(
 ) -> DataFrame:
     """Append every file not landed before to the edition's Bronze folder; return the stored table.
 
-    Row numbers continue after the rows of earlier batches. Each batch owns one partition of
-    the folder and overwrites just that, so a batch repeated after a failure writes the same
-    rows under the same keys.
+    Row numbers continue after the rows landed earlier. A batch owns one partition of the folder, named after the stream's
+    own lasting id and the batch number, and overwrites just that: a batch repeated after a failure writes the same
+    rows under the same keys, and a stream with a new checkpoint never touches what another one has landed.
     """
     target = f"{bronze_path.rstrip('/')}/{edition}"
     schema = read_headered_csv(spark, landing_path).schema
-    reader = spark.readStream.schema(schema).option("header", True).option("escape", '"')
+    reader = spark.readStream.schema(schema).options(**CSV_READ).option("multiLine", True)
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    names = [F.col("`" + c.replace("`", "``") + "`") for c in schema.names]
     tagged = reader.csv(landing_path).select(
         F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_path").alias("__file"),
         F.col("_metadata.file_block_start").alias("__block"),
-        *[F.col("`" + c.replace("`", "``") + "`") for c in schema.names],
+        *names,
     )
+    landed: dict[str, int] = {}
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        earlier = _rows_before(batch.sparkSession, target, batch_id)
-        positioned = batch.withColumn("__position", F.monotonically_increasing_id())
-        numbered = number_tagged(positioned, "__row", F.lit(earlier), split_bound=None)
+        session = batch.sparkSession
+        stream = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        partition = f"{stream}-{batch_id}"
+        earlier = landed.get("rows")
+        if earlier is None:  # once per run; later batches know what they have added
+            earlier = _rows_of_others(session, target, partition)
+        numbered = number_tagged(batch, "__row", F.lit(earlier))
         (
             numbered.select(
                 F.lit(edition).alias("survey_year"),
                 "source_file",
                 F.current_timestamp().alias("ingestion_timestamp"),
                 numbered_key(F.lit(edition), F.col("__row")).alias(ROW_ID),
-                *[F.col("`" + c.replace("`", "``") + "`") for c in schema.names],
-                F.lit(batch_id).alias(BATCH),
+                *names,
+                F.lit(partition).alias(BATCH),
             )
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(BATCH)
             .parquet(target)
         )
+        landed["rows"] = earlier + session.read.parquet(f"{target}/{BATCH}={partition}").count()
 
     query = (
         tagged.writeStream.foreachBatch(append)
@@ -67,8 +75,9 @@ def land_new_files(
     return spark.read.parquet(target)
 
 
-def _rows_before(spark: SparkSession, target: str, batch_id: int) -> int:
-    if batch_id == 0:
+def _rows_of_others(spark: SparkSession, target: str, partition: str) -> int:
+    try:
+        stored = spark.read.parquet(target)
+    except AnalysisException:  # nothing landed yet
         return 0
-    stored = spark.read.parquet(target).where(F.col(BATCH) < batch_id)
-    return stored.count()
+    return stored.where(F.col(BATCH) != partition).count()

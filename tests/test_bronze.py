@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import csv
 
+import pytest
+
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -30,7 +32,7 @@ def test_numbers_follow_file_order_across_splits_and_files(spark, tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
     try:
-        df = tables.read_headered_csv(spark, str(tmp_path / "raw"))
+        df = tables.read_headered_csv(spark, str(tmp_path / "raw"), multi_line=False)
         assert df.rdd.getNumPartitions() > 8
         numbered = bronze.number_rows(df, "row").select(F.col("row"), F.col("n").cast("long").alias("n"))
         assert numbered.where("row <> n").count() == 0
@@ -82,3 +84,41 @@ def test_stream_lands_only_new_files_and_numbers_continue(spark, tmp_path):
     assert land_new_files(spark, str(drop), *args).count() == 12  # nothing new, nothing doubled
     assert [r["n"] for r in landed.orderBy("respondent_id").collect()] == [str(i) for i in range(12)]
     assert rows(landed.select("source_file").distinct()) == [("a.csv",), ("b.csv",)]
+
+
+def test_numbers_do_not_depend_on_how_splits_are_packed(spark, tmp_path):
+    """The packing changes between planning and every later use, as when executors come and go."""
+    for part in range(40):
+        write_csv(tmp_path / "raw" / f"part-{part:02d}.csv", [["x", part * 50 + i, ""] for i in range(50)])
+    numbered = bronze.number_rows(tables.read_headered_csv(spark, str(tmp_path / "raw"), multi_line=False), "row")
+    for partitions in ("1", "17", "40"):
+        spark.conf.set("spark.sql.files.minPartitionNum", partitions)
+        try:
+            assert numbered.where("row <> n").count() == 0 and numbered.count() == 2000
+        finally:
+            spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_any_text_survives_csv(spark, tmp_path):
+    texts = ['a "b", c', "line\nbreak", "  blanks  ", "", None, 'back\\slash \\" q', '"', "a,b", "tab\t", "\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, text string")
+    sinks.write_csv(df, str(tmp_path / "t"))
+    back = tables.read_headered_csv(spark, str(tmp_path / "t"))
+    assert {int(r["n"]): r["text"] for r in back.collect()} == {n: t or None for n, t in enumerate(texts)}
+
+
+def test_files_with_another_column_order_fail(spark, tmp_path):
+    write_csv(tmp_path / "raw" / "a.csv", [["1", "2"]], ["x", "y"])
+    write_csv(tmp_path / "raw" / "b.csv", [["20", "10"]], ["y", "x"])
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.read_headered_csv(spark, str(tmp_path / "raw")).collect()
+
+
+def test_a_new_checkpoint_does_not_overwrite_landed_rows(spark, tmp_path):
+    target = str(tmp_path / "bronze")
+    write_csv(tmp_path / "one" / "a.csv", [["x", i, ""] for i in range(3)])
+    write_csv(tmp_path / "two" / "b.csv", [["x", i, ""] for i in range(3, 7)])
+    land_new_files(spark, str(tmp_path / "one"), target, str(tmp_path / "p1"), "year_1")
+    landed = land_new_files(spark, str(tmp_path / "two"), target, str(tmp_path / "p2"), "year_1")
+    assert [r["n"] for r in landed.orderBy("respondent_id").collect()] == [str(i) for i in range(7)]
+    assert landed.select("respondent_id").distinct().count() == 7

@@ -222,3 +222,17 @@ def test_empty_input_gives_empty_output(spark):
     assert rows(SH.share_within(df, "survey_year", ["g"])) == []
     assert rows(ST.distribution_stats(df, ["g"], "v")) == []
     assert rows(ST.exact_quantiles(df, ["g"], "v", [0.5])) == []
+
+
+def test_null_period_counts_like_any_other(spark):
+    df = spark.createDataFrame([(None, "a", None, 0.0), (None, "a", None, -0.0), ("y", "a", None, 1.0), ("y", None, "a", 1.0)], "y string, p string, q string, d double")
+    assert rows(Q.duplicate_rows(df, "y")) == [(None, 1), ("y", 0)]
+    assert rows(Q.reconcile(df, df.limit(0), "y")) == [(None, 2, 0, 2), ("y", 2, 0, 2)]
+
+
+def test_an_option_in_two_columns_counts_a_respondent_once(spark):
+    df = spark.createDataFrame([("year_1", "1", "1"), ("year_1", "0", "0"), ("year_1", "0", "1")], "survey_year string, a string, b string")
+    options = {"a": "X", "b": "X"}
+    wide = O.option_adoption(df, options)
+    long = O.adoption_from_bridge(O.option_bridge(df.withColumn("id", F.monotonically_increasing_id()), ["id", "survey_year"], options))
+    assert rows(wide.select("technology_users", "eligible_respondents")) == rows(long.select("technology_users", "eligible_respondents")) == [(2, 3)]

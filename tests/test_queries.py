@@ -9,10 +9,11 @@ from check_oracle import compare, connect
 from conftest import TESTDATA
 
 import __spark_entry__ as entry_module
+from panelloom.plans import driver_queries
 
 SF_DIR = f"{TESTDATA}/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no driver tables at hand")
-NAMES = sorted(entry_module.queries())
+NAMES = sorted(driver_queries.QUERIES)
 
 
 @pytest.fixture(scope="module")
