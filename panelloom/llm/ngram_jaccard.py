@@ -177,27 +177,31 @@ def _keys(source: DataFrame, k: int, percent: int, frequent: np.ndarray) -> Data
 
 
 def _groups(keys: DataFrame) -> DataFrame:
-    """``key, c`` of the groups worth comparing: two members or more, and of groups with equal members one."""
-    parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rare = keys.where("not common").select("key", "c").repartition(parts, "key")
-    members = {"n": F.count(F.lit(1)), "least": F.min("c"), "one": F.bit_xor(F.xxhash64("c", F.lit(1))), "two": F.bit_xor(F.xxhash64("c", F.lit(2)))}
-    summary = [v.alias(k) for k, v in members.items()]
-    distinct = rare.groupBy("key", "c").agg(F.lit(1).alias("x"))
-    kept = distinct.groupBy("key").agg(*summary).where("n > 1").groupBy(*members).agg(F.min("key").alias("key")).select("key")
-    rows = rare.join(kept, "key").distinct()
-    # Groups of frequent blocks can be large: counted with partial aggregates, joined with one row per group.
-    often = keys.where("common").select("key", "c").distinct()
-    kept = often.groupBy("key").agg(*summary).where("n > 1").groupBy(*members).agg(F.min("key").alias("key")).select("key")
-    return rows.unionByName(often.join(kept, "key"))
+    """``key, c`` of the groups worth comparing: two members or more, and of groups with equal members one.
+
+    One shuffle of all keys: a row stays if a neighbour in its group is another class. Groups of frequent blocks can be large; they are
+    salted there and stay as they are. Everything after works on the few rows that stay, with partial aggregates.
+    """
+    salted = keys.withColumn("salt", F.when(F.col("common"), F.pmod(F.xxhash64("c"), F.lit(64))).otherwise(0))
+    in_group = Window.partitionBy("key", "salt").orderBy("c")
+    near = F.coalesce(F.lag("c").over(in_group) != F.col("c"), F.lit(False)) | F.coalesce(F.lead("c").over(in_group) != F.col("c"), F.lit(False))
+    rows = stored(salted.withColumn("near", near).where("common or near").select("key", "c"), "jaccard-members")
+    members = rows.distinct()
+    summary = [F.count(F.lit(1)).alias("n"), F.min("c").alias("least"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("one"), F.bit_xor(F.xxhash64("c", F.lit(2))).alias("two")]
+    kept = members.groupBy("key").agg(*summary).where("n > 1").groupBy("n", "least", "one", "two").agg(F.min("key").alias("key")).select("key")
+    return members.join(stored(kept, "jaccard-keys"), "key")
+
+
+def _few(df: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """Rows of ``df`` whose ``column`` is wanted: by a list sent to all tasks while it is short, else by a join."""
+    wanted = stored(wanted.distinct(), "jaccard-wanted")
+    return df.join(F.broadcast(wanted) if wanted.count() <= SENT_IDS else wanted, column, "left_semi")
 
 
 def _class_sets(source: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """``c, n, sketch, shingles`` of the wanted classes, read from one text each."""
-    ids = stored(classes.join(wanted, "c").select(F.col("first").alias("__id"), "c"), "jaccard-ids")
-    one = ids.select("__id").distinct()
-    if ids.count() <= SENT_IDS:
-        one = F.broadcast(one)
-    rows = source.join(one, "__id")
+    ids = _few(classes, wanted, "c").select(F.col("first").alias("__id"))
+    rows = _few(source, ids, "__id")
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in texts(batch.column(1)):
@@ -211,8 +215,7 @@ def _class_sets(source: DataFrame, classes: DataFrame, wanted: DataFrame, k: int
                     ["c", "n", "sketch", "shingles"],
                 )
 
-    found = map_batches(rows, run, "c bigint, n bigint, sketch binary, shingles binary")
-    return found.join(ids.select("c").distinct(), "c", "left_semi").dropDuplicates(["c"])
+    return map_batches(rows, run, "c bigint, n bigint, sketch binary, shingles binary").dropDuplicates(["c"])
 
 
 def _allowed(percent: int):
@@ -244,7 +247,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     two = short.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     near = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb")
     near = stored(map_batches(near, _allowed(percent), "a bigint, b bigint"), "jaccard-near")
-    full = sets.select("c", "shingles")
+    full = _few(sets.select("c", "shingles"), near.select(F.col("a").alias("c")).unionByName(near.select(F.col("b").alias("c"))), "c")
     both = near.join(full.select(F.col("c").alias("a"), F.col("shingles").alias("x")), "a").join(full.select(F.col("c").alias("b"), F.col("shingles").alias("y")), "b")
     return stored(map_batches(both.select("a", "b", "x", "y"), _linked(percent), "a bigint, b bigint"), "jaccard-links")
 
