@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from panelloom.functions.scalars import ratio
 from panelloom.operators.shares import WEIGHT, count_combinations
+from panelloom.session import new_folder
 
 
 def distribution_stats(
@@ -78,101 +79,94 @@ def one_row(df: DataFrame, **aggregates: Column) -> Column:
     return df.agg(F.struct(*[agg.alias(name) for name, agg in aggregates.items()]).alias("__row")).scalar()
 
 
-_BINS = 1024
+_ACCURACY = 2000
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], rounds: int = 2) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], accuracy: int = _ACCURACY) -> DataFrame:
     """Interpolated percentiles of an open-domain measure, one array per group.
 
-    The wanted ranks are located by counting. Each round cuts the current value range of every
-    (group, rank) into equal bins, counts them with a map-side combine, and keeps the one bin
-    that holds the rank. What is left after the rounds is a sliver of the group's distinct
-    values, which a running count resolves exactly. Every step is a plain aggregate, so it does
-    not matter how large one group is or in which order rows arrive.
+    A first pass brackets each wanted rank between two approximate percentiles, whose rank error is known (one part in
+    ``accuracy``, whatever the distribution). Two more passes count what lies below each bracket and the distinct values inside it,
+    about four parts in ``accuracy`` of a group; a running count over these finds the ranks exactly. All three are plain
+    aggregates with a map-side combine. The brackets, one row per group, are stored, so Spark knows their size and broadcasts
+    them where they are small; the rows of a group are never brought together.
     """
-    keys = list(keys)
-    lows = [f"__k{i}" for i in range(len(keys))]
-    values = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*[F.col(k).alias(lk) for k, lk in zip(keys, lows)], F.col(value).cast("double").alias("__v"))
-        .agg(F.count(F.lit(1)).alias(WEIGHT))
+    keys, count = list(keys), len(probabilities)
+    rows = df.where(F.col(value).isNotNull()).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(value).cast("double").alias("__v"))
+    groups = [f"__k{i}" for i in range(len(keys))]
+    margin = 2.0 / accuracy
+    ends = [min(max(p + side * margin, 0.0), 1.0) for p in probabilities for side in (-1, 1)]
+    brackets = rows.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("__size"), F.min("__v").alias("__min"), F.max("__v").alias("__max"),
+        F.percentile_approx("__v", [float(e) for e in ends], accuracy).alias("__e"),
     )
-    wanted = F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probabilities)
-    ])
-    # Two ranks per probability, the neighbours the percentile interpolates between.
-    targets = (
-        values.groupBy(*lows)
-        .agg(F.sum(WEIGHT).alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
-        .select(*lows, "__lo", "__hi", F.explode(wanted).alias("w"), "__n")
-        .withColumn("__pos", F.col("w.p") * (F.col("__n") - 1))
-        .select(
-            *lows, "__lo", "__hi",
-            F.explode(F.array_distinct(F.array(F.floor("__pos"), F.ceil("__pos")))).alias("__rank"),
+
+    def edge(i: int) -> Column:
+        extreme = F.col("__min") if ends[i] == 0.0 else F.col("__max") if ends[i] == 1.0 else None
+        return F.get("__e", i) if extreme is None else extreme
+
+    path = new_folder(df.sparkSession, "brackets")
+    shape = brackets.select(
+        *groups, "__size", F.array(*[edge(2 * i) for i in range(count)]).alias("__lo"), F.array(*[edge(2 * i + 1) for i in range(count)]).alias("__hi")
+    )
+    shape.write.parquet(path)
+    stored = df.sparkSession.read.schema(shape.schema).parquet(path)
+    placed = _join_groups(rows, stored, groups)
+    low, high = [F.get("__lo", i) for i in range(count)], [F.get("__hi", i) for i in range(count)]
+    below = placed.groupBy(*groups).agg(
+        *[F.count_if(F.col("__v") < low[i]).alias(f"__b{i}") for i in range(count)],
+        *[F.max(F.when(F.col("__v") < low[i], F.col("__v"))).alias(f"__z{i}") for i in range(count)],
+        *[F.min(F.when(F.col("__v") > high[i], F.col("__v"))).alias(f"__a{i}") for i in range(count)],
+    )
+    inside = (
+        placed.select(
+            *groups, "__v", F.explode(F.array_compact(F.array(*[
+                F.when(F.col("__v").between(F.get("__lo", i), F.get("__hi", i)), F.lit(i)) for i in range(count)
+            ]))).alias("__i"),
         )
-        .distinct()
-        .withColumn("__below", F.lit(0).cast("bigint"))
+        .groupBy(*groups, "__i", "__v").agg(F.count(F.lit(1)).alias(WEIGHT))
     )
-    candidates = values
-    for _ in range(rounds):
-        targets = _narrow(candidates, targets, lows)
-    # Ranks that fell into one bin share it, so its values are kept once.
-    bins = targets.select(*lows, "__lo", "__hi", "__below").distinct()
-    kept = _join_groups(candidates, bins, lows).where(F.col("__v").between(F.col("__lo"), F.col("__hi")))
-    running = Window.partitionBy(*lows, "__lo", "__hi").orderBy("__v")
-    upto = F.sum(WEIGHT).over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = kept.withColumn("__upto", F.col("__below") + upto)
-    per_rank = (
-        _join_groups(ranked.drop("__below"), targets.select(*lows, "__lo", "__hi", "__rank"), [*lows, "__lo", "__hi"])
-        .where(F.col("__upto") > F.col("__rank"))
-        .groupBy(*lows, "__rank")
-        .agg(F.min("__v").alias("__v"))
-        .groupBy(*lows)
-        .agg(F.map_from_entries(F.collect_list(F.struct("__rank", "__v"))).alias("__at"))
+    upto = F.sum(WEIGHT).over(Window.partitionBy(*groups, "__i").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    sizes = _join_groups(below, stored.select(*groups, "__size"), groups).select(
+        *groups, "__size", *[F.array(*[f"__{x}{i}" for i in range(count)]).alias(f"__{x}") for x in "bza"]
     )
-    sizes = values.groupBy(*lows).agg(F.sum(WEIGHT).alias("__n"))
-    joined = _join_groups(per_rank, sizes, lows)
-    quantiles = []
-    for p in probabilities:
-        pos = F.lit(float(p)) * (F.col("__n") - 1)
-        low = F.element_at("__at", F.floor(pos))
-        high = F.element_at("__at", F.ceil(pos))
-        quantiles.append(low + (high - low) * (pos - F.floor(pos)))
-    return joined.select(*[F.col(lk).alias(k) for k, lk in zip(keys, lows)], F.array(*quantiles).alias("quantiles"))
-
-
-def _join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join on group keys where a NULL key is a group like any other."""
-    renamed = right.select(*[F.col(k).alias(f"{k}_r") for k in keys], *[c for c in right.columns if c not in keys])
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"{k}_r"))
-    return left.join(renamed, on).drop(*[f"{k}_r" for k in keys])
+    ranked = _join_groups(inside.withColumn("__upto", upto), sizes, groups)
+    place = F.get(F.array(*[F.lit(float(p)) for p in probabilities]), F.col("__i")) * (F.col("__size") - 1)
+    under = F.get("__b", F.col("__i"))
 
+    def at(rank: Column) -> Column:
+        """The value of a rank; in a small group it can be the neighbour of the bracket."""
+        found = F.coalesce(F.min(F.when(under + F.col("__upto") > rank, F.col("__v"))), F.max(F.get("__a", F.col("__i"))))
+        return F.when(F.max(rank < under), F.max(F.get("__z", F.col("__i")))).otherwise(found)
 
-def _bin(value: Column, low: Column, high: Column) -> Column:
-    """Bin number of a value in [low, high]; one bin where the range is a single point."""
-    position = F.try_divide((value - low) * _BINS, high - low)
-    return F.coalesce(F.least(F.floor(position), F.lit(_BINS - 1)), F.lit(0)).cast("int")
+    ends_at = [at(F.floor(place)), at(F.ceil(place))]
+    found = ranked.groupBy(*groups, "__i").agg((ends_at[0] + (ends_at[1] - ends_at[0]) * F.max(place - F.floor(place))).alias("__q"))
+    quantiles = F.array(*[F.max(F.when(F.col("__i") == i, F.col("__q"))) for i in range(count)])
+    return found.groupBy(*groups).agg(quantiles.alias("quantiles")).withColumnsRenamed(dict(zip(groups, keys)))
 
 
-def _narrow(values: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Replace the value range of each target by the observed range of the bin its rank is in."""
-    ranges = targets.select(*keys, "__lo", "__hi", "__below").distinct()
-    histogram = (
-        _join_groups(values, ranges, keys)
-        .where(F.col("__v").between(F.col("__lo"), F.col("__hi")))
-        .groupBy(*keys, "__lo", "__hi", "__below", _bin(F.col("__v"), F.col("__lo"), F.col("__hi")).alias("__bin"))
-        .agg(F.sum(WEIGHT).alias(WEIGHT), F.min("__v").alias("__first"), F.max("__v").alias("__last"))
-    )
-    in_order = Window.partitionBy(*keys, "__lo", "__hi").orderBy("__bin")
-    before = F.coalesce(F.sum(WEIGHT).over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    located = histogram.withColumn("__from", F.col("__below") + before).withColumn(
-        "__to", F.col("__from") + F.col(WEIGHT)
+def open_distribution_stats(df: DataFrame, keys: Sequence[str], value: str, min_sample: int = 30, names: Mapping[str, str] | None = None) -> DataFrame:
+    """:func:`distribution_stats` for a measure with any number of distinct values, however large a group is."""
+    names = {**SALARY_NAMES, **(names or {})}
+    sizes = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("respondent_count"), F.count(value).alias(names["known"]), F.avg(F.col(value).cast("double")).alias(names["mean"])
     )
-    matched = _join_groups(
-        located.drop("__below"), targets.select(*keys, "__lo", "__hi", "__rank"), [*keys, "__lo", "__hi"]
-    ).where((F.col("__rank") >= F.col("__from")) & (F.col("__rank") < F.col("__to")))
-    return matched.select(
-        *keys, "__rank", F.col("__first").alias("__lo"), F.col("__last").alias("__hi"), F.col("__from").alias("__below")
+    joined = _join_groups(sizes, exact_quantiles(df, keys, value, (0.25, 0.5, 0.75)), keys, "left")
+    return with_spread(
+        joined.select(
+            *keys, "respondent_count", names["known"], F.get("quantiles", 1).alias(names["median"]), names["mean"],
+            F.get("quantiles", 0).alias(names["p25"]), F.get("quantiles", 2).alias(names["p75"]),
+        ),
+        names,
+        min_sample,
     )
+
+
+def _join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on group keys where a NULL key is a group like any other."""
+    renamed = right.select(*[F.col(k).alias(f"{k}_r") for k in keys], *[c for c in right.columns if c not in keys])
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"{k}_r"))
+    return left.join(renamed, on, how).drop(*[f"{k}_r" for k in keys])
+

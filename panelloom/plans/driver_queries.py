@@ -687,6 +687,29 @@ def _(spark, sf_dir):
     return quantiles.select("o_orderpriority", *[F.get("quantiles", i).alias(n) for i, n in enumerate(names)])
 
 
+def _open_stats(table: str, keys: str, value: str) -> str:
+    return (
+        f"SELECT {keys}, count(*) AS respondent_count, count({value}) AS known_count, round(quantile_cont({value}::DOUBLE, 0.5), 6) AS median_value, "
+        f"round(avg({value}::DOUBLE), 4) AS mean_value, round(quantile_cont({value}::DOUBLE, 0.25), 6) AS p25, round(quantile_cont({value}::DOUBLE, 0.75), 6) AS p75, "
+        f"round(quantile_cont({value}::DOUBLE, 0.75) - quantile_cont({value}::DOUBLE, 0.25), 6) AS iqr, count(*) < 30 AS low_sample_flag FROM {table} GROUP BY {keys}"
+    )
+
+
+
+@query("stats_extendedprice", _open_stats("lineitem", "l_returnflag, l_linestatus", "l_extendedprice"))
+def _(spark, sf_dir):
+    """All eight measures of a value with an open domain, by a few hot keys."""
+    lines = panel.scan(spark, sf_dir, "lineitem")
+    stats = ST.open_distribution_stats(lines, ["l_returnflag", "l_linestatus"], "l_extendedprice", names=_NAMES)
+    return stats.withColumn("mean_value", F.round("mean_value", 4))
+
+
+@query("stats_event_value", _open_stats("events", "event_type", "value"))
+def _(spark, sf_dir):
+    stats = ST.open_distribution_stats(panel.scan(spark, sf_dir, "events"), ["event_type"], "value", names=_NAMES)
+    return stats.withColumn("mean_value", F.round("mean_value", 4))
+
+
 # ---- Options, rank and trend ------------------------------------------------------------
 
 add("option_bridge", panel.bridge, sql([B], "bridge", "respondent_id survey_year technology technology_family selected"))
