@@ -26,6 +26,13 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
 
 
+def key_profile(df: DataFrame, period: str, key: str) -> DataFrame:
+    """Rows, distinct keys, smallest and largest key per period."""
+    return df.groupBy(period).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("distinct_keys"), F.min(key).alias("first_key"), F.max(key).alias("last_key")
+    )
+
+
 def value_rate_matrix(df: DataFrame, period: str, periods: Sequence[str], fields: Sequence[str], value: str = "UNKNOWN") -> DataFrame:
     """Share of ``value`` per field and period, one column per period."""
     per_period = df.groupBy(period).agg(

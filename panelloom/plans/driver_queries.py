@@ -132,6 +132,9 @@ for _name in (
         GOLD_SQL[_name],
     )
 
+for _name in ("gold_gender_representation", "gold_technology_adoption_by_year", "gold_ai_adoption_overview"):
+    add(f"stored_{_name}", lambda s, d, n=_name: landing.stored_gold(s, d)[n], GOLD_SQL[_name])
+
 # ---- Answers ----------------------------------------------------------------------------
 
 _LATEST = "survey_year = 'year_3'"
@@ -971,6 +974,19 @@ add(
     lambda s, d: Q.repeated_keys(landing.stored_silver(s, d).fact, ["respondent_id"]),
     "SELECT printf('%06d', o_orderkey) AS respondent_id, count(*) AS rows FROM orders GROUP BY 1 HAVING count(*) > 1",
 )
+add(
+    "from_raw_key_profile",
+    lambda s, d: Q.key_profile(landing.stored_silver(s, d).fact, "survey_year", "respondent_id"),
+    "SELECT survey_year, count(*) AS rows, count(*) AS distinct_keys, printf('%s_%06d', survey_year, 0) AS first_key, "
+    f"printf('%s_%06d', survey_year, count(*) - 1) AS last_key FROM (SELECT {_EDITION_CASE} AS survey_year FROM orders) GROUP BY 1",
+)
+add(
+    "from_raw_lineage",
+    lambda s, d: landing.stored_silver(s, d).fact.groupBy("survey_year", "pipeline_version").agg(
+        F.count(F.lit(1)).alias("respondent_count"), F.count("processing_timestamp").alias("stamped_rows")
+    ),
+    f"SELECT {_EDITION_CASE} AS survey_year, '{S.PIPELINE_VERSION}' AS pipeline_version, count(*) AS respondent_count, count(*) AS stamped_rows FROM orders GROUP BY 1",
+)
 add(
     "repeated_keys",
     lambda s, d: Q.repeated_keys(panel.scan(s, d, "lineitem"), ["l_partkey", "l_suppkey"]),

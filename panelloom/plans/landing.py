@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from panelloom.plans import panel
 from panelloom.plans import survey_config as S
-from panelloom.plans.survey_job import SilverTables, land_bronze, write_silver
+from panelloom.plans.survey_job import SilverTables, gold_tables, land_bronze, read_gold, write_silver
 from panelloom.session import new_folder
-from panelloom.sources.sinks import write_csv
+from panelloom.sources.sinks import write_csv, write_table
 
 _ALIAS_OF = {canonical: label for label, canonical in S.DATABASE_ALIASES.items()}
 
@@ -79,3 +79,17 @@ def stored_silver(spark: SparkSession, sf_dir: str) -> SilverTables:
         root = new_folder(spark, "survey")
         _stored[key] = write_silver(spark, land_bronze(spark, write_raw_editions(spark, sf_dir, root), root), root)
     return _stored[key]
+
+
+_gold: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def stored_gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Gold tables after the full path, written and read back, built once per application and data set."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _gold:
+        root = new_folder(spark, "gold")
+        for name, table in gold_tables(stored_silver(spark, sf_dir)).items():
+            write_table(table, f"{root}/gold/{name}")
+        _gold[key] = read_gold(spark, root)
+    return _gold[key]
