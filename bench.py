@@ -30,6 +30,7 @@ HEADLINE = (
     "unmapped_values",
     "stats_quantity",
     "stats_open_domain",
+    "stats_extendedprice",
     "surrogate_key",
     "duplicate_rows",
     "unknown_matrix",
@@ -38,6 +39,7 @@ HEADLINE = (
 
 
 def main() -> None:
+    from panelloom.plans import landing
     from panelloom.plans.driver_queries import QUERIES
     from panelloom.session import get_session
 
@@ -59,6 +61,7 @@ def main() -> None:
     for name in HEADLINE:
         times = []
         for _ in range(runs + 1):
+            landing.forget()  # queries over the raw path are timed from raw files on
             start = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - start)

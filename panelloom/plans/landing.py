@@ -84,6 +84,12 @@ def stored_silver(spark: SparkSession, sf_dir: str) -> SilverTables:
 _gold: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
+def forget() -> None:
+    """The next query over the raw path goes the whole way again."""
+    _stored.clear()
+    _gold.clear()
+
+
 def stored_gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Gold tables after the full path, written and read back, built once per application and data set."""
     key = (spark.sparkContext.applicationId, sf_dir)
