@@ -14,7 +14,9 @@ from panelloom.session import new_folder
 
 # Arrow batches between the JVM and Python: rows and bytes of text at once in a worker.
 BATCH_ROWS = 2000
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
+# Workers give freed arrays back to the machine instead of keeping them for later.
+WORKER_MEMORY = {"MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576", "MALLOC_ARENA_MAX": "2", "ARROW_DEFAULT_MEMORY_POOL": "system"}
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -24,6 +26,8 @@ def bounded_batches(spark: SparkSession) -> None:
     Workers also look for this package where the driver found it; on a cluster ship it as usual (``--py-files``).
     """
     environment = spark.sparkContext.environment
+    for name, value in WORKER_MEMORY.items():
+        environment.setdefault(name, value)
     if _ROOT not in environment.get("PYTHONPATH", "").split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH", ""), _ROOT]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
