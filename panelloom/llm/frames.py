@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -51,10 +52,27 @@ def crc32_of_id(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside are deleted at the end, but for those stored with ``keep``."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for name in _scratch.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """``df`` written to the shared folder and read back: short lineage that outlives executors."""
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
+    if _scratch and not keep:
+        _scratch[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from panelloom.llm.arrays import LOWER, Rolling, Texts, mix, signed, span_hash, texts, words
 from panelloom.llm.components import components
-from panelloom.llm.frames import bounded_batches, map_batches, stored
+from panelloom.llm.frames import bounded_batches, map_batches, scratch, stored
 
 K = 5
 PERCENT = 80
@@ -293,12 +293,13 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = stored(_sets_of(source, k), "jaccard-sets")
     classes = rows.where("n > 0").groupBy("c").agg(F.min("__id").alias("first"), F.min(F.when(F.col("__id") > low, F.col("__id"))).alias("name"))
     frequent = _frequent_shingles(source, k, sample)
-    groups = stored(_groups(_keys(source, k, percent, frequent)), "jaccard-groups")
-    sets = stored(_class_sets(source, classes, groups.select("c").distinct(), k), "jaccard-class-sets")
-    roots = _class_components(groups, sets, percent)
-    rooted = classes.join(roots.withColumnRenamed("v", "c"), "c", "left").select("c", F.coalesce("root", "c").alias("root"), "name")
-    names = rooted.groupBy("root").agg(F.min("name").alias("component_id"))
-    named = stored(rooted.join(names, "root").select("c", "component_id"), "jaccard-names")
+    with scratch(docs.sparkSession):
+        groups = stored(_groups(_keys(source, k, percent, frequent)), "jaccard-groups")
+        sets = stored(_class_sets(source, classes, groups.select("c").distinct(), k), "jaccard-class-sets")
+        roots = _class_components(groups, sets, percent)
+        rooted = classes.join(roots.withColumnRenamed("v", "c"), "c", "left").select("c", F.coalesce("root", "c").alias("root"), "name")
+        names = rooted.groupBy("root").agg(F.min("name").alias("component_id"))
+        named = stored(rooted.join(names, "root").select("c", "component_id"), "jaccard-names", keep=True)
     own = F.when(F.col("__id") > low, F.col("__id"))
     return rows.join(named, "c", "left").select(
         own.alias(id_col), F.col("n").alias("n_shingles"),

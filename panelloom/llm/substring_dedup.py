@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelloom.llm.arrays import Rolling, mix, ranges, signed, span_hash, texts, words
-from panelloom.llm.frames import map_batches, stored
+from panelloom.llm.frames import map_batches, scratch, stored
 
 K = 35
 M = 12
@@ -221,8 +221,9 @@ def _removed(kind: str):
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, m: int = M) -> DataFrame:
     """Per row: the input row as ``__row``, ``n_words``, ``n_removed`` and ``kept`` (the other words joined by blanks)."""
     source = _source(docs, id_col, text_col)
-    spans = repeated_spans(source, k, m).groupBy(*_ROW).agg(F.collect_list(F.struct("start", "end")).alias("__spans"))
-    spans = stored(spans, "substring-spans")
+    with scratch(docs.sparkSession):
+        spans = repeated_spans(source, k, m).groupBy(*_ROW).agg(F.collect_list(F.struct("start", "end")).alias("__spans"))
+        spans = stored(spans, "substring-spans", keep=True)
     joined = source.join(spans, _ROW, "left").select("__text", "__spans", "__row")
     return map_batches(joined, *_removed(source.schema["__row"].dataType.simpleString()))
 
