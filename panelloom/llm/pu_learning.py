@@ -175,6 +175,7 @@ def fit_weights(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, posit
 
     ``rows`` ascend. The step size falls to a hundredth, so the last steps settle where the second part of the risk meets zero.
     """
+    n = len(positive)
     parts = _folds(rows, columns, values, positive, max(1, min(folds, len(positive) // 3000)))  # a part must estimate the risk well
     w, first, second = np.zeros(width + 1), np.zeros(width + 1), np.zeros(width + 1)
     w[-1] = np.log(prior / (1 - prior))
@@ -196,6 +197,15 @@ def fit_weights(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, posit
         second = 0.999 * second + 0.001 * gradient**2
         rate = 0.1 * 0.01 ** (step / steps)
         w = w - rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+    # Few positives can be told apart by chance, which lifts all of U. Then the bias follows from the class prior.
+    z = np.bincount(rows, w[columns] * values, n)[~positive]
+    mean = lambda bias: float((1 / (1 + np.exp(-np.clip(z + bias, -500, 500)))).mean())
+    if mean(w[-1]) > prior + 0.25 * (1 - prior):
+        low, high = w[-1] - 100.0, w[-1]
+        for _ in range(60):
+            middle = (low + high) / 2
+            low, high = (low, middle) if mean(middle) > prior else (middle, high)
+        w[-1] = low
     return w[:-1], float(w[-1])
 
 
