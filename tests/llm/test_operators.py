@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import inspect
 import random
 import re
 import zlib
@@ -320,6 +321,13 @@ def test_risk_is_not_driven_below_zero():
     assert np.abs(w).max() < 3 and -3 < b < 3
 
 
+def test_bounds_of_the_weight_fit():
+    """The sample and the features of the first version, not fewer; shares of a text's make-up in forty parts."""
+    bounds = {k: v.default for k, v in inspect.signature(pu_learning.learn).parameters.items()}
+    assert (bounds["max_positive"], bounds["max_unlabelled"], bounds["max_features"]) == (20_000, 40_000, 8192)
+    assert len(pu_learning._bucket(1, 0, np.ones(1))[0]) == 41
+
+
 def test_language_profiles(spark, nothing):
     r = random.Random(1)
     parts = {"aa": ["ka", "lo", "mu"], "bb": ["she", "tion", "wi"], "cc": ["öß", "ü", "ich"]}
