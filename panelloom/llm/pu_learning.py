@@ -8,9 +8,9 @@ with logistic loss; where the second part would become negative the step goes th
 overfit below zero. No text is ever used as a negative example.
 
 Features are hashes: words without the punctuation around them, beginnings of words, endings of words, and bucketed shares of a
-text's make-up. Which features enter the model is decided from document frequencies in P and U counted by Spark; the model
-is fitted by numpy on a bounded sample of vectors (``max_positive``, ``max_unlabelled`` rows, chosen by a hash of
-the id). Scoring is one pass over all texts without a shuffle.
+text's make-up. Which features enter the model is decided from document frequencies counted by Spark over all positives and all
+unlabelled training texts; only the weights are fitted by numpy on a bounded sample of vectors (``max_positive``,
+``max_unlabelled`` rows, chosen by a hash of the id). Scoring is one pass over all texts without a shuffle.
 
 Defined results: NULL text is empty text; an empty text has only its make-up features; without any positive or any
 unlabelled training text every score is the class prior; rows with a NULL id or label are never learned from.
@@ -30,6 +30,8 @@ from panelloom.llm.arrays import LOWER, SPACE, Spans, Texts, Words, mix, signed,
 from panelloom.llm.frames import bounded_batches, map_batches
 
 PREFIXES = (3, 4, 5, 6, 7, 8)
+# Up to so many labelled rows meet the texts by broadcast; beyond, the join is a shuffle with the same result.
+BROADCAST_LABELS = 2_000_000
 _BITS = 22
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
@@ -226,8 +228,8 @@ def learn(
 ) -> Model:
     """A model from rows labelled 1 and rows without a label; the prior is the labelled rows' share of 1.
 
-    ``docs`` and ``labels`` hold training rows only. A feature enters if it occurs in at least ``least`` sampled texts and its
-    frequencies in P and U differ by at least ``min_gap`` standard errors, the ``max_features`` most different first. Labelled rows other than the positives serve the prior alone.
+    ``docs`` and ``labels`` hold training rows only. A feature enters if it occurs in at least ``least`` texts of P and U and its
+    frequencies in all of P and U differ by at least ``min_gap`` standard errors, the ``max_features`` most different first. Labelled rows other than the positives serve the prior alone.
     """
     marks = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).cast("bigint").alias("__id")).agg(F.max(label_col).alias("__y"))
     counts = marks.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("__y").cast("bigint")).alias("k")).first()
@@ -246,6 +248,7 @@ def learn(
     spark = docs.sparkSession
     bounded_batches(spark)
     sent = spark.sparkContext.broadcast((positive_ids, other_ids))
+    sizes = by_hash.agg(F.count(F.when(F.col("__y") == 1, 1)).alias("p"), F.count(F.when(F.col("__y").isNull(), 1)).alias("u")).first()
     source = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"))
 
     def sampled(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray]:
@@ -265,8 +268,8 @@ def learn(
             return pa.RecordBatch.from_arrays([pa.array(signed(h)), pa.array(p.astype(np.int64)), pa.array(u.astype(np.int64))], ["h", "p", "u"])
 
         for batch in batches:
-            rows, is_positive = sampled(batch)
-            for part in texts(rows.column(1)) if rows.num_rows else ():
+            is_positive = batch.column(0).to_numpy(zero_copy_only=False)
+            for part in texts(batch.column(1)):
                 owner, hashes = _distinct(*features(part, kind))
                 mine = is_positive[part.first + owner]
                 h, inverse = np.unique(hashes, return_inverse=True)
@@ -279,11 +282,16 @@ def learn(
         if parts:
             yield table()
 
-    n_p, n_u = float(len(positive_ids)), float(len(other_ids))
+    mark = F.broadcast(marks) if counts["n"] <= BROADCAST_LABELS else marks
+    every = (
+        docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("__id"), F.col(text_col).cast("string").alias("__text"))
+        .join(mark, "__id", "left").where("__y is null or __y = 1").select(F.col("__y").isNotNull().alias("__p"), "__text")
+    )
+    n_p, n_u = float(sizes["p"]), float(sizes["u"])
     p, u, both = F.col("p") / n_p, F.col("u") / n_u, (F.col("p") + F.col("u")) / (n_p + n_u)
     gap = F.abs(p - u) / F.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u) + 1e-12)
     top = (
-        source.mapInArrow(frequencies, "h bigint, p bigint, u bigint")
+        every.mapInArrow(frequencies, "h bigint, p bigint, u bigint")
         .groupBy("h").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
         .where(F.col("p") + F.col("u") >= least)
         .select("h", gap.alias("gap")).where(F.col("gap") >= min_gap).orderBy(F.desc("gap"), "h").limit(max_features).toPandas()

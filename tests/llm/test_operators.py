@@ -328,6 +328,15 @@ def test_bounds_of_the_weight_fit():
     assert len(pu_learning._bucket(1, 0, np.ones(1))[0]) == 41
 
 
+def test_features_are_chosen_from_all_training_rows(spark):
+    """A word in 30 of 400 positives is a feature although a sample of 40 positives holds too few of its texts."""
+    rows = [(i, prose(9000 + i, 30) + (" rareslur" if i < 400 and i % 13 == 0 else "")) for i in range(1400)]
+    labels = spark.createDataFrame([(i, 1) for i in range(400)], "doc_id bigint, toxic int")
+    model = toxicity.learn_toxicity(table(spark, rows), labels, max_positive=40, max_unlabelled=80)
+    word = np.frombuffer(b"rareslur", np.uint8)
+    assert np.isin(pu_learning.Spans(word).hash(np.array([0]), np.array([8])), model.hashes).all()
+
+
 def test_language_profiles(spark, nothing):
     r = random.Random(1)
     parts = {"aa": ["ka", "lo", "mu"], "bb": ["she", "tion", "wi"], "cc": ["öß", "ü", "ich"]}
