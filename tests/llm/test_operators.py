@@ -393,3 +393,23 @@ def test_predictive_probabilities_add_up(edge):
     for context in (0, 3, 17):
         codes = np.append(part.w | np.uint64(context), np.uint64(0x123456789000 | context))
         assert abs((10 ** part.look_up(codes)[1]).sum() - 1) < 1e-6
+
+
+def test_language_model_knows_the_word_before(spark):
+    """After words of one ending, each is followed by its own word; probabilities after a word add up to one, seen or not."""
+    docs = spark.createDataFrame([(i, " ".join(f"{'abcdef'[j]}xx {'uvwxyz'[j]}yy" for j in ((i + s) % 6 for s in range(6)))) for i in range(60)], "doc_id bigint, text string")
+    model = pitman_yor.learn(docs)
+    follows = spark.createDataFrame([(1, "axx uyy"), (2, "axx vyy")], "doc_id bigint, text string")
+    got = {x.doc_id: x.score for x in pitman_yor.score(follows, model).collect()}
+    assert got[1] - got[2] > 1
+    assert {x.doc_id: round(x.score, 9) for x in pitman_yor.score(follows, model, head=2, head_pairs=3).collect()} == {i: round(x, 9) for i, x in got.items()}
+    part = pitman_yor.Part(model.rows.toArrow().to_batches(), model.back_off, model.unknown)
+    pairs = pitman_yor.Pairs.of(model.pairs.toArrow().to_batches())
+    column = pitman_yor.texts(pitman_yor.pa.array(["axx uyy", "uyy axx", "never axx"]))
+    codes, _ = pitman_yor.tokens(next(column))
+    for code in codes[[1, 4, 7]]:  # the tokens after axx, uyy and never, with the word before each
+        v = pitman_yor.before(codes)[codes == code][:1]
+        ending = code & ~pitman_yor._WORD
+        all_codes = np.append(part.w | ending, np.uint64(0x123456789000) | ending)
+        log_p = part.look_up(all_codes)[1] + part.weight(v) + pairs.find(pitman_yor.pair_hash(v, all_codes & pitman_yor._WORD))[1]
+        assert abs((10**log_p).sum() - 1) < 1e-6
