@@ -160,14 +160,16 @@ class Index:
 def _folds(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, positive: np.ndarray, count: int) -> list[tuple[np.ndarray, ...]]:
     """The rows dealt into ``count`` parts with P and U in proportion."""
     order = np.argsort(~positive, kind="stable")
-    part_of = np.empty(len(positive), np.int64)
+    part_of, number = np.empty(len(positive), np.int16), np.empty(len(positive), np.int32)
     part_of[order] = np.arange(len(positive)) % count
     out = []
     for k in range(count):
         own = np.flatnonzero(part_of == k)
+        number[own] = np.arange(len(own))
         take = part_of[rows] == k
-        local = np.searchsorted(own, rows[take])
-        filled, first = np.unique(local, return_index=True)
+        local = number[rows[take]]
+        first = np.flatnonzero(np.diff(local, prepend=-1))
+        filled = local[first]
         out.append((local, columns[take], values[take], positive[own], filled, first))
     return out
 
@@ -177,7 +179,6 @@ def fit_weights(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, posit
 
     ``rows`` ascend. The step size falls to a hundredth, so the last steps settle where the second part of the risk meets zero.
     """
-    n = len(positive)
     parts = _folds(rows, columns, values, positive, max(1, min(folds, len(positive) // 3000)))  # a part must estimate the risk well
     w, first, second = np.zeros(width + 1), np.zeros(width + 1), np.zeros(width + 1)
     w[-1] = np.log(prior / (1 - prior))
@@ -200,7 +201,7 @@ def fit_weights(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, posit
         rate = 0.1 * 0.01 ** (step / steps)
         w = w - rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
     # Few positives can be told apart by chance, which lifts all of U. Then the bias follows from the class prior.
-    z = np.bincount(rows, w[columns] * values, n)[~positive]
+    z = np.concatenate([np.bincount(row, w[column] * value, len(is_p))[~is_p] for row, column, value, is_p, *_ in parts])
     mean = lambda bias: float((1 / (1 + np.exp(-np.clip(z + bias, -500, 500)))).mean())
     if mean(w[-1]) > prior + 0.25 * (1 - prior):
         low, high = w[-1] - 100.0, w[-1]
@@ -307,15 +308,17 @@ def learn(
                 owner, number, value = find.find(*features(part, kind), kind.most)
                 n = len(part.offsets) - 1
                 bounds = pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32())
-                lists = [pa.ListArray.from_arrays(bounds, pa.array(x, pa.int32())) for x in (number, value.astype(np.int32))]
+                lists = [pa.ListArray.from_arrays(bounds, pa.array(x)) for x in (number.astype(np.int32), value.astype(np.int16))]
                 yield pa.RecordBatch.from_arrays([pa.array(is_positive[part.first : part.first + n]), *lists], ["p", "columns", "values"])
 
-    sample = source.mapInArrow(vectors, "p boolean, columns array<int>, values array<int>").toArrow()
+    sample = source.mapInArrow(vectors, "p boolean, columns array<int>, values array<smallint>").toArrow()
     positive = sample.column("p").to_numpy(zero_copy_only=False).astype(bool)
+    # Narrow numbers: the driver holds some hundreds of entries for each row of the sample.
     lists = sample.column("columns").combine_chunks()
-    columns = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    rows = np.repeat(np.arange(len(positive)), lists.value_lengths().to_numpy(zero_copy_only=False))
-    values = sample.column("values").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float)
+    columns = lists.flatten().to_numpy(zero_copy_only=False)
+    rows = np.repeat(np.arange(len(positive), dtype=np.int32), lists.value_lengths().to_numpy(zero_copy_only=False))
+    values = sample.column("values").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    del sample, lists
     weights, bias = fit_weights(rows, columns, values, positive, len(hashes), float(prior), decay=decay, folds=folds)
     return Model(kind, hashes, weights, bias, float(prior), True)
 
