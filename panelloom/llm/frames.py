@@ -82,3 +82,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_labels(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/labels.parquet")
+
+
+def read_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder.rstrip('/')}/embeddings.parquet")

@@ -9,8 +9,22 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.llm import byte_bpe, exact_dedup, language_id, ngram_jaccard, packing, phrase_fingerprint, pitman_yor, quality, substring_dedup, toxicity
-from panelloom.llm.frames import crc32_of_id, read_documents, read_labels
+from panelloom.llm import (
+    byte_bpe,
+    exact_dedup,
+    filter_audit,
+    language_id,
+    ngram_jaccard,
+    orchard,
+    packing,
+    phrase_fingerprint,
+    pii,
+    pitman_yor,
+    quality,
+    substring_dedup,
+    toxicity,
+)
+from panelloom.llm.frames import crc32_of_id, read_documents, read_embeddings, read_labels
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -86,6 +100,31 @@ def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_documents(spark, sf_dir))
 
 
+def filter_audit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_documents(spark, sf_dir), read_labels(spark, sf_dir))
+
+
+def orchard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = orchard.cluster(read_embeddings(spark, sf_dir))
+    components = F.concat_ws(",", F.transform("centroid", lambda x: x.cast("string")))
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(components, 256).alias("centroid_sha256"))
+
+
+def pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and ``base_sha256`` are of the undisguised spans; ``spans`` lists these and those the transducers add."""
+    found = pii.detect(read_documents(spark, sf_dir))
+    plain = F.filter("spans", lambda s: s["plain"])
+
+    def listed(spans: Column | str) -> Column:
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter(plain, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    counts = [number(kind) for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed(plain), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substring_query,
     "op2_byte_bpe": byte_bpe_query,
@@ -97,12 +136,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": language_query,
     "op9_exact_dedup": exact_dedup_query,
     "op10_pitman_yor": language_model_query,
+    "op11_filter_audit": filter_audit_query,
+    "op12_orchard": orchard_query,
+    "op13_pii": pii_query,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+
+def _orchard_sql(k: int = 40, rounds: int = 5) -> str:
+    """Plain rounds over all distances; every assignment is by (distance, number)."""
+    parts = [f"""
+        v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS p
+              FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+        c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, p) - 1 AS c, p AS q FROM (
+              SELECT sha256('2:' || coalesce(vec_id::VARCHAR, '')) AS h, p FROM v ORDER BY h, p LIMIT {k}))"""]
+    for i in range(rounds + 1):
+        parts.append(f"""
+        a{i} AS MATERIALIZED (SELECT r, min((d, c)) AS best FROM (
+              SELECT r, c, list_sum(list_transform(list_zip(p, q), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM v, c{i}) GROUP BY r)""")
+        if i < rounds:
+            parts.append(f"""
+        m{i} AS (SELECT c, list(m ORDER BY i) AS q FROM (SELECT c, i, (s - ((s % n) + n) % n) // n AS m FROM (
+              SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n FROM (
+                SELECT best[2] AS c, unnest(p) AS x, unnest(range(64)) AS i FROM v JOIN a{i} USING (r)) GROUP BY c, i)) GROUP BY c),
+        c{i + 1} AS MATERIALIZED (SELECT c{i}.c, coalesce(m{i}.q, c{i}.q) AS q FROM c{i} LEFT JOIN m{i} ON m{i}.c = c{i}.c)""")
+    return f"""WITH {",".join(parts)}
+        SELECT vec_id, best[2]::INT AS cluster, best[1]::BIGINT AS distance, (sum(best[1]) OVER (PARTITION BY best[2]))::BIGINT AS cluster_inertia,
+               (sum(best[1]) OVER ())::BIGINT AS inertia, sha256(array_to_string(q, ',')) AS centroid_sha256
+        FROM v JOIN a{rounds} USING (r) JOIN c{rounds} ON c = best[2]"""
+
+
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": f"""
         WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -131,4 +197,31 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM n WINDOW w AS (PARTITION BY t)""",
+    "op11_filter_audit": f"""
+        WITH l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+        d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
+        f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                     (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+                     + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::INT
+                     + 8 * regexp_matches(t, '[#$%&*|]')::INT
+                     + 16 * coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)::INT AS fails
+              FROM d LEFT JOIN l ON l.doc_id = d.doc_id),
+        n AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails),
+        x AS (SELECT unnest(range(5)) AS x),
+        o AS (SELECT row_number() OVER () AS o, [a.x, b.x, c.x, d.x, e.x] AS p FROM x a, x b, x c, x d, x e
+              WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+        s AS (SELECT o, p, i AS step, 1 << p[i] AS bit, coalesce(list_sum(list_transform(p[1:i - 1], lambda z: 1 << z)), 0)::BIGINT AS before
+              FROM o, (SELECT unnest(range(1, 6)) AS i)),
+        r AS (SELECT part, o, p, step, bit,
+                     sum(CASE WHEN fails & (before + bit) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+                     sum(CASE WHEN fails & before = 0 AND fails & bit != 0 THEN n ELSE 0 END)::BIGINT AS removed,
+                     sum(CASE WHEN fails & before != 0 AND fails & bit != 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+                     sum(CASE WHEN fails = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+                     sum(CASE WHEN fails & before = 0 AND fails & bit != 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+                     sum(CASE WHEN fails & before = 0 AND fails & bit != 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+              FROM n, s GROUP BY part, o, p, step, bit)
+        SELECT part, array_to_string(list_transform(p, lambda z: substr('ABCDE', z::INT + 1, 1)), '') AS filter_order, step::INT AS step,
+               kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+        FROM r""",
+    "op12_orchard": _orchard_sql(),
 }
