@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,9 +50,15 @@ class WordTokenizer:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._whole = Tokenizer.from_file(path)
+        # Special tokens printed in a text are taken out before words are cut; a word that only looks like one in lower case is none.
         self._whole.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             config = json.load(f)
+        special = {t["content"].encode("utf-8"): t["id"] for t in config["added_tokens"] if t["content"]}
+        if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in config["added_tokens"]):
+            raise ValueError("added tokens that take white space, need word ends or a normalized text are not supported")
+        self._special = {content: np.array([i], np.uint32) for content, i in special.items()}
+        self._printed = re.compile(b"|".join(re.escape(c) for c in sorted(special, key=len, reverse=True))) if special else None
         # For words of lower-case letters the normalizer and the pattern do nothing: skip them.
         config["normalizer"] = None
         config["pre_tokenizer"] = {
@@ -93,7 +100,27 @@ class WordTokenizer:
                 learn(hashes[part], cut(data, starts[part], ends[part]))
 
     def rows(self, part: Texts) -> Iterator[np.ndarray]:
-        """The ids of each row."""
+        """The ids of each row, special tokens included where the text has them in print."""
+        body = part.data.tobytes()
+        if self._printed is None or not any(content in body for content in self._special):
+            yield from self._plain_rows(part)
+            return
+        pieces, specials, first = [], [], [0]
+        for a, b in zip(part.offsets[:-1].tolist(), part.offsets[1:].tolist(), strict=True):
+            text, done = body[a:b], 0
+            for m in self._printed.finditer(text):
+                pieces.append(text[done : m.start()])
+                specials.append(self._special[m.group()])
+                done = m.end()
+            pieces.append(text[done:])
+            specials.append(np.zeros(0, np.uint32))
+            first.append(len(pieces))
+        offsets = np.cumsum([0, *map(len, pieces)])
+        ids = self._plain_rows(Texts(0, np.frombuffer(b"".join(pieces), np.uint8), offsets))
+        for a, b in zip(first[:-1], first[1:], strict=True):
+            yield np.concatenate([x for i in range(a, b) for x in (next(ids), specials[i])])
+
+    def _plain_rows(self, part: Texts) -> Iterator[np.ndarray]:
         data = LOWER[part.data]
         w = words(Texts(part.first, data, part.offsets))
         letter = _FIRST[data]

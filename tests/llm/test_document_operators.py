@@ -223,6 +223,19 @@ def test_packing(edge, nothing):
     assert packing.pack(nothing, path, 2).count() == 0
 
 
+def test_ids_of_texts_with_special_tokens_in_print():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain = Tokenizer.from_file(path)
+    r = random.Random(6)
+    bits = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext|", "|>", "<", "a", "Word", " ", "  ", "\n", ".", ",", "é", "e\u0301", "'s", "12", "漢", "x" * 30]
+    rows = ["".join(r.choice(bits) for _ in range(r.randrange(12))) for _ in range(1500)]
+    rows += ["<|endoftext|>", "<|endoftext|><|endoftext|>", "", "<|endof", "text|>", "<|startoftext|> " * 500]
+    got = [ids.tolist() for part in packing.texts(pa.array(rows), 300) for ids in packing.tokenizer(path).rows(part)]
+    assert got == [plain.encode(t, add_special_tokens=False).ids for t in rows]
+
+
 def test_packing_keeps_all_three_limits():
     r = random.Random(2)
     packer = packing.Packer(100, 4, 60, 0)
