@@ -80,23 +80,44 @@ def one_row(df: DataFrame, **aggregates: Column) -> Column:
 
 
 _ACCURACY = 2000
+# A bracket that missed its rank is made so many times wider.
+_WIDER = 8
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], accuracy: int = _ACCURACY) -> DataFrame:
     """Interpolated percentiles of an open-domain measure, one array per group.
 
-    A first pass brackets each wanted rank between two approximate percentiles, whose rank error is known (one part in
-    ``accuracy``, whatever the distribution). Two more passes count what lies below each bracket and the distinct values inside it,
-    about four parts in ``accuracy`` of a group; a running count over these finds the ranks exactly. All three are plain
-    aggregates with a map-side combine. The brackets, one row per group, are stored, so Spark knows their size and broadcasts
-    them where they are small; the rows of a group are never brought together.
+    A first pass brackets each wanted rank between two approximate percentiles. Two more passes count what lies below each bracket and
+    the distinct values inside it, about four parts in ``accuracy`` of a group; a running count over these finds the ranks exactly. All
+    three are plain aggregates with a map-side combine. Every rank is checked against the exact counts: where a bracket
+    turns out not to hold its rank, the group goes through the passes again with wider brackets, in the end from minimum to maximum. So
+    no result rests on the error of the approximation. Brackets and results, one row per group, are stored, so Spark
+    knows their size and broadcasts them where they are small; the rows of a group are never brought together.
     """
-    keys, count = list(keys), len(probabilities)
-    rows = df.where(F.col(value).isNotNull()).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(value).cast("double").alias("__v"))
+    spark = df.sparkSession
+    keys = list(keys)
     groups = [f"__k{i}" for i in range(len(keys))]
-    margin = 2.0 / accuracy
-    ends = [min(max(p + side * margin, 0.0), 1.0) for p in probabilities for side in (-1, 1)]
-    brackets = rows.groupBy(*groups).agg(
+    rows = df.where(F.col(value).isNotNull()).select(*[F.col(k).alias(g) for k, g in zip(keys, groups)], F.col(value).cast("double").alias("__v"))
+    path, width, missed = new_folder(spark, "quantiles"), 2.0 / accuracy, None
+    for attempt in range(64):
+        pending = rows if missed is None else _join_groups(rows, missed, groups)
+        brackets = _brackets(pending, groups, probabilities, width, accuracy)
+        brackets.write.parquet(f"{path}/brackets/{attempt}")
+        ranked = _ranked(pending, spark.read.schema(brackets.schema).parquet(f"{path}/brackets/{attempt}"), groups, probabilities)
+        ranked.write.parquet(f"{path}/results/attempt={attempt}")
+        results = spark.read.schema(ranked.schema).parquet(f"{path}/results/attempt={attempt}")
+        missed = results.where(F.exists("quantiles", lambda q: q.isNull())).select(*groups)
+        if missed.limit(1).count() == 0:
+            break
+        width *= _WIDER
+    found = spark.read.schema(ranked.schema).parquet(*[f"{path}/results/attempt={i}" for i in range(attempt + 1)])
+    return found.where(F.forall("quantiles", lambda q: q.isNotNull())).withColumnsRenamed(dict(zip(groups, keys)))
+
+
+def _brackets(rows: DataFrame, groups: Sequence[str], probabilities: Sequence[float], width: float, accuracy: int) -> DataFrame:
+    """``__size, __lo, __hi`` per group: the values ``width`` of the ranks below and above each probability, about."""
+    ends = [min(max(p + side * width, 0.0), 1.0) for p in probabilities for side in (-1, 1)]
+    found = rows.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("__size"), F.min("__v").alias("__min"), F.max("__v").alias("__max"),
         F.percentile_approx("__v", [float(e) for e in ends], accuracy).alias("__e"),
     )
@@ -105,16 +126,19 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilitie
         extreme = F.col("__min") if ends[i] == 0.0 else F.col("__max") if ends[i] == 1.0 else None
         return F.get("__e", i) if extreme is None else extreme
 
-    path = new_folder(df.sparkSession, "brackets")
-    shape = brackets.select(
-        *groups, "__size", F.array(*[edge(2 * i) for i in range(count)]).alias("__lo"), F.array(*[edge(2 * i + 1) for i in range(count)]).alias("__hi")
-    )
-    shape.write.parquet(path)
-    stored = df.sparkSession.read.schema(shape.schema).parquet(path)
-    placed = _join_groups(rows, stored, groups)
+    count = range(len(probabilities))
+    return found.select(*groups, "__size", F.array(*[edge(2 * i) for i in count]).alias("__lo"), F.array(*[edge(2 * i + 1) for i in count]).alias("__hi"))
+
+
+def _ranked(rows: DataFrame, brackets: DataFrame, groups: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """``quantiles`` per group, NULL where the exact counts show that a rank is not in its bracket."""
+    count = len(probabilities)
+    placed = _join_groups(rows, brackets, groups)
     low, high = [F.get("__lo", i) for i in range(count)], [F.get("__hi", i) for i in range(count)]
     below = placed.groupBy(*groups).agg(
+        F.max("__size").alias("__size"),
         *[F.count_if(F.col("__v") < low[i]).alias(f"__b{i}") for i in range(count)],
+        *[F.count_if(F.col("__v") > high[i]).alias(f"__c{i}") for i in range(count)],
         *[F.max(F.when(F.col("__v") < low[i], F.col("__v"))).alias(f"__z{i}") for i in range(count)],
         *[F.min(F.when(F.col("__v") > high[i], F.col("__v"))).alias(f"__a{i}") for i in range(count)],
     )
@@ -127,22 +151,28 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilitie
         .groupBy(*groups, "__i", "__v").agg(F.count(F.lit(1)).alias(WEIGHT))
     )
     upto = F.sum(WEIGHT).over(Window.partitionBy(*groups, "__i").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    sizes = _join_groups(below, stored.select(*groups, "__size"), groups).select(
-        *groups, "__size", *[F.array(*[f"__{x}{i}" for i in range(count)]).alias(f"__{x}") for x in "bza"]
+    # One row per group and probability, also where nothing lies inside the bracket.
+    each = below.select(
+        *groups, "__size", F.inline(F.array(*[
+            F.struct(F.lit(i).alias("__i"), F.lit(float(p)).alias("__p"), *[F.col(f"__{x}{i}").alias(f"__{x}") for x in "bcza"])
+            for i, p in enumerate(probabilities)
+        ])),
     )
-    ranked = _join_groups(inside.withColumn("__upto", upto), sizes, groups)
-    place = F.get(F.array(*[F.lit(float(p)) for p in probabilities]), F.col("__i")) * (F.col("__size") - 1)
-    under = F.get("__b", F.col("__i"))
+    ranked = _join_groups(each, inside.withColumn("__upto", upto), [*groups, "__i"], "left")
+    place = F.col("__p") * (F.col("__size") - 1)
 
     def at(rank: Column) -> Column:
-        """The value of a rank; in a small group it can be the neighbour of the bracket."""
-        found = F.coalesce(F.min(F.when(under + F.col("__upto") > rank, F.col("__v"))), F.max(F.get("__a", F.col("__i"))))
-        return F.when(F.max(rank < under), F.max(F.get("__z", F.col("__i")))).otherwise(found)
+        """The value of a rank: inside the bracket or, as exactly known, right beside it; else NULL."""
+        above = F.col("__size") - F.col("__c")  # the first rank above the bracket
+        return (
+            F.when(F.max(rank == F.col("__b") - 1), F.max("__z"))
+            .when(F.max(rank == above), F.max("__a"))
+            .when(F.max((rank >= F.col("__b")) & (rank < above)), F.min(F.when(F.col("__b") + F.col("__upto") > rank, F.col("__v"))))
+        )
 
     ends_at = [at(F.floor(place)), at(F.ceil(place))]
-    found = ranked.groupBy(*groups, "__i").agg((ends_at[0] + (ends_at[1] - ends_at[0]) * F.max(place - F.floor(place))).alias("__q"))
-    quantiles = F.array(*[F.max(F.when(F.col("__i") == i, F.col("__q"))) for i in range(count)])
-    return found.groupBy(*groups).agg(quantiles.alias("quantiles")).withColumnsRenamed(dict(zip(groups, keys)))
+    one = ranked.groupBy(*groups, "__i").agg((ends_at[0] + (ends_at[1] - ends_at[0]) * F.max(place - F.floor(place))).alias("__q"))
+    return one.groupBy(*groups).agg(F.array(*[F.max(F.when(F.col("__i") == i, F.col("__q"))) for i in range(count)]).alias("quantiles"))
 
 
 def open_distribution_stats(df: DataFrame, keys: Sequence[str], value: str, min_sample: int = 30, names: Mapping[str, str] | None = None) -> DataFrame:

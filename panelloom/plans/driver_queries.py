@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from panelloom.functions.bands import parse_band
 from panelloom.functions.headers import resolve_fields
+from panelloom.operators import effective as EF
 from panelloom.operators import mapping as M
 from panelloom.operators import options as O
 from panelloom.operators import quality as Q
@@ -22,6 +23,7 @@ from panelloom.operators import rates as A
 from panelloom.operators import reshape as RS
 from panelloom.operators import scoring as SC
 from panelloom.operators import shares as SH
+from panelloom.operators import similar as SM
 from panelloom.operators import stats as ST
 from panelloom.operators import trend as TR
 from panelloom.plans import answers as AN
@@ -599,6 +601,66 @@ def _(spark, sf_dir):
     return M.unmapped_values(orders, specs, "survey_year")
 
 
+_HISTORY = (
+    ("1-URGENT", "TOP", None, "1996-07-01", "v1"), ("1-URGENT", "CRITICAL", "1996-07-01", None, "v2"), ("2-HIGH", "TOP", None, None, "v1"),
+    ("3-MEDIUM", "NORMAL", None, "1995-01-01", "v1"), ("3-MEDIUM", "NORMAL", "1995-01-01", "1997-03-15", "v2"), ("3-MEDIUM", "LATER", "1997-03-15", None, "v3"),
+    ("4-NOT SPECIFIED", "NORMAL", "1994-01-01", None, "v1"),
+)
+_HISTORY_SQL = "history(raw_value, canonical_value, valid_from, valid_to, mapping_version) AS (VALUES " + ", ".join(
+    "(" + ", ".join("NULL" if v is None else f"'{v}'" for v in row) + ")" for row in _HISTORY
+) + ")"
+_IN_FORCE = "raw_value = o_orderpriority AND o_orderdate >= coalesce(valid_from, '0001-01-01')::TIMESTAMP AND o_orderdate < coalesce(valid_to, '9999-01-01')::TIMESTAMP"
+
+
+def _priority_history(spark):
+    """The history as a mapping file, written and read back, its intervals checked."""
+    path = f"{new_folder(spark, 'mapping')}/mapping_priority.csv"
+    schema = "raw_value string, canonical_value string, valid_from string, valid_to string, mapping_version string"
+    sinks.write_csv(tables.literal_table(spark, _HISTORY, schema), path)
+    history = tables.read_mapping(spark, path).withColumns({c: F.col(c).cast("timestamp") for c in (EF.START, EF.END)})
+    EF.require_intervals(history, ["raw_value"])
+    return history
+
+
+@query(
+    "map_as_of",
+    f"WITH {_HISTORY_SQL} SELECT canonical_value AS priority, mapping_version, count(*) AS orders, round(sum(o_totalprice), 2) AS total, "
+    f"CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders LEFT JOIN history ON {_IN_FORCE} GROUP BY 1, 2",
+)
+def _(spark, sf_dir):
+    """Every order's priority by the mapping row in force on its date."""
+    mapped = EF.map_as_of(
+        panel.scan(spark, sf_dir, "orders"), "o_orderpriority", {"priority": "canonical_value", "mapping_version": "mapping_version"}, _priority_history(spark), "o_orderdate"
+    )
+    return mapped.groupBy("priority", "mapping_version").agg(
+        F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"), F.sum("o_orderkey").alias("keys")
+    )
+
+
+@query(
+    "uncovered_values",
+    f"WITH {_HISTORY_SQL} SELECT o_orderpriority AS raw_value, min(o_orderdate) AS first_at, max(o_orderdate) AS last_at, count(*) AS rows FROM orders "
+    f"WHERE NOT EXISTS (SELECT 1 FROM history WHERE {_IN_FORCE}) GROUP BY 1",
+)
+def _(spark, sf_dir):
+    return EF.uncovered_values(panel.scan(spark, sf_dir, "orders"), "o_orderpriority", _priority_history(spark), "o_orderdate")
+
+
+_VERSIONED = ("current_role", "current_work_model", "employment_status", "gender", "ideal_work_model", "seniority")
+
+
+def _versions_sql(seniority: str) -> str:
+    return "'" + ",".join(f"{c}={seniority if c == 'seniority' else S.MAPPING_VERSION}" for c in _VERSIONED) + "'"
+
+
+add(
+    "from_raw_mapping_versions",
+    lambda s, d: SH.counts_by(landing.stored_silver(s, d).fact, ["survey_year", "seniority", "mapping_versions"]),
+    f"WITH {P} SELECT survey_year, seniority, CASE WHEN survey_year = 'year_1' THEN {_versions_sql('v1')} ELSE {_versions_sql('v2')} END AS mapping_versions, "
+    "count(*) AS respondent_count FROM panel GROUP BY 1, 2, 3",
+)
+
+
 @query(
     "option_labels_mapped",
     f"WITH {B} SELECT technology AS canonical_value, count(*) AS n FROM bridge GROUP BY 1",
@@ -787,6 +849,46 @@ def _(spark, sf_dir):
     return kept.groupBy("survey_year", "technology").agg(F.count_if("selected").alias("users"))
 
 
+def _family_sql(family: str) -> str:
+    """Every edition prints its own wording; the SQL names an option by the latest of them, by its number."""
+    _, answer, values = panel.FAMILIES[family]
+    editions = [e for e in S.EDITIONS if e in S.OPTION_FAMILIES[family]]
+    printed = {e: panel.printed_options(family, e) for e in editions}
+    options = {}
+    for i in range(len(values)):
+        having = tuple(e for e in editions if i in printed[e])
+        options[i] = (printed[having[-1]][i], having)
+    return sql([oracle.family(family, options, answer, list(values))], "trend", _TREND)
+
+
+for _family in panel.FAMILIES:
+    add(f"family_{_family.lower()}", lambda s, d, f=_family: panel.family_adoption(s, d, f), _family_sql(_family))
+
+
+_KEY_SQL = "trim(regexp_replace(lower({}), '[^\\p{{L}}\\p{{N}}+#]+', ' ', 'g'))"
+_TYPED = "CASE l_returnflag WHEN 'A' THEN upper(p_name) || '.' WHEN 'R' THEN replace(p_name, 'l', 'll') ELSE replace(p_name, 'i', 'y') END"
+
+
+@query(
+    "unmapped_advice",
+    f"WITH typed AS (SELECT DISTINCT p_type, {_TYPED} AS raw_value FROM lineitem JOIN part ON l_partkey = p_partkey), "
+    "known AS (SELECT DISTINCT p_type, p_name AS suggestion FROM part), "
+    "unknown AS (SELECT * FROM typed t WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.p_type = t.p_type AND suggestion = raw_value)), "
+    f"pairs AS (SELECT u.*, suggestion, {_KEY_SQL.format('raw_value')} AS a, {_KEY_SQL.format('suggestion')} AS b FROM unknown u JOIN known k ON k.p_type = u.p_type), "
+    "near AS (SELECT *, levenshtein(a, b) AS distance FROM pairs WHERE levenshtein(a, b) <= floor(0.4::DOUBLE * greatest(length(a), length(b)))), "
+    "ranked AS (SELECT *, row_number() OVER (PARTITION BY p_type, raw_value ORDER BY distance, suggestion) AS place FROM near) "
+    "SELECT p_type, raw_value, suggestion, CAST(distance AS BIGINT) AS distance, CAST(place AS BIGINT) AS place FROM ranked WHERE place <= 3",
+)
+def _(spark, sf_dir):
+    """Part names as lines typed them: the three nearest names of the type for each one no part has."""
+    parts = panel.scan(spark, sf_dir, "part")
+    lines = panel.scan(spark, sf_dir, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    typed = lines.select("p_type", F.expr(_TYPED).alias("raw_value"))
+    known = parts.select("p_type", F.col("p_name").alias("raw_value")).distinct()
+    unknown = typed.distinct().join(known, ["p_type", "raw_value"], "left_anti")
+    return SM.nearest_known(unknown, known, ["p_type"])
+
+
 # ---- AI block ---------------------------------------------------------------------------
 
 _FLAGS = " ".join(S.GENAI_METRICS)

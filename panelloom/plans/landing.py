@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from panelloom.plans import panel
 from panelloom.plans import survey_config as S
-from panelloom.plans.survey_job import SilverTables, gold_tables, land_bronze, read_gold, write_silver
+from panelloom.plans.mapping_store import write_mappings
+from panelloom.plans.survey_job import SilverTables, gold_tables, read_gold, refresh
 from panelloom.session import new_folder
 from panelloom.sources.sinks import write_csv, write_table
+from panelloom.sources.tables import literal_table
 
 _ALIAS_OF = {canonical: label for label, canonical in S.DATABASE_ALIASES.items()}
 
@@ -69,6 +71,17 @@ def write_raw_editions(spark: SparkSession, sf_dir: str, root: str) -> dict[str,
     return paths
 
 
+def write_versioned_mappings(spark: SparkSession, folder: str) -> str:
+    """Mapping files with a history: roles by edition, and seniority in a second version from the second edition on."""
+    roles = literal_table(spark, S.ROLE, "raw_value string, survey_year_scope string, canonical_role string, comparability_group string")
+    first, second = S.EDITIONS[0], S.EDITIONS[1]
+    history = [(raw, value, None, second, "v1") for raw, value in S.SENIORITY] + [(raw, value, second, None, "v2") for raw, value in S.SENIORITY]
+    seniority = literal_table(spark, history, "raw_value string, canonical_value string, valid_from string, valid_to string, mapping_version string")
+    gender = literal_table(spark, [(raw, value, first, None, S.MAPPING_VERSION) for raw, value in S.GENDER], "raw_value string, canonical_value string, valid_from string, valid_to string, mapping_version string")
+    write_mappings({"role": roles.withColumn("mapping_version", F.lit(S.MAPPING_VERSION)), "seniority": seniority, "gender": gender}, folder)
+    return folder
+
+
 _stored: dict[tuple[str, str], SilverTables] = {}
 
 
@@ -77,7 +90,8 @@ def stored_silver(spark: SparkSession, sf_dir: str) -> SilverTables:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
         root = new_folder(spark, "survey")
-        _stored[key] = write_silver(spark, land_bronze(spark, write_raw_editions(spark, sf_dir, root), root), root)
+        raw = write_raw_editions(spark, sf_dir, root)
+        _stored[key], _ = refresh(spark, raw, root, write_versioned_mappings(spark, f"{root}/mappings"))
     return _stored[key]
 
 

@@ -195,3 +195,23 @@ norm AS (
 score AS (
   SELECT *, (0.30 * normalized_adoption_growth_pp + 0.25 * normalized_cross_role_prevalence + 0.20 * normalized_salary_association
     + 0.15 * normalized_senior_role_prevalence) / 0.90 AS priority_score FROM norm)"""
+
+
+def family(name: str, options: dict[int, tuple[str, tuple[str, ...]]], answer: str, values: list) -> str:
+    """Adoption, rank and change of one option family: ``options`` has each option's name and the editions that print it."""
+    rows = ",".join(f"({i},{_quote(values[i])},{_quote(label)},{_quote(e)})" for i, (label, editions) in options.items() for e in editions)
+    return f"""
+opts(i, answer, technology, survey_year) AS (VALUES {rows}),
+eds AS (SELECT o_orderkey,
+    CASE WHEN year(o_orderdate) <= 1996 THEN 'year_1' WHEN year(o_orderdate) <= 1998 THEN 'year_2' ELSE 'year_3' END AS survey_year FROM orders),
+picks AS (SELECT DISTINCT l_orderkey, CAST({answer} AS VARCHAR) AS answer FROM lineitem
+    LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN supplier ON l_suppkey = s_suppkey),
+shown AS (SELECT survey_year, count(*) AS eligible_respondents FROM eds WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem) GROUP BY 1),
+used AS (SELECT survey_year, answer, count(*) AS n FROM eds JOIN picks ON l_orderkey = o_orderkey GROUP BY 1, 2),
+adoption AS (SELECT o.technology, o.survey_year, coalesce(n, 0) AS technology_users, eligible_respondents,
+    coalesce(n, 0) / CAST(eligible_respondents AS DOUBLE) AS adoption_rate
+    FROM opts o JOIN shown s ON s.survey_year = o.survey_year LEFT JOIN used u ON u.survey_year = o.survey_year AND u.answer = o.answer),
+ranked AS (SELECT *, rank() OVER (PARTITION BY survey_year ORDER BY adoption_rate DESC) AS rank FROM adoption),
+trend AS (
+  SELECT r.*, (r.adoption_rate - p.adoption_rate) * 100 AS yoy FROM ranked r LEFT JOIN adoption p
+    ON p.technology = r.technology AND CAST(substr(p.survey_year, 6) AS INT) = CAST(substr(r.survey_year, 6) AS INT) - 1)"""

@@ -19,6 +19,7 @@ from panelloom.plans import gold as G
 from panelloom.plans import silver
 from panelloom.plans import survey_config as S
 from panelloom.plans.survey_job import DIMENSION_TABLES
+from panelloom.session import new_folder
 from panelloom.sources.tables import read_table
 
 EDITION = "survey_year"
@@ -67,6 +68,21 @@ def _case(column: str, labels: dict[str, str]) -> str:
     return f"CASE {column} " + " ".join(f"WHEN {_text(k)} THEN {_text(v)}" for k, v in labels.items()) + " END"
 
 
+# What the lines of an order say about each option family: the options and which of them a line ticks.
+_ADJECTIVES = ("blue", "cold", "hot", "large", "new", "old", "red", "small")
+_NOUNS = ("anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget")
+FAMILIES = {
+    "LANGUAGE": ([f"Written in {a}" for a in _ADJECTIVES], "split_part(p_name, ' ', 1)", _ADJECTIVES),
+    "CLOUD": ([f"{n.capitalize()} hosting" for n in _NOUNS], "split_part(p_name, ' ', 2)", _NOUNS),
+    "BI_TOOL": ([f"{a} {n}" for a in _ADJECTIVES for n in _NOUNS], "p_name", [f"{a} {n}" for a in _ADJECTIVES for n in _NOUNS]),
+    "ETL_TOOL": ([f"Nation {i} pipelines" for i in range(25)], "s_nationkey", range(25)),
+    "DATA_SCIENCE_METHOD": ([f"Tests with up to {10 * i} samples (t, chi)" for i in range(1, 6)], "CAST(ceil(l_quantity / 10) AS INT)", range(1, 6)),
+    "DATA_SCIENCE_TOOL": ([f"{t.capitalize()} notebooks" for t in TYPES], "p_type", TYPES),
+    "AI_USE_CASE": ([f"{what} {how}" for what in ("Answers", "Notes", "Reports") for how in ("for the team", "for clients")],
+                    "concat(l_returnflag, l_linestatus)", [a + b for a in "ANR" for b in "FO"]),
+    "AI_BLOCKER": ([f"Costs above {i} percent" for i in range(11)], "CAST(round(l_discount * 100) AS INT)", range(11)),
+}
+
 # The edition of an order, and every panel field as an expression over the joined tables.
 EDITION_SQL = (
     "CASE WHEN year(o_orderdate) <= 1996 THEN 'year_1' WHEN year(o_orderdate) <= 1998 THEN 'year_2' ELSE 'year_3' END"
@@ -155,7 +171,7 @@ def block_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = scan(spark, sf_dir, "part").selectExpr(
         "p_partkey AS l_partkey",
         "shiftleft(1L, CAST(substring(p_brand, 7) AS INT) - 1)"
-        f" | shiftleft(1L, CAST(array_position(array({kinds}), p_type) AS INT) + 24)"
+        f" | coalesce(shiftleft(1L, CAST(nullif(array_position(array({kinds}), p_type), 0) AS INT) + 24), 0L)"
         " | shiftleft(1L, CASE WHEN p_size <= 10 THEN 31 WHEN p_size <= 30 THEN 32 ELSE 33 END) AS part_bits",
     )
     traits = ("l_returnflag = 'A'", "l_returnflag = 'R'", "l_linestatus = 'O'", "l_discount >= 0.08D")
@@ -209,6 +225,71 @@ def fact(spark: SparkSession, sf_dir: str, columns: Collection[str]) -> DataFram
     return harmonized.select(EDITION, "respondent_id", *columns)
 
 
+def printed_options(family: str, edition: str) -> dict[int, str]:
+    """Option number to its label as an edition prints it.
+
+    The first edition is in capitals and lacks the last option. The third lacks the first one, ends labels with a stop, marks the
+    first ``o`` and misspells every fifth option.
+    """
+    labels = dict(enumerate(FAMILIES[family][0]))
+    if edition == S.EDITIONS[0]:
+        del labels[len(labels) - 1]
+        return {i: label.upper() for i, label in labels.items()}
+    if edition == S.EDITIONS[-1]:
+        del labels[0]
+        return {i: (label[:3] + label[2:] if i % 5 == 0 else label).replace("o", "ó", 1) + "." for i, label in labels.items()}
+    return labels
+
+
+def family_headers(family: str, edition: str) -> dict[str, int | None]:
+    """Header to option number of one family's block, the umbrella column first."""
+    prefix = S.OPTION_FAMILIES[family].get(edition)
+    if prefix is None:
+        return {}
+    dotted = S.HEADER_DIALECT[edition] == "dot"
+
+    def header(code: str, label: str) -> str:
+        return f"{code}_{label}" if dotted else str((f"{code} ", label))
+
+    options = {header(f"{prefix}{i + 1}", label): i for i, label in printed_options(family, edition).items()}
+    return {header(prefix[:-1], family.lower()): None, **options}
+
+
+def family_bronze(spark: SparkSession, sf_dir: str, family: str) -> dict[str, DataFrame]:
+    """One wide raw frame per edition with the family's block under its printed headers.
+
+    The ticks of an order are one number, stored once by edition; an order without lines has a blank block.
+    """
+    _, answer, values = FAMILIES[family]
+    listed = ", ".join(_text(v) if isinstance(v, str) else str(v) for v in values)
+    lines = scan(spark, sf_dir, "lineitem")
+    if "p_" in answer:
+        lines = lines.join(scan(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    if "s_" in answer:
+        lines = lines.join(scan(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    place = f"CAST(nullif(array_position(array({listed}), {answer}), 0) AS INT)"
+    ticks = lines.groupBy("l_orderkey").agg(F.expr(f"coalesce(bit_or(shiftleft(1L, {place} - 1)), 0L)").alias("mask"))
+    orders = scan(spark, sf_dir, "orders").join(ticks, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    path = new_folder(spark, "family")
+    orders.selectExpr(f"{EDITION_SQL} AS {EDITION}", f"format_string('%s_%06d', {EDITION_SQL}, o_orderkey) AS respondent_id", "mask").write.partitionBy(
+        EDITION
+    ).parquet(path)
+    stored = spark.read.schema(f"respondent_id string, mask bigint, {EDITION} string").parquet(path)
+    frames = {}
+    for edition in S.EDITIONS:
+        columns = [
+            (F.lit(None).cast("string") if i is None else F.expr(f"CAST(CAST(shiftrightunsigned(mask, {i}) & 1L AS DOUBLE) AS STRING)")).alias(header)
+            for header, i in family_headers(family, edition).items()
+        ]
+        if columns:
+            frames[edition] = stored.where(F.col(EDITION) == edition).select(EDITION, "respondent_id", *columns)
+    return frames
+
+
+def family_adoption(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
+    return G.technology_adoption(silver.family_adoption(family_bronze(spark, sf_dir, family), family))
+
+
 def block(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_panel(spark, sf_dir, list(OPTION_COLUMNS))
 

@@ -282,6 +282,11 @@ OPTION_FAMILIES = {
     "AI_USE_CASE": {"year_2": "P3_f_", "year_3": "3.f."},
     "AI_BLOCKER": {"year_2": "P3_g_", "year_3": "3.h."},
 }
+# Options reworded beyond recognition: label and the label it stands for.
+OPTION_ALIASES = {
+    **DATABASE_ALIASES,
+    "Não utilizo nenhuma das linguagens listadas": "Não utilizo nenhuma linguagem",
+}
 
 MIN_SAMPLE_SIZE = 30
 SENIOR_LEVELS = ("SENIOR", "SPECIALIST")

@@ -5,14 +5,18 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from panelloom.plans import answers as answer_plans
 from panelloom.plans import gold as G
 from panelloom.plans import silver
 from panelloom.plans import survey_config as S
-from panelloom.sources.bronze import ingest_edition
+from panelloom.plans.mapping_store import StoredMappings, fingerprints
+from panelloom.sources.bronze import ingest_edition, read_bronze
+from panelloom.sources.header_index import files_state
 from panelloom.sources.sinks import write_answer, write_partitioned, write_table
+from panelloom.sources.tables import literal_table
 
 DIMENSION_TABLES = {
     "gold_compensation_by_role": "current_role",
@@ -29,20 +33,32 @@ class SilverTables:
     ai: DataFrame
 
 
+def known_codes(edition: str) -> set[str]:
+    """Question codes and block prefixes the configuration knows in an edition; only these may extend a header."""
+    codes = {c for c in S.field_codes(edition).values() if c} | {p[edition] for p in S.OPTION_FAMILIES.values() if p.get(edition)}
+    codes |= {c for c in (S.AI_PRIORITY_CODE[edition], S.GENAI_PREFIX[edition]) if c}
+    return codes | {prefix[:-1] for prefix in codes if prefix.endswith(("_", "."))}
+
+
 def land_bronze(spark: SparkSession, raw: Mapping[str, str], root: str, multi_line: bool = True) -> dict[str, DataFrame]:
     """Ingest each edition's raw CSV (edition to path) below ``root``/bronze."""
     return {
-        edition: ingest_edition(spark, path, f"{root}/bronze", edition, multi_line=multi_line)
+        edition: ingest_edition(
+            spark, path, f"{root}/bronze", edition, multi_line=multi_line, dialect=S.HEADER_DIALECT[edition], known=known_codes(edition)
+        )
         for edition, path in raw.items()
     }
 
 
 def write_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], root: str, tables: Mapping[str, DataFrame] | None = None) -> SilverTables:
-    """Write the three Silver tables and return them as stored, so nothing is computed twice."""
+    """Write the three Silver tables and return them as stored, so nothing is computed twice.
+
+    Only the partitions of the editions in ``bronze`` are written.
+    """
     tables = tables or silver.default_mappings(spark)
     parts = {
         "respondents": silver.build_fact_respondent(bronze, tables),
-        "bridge_respondent_technology": silver.build_technology_bridge(bronze),
+        "bridge_respondent_technology": silver.build_technology_bridge(bronze, tables),
         "fact_ai_adoption": silver.build_ai_fact(bronze, tables),
     }
     for name, table in parts.items():
@@ -58,6 +74,57 @@ def read_silver(spark: SparkSession, root: str) -> SilverTables:
     )
 
 
+# Inputs of the stored Silver tables: one row per edition and input.
+_INPUTS = "edition string, input string, state string"
+_RAW, _CODE = "raw files", "pipeline"
+
+
+def _stored_inputs(spark: SparkSession, root: str) -> dict[tuple[str, str], str]:
+    try:
+        rows = spark.read.schema(_INPUTS).parquet(f"{root}/silver/_inputs").collect()
+    except AnalysisException:  # nothing stored yet
+        return {}
+    return {(r["edition"], r["input"]): r["state"] for r in rows}
+
+
+def changed_editions(before: Mapping[tuple[str, str], str], now: Mapping[tuple[str, str], str]) -> list[str]:
+    """Editions of which any input is new, gone or in another state."""
+    return sorted({key[0] for key in {**before, **now} if before.get(key) != now.get(key)} & {e for e, _ in now})
+
+
+def refresh(spark: SparkSession, raw: Mapping[str, str], root: str, mappings: str | None = None, multi_line: bool = True) -> tuple[SilverTables, list[str]]:
+    """Bring Bronze and Silver up to date and say which editions had to be processed.
+
+    An edition is landed again if its raw files changed, and harmonized again if they did or if any mapping row in force in it did.
+    The state of all inputs is kept beside the Silver tables; it is dropped before they are touched and written when they
+    are complete, so an interrupted run repeats its work.
+    """
+    tables = silver.default_mappings(spark) if mappings is None else StoredMappings(spark, mappings)
+    before = _stored_inputs(spark, root)
+    meanings = fingerprints(tables)
+    files = {edition: files_state(spark, path) for edition, path in raw.items()}
+    now = {
+        **{(edition, _RAW): state for edition, state in files.items()},
+        **{(edition, _CODE): S.PIPELINE_VERSION for edition in raw},
+        **{key: state for key, state in meanings.items() if key[0] in raw},
+    }
+    changed = changed_editions(before, now)
+    if changed:
+        _write_inputs(spark, {k: v for k, v in before.items() if k[0] not in changed}, root)
+        new_files = [e for e in changed if before.get((e, _RAW)) != files[e]]
+        bronze = land_bronze(spark, {e: raw[e] for e in new_files}, root, multi_line)
+        bronze.update({e: read_bronze(spark, f"{root}/bronze", e) for e in changed if e not in new_files})
+        write_silver(spark, {e: bronze[e] for e in changed}, root, tables)
+        kept = {**{k: v for k, v in before.items() if k[0] not in changed}, **{k: v for k, v in now.items() if k[0] in changed}}
+        _write_inputs(spark, kept, root)
+    return read_silver(spark, root), changed
+
+
+def _write_inputs(spark: SparkSession, states: Mapping[tuple[str, str], str], root: str) -> None:
+    rows = [(edition, name, state) for (edition, name), state in states.items()] or [(None, None, None)]
+    write_table(literal_table(spark, rows, _INPUTS).where("edition is not null"), f"{root}/silver/_inputs")
+
+
 def gold_tables(tables: SilverTables, adoption: DataFrame | None = None) -> dict[str, DataFrame]:
     """The nine Gold tables by name. ``adoption`` replaces the bridge as source of the rates."""
     technology = G.technology_adoption_from_bridge(tables.bridge) if adoption is None else G.technology_adoption(adoption)
@@ -71,18 +138,37 @@ def gold_tables(tables: SilverTables, adoption: DataFrame | None = None) -> dict
     }
 
 
-def run(spark: SparkSession, raw: Mapping[str, str], root: str, multi_line: bool = True) -> dict[str, DataFrame]:
-    """Raw CSV files to stored answers. Every layer is read back from storage by the next one."""
-    stored = write_silver(spark, land_bronze(spark, raw, root, multi_line), root)
-    for name, table in gold_tables(stored).items():
-        write_table(table, f"{root}/gold/{name}")
+def run(spark: SparkSession, raw: Mapping[str, str], root: str, multi_line: bool = True, mappings: str | None = None) -> dict[str, DataFrame]:
+    """Raw CSV files to stored answers. Every layer is read back from storage by the next one.
+
+    ``mappings`` is a folder of mapping files, see :mod:`panelloom.plans.mapping_store`. Run again on the same ``root``, only editions
+    whose raw files or mapping rows changed are processed; with nothing changed the stored tables are returned.
+    """
+    stored, changed = refresh(spark, raw, root, mappings, multi_line)
+    if changed:
+        for name, table in gold_tables(stored).items():
+            write_table(table, f"{root}/gold/{name}")
+        bronze = {e: read_bronze(spark, f"{root}/bronze", e) for e in raw}
+        for name, table in family_tables(spark, bronze).items():
+            write_table(table, f"{root}/gold/{name}")
     gold = read_gold(spark, root)
     answers = answer_plans.all_answers(gold)
-    for name, table in answers.items():
-        write_answer(table, f"{root}/gold/business_answers/{name}")
+    if changed:
+        for name, table in answers.items():
+            write_answer(table, f"{root}/gold/business_answers/{name}")
     return {**gold, **answers}
 
 
+def family_tables(spark: SparkSession, bronze: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Adoption, rank and change of every further option family whose block some edition printed."""
+    headers = {e: df.columns for e, df in bronze.items()}
+    present = sorted({family for family, _, _ in silver.family_labels(headers)} - {"DATABASE"})
+    if not present:
+        return {}
+    names = silver.family_names(spark, headers, present)
+    return {f"gold_{family.lower()}_adoption": G.technology_adoption(silver.family_adoption(bronze, family, names)) for family in present}
+
+
 def read_gold(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     names = (
         "gold_market_overview", *DIMENSION_TABLES, "gold_gender_representation",

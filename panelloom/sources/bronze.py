@@ -1,25 +1,33 @@
-"""Bronze: raw rows as received, lineage columns in front, one stored row number.
+"""Bronze: raw rows as received, lineage columns in front, one lasting row number.
 
-The row number is the only identity a respondent has, so it is assigned once here and
-stored; later tables read it and never derive it again.
+The row number is the only identity a respondent has. It follows from the stored rows themselves: raw rows are written once, each
+with the file and split it came from, and a small table beside them holds for every (part file, split) the number of its first row.
+The number of a row is that plus its place in the part file, whatever splits were packed into a task and however many part
+files a task wrote. Read Bronze through :func:`read_bronze`; rewriting its part files would lose the numbers, so nothing does.
 """
 
 from __future__ import annotations
 
+from collections.abc import Collection
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelloom.functions.scalars import numbered_key
+from panelloom.functions.scalars import numbered_key, quoted
 from panelloom.session import new_folder
-from panelloom.sources.sinks import write_partitioned
-from panelloom.sources.tables import read_headered_csv
+from panelloom.sources.header_index import HeaderIndex, index_files
+from panelloom.sources.tables import CSV_READ, string_schema
 
 ROW_ID = "respondent_id"
 LINEAGE = ("survey_year", "source_file", "ingestion_timestamp")
 
-# The running totals per split or file are sent to all tasks up to this size, measured; beyond it the join is a shuffle
-# with the same numbers. 16 bytes a split: a thousand million splits are needed to get there.
+# The first numbers per part file and split are sent to all tasks up to this size, measured (some 130 bytes a row); beyond it the
+# join is a shuffle with the same numbers. At 128 MB a split that is about 256 TB of raw files.
 _SENT_BYTES = 256 << 20
+_ROW_BYTES = 130
+
+_FILE, _BLOCK = "__source_path", "__source_block"
 
 
 def with_lineage(df: DataFrame, edition: str, source_file: Column | str) -> DataFrame:
@@ -33,85 +41,116 @@ def with_lineage(df: DataFrame, edition: str, source_file: Column | str) -> Data
     )
 
 
-def number_rows(df: DataFrame, name: str = "row_number", base: Column | None = None) -> DataFrame:
-    """Consecutive numbers from 0 in file order: file name, then position in the file.
+def first_numbers(stored: DataFrame, base: int = 0) -> DataFrame:
+    """``part, __source_path, __source_block, shift``: a row's number is its place in the part file plus ``shift``.
 
-    ``df`` must be a plain file scan. Its rows are stored once with the file and byte offset of their split; the numbers come from
-    the stored rows alone, so it does not matter how splits were dealt to tasks, then or later.
+    ``stored`` is a plain scan of rows written by a task per run of splits. A task writes the rows of a split one after the
+    other, into one part file or, with ``spark.sql.files.maxRecordsPerFile``, into several that are counted up in their names. So the
+    order is source file, split, part file (longer names are later ones), place.
     """
-    tagged = df.select(
-        "*",
-        F.col("_metadata.file_path").alias("__file"),
-        F.col("_metadata.file_block_start").alias("__block"),
+    # One row per (part file, split): a few bytes for every 128 MB of raw files.
+    in_order = Window.orderBy(_FILE, _BLOCK, F.length("part"), "part").rowsBetween(Window.unboundedPreceding, -1)
+    counted = (
+        stored.select(F.col("_metadata.file_name").alias("part"), _FILE, _BLOCK, F.col("_metadata.row_index").alias("__index"))
+        .groupBy("part", _FILE, _BLOCK)
+        .agg(F.count(F.lit(1)).alias("rows"), F.min("__index").alias("first"))
     )
-    return number_tagged(tagged, name, F.lit(0) if base is None else base)
+    before = F.coalesce(F.sum("rows").over(in_order), F.lit(0))
+    return counted.select("part", _FILE, _BLOCK, (before - F.col("first") + F.lit(base)).alias("shift"))
 
 
-def number_tagged(tagged: DataFrame, name: str, base: Column) -> DataFrame:
-    """The same for rows that already carry ``__file`` and ``__block``, in the order of their split."""
-    spark = tagged.sparkSession
-    split = F.xxhash64("__file", "__block")
-    path = new_folder(spark, "numbering")
-    tagged.withColumn("__split", split).write.parquet(f"{path}/rows")
-    # A task writes the rows of a split one after the other into one part file.
-    rows = spark.read.schema(tagged.withColumn("__split", split).schema).parquet(f"{path}/rows").select("*", F.col("_metadata.row_index").alias("__index"))
-    in_file_order = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
-    (
-        rows.groupBy("__split").agg(
-            F.min("__file").alias("__file"), F.min("__block").alias("__block"), F.count(F.lit(1)).alias("__rows"), F.min("__index").alias("__first")
-        )
-        .select("__split", (F.coalesce(F.sum("__rows").over(in_file_order), F.lit(0)) - F.col("__first")).alias("__shift"))
-        .write.parquet(f"{path}/splits")
-    )
-    splits = spark.read.parquet(f"{path}/splits")
-    numbered = rows.join(_sent(splits, 16), "__split").withColumn(name, F.col("__index") + F.col("__shift") + base)
-    return numbered.drop("__file", "__block", "__split", "__index", "__shift")
+def numbered(stored: DataFrame, numbers: DataFrame, name: str) -> DataFrame:
+    """``stored`` with the number of each row; its two source columns go."""
+    sent = F.broadcast(numbers) if numbers.count() * _ROW_BYTES <= _SENT_BYTES else numbers
+    placed = stored.select("*", F.col("_metadata.file_name").alias("part"), F.col("_metadata.row_index").alias("__index"))
+    # Rows whose numbers were not finished (a landing cut off between its two writes) must not vanish.
+    shift = F.coalesce("shift", F.raise_error(F.lit("row numbers are missing; land the files again")).cast("bigint"))
+    joined = placed.join(sent, ["part", _FILE, _BLOCK], "left")
+    return joined.withColumn(name, F.col("__index") + shift).drop("part", _FILE, _BLOCK, "__index", "shift")
+
+
+def tagged(df: DataFrame) -> DataFrame:
+    """A plain file scan (or its columns and ``_metadata``) with the file and split of each row."""
+    placed = df.select("*", F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.file_block_start").alias(_BLOCK))
+    return placed.drop("_metadata")
 
 
-def _sent(df: DataFrame, row_bytes: int) -> DataFrame:
-    return F.broadcast(df) if df.count() * row_bytes <= _SENT_BYTES else df
+def number_rows(df: DataFrame, name: str = "row_number", base: Column | int = 0) -> DataFrame:
+    """Consecutive numbers from ``base`` in file order: file name, then position in the file.
+
+    ``df`` must be a plain file scan. Its rows are stored once in the shared folder and numbered there, see :func:`first_numbers`.
+    """
+    path = new_folder(df.sparkSession, "numbering")
+    tagged(df).write.parquet(f"{path}/rows")
+    stored = df.sparkSession.read.parquet(f"{path}/rows")
+    first_numbers(stored).write.parquet(f"{path}/numbers")
+    keyed = numbered(stored, df.sparkSession.read.parquet(f"{path}/numbers"), name)
+    return keyed.withColumn(name, F.col(name) + base)
 
 
 def number_parquet_rows(df: DataFrame, name: str = "row_number") -> DataFrame:
     """Like :func:`number_rows` for parquet, whose scan already knows the row's index in its file."""
     spark = df.sparkSession
-    file = F.xxhash64(F.col("_metadata.file_path"))
-    tagged = df.select("*", file.alias("__split"), F.col("_metadata.row_index").alias("__index"))
+    tagged = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__index"))
     before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
     path = new_folder(spark, "numbering")
     (
         df.groupBy(F.col("_metadata.file_path").alias("__file"))
         .agg(F.count(F.lit(1)).alias("__rows"))
-        .select(F.xxhash64("__file").alias("__split"), F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"))
+        .select("__file", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"))
         .write.parquet(path)
     )
     files = spark.read.parquet(path)
-    return tagged.join(_sent(files, 16), "__split").withColumn(name, F.col("__offset") + F.col("__index")).drop("__split", "__index", "__offset")
+    sent = F.broadcast(files) if files.count() * _ROW_BYTES <= _SENT_BYTES else files
+    return tagged.join(sent, "__file").withColumn(name, F.col("__offset") + F.col("__index")).drop("__file", "__index", "__offset")
 
 
-def read_raw_edition(spark: SparkSession, path: str, edition: str, source_file: str | None = None, multi_line: bool = True) -> DataFrame:
-    """Raw CSV with lineage and the surrogate key ``{edition}_{row:06d}``; the source is the file a row came from."""
-    raw = read_headered_csv(spark, path, multi_line=multi_line)
-    named = raw.select(
-        (F.lit(source_file) if source_file else F.col("_metadata.file_name")).alias("__source"),
-        "*",
-        F.col("_metadata.file_path").alias("__file"),
-        F.col("_metadata.file_block_start").alias("__block"),
-    )
-    keyed = number_tagged(named, "__row", F.lit(0)).select(
-        "__source",
-        numbered_key(F.lit(edition), F.col("__row")).alias(ROW_ID),
-        *[F.col("`" + c.replace("`", "``") + "`") for c in raw.columns],
-    )
-    return with_lineage(keyed, edition, F.col("__source")).drop("__source")
+def scan_edition(spark: SparkSession, index: HeaderIndex, multi_line: bool = True) -> DataFrame:
+    """All files of an indexed edition under the edition's columns, with the file and split of each row.
 
-
-def ingest_edition(spark: SparkSession, raw_path: str, bronze_path: str, edition: str, source_file: str | None = None, multi_line: bool = True) -> DataFrame:
+    One scan per distinct header; a column a file does not print is NULL in its rows.
+    """
+    reader = spark.read.options(**CSV_READ).option("multiLine", multi_line)
+    parts = []
+    for group in index.groups:
+        rows = tagged(reader.schema(string_schema(group.header)).csv(list(group.files)))
+        parts.append(rows.select(F.col("_metadata.file_name").alias("__source"), _FILE, _BLOCK, *[quoted(c).alias(n) for c, n in zip(group.header, group.names)]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def ingest_edition(
+    spark: SparkSession,
+    raw_path: str,
+    bronze_path: str,
+    edition: str,
+    source_file: str | None = None,
+    multi_line: bool = True,
+    dialect: str | None = None,
+    known: Collection[str] | None = None,
+) -> DataFrame:
     """Land one edition below its own Bronze folder and return the stored table.
 
-    Editions have different headers, so each has a folder of its own rather than one merged
-    schema with a thousand mostly-NULL columns.
+    Raw rows are written once, by the tasks that read them; no sort or shuffle comes between, so a split stays in order. Editions
+    have different headers, so each has a folder of its own rather than one merged schema with a thousand mostly-NULL
+    columns. ``dialect`` and ``known`` are those of :func:`panelloom.sources.header_index.index_headers`.
     """
+    index = index_files(spark, raw_path, dialect, known)
+    rows = scan_edition(spark, index, multi_line)
+    source = F.lit(source_file) if source_file else F.col("__source")
+    landed = rows.select(source.alias("source_file"), F.current_timestamp().alias("ingestion_timestamp"), _FILE, _BLOCK, *[quoted(c) for c in index.columns])
     target = f"{bronze_path.rstrip('/')}/{edition}"
-    write_partitioned(read_raw_edition(spark, raw_path, edition, source_file, multi_line), target)
-    return spark.read.parquet(target)
+    folder = f"{target}/survey_year={edition}"
+    landed.write.mode("overwrite").parquet(folder)
+    first_numbers(spark.read.parquet(folder)).write.mode("overwrite").parquet(f"{target}/_numbers")
+    return read_bronze(spark, bronze_path, edition)
+
+
+def read_bronze(spark: SparkSession, bronze_path: str, edition: str) -> DataFrame:
+    """A landed edition: lineage, the surrogate key ``{edition}_{row:06d}``, raw columns."""
+    target = f"{bronze_path.rstrip('/')}/{edition}"
+    stored = spark.read.option("basePath", target).parquet(f"{target}/survey_year={edition}")
+    raw = [c for c in stored.columns if c not in (*LINEAGE, _FILE, _BLOCK)]
+    keyed = numbered(stored, spark.read.parquet(f"{target}/_numbers"), "__row")
+    return keyed.select(
+        "source_file", "ingestion_timestamp", numbered_key(F.lit(edition), F.col("__row")).alias(ROW_ID), *[quoted(c) for c in raw], "survey_year"
+    )

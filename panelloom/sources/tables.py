@@ -23,7 +23,11 @@ CSV_FORMAT = {
 CSV_READ = {**CSV_FORMAT, "enforceSchema": "false"}
 
 
-def read_headered_csv(spark: SparkSession, path: str, multi_line: bool = True, schema: T.StructType | None = None) -> DataFrame:
+def string_schema(columns: Iterable[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+
+
+def read_headered_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True, schema: T.StructType | None = None) -> DataFrame:
     """Headered CSV with every column a string, as :func:`panelloom.sources.sinks.write_csv` writes it.
 
     A file whose header differs from the schema (by default the first file's), in names or in order, fails: no value is
@@ -73,8 +77,10 @@ _MAPPING_TYPES = {
 }
 
 
-def read_mapping(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """A versioned mapping file with typed columns; a blank raw value is NULL."""
+def read_mapping(spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None) -> DataFrame:
+    """A versioned mapping file with typed columns; a blank raw value is NULL. The columns are by default the file's own."""
+    if columns is None:
+        columns = read_headered_csv(spark, path).columns
     schema = T.StructType([T.StructField(c, _MAPPING_TYPES.get(c, T.StringType())) for c in columns])
     return read_headered_csv(spark, path, schema=schema)
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.functions.scalars import numbered_key
-from panelloom.sources.bronze import ROW_ID, number_tagged
+from panelloom.sources.bronze import ROW_ID, first_numbers, numbered, tagged
 from panelloom.sources.tables import CSV_READ, read_headered_csv
 
 BATCH = "landing_batch"
@@ -33,46 +33,33 @@ def land_new_files(
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     names = [F.col("`" + c.replace("`", "``") + "`") for c in schema.names]
-    tagged = reader.csv(landing_path).select(
-        F.col("_metadata.file_name").alias("source_file"),
-        F.col("_metadata.file_path").alias("__file"),
-        F.col("_metadata.file_block_start").alias("__block"),
-        *names,
-    )
+    rows = tagged(reader.csv(landing_path).select(F.col("_metadata.file_name").alias("source_file"), *names, "_metadata"))
     landed: dict[str, int] = {}
 
     def append(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         stream = session.sparkContext.getLocalProperty("sql.streaming.queryId")
-        partition = f"{stream}-{batch_id}"
+        partition = f"{BATCH}={stream}-{batch_id}"
         earlier = landed.get("rows")
         if earlier is None:  # once per run; later batches know what they have added
             earlier = _rows_of_others(session, target, partition)
-        numbered = number_tagged(batch, "__row", F.lit(earlier))
-        (
-            numbered.select(
-                F.lit(edition).alias("survey_year"),
-                "source_file",
-                F.current_timestamp().alias("ingestion_timestamp"),
-                numbered_key(F.lit(edition), F.col("__row")).alias(ROW_ID),
-                *names,
-                F.lit(partition).alias(BATCH),
-            )
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BATCH)
-            .parquet(target)
-        )
-        landed["rows"] = earlier + session.read.parquet(f"{target}/{BATCH}={partition}").count()
+        # Written by the tasks that read the files and never moved again: the numbers follow from what is stored.
+        batch.withColumn("ingestion_timestamp", F.current_timestamp()).write.mode("overwrite").parquet(f"{target}/{partition}")
+        stored = session.read.parquet(f"{target}/{partition}")
+        first_numbers(stored, earlier).write.mode("overwrite").parquet(f"{target}/_numbers/{partition}")
+        landed["rows"] = earlier + stored.count()
 
     query = (
-        tagged.writeStream.foreachBatch(append)
+        rows.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(target)
+    stored = spark.read.parquet(target)
+    return numbered(stored, spark.read.parquet(f"{target}/_numbers").drop(BATCH), "__row").select(
+        F.lit(edition).alias("survey_year"), "source_file", "ingestion_timestamp", numbered_key(F.lit(edition), F.col("__row")).alias(ROW_ID), *names, BATCH
+    )
 
 
 def _rows_of_others(spark: SparkSession, target: str, partition: str) -> int:
@@ -80,4 +67,4 @@ def _rows_of_others(spark: SparkSession, target: str, partition: str) -> int:
         stored = spark.read.parquet(target)
     except AnalysisException:  # nothing landed yet
         return 0
-    return stored.where(F.col(BATCH) != partition).count()
+    return stored.where(F.concat(F.lit(f"{BATCH}="), F.col(BATCH)) != partition).count()

@@ -202,3 +202,55 @@ def test_an_unknown_option_label_stops_the_bridge(spark, tmp_path):
     bronze = survey_job.land_bronze(spark, {"year_2": path}, str(tmp_path))
     with pytest.raises(ValueError, match="NovoDB"):
         silver.build_technology_bridge(bronze)
+
+
+def silver_files(lake):
+    return {p: p.stat().st_mtime_ns for p in (lake / "silver").rglob("*.parquet") if "_inputs" not in str(p)}
+
+
+def test_only_editions_touched_by_a_change_are_processed(spark, tmp_path):
+    """A mapping row of one edition, then a raw file of another: everything else stays as stored."""
+    data = {e: make_edition(e, 30, seed) for seed, e in enumerate(S.EDITIONS)}
+    raw = {e: write_edition(tmp_path, e, header, people) for e, (header, people) in data.items()}
+    lake, folder = tmp_path / "lake", str(tmp_path / "maps")
+    landing.write_versioned_mappings(spark, folder)
+    first = survey_job.run(spark, raw, str(lake), mappings=folder)
+    genders = rows(first["gold_market_overview"].where("dimension = 'gender'"))
+    before = silver_files(lake)
+    assert survey_job.refresh(spark, raw, str(lake), folder)[1] == [] and silver_files(lake) == before
+
+    later = landing.literal_table(
+        spark,
+        [(r, v, None, "year_3", "v1") for r, v in S.SENIORITY] + [(r, "TOP" if v == "SPECIALIST" else v, "year_3", None, "v3") for r, v in S.SENIORITY],
+        "raw_value string, canonical_value string, valid_from string, valid_to string, mapping_version string",
+    )
+    landing.write_mappings({"seniority": later}, folder)
+    tables = survey_job.run(spark, raw, str(lake), mappings=folder)
+    after = silver_files(lake)
+    gone = {p for p in before if p not in after or after[p] != before[p]}
+    # Seniority of the second edition went back from v2 to v1 as well.
+    assert {e for e in S.EDITIONS for p in gone if f"survey_year={e}" in str(p)} == {"year_2", "year_3"}
+    fact = survey_job.read_silver(spark, str(lake)).fact
+    assert rows(fact.where("seniority in ('TOP', 'SPECIALIST')").select("survey_year", "seniority").distinct()) == [
+        ("year_1", "SPECIALIST"), ("year_2", "SPECIALIST"), ("year_3", "TOP")
+    ]
+    assert genders == rows(tables["gold_market_overview"].where("dimension = 'gender'"))
+
+    header, people = data["year_1"]
+    write_edition(tmp_path, "year_1", list(reversed(header)), people + people[:5])
+    _, changed = survey_job.refresh(spark, raw, str(lake), folder)
+    assert changed == ["year_1"] and survey_job.read_silver(spark, str(lake)).fact.count() == 95
+
+
+def test_an_interrupted_refresh_repeats_its_work(spark, tmp_path, monkeypatch):
+    header, people = make_edition("year_1", 20, 1)
+    raw = {"year_1": write_edition(tmp_path, "year_1", header, people)}
+    lake = str(tmp_path / "lake")
+    survey_job.refresh(spark, raw, lake)
+    write_edition(tmp_path, "year_1", header, people[:10])
+    with monkeypatch.context() as m:
+        m.setattr(survey_job, "write_silver", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            survey_job.refresh(spark, raw, lake)
+    stored, changed = survey_job.refresh(spark, raw, lake)
+    assert changed == ["year_1"] and stored.fact.count() == 10
