@@ -3,20 +3,25 @@
 A text's set holds its distinct ``k``-word shingles; two texts link when ``100 * shared >= percent * union``. Equal sets are
 one class and take part once.
 
-*Sketch.* Every shingle flips one bit of a wide bit row, so the Hamming distance of two rows is at most the size of
-the sets' symmetric difference. For linked sets of sizes a and b that is at most ``d = (a + b) (1 - t) / (1 + t)``.
-*Pigeonhole.* In each size band the row is cut into blocks, many more than d. Linked sets differ in at most d blocks, so of a
-set's non-empty blocks all but d are found in the other one, and the first d + 1 of each in any one order common to
-both have a block in common. Only these go into the join, one row each, hashed. The order puts blocks last that consist of shingles
-frequent in a bounded sample (``SAMPLE`` texts): that steers the work away from common passages and cannot lose a link,
-whatever the sample holds. A text at the lower end of a band also takes part in the band below, where its smaller partners are.
-*Groups.* Block groups with equal members count once. In each group pivots are compared with the others, one pivot in
-the first round and twice as many in every further one; a group is finished when its members are connected or every pair has
-been compared. So a large group of near copies costs about one comparison per member.
-*Verification.* A pair goes on if the Hamming distance of two short sketches allows a link; then the sets are compared exactly.
-
-The join's key rows are about a quarter of the shingles, 16 bytes each, in one shuffle; texts are moved only for classes that share
-a block. Shingles are compared by 64-bit hashes.
+*Sketch.* Every shingle flips one bit of a row, so the Hamming distance of two rows is at most the size of the sets' symmetric
+difference. The wide row has a bit for every hash value and is kept as the list of its set bits; the narrow one folds it to
+``SKETCH_BITS``.
+*Pigeonhole.* Sizes fall into bands, and a text at the lower end of one also takes part in the band below, where its smaller partners are. Within
+a band all texts put their bits in one common order. Linked sets of sizes ``a <= b`` share ``s >= percent * (a + b) / (100 + percent)`` bits, so at most
+``a - s`` and ``b - s`` bits come before the first one they share, and together at most ``a + b - 2 s``. Only bits that can be that first one
+go into the join, one row each, with their place; two members of a bit's group are compared only if their sizes and places allow the bit to be their
+first. The order puts bits last that are frequent in a bounded sample (``SAMPLE`` texts): that steers the work
+away from common passages and cannot lose a link, whatever the sample holds.
+*Hot groups.* A bit with more than ``HOT`` members is no good choice. Texts that have such a bit among their chosen ones choose
+again: their bits are counted among these very texts, exactly, and put in order from rare to frequent. A link between two texts of a hot group is
+one between two texts that choose again, so hot groups are dropped altogether.
+*Groups.* Bits with equal members count once. Each class is first compared with one pivot of its first group. Then groups with several
+components left go on: small ones compare all that is left, large ones take one pivot, then two, four and so on; a group is finished when its
+members are connected or all pairs the places allow have been compared. So a large group of near copies costs about one comparison per member.
+*Verification.* A pair goes on if the Hamming distance of the narrow sketches allows a link; then the sets are compared exactly.
+
+The join's key rows are at most a fifth of the shingles, 24 bytes each, in one shuffle; texts are read again only for classes that are
+compared. Shingles are compared by 64-bit hashes.
 
 Defined results: NULL text and text without words have an empty set and link with nothing; fewer words than ``k`` are one shingle;
 rows with a NULL id belong to their class but never name a component unless all of it has none; repeated rows
@@ -29,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelloom.llm.arrays import LOWER, Rolling, Texts, mix, signed, span_hash, texts, words
@@ -41,8 +46,12 @@ PERCENT = 80
 SAMPLE = 8_000  # texts looked at for frequent shingles
 FREQUENT = 200_000  # shingles sent to all tasks, 8 bytes each
 SKETCH_BITS = 2048
+HOT = 32  # classes that may share a chosen bit; beyond it they choose again
+SALTS = 64  # tasks over which a bit frequent in the sample is spread
 SENT_IDS = 1_000_000  # ids sent to all tasks instead of shuffling texts; beyond that a join
 _BAND = 4
+# A key row's band, place and size in one number: 2**28 shingles are more words than a task can hold.
+_PLACE, _BAND_BIT, _COMMON = 28, 56, 62
 
 
 def shingle_sets(part: Texts, k: int) -> Iterator[np.ndarray]:
@@ -74,39 +83,33 @@ def narrow_sketch(shingles: np.ndarray) -> bytes:
     return np.packbits(flips.astype(np.uint8)).tobytes()
 
 
-def _band_top(n: int) -> int:
-    """Upper end (not included) of the size band of ``n``."""
-    top = _BAND
-    while top <= n:
-        top *= _BAND
-    return top
+def _band_of(n: int) -> int:
+    """Number of the size band of ``n``: from ``4**band`` on."""
+    band = 0
+    while _BAND ** (band + 1) <= n:
+        band += 1
+    return band
 
 
-def block_keys(shingles: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the blocks that take part, and which of them consist of frequent shingles only."""
+def chosen_bits(n: int, percent: int) -> int:
+    """How many bits of a set of ``n`` can be the first one shared with a linked set: all but those its smallest partner must share."""
+    return n + (-n * percent) // 100 + 1
+
+
+def band_keys(shingles: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the chosen bits in every band the set takes part in, and what goes with them: common or not, band, place, size."""
     n = len(shingles)
-    if not n:
-        return shingles, np.zeros(0, bool)
-    # The largest distance to a partner: it has at most n * 100 / percent shingles.
-    distance = int((n + n * 100 // percent) * (100 - percent) // (100 + percent))
     common = np.zeros(n, bool)
     if len(frequent):
         common = frequent[np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)] == shingles
-    tops = {_band_top(n), _band_top(-(-n * percent // 100))}
-    keys, cold = [], []
-    for top in tops:
-        # Below 256 shingles every shingle is a block of its own; above, blocks are fewer than non-empty ones could fall short of d + 1.
-        block = mix(shingles ^ np.uint64(top)) % np.uint64(4 * top) if top > 256 else np.arange(n, dtype=np.uint64)
-        order = np.argsort(block, kind="stable")
-        first = np.flatnonzero(np.append(True, np.diff(block[order]) != 0))
-        parity = np.bitwise_xor.reduceat(mix(shingles[order] + np.uint64(top)), first)
-        where = block[order][first] if top > 256 else np.uint64(0)
-        key = mix(parity ^ mix(where * np.uint64(0x9E3779B97F4A7C15) + np.uint64(top)))
-        all_common = np.logical_and.reduceat(common[order], first)
-        chosen = np.lexsort((key, all_common))[: distance + 1]
-        keys.append(key[chosen])
-        cold.append(all_common[chosen])
-    return np.concatenate(keys), np.concatenate(cold)
+    keys, infos = [], []
+    for band in {_band_of(n), _band_of(-(-n * percent // 100))}:
+        key = mix(shingles ^ mix(np.array([band + 1], np.uint64)))
+        order = np.lexsort((signed(key), common))[: chosen_bits(n, percent)]  # signed, as Spark compares keys
+        keys.append(key[order])
+        place = np.arange(len(order), dtype=np.int64)
+        infos.append((common[order].astype(np.int64) << _COMMON) | (band << _BAND_BIT) | (place << _PLACE) | n)
+    return np.concatenate(keys), np.concatenate(infos)
 
 
 def _frequent_shingles(source: DataFrame, k: int, sample: int) -> np.ndarray:
@@ -147,7 +150,7 @@ def _sets_of(source: DataFrame, k: int) -> DataFrame:
 
 
 def _keys(source: DataFrame, k: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """``key, common, c``; a class met before in the same task is left out."""
+    """``key, c, info`` of the chosen bits; a class met before in the same task is left out."""
     bounded_batches(source.sparkSession)
     sent = source.sparkSession.sparkContext.broadcast(frequent)
 
@@ -155,53 +158,127 @@ def _keys(source: DataFrame, k: int, percent: int, frequent: np.ndarray) -> Data
         seen: set[int] = set()
         for batch in batches:
             for part in texts(batch.column(1)):
-                keys, cold, classes, sizes = [], [], [], []
+                keys, infos, classes, sizes = [], [], [], []
                 for s in shingle_sets(part, k):
                     c = int(class_of(s))
                     if not len(s) or c in seen:
                         continue
                     if len(seen) < 1_000_000:
                         seen.add(c)
-                    key, common = block_keys(s, sent.value, percent)
+                    key, info = band_keys(s, sent.value, percent)
                     keys.append(key)
-                    cold.append(common)
+                    infos.append(info)
                     classes.append(c)
                     sizes.append(len(key))
                 if keys:
                     owner = np.repeat(np.array(classes, np.uint64), sizes)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(signed(np.concatenate(keys))), pa.array(np.concatenate(cold)), pa.array(signed(owner))], ["key", "common", "c"]
-                    )
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(keys))), pa.array(signed(owner)), pa.array(np.concatenate(infos))], ["key", "c", "info"])
+
+    return source.mapInArrow(run, "key bigint, c bigint, info bigint")
+
 
-    return source.mapInArrow(run, "key bigint, common boolean, c bigint")
+def _unpacked(rows: DataFrame) -> DataFrame:
+    """``key, c, place, n``."""
+    low = F.lit((1 << _PLACE) - 1)
+    return rows.select("key", "c", F.shiftright("info", _PLACE).bitwiseAND(low).cast("int").alias("place"), F.col("info").bitwiseAND(low).cast("int").alias("n"))
 
 
-def _groups(keys: DataFrame) -> DataFrame:
-    """``key, c`` of the groups worth comparing: two members or more, and of groups with equal members one.
+def _members(keys: DataFrame) -> DataFrame:
+    """Key rows whose bit another class has chosen too, each class once; rows of bits that are frequent in the sample all stay.
 
-    One shuffle of all keys: a row stays if a neighbour in its group is another class. Groups of frequent blocks can be large; they are
-    salted there and stay as they are. Everything after works on the few rows that stay, with partial aggregates.
+    One shuffle of all key rows; the latter are salted in it.
     """
-    salted = keys.withColumn("salt", F.when(F.col("common"), F.pmod(F.xxhash64("c"), F.lit(64))).otherwise(0))
-    in_group = Window.partitionBy("key", "salt").orderBy("c")
-    near = F.coalesce(F.lag("c").over(in_group) != F.col("c"), F.lit(False)) | F.coalesce(F.lead("c").over(in_group) != F.col("c"), F.lit(False))
-    rows = stored(salted.withColumn("near", near).where("common or near").select("key", "c"), "jaccard-members")
-    members = rows.distinct()
-    summary = [F.count(F.lit(1)).alias("n"), F.min("c").alias("least"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("one"), F.bit_xor(F.xxhash64("c", F.lit(2))).alias("two")]
-    kept = members.groupBy("key").agg(*summary).where("n > 1").groupBy("n", "least", "one", "two").agg(F.min("key").alias("key")).select("key")
-    return members.join(stored(kept, "jaccard-keys"), "key")
-
-
-def _few(df: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
-    """Rows of ``df`` whose ``column`` is wanted: by a list sent to all tasks while it is short, else by a join."""
+    common = F.shiftright("info", _COMMON).bitwiseAND(F.lit(1)) == 1
+    salted = keys.withColumn("salt", F.when(common, F.pmod(F.xxhash64("c"), F.lit(SALTS)) + 1).otherwise(0))
+    by_class = Window.partitionBy("key", "salt").orderBy("c")
+    after, first = F.lead("c").over(by_class), F.first("c").over(by_class.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    last_of_class = after.isNull() | (after != F.col("c"))
+    alone = after.isNull() & (first == F.col("c"))
+    return salted.withColumns({"last": last_of_class, "alone": alone}).where("last and (not alone or salt > 0)").select("key", "c", "info")
+
+
+def _distinct_groups(members: DataFrame, order: list[Column], within: list[Column]) -> DataFrame:
+    """``key, n`` of the groups with two members or more; of groups with equal members (and ``within``) the first in the common order."""
+    counted = members.groupBy("key").agg(
+        F.count(F.lit(1)).alias("members"), F.min("c").alias("least"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("one"),
+        F.bit_xor(F.xxhash64("c", F.lit(2))).alias("two"), F.min(F.struct(*order, "key")).alias("order"), *[F.min(w).alias(f"w{i}") for i, w in enumerate(within)],
+    )
+    same = ["members", "least", "one", "two", *[f"w{i}" for i in range(len(within))]]
+    return counted.where("members > 1").groupBy(*same).agg(F.min("order").alias("order")).select(F.col("order.key").alias("key"), "members")
+
+
+def _few(df: DataFrame, wanted: DataFrame, column: str, how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` whose ``column`` is wanted (or, anti, is not): by a list sent to all tasks while it is short, else by a join."""
     wanted = stored(wanted.distinct(), "jaccard-wanted")
-    return df.join(F.broadcast(wanted) if wanted.count() <= SENT_IDS else wanted, column, "left_semi")
+    return df.join(F.broadcast(wanted) if wanted.count() <= SENT_IDS else wanted, column, how)
+
+
+def _texts_of(source: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """One text of each wanted class, more where its id is repeated."""
+    return _few(source, _few(classes, wanted, "c").select(F.col("first").alias("__id")), "__id")
+
+
+def _groups(source: DataFrame, classes: DataFrame, k: int, percent: int, frequent: np.ndarray) -> DataFrame:
+    """``key, c, place, n`` of all groups to be compared."""
+    members = stored(_members(_keys(source, k, percent, frequent)), "jaccard-members")
+    info = F.col("info")
+    kept = stored(
+        _distinct_groups(members, [F.shiftright(info, _COMMON).alias("common")], [F.shiftright(info, _BAND_BIT).bitwiseAND(F.lit(31))]), "jaccard-keys"
+    )
+    small = _unpacked(members.join(kept.where(F.col("members") <= HOT).select("key"), "key"))
+    hot = kept.where(F.col("members") > HOT).select("key")
+    again = _chosen_again(_texts_of(source, classes, members.join(hot, "key").select("c")), k, percent)
+    return small.unionByName(again)
+
+
+def _chosen_again(rows: DataFrame, k: int, percent: int) -> DataFrame:
+    """The bits these texts choose when they put them from rare to frequent among themselves: ``key, c, place, n``.
+
+    Bits nobody else has come first; they are counted, not kept. A text that is there twice counts twice for all, which
+    is an order like any other, and has equal bits at equal places.
+    """
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for part in texts(batch.column(1)):
+            sets = [s for s in shingle_sets(part, k) if len(s)]
+            if sets:
+                size = [len(s) for s in sets]
+                owner = np.repeat(np.array([class_of(s) for s in sets], np.uint64), size)
+                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(sets))), pa.array(signed(owner)), pa.array(np.repeat(size, size).astype(np.int32))], ["s", "c", "n"])
+
+    bits = stored(map_batches(rows, run, "s bigint, c bigint, n int"), "jaccard-bits")
+    often = bits.groupBy("s").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    shared = bits.join(often, "s").withColumn("key", F.xxhash64("s", F.lit(3)))
+    in_order = Window.partitionBy("c").orderBy("often", "key")
+    ranked = shared.withColumn("rank", F.dense_rank().over(in_order)).withColumn("shared", F.max("rank").over(Window.partitionBy("c")))
+    placed = ranked.withColumn("place", F.col("n") - F.col("shared") + F.col("rank") - 1)
+    chosen = placed.where(F.col("place") < F.col("n") - F.ceil(F.col("n") * F.lit(percent) / F.lit(100)) + 1)
+    members = stored(chosen.select("key", "c", "place", "n", "often").distinct(), "jaccard-again")
+    kept = _distinct_groups(members, [F.col("often")], [])
+    return members.join(kept.select("key"), "key").select("key", "c", "place", "n")
+
+
+def _can_link(percent: int) -> Column:
+    """Whether two members (``n, place`` and ``pn, pplace``) of a group may be linked and have the group's bit as their first."""
+    total = F.col("n").cast("bigint") + F.col("pn")
+    share = F.ceil(total * F.lit(percent) / F.lit(100 + percent))
+    return (
+        (F.least("n", "pn") >= share) & (F.col("place") <= F.col("n") - share) & (F.col("pplace") <= F.col("pn") - share)
+        & (F.col("place") + F.col("pplace") <= total - 2 * share)
+    )
+
+
+def _pairs(members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
+    """``a, b`` distinct, of members and the pivots of their groups."""
+    met = members.join(pivots.select("key", F.col("c").alias("p"), F.col("n").alias("pn"), F.col("place").alias("pplace"), *([F.col("root").alias("other")] if "root" in pivots.columns else [])), "key")
+    met = met.where("c != p").where(_can_link(percent))
+    if "root" in pivots.columns:
+        met = met.where("root != other")
+    return met.select(F.least("c", "p").alias("a"), F.greatest("c", "p").alias("b")).distinct()
 
 
-def _class_sets(source: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """``c, n, sketch, shingles`` of the wanted classes, read from one text each."""
-    ids = _few(classes, wanted, "c").select(F.col("first").alias("__id"))
-    rows = _few(source, ids, "__id")
+def _class_sets(rows: DataFrame, k: int) -> DataFrame:
+    """``c, n, sketch, shingles`` of some texts; a class may come several times."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in texts(batch.column(1)):
@@ -215,7 +292,7 @@ def _class_sets(source: DataFrame, classes: DataFrame, wanted: DataFrame, k: int
                     ["c", "n", "sketch", "shingles"],
                 )
 
-    return map_batches(rows, run, "c bigint, n bigint, sketch binary, shingles binary").dropDuplicates(["c"])
+    return map_batches(rows, run, "c bigint, n bigint, sketch binary, shingles binary")
 
 
 def _allowed(percent: int):
@@ -241,7 +318,10 @@ def _linked(percent: int):
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, source: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs that are linked. Sets are read from the texts of the compared classes and move only for pairs the sketches allow."""
+    ends = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c")))
+    sets = stored(_class_sets(_texts_of(source, classes, ends), k), "jaccard-class-sets")
     short = sets.select("c", "n", "sketch")
     one = short.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     two = short.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
@@ -249,40 +329,47 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     near = stored(map_batches(near, _allowed(percent), "a bigint, b bigint"), "jaccard-near")
     full = _few(sets.select("c", "shingles"), near.select(F.col("a").alias("c")).unionByName(near.select(F.col("b").alias("c"))), "c")
     both = near.join(full.select(F.col("c").alias("a"), F.col("shingles").alias("x")), "a").join(full.select(F.col("c").alias("b"), F.col("shingles").alias("y")), "b")
-    return stored(map_batches(both.select("a", "b", "x", "y"), _linked(percent), "a bigint, b bigint"), "jaccard-links")
+    return stored(map_batches(both.select("a", "b", "x", "y"), _linked(percent), "a bigint, b bigint").distinct(), "jaccard-links")
+
+
+def _first_pairs(groups: DataFrame, percent: int) -> DataFrame:
+    """Every class with the pivot of its first group: the member that has the group's bit at the smallest place."""
+    pivots = groups.groupBy("key").agg(F.min(F.struct("place", F.xxhash64("c").alias("h"), "c", "n")).alias("p")).select("key", "p.c", "p.place", "p.n")
+    first = groups.groupBy("c").agg(F.min(F.struct("place", "key", "n")).alias("f")).select("c", "f.key", "f.place", "f.n")
+    return _pairs(first, pivots, percent)
 
 
 def _pivots(members: DataFrame, count: int) -> DataFrame:
-    """Up to ``count`` members of each group, of the smallest components first: they have the fewest partners left."""
+    """All members of groups of up to ``HOT``; of larger ones up to ``count``, of the smallest components first: they have the fewest partners left."""
     sizes = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
-    order = Window.partitionBy("key").orderBy("size", F.xxhash64("c"), "c")
-    return members.join(sizes, ["key", "root"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count).select("key", "c", "root")
+    order = Window.partitionBy("key").orderBy("size", "place", F.xxhash64("c"), "c")
+    first = members.join(sizes, ["key", "root"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max(count, HOT))
+    if count >= HOT:
+        return first.select("key", "c", "place", "n", "root")
+    small = members.groupBy("key").agg((F.count(F.lit(1)) <= HOT).alias("small"))
+    return first.join(small, "key").where((F.col("rank") <= count) | F.col("small")).select("key", "c", "place", "n", "root")
 
 
-def _class_components(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _class_components(groups: DataFrame, source: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """``v, root`` over classes: compares pivots with the other members of each group until nothing is left to compare."""
-    links, done, count = None, None, 1
-    members = groups.withColumn("root", F.col("c"))
+    done = stored(_first_pairs(groups, percent), "jaccard-pairs")
+    links = _verified(done, source, classes, k, percent)
+    roots = components(links)
+    members, count = groups, 1
     while True:
-        pivots = stored(_pivots(members, count), "jaccard-pivots")
-        pairs = (
-            members.join(pivots.select("key", F.col("c").alias("p"), F.col("root").alias("other")), "key").where("root != other")
-            .select(F.least("c", "p").alias("a"), F.greatest("c", "p").alias("b")).distinct()
-        )
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "jaccard-pairs")
-        found = _verified(pairs, sets, percent)
-        links = found if links is None else links.unionByName(found)
-        done = pairs if done is None else done.unionByName(pairs)
-        roots = components(links)
-        # A pivot has met all members of other components: it need not stay. Groups of one component are finished.
-        rest = members.join(pivots.select("key", "c"), ["key", "c"], "left_anti").select("key", "c")
-        rest = rest.join(roots.withColumnRenamed("v", "c"), "c", "left").select("key", "c", F.coalesce("root", "c").alias("root"))
-        open_ = rest.groupBy("key").agg((F.min("root") != F.max("root")).alias("open")).where("open").select("key")
-        members = stored(rest.join(open_, "key"), "jaccard-members")
+        members = members.select("key", "c", "place", "n").join(roots.withColumnRenamed("v", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+        open_ = members.groupBy("key").agg((F.min("root") != F.max("root")).alias("open")).where("open").select("key")
+        members = stored(members.join(open_, "key"), "jaccard-members")
         if members.limit(1).count() == 0:
             return roots
+        pivots = stored(_pivots(members, count), "jaccard-pivots")
+        pairs = stored(_pairs(members, pivots, percent).join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
+        if pairs.limit(1).count():
+            links = links.unionByName(_verified(pairs, source, classes, k, percent))
+            done = done.unionByName(pairs)
+            roots = components(links)
+        # A pivot has met all members of other components: it need not stay.
+        members = members.join(pivots.select("key", "c"), ["key", "c"], "left_anti").drop("root")
         count *= 2
 
 
@@ -290,21 +377,23 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Per row: ``id, n_shingles, component_id``."""
     low = -(1 << 63)
     source = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(low)).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
-    rows = stored(_sets_of(source, k), "jaccard-sets")
-    classes = rows.where("n > 0").groupBy("c").agg(F.min("__id").alias("first"), F.min(F.when(F.col("__id") > low, F.col("__id"))).alias("name"))
     frequent = _frequent_shingles(source, k, sample)
     with scratch(docs.sparkSession):
-        groups = stored(_groups(_keys(source, k, percent, frequent)), "jaccard-groups")
-        sets = stored(_class_sets(source, classes, groups.select("c").distinct(), k), "jaccard-class-sets")
-        roots = _class_components(groups, sets, percent)
+        rows = stored(_sets_of(source, k), "jaccard-sets")
+        classes = stored(
+            rows.where("n > 0").groupBy("c").agg(F.min("__id").alias("first"), F.min(F.when(F.col("__id") > low, F.col("__id"))).alias("name")), "jaccard-classes"
+        )
+        groups = stored(_groups(source, classes, k, percent, frequent), "jaccard-groups")
+        roots = _class_components(groups, source, classes, k, percent)
         rooted = classes.join(roots.withColumnRenamed("v", "c"), "c", "left").select("c", F.coalesce("root", "c").alias("root"), "name")
         names = rooted.groupBy("root").agg(F.min("name").alias("component_id"))
-        named = stored(rooted.join(names, "root").select("c", "component_id"), "jaccard-names", keep=True)
-    own = F.when(F.col("__id") > low, F.col("__id"))
-    return rows.join(named, "c", "left").select(
-        own.alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(own).alias("component_id"),
-    )
+        named = rooted.join(names, "root").select("c", "component_id")
+        own = F.when(F.col("__id") > low, F.col("__id"))
+        found = rows.join(named, "c", "left").select(
+            own.alias(id_col), F.col("n").alias("n_shingles"),
+            F.when(F.col("n") > 0, F.col("component_id")).otherwise(own).alias("component_id"),
+        )
+        return stored(found, "jaccard-result", keep=True)
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -314,6 +403,5 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     found = ngram_jaccard(docs, id_col, text_col).where(F.col(id_col).isNotNull())
     named = found.groupBy(F.col(id_col).alias("__id")).agg(F.max((F.col("component_id") == F.col(id_col)).cast("int")).alias("__names"))
-    gone = stored(named.where("__names = 0").select("__id"), "jaccard-gone")
     row = docs.select(F.col(id_col).cast("bigint").alias("__id"), F.struct("*").alias("__row"))
-    return row.join(gone, "__id", "left_anti").select("__row.*")
+    return _few(row, named.where("__names = 0").select("__id"), "__id", "left_anti").select("__row.*")

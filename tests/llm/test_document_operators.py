@@ -147,8 +147,10 @@ def test_ngram_jaccard(edge, nothing):
     assert kept.columns == docs.columns
 
 
-def test_ngram_jaccard_around_the_threshold(spark):
+@pytest.mark.parametrize("hot", [32, 2])
+def test_ngram_jaccard_around_the_threshold(spark, monkeypatch, hot):
     """Chains of edits: many pairs a little above and a little below the threshold, and a passage all texts share."""
+    monkeypatch.setattr(ngram_jaccard, "HOT", hot)
     r = random.Random(9)
     rows, passage = [], prose(77, 30).split()
     for family in range(12):
