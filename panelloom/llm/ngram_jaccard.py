@@ -6,21 +6,24 @@ one class and take part once.
 *Sketch.* Every shingle flips one bit of a row, so the Hamming distance of two rows is at most the size of the sets' symmetric
 difference. The wide row has a bit for every hash value and is kept as the list of its set bits; the narrow one folds it to
 ``SKETCH_BITS``.
-*Pigeonhole.* Sizes fall into bands, and a text at the lower end of one also takes part in the band below, where its smaller partners are. Within
-a band all texts put their bits in one common order. Linked sets of sizes ``a <= b`` share ``s >= percent * (a + b) / (100 + percent)`` bits, so at most
-``a - s`` and ``b - s`` bits come before the first one they share, and together at most ``a + b - 2 s``. Only bits that can be that first one
-go into the join, one row each, with their place; two members of a bit's group are compared only if their sizes and places allow the bit to be their
-first. The order puts bits last that are frequent in a bounded sample (``SAMPLE`` texts): that steers the work
-away from common passages and cannot lose a link, whatever the sample holds.
-*Hot groups.* A bit with more than ``HOT`` members is no good choice. Texts that have such a bit among their chosen ones choose
-again: their bits are counted among these very texts, exactly, and put in order from rare to frequent. A link between two texts of a hot group is
-one between two texts that choose again, so hot groups are dropped altogether.
-*Groups.* Bits with equal members count once. Each class is first compared with one pivot of its first group. Then groups with several
+*Pigeonhole.* Sizes fall into bands, and a text at the lower end of one also takes part in the band below, where its smaller partners are. A band
+cuts the row into blocks, somewhat more than the largest distance ``d`` of its linked sets, so that a block holds two to four set bits.
+Linked sets differ in at most d blocks; so of a set's non-empty blocks all but d are found in the other one, and the first d + 1 of each in any one
+order common to both have a block in common. Only these go into the join, one row each: block, parity of its bits, place. Two members of a
+block's group are compared only if their sizes and places allow the block to be the first one shared. The order puts blocks first that hold several bits, as
+a passage that many texts share seldom fills one alone, and last those whose bits are all frequent in a bounded sample (``SAMPLE`` texts): that steers the
+work and cannot lose a link, whatever the sample holds. Small sets have a block per bit; a set that left too many blocks empty,
+which hashing makes all but impossible, sends its whole band there as well.
+*Hot groups.* A block with more than ``HOT`` members is no good choice. Texts that have such a block among their chosen ones choose
+again, single bits this time: these are counted among these very texts, exactly, and put in order from rare to frequent. Linked sets of sizes ``a <= b`` share
+``s >= percent * (a + b) / (100 + percent)`` bits, so at most ``a - s`` and ``b - s`` come before the first one they share, and together at most
+``a + b - 2 s``. A link between two texts of a hot group is one between two texts that choose again, so hot groups are dropped altogether.
+*Groups.* Groups with equal members count once. Each class is first compared with one pivot of its first group. Then groups with several
 components left go on: small ones compare all that is left, large ones take one pivot, then two, four and so on; a group is finished when its
 members are connected or all pairs the places allow have been compared. So a large group of near copies costs about one comparison per member.
 *Verification.* A pair goes on if the Hamming distance of the narrow sketches allows a link; then the sets are compared exactly.
 
-The join's key rows are at most a fifth of the shingles, 24 bytes each, in one shuffle; texts are read again only for classes that are
+The join's key rows are about a quarter of the shingles, 24 bytes each, in one shuffle; texts are read again only for classes that are
 compared. Shingles are compared by 64-bit hashes.
 
 Defined results: NULL text and text without words have an empty set and link with nothing; fewer words than ``k`` are one shingle;
@@ -31,6 +34,7 @@ share a component; columns other than id and text are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,9 +53,11 @@ SKETCH_BITS = 2048
 HOT = 32  # classes that may share a chosen bit; beyond it they choose again
 SALTS = 64  # tasks over which a bit frequent in the sample is spread
 SENT_IDS = 1_000_000  # ids sent to all tasks instead of shuffling texts; beyond that a join
-_BAND = 4
-# A key row's band, place and size in one number: 2**28 shingles are more words than a task can hold.
-_PLACE, _BAND_BIT, _COMMON = 28, 56, 62
+SMALL = 128  # below that size every bit is a block of its own
+# Blocks per largest size of a band: few enough to hold several bits, many enough that d + 1 are never empty.
+_FEW, _MANY, _LARGE = 0.32, 0.4, 512
+# What goes with a key, in one number: size (fewer than 2**26 shingles), place, bits of the block, band, whether it is too empty or common.
+_PLACE, _BITS, _BAND, _SHORT, _COMMON = 26, 50, 56, 61, 62
 
 
 def shingle_sets(part: Texts, k: int) -> Iterator[np.ndarray]:
@@ -84,31 +90,47 @@ def narrow_sketch(shingles: np.ndarray) -> bytes:
 
 
 def _band_of(n: int) -> int:
-    """Number of the size band of ``n``: from ``4**band`` on."""
-    band = 0
-    while _BAND ** (band + 1) <= n:
-        band += 1
-    return band
+    """Number of the size band of ``n``: from ``2**band`` to the next power of two."""
+    return n.bit_length() - 1
 
 
-def chosen_bits(n: int, percent: int) -> int:
-    """How many bits of a set of ``n`` can be the first one shared with a linked set: all but those its smallest partner must share."""
-    return n + (-n * percent) // 100 + 1
+def band_keys(shingles: np.ndarray, frequent: np.ndarray, percent: int, fine: frozenset[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the chosen blocks in every band the set takes part in, and what goes with them.
 
-
-def band_keys(shingles: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the chosen bits in every band the set takes part in, and what goes with them: common or not, band, place, size."""
+    With ``fine`` only these bands, and a block per bit in them.
+    """
     n = len(shingles)
     common = np.zeros(n, bool)
     if len(frequent):
         common = frequent[np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)] == shingles
     keys, infos = [], []
     for band in {_band_of(n), _band_of(-(-n * percent // 100))}:
-        key = mix(shingles ^ mix(np.array([band + 1], np.uint64)))
-        order = np.lexsort((signed(key), common))[: chosen_bits(n, percent)]  # signed, as Spark compares keys
-        keys.append(key[order])
-        place = np.arange(len(order), dtype=np.int64)
-        infos.append((common[order].astype(np.int64) << _COMMON) | (band << _BAND_BIT) | (place << _PLACE) | n)
+        if fine is not None and band not in fine:
+            continue
+        largest = (2 << band) - 1
+        # To the largest partner in the band: it has at most n * 100 / percent shingles.
+        distance = (n + min(largest, n * 100 // percent)) * (100 - percent) // (100 + percent)
+        salted = mix(shingles ^ mix(np.array([band + 1 + (64 if fine else 0)], np.uint64)))
+        if largest < SMALL or fine is not None:
+            key, held, all_common = salted, np.ones(n, np.int64), common
+        else:
+            blocks = np.uint64(int((_MANY if largest < _LARGE else _FEW) * (largest + 1)) + 1)
+            block = salted % blocks
+            order = np.argsort(block, kind="stable")
+            first = np.flatnonzero(np.append(True, np.diff(block[order]) != 0))
+            parity = np.bitwise_xor.reduceat(mix(salted[order]), first)
+            held = np.minimum(np.diff(np.append(first, n)), 63)
+            key = mix(parity + mix(block[order][first] + np.uint64(band << 32)))
+            all_common = np.logical_and.reduceat(common[order], first)
+        chosen = np.lexsort((signed(key), -held, all_common))[: distance + 1]  # signed, as Spark compares keys
+        place = np.arange(len(chosen), dtype=np.int64)
+        keys.append(key[chosen])
+        infos.append((all_common[chosen].astype(np.int64) << _COMMON) | (band << _BAND) | (held[chosen] << _BITS) | (place << _PLACE) | n)
+        if len(chosen) <= distance:
+            keys.append(np.array([band], np.uint64))
+            infos.append(np.array([1 << _SHORT], np.int64))
+    if not keys:
+        return shingles[:0], np.zeros(0, np.int64)
     return np.concatenate(keys), np.concatenate(infos)
 
 
@@ -149,8 +171,8 @@ def _sets_of(source: DataFrame, k: int) -> DataFrame:
     return map_batches(source, run, "__id bigint, n bigint, c bigint")
 
 
-def _keys(source: DataFrame, k: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """``key, c, info`` of the chosen bits; a class met before in the same task is left out."""
+def _keys(source: DataFrame, k: int, percent: int, frequent: np.ndarray, fine: frozenset[int] | None = None) -> DataFrame:
+    """``key, c, info`` of the chosen blocks; a class met before in the same task is left out."""
     bounded_batches(source.sparkSession)
     sent = source.sparkSession.sparkContext.broadcast(frequent)
 
@@ -165,7 +187,7 @@ def _keys(source: DataFrame, k: int, percent: int, frequent: np.ndarray) -> Data
                         continue
                     if len(seen) < 1_000_000:
                         seen.add(c)
-                    key, info = band_keys(s, sent.value, percent)
+                    key, info = band_keys(s, sent.value, percent, fine)
                     keys.append(key)
                     infos.append(info)
                     classes.append(c)
@@ -177,19 +199,21 @@ def _keys(source: DataFrame, k: int, percent: int, frequent: np.ndarray) -> Data
     return source.mapInArrow(run, "key bigint, c bigint, info bigint")
 
 
+def _field(at: int, width: int) -> Column:
+    return F.shiftright("info", at).bitwiseAND(F.lit((1 << width) - 1))
+
+
 def _unpacked(rows: DataFrame) -> DataFrame:
-    """``key, c, place, n``."""
-    low = F.lit((1 << _PLACE) - 1)
-    return rows.select("key", "c", F.shiftright("info", _PLACE).bitwiseAND(low).cast("int").alias("place"), F.col("info").bitwiseAND(low).cast("int").alias("n"))
+    """``key, c, place, n, single``; ``single`` tells groups of single bits from those of blocks."""
+    return rows.select("key", "c", _field(_PLACE, 24).cast("int").alias("place"), _field(0, 26).cast("int").alias("n"), F.lit(False).alias("single"))
 
 
 def _members(keys: DataFrame) -> DataFrame:
-    """Key rows whose bit another class has chosen too, each class once; rows of bits that are frequent in the sample all stay.
+    """Key rows whose block another class has chosen too, each class once; rows of blocks that are frequent in the sample all stay.
 
-    One shuffle of all key rows; the latter are salted in it.
+    One shuffle of all key rows; the latter are salted in it, and so are the marks of sets with too many empty blocks.
     """
-    common = F.shiftright("info", _COMMON).bitwiseAND(F.lit(1)) == 1
-    salted = keys.withColumn("salt", F.when(common, F.pmod(F.xxhash64("c"), F.lit(SALTS)) + 1).otherwise(0))
+    salted = keys.withColumn("salt", F.when((_field(_COMMON, 1) == 1) | (_field(_SHORT, 1) == 1), F.pmod(F.xxhash64("c"), F.lit(SALTS)) + 1).otherwise(0))
     by_class = Window.partitionBy("key", "salt").orderBy("c")
     after, first = F.lead("c").over(by_class), F.first("c").over(by_class.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     last_of_class = after.isNull() | (after != F.col("c"))
@@ -219,20 +243,25 @@ def _texts_of(source: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataF
 
 
 def _groups(source: DataFrame, classes: DataFrame, k: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """``key, c, place, n`` of all groups to be compared."""
+    """``key, c, place, n, single`` of all groups to be compared."""
     members = stored(_members(_keys(source, k, percent, frequent)), "jaccard-members")
-    info = F.col("info")
-    kept = stored(
-        _distinct_groups(members, [F.shiftright(info, _COMMON).alias("common")], [F.shiftright(info, _BAND_BIT).bitwiseAND(F.lit(31))]), "jaccard-keys"
-    )
-    small = _unpacked(members.join(kept.where(F.col("members") <= HOT).select("key"), "key"))
-    hot = kept.where(F.col("members") > HOT).select("key")
-    again = _chosen_again(_texts_of(source, classes, members.join(hot, "key").select("c")), k, percent)
-    return small.unionByName(again)
+    short = members.where(_field(_SHORT, 1) == 1).select("key").distinct().collect()  # bands, at most 26
+    parts = [members.where(_field(_SHORT, 1) == 0)]
+    if short:
+        fine = frozenset(int(r["key"]) for r in short)
+        parts.append(stored(_members(_keys(source, k, percent, frequent, fine)), "jaccard-members"))
+    small, hot = [], []
+    for part in parts:
+        order = [_field(_COMMON, 1).alias("common"), (-_field(_BITS, 6)).alias("bits")]
+        kept = stored(_distinct_groups(part, order, [_field(_BAND, 5)]), "jaccard-keys")
+        small.append(_unpacked(part.join(kept.where(F.col("members") <= HOT).select("key"), "key")))
+        hot.append(part.join(kept.where(F.col("members") > HOT).select("key"), "key").select("c"))
+    again = _chosen_again(_texts_of(source, classes, reduce(DataFrame.unionByName, hot)), k, percent)
+    return reduce(DataFrame.unionByName, small).unionByName(again)
 
 
 def _chosen_again(rows: DataFrame, k: int, percent: int) -> DataFrame:
-    """The bits these texts choose when they put them from rare to frequent among themselves: ``key, c, place, n``.
+    """The bits these texts choose when they put them from rare to frequent among themselves: ``key, c, place, n, single``.
 
     Bits nobody else has come first; they are counted, not kept. A text that is there twice counts twice for all, which
     is an order like any other, and has equal bits at equal places.
@@ -255,17 +284,15 @@ def _chosen_again(rows: DataFrame, k: int, percent: int) -> DataFrame:
     chosen = placed.where(F.col("place") < F.col("n") - F.ceil(F.col("n") * F.lit(percent) / F.lit(100)) + 1)
     members = stored(chosen.select("key", "c", "place", "n", "often").distinct(), "jaccard-again")
     kept = _distinct_groups(members, [F.col("often")], [])
-    return members.join(kept.select("key"), "key").select("key", "c", "place", "n")
+    return members.join(kept.select("key"), "key").select("key", "c", "place", "n", F.lit(True).alias("single"))
 
 
 def _can_link(percent: int) -> Column:
-    """Whether two members (``n, place`` and ``pn, pplace``) of a group may be linked and have the group's bit as their first."""
+    """Whether two members (``n, place`` and ``pn, pplace``) of a group may be linked and have its block, or its bit, as their first."""
     total = F.col("n").cast("bigint") + F.col("pn")
     share = F.ceil(total * F.lit(percent) / F.lit(100 + percent))
-    return (
-        (F.least("n", "pn") >= share) & (F.col("place") <= F.col("n") - share) & (F.col("pplace") <= F.col("pn") - share)
-        & (F.col("place") + F.col("pplace") <= total - 2 * share)
-    )
+    bits = (F.col("place") <= F.col("n") - share) & (F.col("pplace") <= F.col("pn") - share) & (F.col("place") + F.col("pplace") <= total - 2 * share)
+    return (F.least("n", "pn") >= share) & F.when(F.col("single"), bits).otherwise(F.greatest("place", "pplace") <= total - 2 * share)
 
 
 def _pairs(members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
@@ -335,7 +362,7 @@ def _verified(pairs: DataFrame, source: DataFrame, classes: DataFrame, k: int, p
 def _first_pairs(groups: DataFrame, percent: int) -> DataFrame:
     """Every class with the pivot of its first group: the member that has the group's bit at the smallest place."""
     pivots = groups.groupBy("key").agg(F.min(F.struct("place", F.xxhash64("c").alias("h"), "c", "n")).alias("p")).select("key", "p.c", "p.place", "p.n")
-    first = groups.groupBy("c").agg(F.min(F.struct("place", "key", "n")).alias("f")).select("c", "f.key", "f.place", "f.n")
+    first = groups.groupBy("c").agg(F.min(F.struct("place", "key", "n", "single")).alias("f")).select("c", "f.key", "f.place", "f.n", "f.single")
     return _pairs(first, pivots, percent)
 
 
@@ -353,11 +380,10 @@ def _pivots(members: DataFrame, count: int) -> DataFrame:
 def _class_components(groups: DataFrame, source: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """``v, root`` over classes: compares pivots with the other members of each group until nothing is left to compare."""
     done = stored(_first_pairs(groups, percent), "jaccard-pairs")
-    links = _verified(done, source, classes, k, percent)
-    roots = components(links)
+    roots = components(_verified(done, source, classes, k, percent))
     members, count = groups, 1
     while True:
-        members = members.select("key", "c", "place", "n").join(roots.withColumnRenamed("v", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+        members = members.select("key", "c", "place", "n", "single").join(roots.withColumnRenamed("v", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
         open_ = members.groupBy("key").agg((F.min("root") != F.max("root")).alias("open")).where("open").select("key")
         members = stored(members.join(open_, "key"), "jaccard-members")
         if members.limit(1).count() == 0:
@@ -365,12 +391,23 @@ def _class_components(groups: DataFrame, source: DataFrame, classes: DataFrame,
         pivots = stored(_pivots(members, count), "jaccard-pivots")
         pairs = stored(_pairs(members, pivots, percent).join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
         if pairs.limit(1).count():
-            links = links.unionByName(_verified(pairs, source, classes, k, percent))
             done = done.unionByName(pairs)
-            roots = components(links)
+            found = _verified(pairs, source, classes, k, percent)
+            if found.limit(1).count():
+                roots = _merged(roots, found)
         # A pivot has met all members of other components: it need not stay.
         members = members.join(pivots.select("key", "c"), ["key", "c"], "left_anti").drop("root")
-        count *= 2
+        count *= 4
+
+
+def _merged(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """Components after some more links: those between components are few, so only their roots are joined up."""
+    ends = found.select("a").unionByName(found.select(F.col("b").alias("a"))).distinct()
+    root = stored(ends.join(roots.withColumnRenamed("v", "a"), "a", "left").withColumn("root", F.coalesce("root", "a")), "jaccard-ends")
+    between = found.join(root, "a").select("b", F.col("root").alias("x")).join(root.withColumnRenamed("a", "b"), "b").select(F.col("x").alias("a"), F.col("root").alias("b"))
+    joined = components(between).select(F.col("v").alias("root"), F.col("root").alias("top"))
+    every = roots.unionByName(root.select(F.col("a").alias("v"), "root")).distinct()
+    return stored(every.join(joined, "root", "left").select("v", F.coalesce("top", "root").alias("root")), "jaccard-roots")
 
 
 def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, percent: int = PERCENT, sample: int = SAMPLE) -> DataFrame:
