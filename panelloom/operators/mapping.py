@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from panelloom.functions.bands import parse_band
 from panelloom.functions.scalars import quoted
+from panelloom.operators.similar import nearest_known
+from panelloom.sources.tables import literal_table
 
 UNKNOWN = "UNKNOWN"
 ALL_EDITIONS = "all"
@@ -139,11 +141,26 @@ def unmapped_values(df: DataFrame, specs: Sequence[tuple[str, DataFrame, str]],
 
 
 def require_mapped(df: DataFrame, specs: Sequence[tuple[str, DataFrame, str]], edition: str | None = None, sample: int = 20) -> None:
-    """Fail with a sample of the unmapped values, if there are any."""
-    found = unmapped_values(df, specs, edition).limit(sample).collect()
+    """Fail with the first unmapped values and what each might be, if there are any."""
+    found = unmapped_sample(df, specs, edition, sample).collect()
     if found:
-        listing = sorted((r["field"], r["edition"] or "", r["raw_value"]) for r in found)
-        raise ValueError(f"unmapped raw values (add them to the mapping tables): {listing}")
+        listing = [(r["field"], r["edition"] or "", r["raw_value"]) for r in found]
+        raise ValueError(f"unmapped raw values (add them to the mapping tables): {listing}; nearest known values: {_advice(df, specs, listing)}")
+
+
+def unmapped_sample(df: DataFrame, specs: Sequence[tuple[str, DataFrame, str]], edition: str | None = None, sample: int = 20) -> DataFrame:
+    """The first ``sample`` unmapped values in order of field, edition and value: the same ones in every run."""
+    return unmapped_values(df, specs, edition).orderBy("field", "edition", "raw_value").limit(sample)
+
+
+def _advice(df: DataFrame, specs: Sequence[tuple[str, DataFrame, str]], listing: Sequence[tuple[str, str, str]]) -> dict[str, list[str]]:
+    """Per listed value the known values of its field that are nearest; at most three for each of the few listed ones."""
+    unknown = literal_table(df.sparkSession, sorted({(field, raw) for field, _, raw in listing}), "field string, raw_value string")
+    known = _known_values(specs, None).select("field", F.col("raw_value").cast("string").alias("raw_value")).distinct()
+    found: dict[str, list[str]] = {}
+    for r in nearest_known(unknown, known, ["field"]).orderBy("field", "raw_value", "place").collect():
+        found.setdefault(r["raw_value"], []).append(r["suggestion"])
+    return found
 
 
 def duplicate_mapping_keys(mapping: DataFrame, keys: Sequence[str]) -> DataFrame:

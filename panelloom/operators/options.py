@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.functions.scalars import any_answered, is_selected, quoted, ratio, selected_or_null_sql
+from panelloom.operators.shares import rows_of, rows_where
 
 
 def eligible(columns: Sequence[str]) -> Column:
@@ -103,7 +104,7 @@ def adoption_from_bridge(
     bridge holds every eligible respondent once per option.
     """
     counted = bridge.groupBy(period, option).agg(
-        F.count_if(F.col("selected")).alias(users), F.count(F.lit(1)).alias("eligible_respondents")
+        rows_where(bridge, F.col("selected")).alias(users), rows_of(bridge).alias("eligible_respondents")
     )
     if eligible is not None:
         counted = counted.drop("eligible_respondents").join(eligible, period)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.functions.scalars import any_of, ratio
+from panelloom.operators.shares import rows_where
 
 NOT_AVAILABLE = "NOT_AVAILABLE"
 NOT_ASKED = "NOT_ASKED"
@@ -39,12 +40,12 @@ def availability_rates(
     answered = (F.col(category) != NOT_ASKED) & (F.col(category) != NOT_AVAILABLE)
     per_period = df.groupBy(period).agg(
         F.bool_or(F.col(category) != NOT_AVAILABLE).alias("__cat_available"),
-        F.count_if(answered).alias("__cat_eligible"),
-        F.count_if(answered & any_of(F.col(category), positive)).alias("__cat_num"),
+        rows_where(df, answered).alias("__cat_eligible"),
+        rows_where(df, answered & any_of(F.col(category), positive)).alias("__cat_num"),
         F.bool_or(F.col(flag_available)).alias("__flag_available"),
-        F.count_if(shown).alias("__flag_eligible"),
-        *[F.count_if(shown & F.col(c)).alias(f"__num_{i}") for i, c in enumerate(flags)],
-        F.count_if(shown & ~F.coalesce(F.col(complement_of), F.lit(False))).alias("__num_complement"),
+        rows_where(df, shown).alias("__flag_eligible"),
+        *[rows_where(df, shown & F.col(c)).alias(f"__num_{i}") for i, c in enumerate(flags)],
+        rows_where(df, shown & ~F.coalesce(F.col(complement_of), F.lit(False))).alias("__num_complement"),
     )
 
     def metric(name: str, available: str, eligible: str, numerator: str):

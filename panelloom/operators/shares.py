@@ -18,8 +18,18 @@ WEIGHT = "__n"
 
 
 def count_combinations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows per combination of ``keys``, the count in a weight column."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(WEIGHT))
+    """Rows per combination of ``keys``, the count in a weight column; a table that holds counts already has them added up."""
+    return df.groupBy(*keys).agg(rows_of(df).alias(WEIGHT))
+
+
+def rows_of(df: DataFrame) -> Column:
+    """Aggregate: number of rows, by their weights where the table holds counts."""
+    return F.sum(WEIGHT) if WEIGHT in df.columns else F.count(F.lit(1))
+
+
+def rows_where(df: DataFrame, condition: Column) -> Column:
+    """Aggregate: number of rows that meet a condition, by their weights where the table holds counts."""
+    return F.coalesce(F.sum(F.when(condition, F.col(WEIGHT))), F.lit(0)) if WEIGHT in df.columns else F.count_if(condition)
 
 
 def counts_by(df: DataFrame, keys: Sequence[str], name: str = "respondent_count") -> DataFrame:

@@ -6,6 +6,7 @@ name to SQL. Doubles are rounded to six decimals and counts are bigint on both s
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from functools import reduce
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from panelloom.functions.bands import parse_band
 from panelloom.functions.headers import resolve_fields
 from panelloom.operators import effective as EF
+from panelloom.operators import gates as GT
 from panelloom.operators import mapping as M
 from panelloom.operators import options as O
 from panelloom.operators import quality as Q
@@ -137,6 +139,10 @@ for _name in (
 for _name in ("gold_gender_representation", "gold_technology_adoption_by_year", "gold_ai_adoption_overview"):
     add(f"stored_{_name}", lambda s, d, n=_name: landing.stored_gold(s, d)[n], GOLD_SQL[_name])
 
+# And from mergeable counts of several drops, see plans/incremental.py.
+for _name in ("gold_market_overview", "gold_compensation_by_role", "gold_gender_representation", "gold_technology_adoption_by_year", "gold_ai_adoption_overview", "gold_skill_priority_score"):
+    add(f"counted_{_name}", lambda s, d, n=_name: landing.counted_gold(s, d, n), GOLD_SQL[_name])
+
 # ---- Answers ----------------------------------------------------------------------------
 
 _LATEST = "survey_year = 'year_3'"
@@ -425,6 +431,14 @@ def _(spark, sf_dir):
     )
 
 
+@query("published_table", GOLD_SQL["gold_technology_adoption_by_year"])
+def _(spark, sf_dir):
+    """A Gold table published over an external folder and read back through the catalog by its name."""
+    name = f"panelloom_adoption_{zlib.crc32(sf_dir.encode())}"
+    sinks.publish(panel.gold(spark, sf_dir, "gold_technology_adoption_by_year"), name, f"{new_folder(spark, 'published')}/{name}")
+    return spark.sql(f"SELECT * FROM {name}")
+
+
 @query(
     "csv_round_trip_texts",
     "SELECT doc_id, nullif(text, '') AS text, nullif(lang, '') AS lang FROM documents",
@@ -601,6 +615,19 @@ def _(spark, sf_dir):
     return M.unmapped_values(orders, specs, "survey_year")
 
 
+@query(
+    "unmapped_sample",
+    "SELECT 'p_name' AS field, CAST(NULL AS VARCHAR) AS edition, p_name AS raw_value FROM (SELECT DISTINCT p_name FROM part JOIN lineitem ON l_partkey = p_partkey "
+    "WHERE split_part(p_name, ' ', 2) NOT IN ('anvil', 'bolt')) ORDER BY p_name LIMIT 7",
+)
+def _(spark, sf_dir):
+    """The first values no mapping knows: a bounded report, the same in every run."""
+    parts = panel.scan(spark, sf_dir, "part")
+    lines = panel.scan(spark, sf_dir, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    known = parts.where(F.split_part("p_name", F.lit(" "), F.lit(2)).isin("anvil", "bolt")).select(F.col("p_name").alias("raw_value")).distinct()
+    return M.unmapped_sample(lines.select("p_name"), [("p_name", known, "raw_value")], sample=7)
+
+
 _HISTORY = (
     ("1-URGENT", "TOP", None, "1996-07-01", "v1"), ("1-URGENT", "CRITICAL", "1996-07-01", None, "v2"), ("2-HIGH", "TOP", None, None, "v1"),
     ("3-MEDIUM", "NORMAL", None, "1995-01-01", "v1"), ("3-MEDIUM", "NORMAL", "1995-01-01", "1997-03-15", "v2"), ("3-MEDIUM", "LATER", "1997-03-15", None, "v3"),
@@ -1151,6 +1178,15 @@ add(
 )
 
 
+# The same reports from counts taken while Silver was written: no scan of it.
+for _name, _pick in {
+    "reconcile": lambda r: r,
+    "unknown_matrix": lambda r: r,
+    "missing_profile": lambda r: r.where(F.col("column").isin(*_MISSING)),
+    "band_flags": lambda r: r,
+}.items():
+    add(f"observed_{_name}", lambda s, d, n=_name, f=_pick: f(landing.stored_quality(s, d)[n]), ORACLE[_name])
+
 @query(
     "eligibility_check",
     f"WITH {B}, {AI} SELECT a.survey_year, n AS technology, m AS genai, n = m AS blocks_agree FROM "
@@ -1176,6 +1212,62 @@ def _(spark, sf_dir):
     return Q.answer_status(shown, "survey_year", "company_size", {e: True for e in S.EDITIONS}, "shown", invalid)
 
 
+_GATES = ("survey_year", "gender", "seniority", "employment_status", "manager_flag")
+_GATE_SQL = (
+    f"WITH {P}, {B}, {AI}, g AS (SELECT p.*, sh.o_orderkey IS NOT NULL AS technology, coalesce(a.genai_eligible, false) AS genai, p.survey_year <> 'year_1' AS pcd "
+    "FROM panel p LEFT JOIN shown sh USING (o_orderkey) LEFT JOIN ai a ON a.o_orderkey = p.o_orderkey), "
+    "long AS (" + " UNION ALL ".join(
+        f"SELECT '{b}' AS block, '{g}' AS gate, CAST({g} AS VARCHAR) AS value, {b} AS answered FROM g" for b in ("technology", "genai", "pcd") for g in _GATES
+    ) + "), per AS (SELECT block, gate, value, count(*) AS support, count(*) FILTER (WHERE NOT answered) AS blank FROM long GROUP BY 1, 2, 3), "
+    "rated AS (SELECT *, blank / CAST(support AS DOUBLE) AS confidence, CASE WHEN sum(blank) OVER w > 0 THEN blank / CAST(sum(blank) OVER w AS DOUBLE) END AS coverage, "
+    "bool_or(support >= 30 AND blank / CAST(support AS DOUBLE) < 0.99) OVER w AS has_open FROM per WINDOW w AS (PARTITION BY block, gate))"
+)
+
+
+def _gated(spark, sf_dir):
+    """Gate answers beside the blocks, and the rules found in them."""
+    raw = panel.raw_panel(spark, sf_dir, [*[g for g in _GATES if g != "survey_year"], "pcd_flag", *panel.OPTION_COLUMNS, *panel.GENAI_COLUMNS])
+    people = silver.harmonize(raw.withColumnRenamed("pcd_flag", "pcd"), silver.default_mappings(spark), _GATES)
+    blocks = {"technology": list(panel.OPTION_COLUMNS), "genai": list(panel.GENAI_COLUMNS), "pcd": ["pcd"]}
+    return people, GT.answered_counts(people, _GATES, blocks), blocks
+
+
+@query(
+    "gate_rules",
+    _GATE_SQL + " SELECT block, gate, value, support, round(confidence, 6) AS confidence, round(coverage, 6) AS coverage FROM rated "
+    "WHERE support >= 30 AND confidence >= 0.99 AND has_open",
+)
+def _(spark, sf_dir):
+    """Which answers close which block, read off the answers."""
+    _, counts, blocks = _gated(spark, sf_dir)
+    return GT.gate_rules(counts, _GATES, list(blocks))
+
+
+@query(
+    "block_implications",
+    _GATE_SQL.split(", long AS")[0] + ", pairs AS (" + " UNION ALL ".join(
+        f"SELECT '{a}' AS block, '{b}' AS implied, count(*) AS support, count(*) FILTER (WHERE {b}) / CAST(count(*) AS DOUBLE) AS confidence FROM g WHERE {a}"
+        for a in ("technology", "genai", "pcd") for b in ("technology", "genai", "pcd") if a != b
+    ) + ") SELECT block, implied, support, round(confidence, 6) AS confidence FROM pairs WHERE support >= 30 AND confidence >= 0.99",
+)
+def _(spark, sf_dir):
+    _, counts, blocks = _gated(spark, sf_dir)
+    return GT.block_implications(counts, list(blocks))
+
+
+@query(
+    "answer_status_by_rules",
+    f"WITH {AI} SELECT survey_year, CASE WHEN survey_year = 'year_1' THEN 'NOT_ELIGIBLE' WHEN genai_eligible THEN 'ANSWERED' ELSE 'NOT_ANSWERED' END AS answer_status, "
+    "count(*) AS respondent_count FROM ai GROUP BY 1, 2",
+)
+def _(spark, sf_dir):
+    """Blank blocks told apart by the rules found in the data: closed by an answer, or left blank."""
+    people, counts, blocks = _gated(spark, sf_dir)
+    rules = GT.rules_of(GT.gate_rules(counts, _GATES, list(blocks)), "genai")
+    told = people.select("survey_year", F.when(O.eligible(blocks["genai"]), F.lit("x")).alias("genai"), GT.shown(rules).alias("shown"))
+    return Q.answer_status(told, "survey_year", "genai", {e: True for e in S.EDITIONS}, "shown")
+
+
 @query(
     "work_model_gap",
     f"WITH {P} SELECT survey_year, current_work_model, ideal_work_model, count(*) AS respondent_count, "

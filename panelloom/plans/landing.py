@@ -5,15 +5,17 @@ They feed the full path from raw CSV on, including header resolution and row num
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.plans import panel
+from panelloom.plans import incremental, panel
 from panelloom.plans import survey_config as S
 from panelloom.plans.mapping_store import write_mappings
-from panelloom.plans.survey_job import SilverTables, gold_tables, read_gold, refresh
-from panelloom.session import new_folder
-from panelloom.sources.sinks import write_csv, write_table
+from panelloom.plans.survey_job import SilverTables, gold_tables, read_gold, read_quality, refresh, write_all
+from panelloom.session import new_folder, side_by_side
+from panelloom.sources.sinks import write_csv
 from panelloom.sources.tables import literal_table
 
 _ALIAS_OF = {canonical: label for label, canonical in S.DATABASE_ALIASES.items()}
@@ -67,7 +69,7 @@ def write_raw_editions(spark: SparkSession, sf_dir: str, root: str) -> dict[str,
     paths = {}
     for edition in S.EDITIONS:
         paths[edition] = f"{root}/raw/{edition}"
-        write_csv(raw_edition(answers, edition), paths[edition])
+    side_by_side(spark, [partial(write_csv, raw_edition(answers, edition), path) for edition, path in paths.items()])
     return paths
 
 
@@ -82,19 +84,52 @@ def write_versioned_mappings(spark: SparkSession, folder: str) -> str:
     return folder
 
 
-_stored: dict[tuple[str, str], SilverTables] = {}
+_stored: dict[tuple[str, str], tuple[str, SilverTables]] = {}
 
 
 def stored_silver(spark: SparkSession, sf_dir: str) -> SilverTables:
     """Silver tables after the full path from raw CSV, built once per application and data set."""
+    return _job(spark, sf_dir)[1]
+
+
+def stored_quality(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The quality report of the same job."""
+    return read_quality(spark, _job(spark, sf_dir)[0])
+
+
+def _job(spark: SparkSession, sf_dir: str) -> tuple[str, SilverTables]:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
         root = new_folder(spark, "survey")
         raw = write_raw_editions(spark, sf_dir, root)
-        _stored[key], _ = refresh(spark, raw, root, write_versioned_mappings(spark, f"{root}/mappings"))
+        _stored[key] = root, refresh(spark, raw, root, write_versioned_mappings(spark, f"{root}/mappings"))[0]
     return _stored[key]
 
 
+_DROPS = 3
+_counted: dict[tuple[str, str], str] = {}
+
+
+def counted_gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One Gold table from the counts of several drops, each counted alone and the first one twice.
+
+    A drop is a third of the respondents, stored by itself.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _counted:
+        root = new_folder(spark, "counts")
+        columns = [c for c in incremental.PEOPLE if c != panel.EDITION]
+        whole = {"fact": panel.fact(spark, sf_dir, columns), "bridge": panel.bridge(spark, sf_dir), "ai": panel.ai_facts(spark, sf_dir)}
+        drop = F.pmod(F.xxhash64("respondent_id"), F.lit(_DROPS)).cast("int")
+        for table, df in whole.items():
+            df.withColumn("drop", drop).write.partitionBy("drop").parquet(f"{root}/silver/{table}")
+        for number in [*range(_DROPS), 0]:
+            part = SilverTables(*(spark.read.parquet(f"{root}/silver/{table}/drop={number}") for table in whole))
+            incremental.count_batch(part, f"{root}/counts", f"drop-{number}")
+        _counted[key] = f"{root}/counts"
+    return incremental.gold_from_counts(spark, _counted[key])[name]
+
+
 _gold: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
@@ -102,6 +137,7 @@ def forget() -> None:
     """The next query over the raw path goes the whole way again."""
     _stored.clear()
     _gold.clear()
+    _counted.clear()
 
 
 def stored_gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -109,7 +145,6 @@ def stored_gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _gold:
         root = new_folder(spark, "gold")
-        for name, table in gold_tables(stored_silver(spark, sf_dir)).items():
-            write_table(table, f"{root}/gold/{name}")
+        write_all(spark, gold_tables(stored_silver(spark, sf_dir)), f"{root}/gold")
         _gold[key] = read_gold(spark, root)
     return _gold[key]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping
+from collections.abc import Callable, Collection, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -156,12 +156,14 @@ def stack(editions: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), editions.values())
 
 
-def build_fact_respondent(bronze: Mapping[str, DataFrame], tables: Mapping[str, DataFrame], validate: bool = True) -> DataFrame:
-    """``fact_respondent`` over all editions; fails on values no mapping table knows."""
+def build_fact_respondent(
+    bronze: Mapping[str, DataFrame], tables: Mapping[str, DataFrame], validate: bool = True, watch: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """``fact_respondent`` over all editions; fails on values no mapping table knows. ``watch`` is put on the raw answers."""
     raw = stack({edition: canonical_fields(df, edition) for edition, df in bronze.items()})
     if validate:
         M.require_mapped(raw, mapping_specs(tables), EDITION)
-    fact = harmonize(raw, tables)
+    fact = harmonize(raw if watch is None else watch(raw), tables)
     return fact.withColumns(
         {"pipeline_version": F.lit(S.PIPELINE_VERSION), "processing_timestamp": F.current_timestamp()}
     ).select(*FACT_COLUMNS)

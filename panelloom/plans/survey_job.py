@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from panelloom.operators import observed
+from panelloom.operators.observed import Observed
 from panelloom.plans import answers as answer_plans
 from panelloom.plans import gold as G
 from panelloom.plans import silver
 from panelloom.plans import survey_config as S
 from panelloom.plans.mapping_store import StoredMappings, fingerprints
-from panelloom.sources.bronze import ingest_edition, read_bronze
+from panelloom.session import side_by_side
+from panelloom.sources.bronze import LINEAGE, ingest_edition, read_bronze
 from panelloom.sources.header_index import files_state
 from panelloom.sources.sinks import write_answer, write_partitioned, write_table
 from panelloom.sources.tables import literal_table
@@ -26,6 +30,10 @@ DIMENSION_TABLES = {
 }
 
 
+# Fields whose share of UNKNOWN the quality report gives.
+UNKNOWN_FIELDS = ("gender", "employment_status", "seniority", "current_work_model", "current_role")
+
+
 @dataclass(frozen=True)
 class SilverTables:
     fact: DataFrame
@@ -42,30 +50,52 @@ def known_codes(edition: str) -> set[str]:
 
 def land_bronze(spark: SparkSession, raw: Mapping[str, str], root: str, multi_line: bool = True) -> dict[str, DataFrame]:
     """Ingest each edition's raw CSV (edition to path) below ``root``/bronze."""
-    return {
-        edition: ingest_edition(
-            spark, path, f"{root}/bronze", edition, multi_line=multi_line, dialect=S.HEADER_DIALECT[edition], known=known_codes(edition)
+    def land(edition: str) -> DataFrame:
+        return ingest_edition(
+            spark, raw[edition], f"{root}/bronze", edition, multi_line=multi_line, dialect=S.HEADER_DIALECT[edition], known=known_codes(edition)
         )
-        for edition, path in raw.items()
-    }
+
+    return dict(zip(raw, side_by_side(spark, [partial(land, e) for e in raw]), strict=True))
 
 
 def write_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], root: str, tables: Mapping[str, DataFrame] | None = None) -> SilverTables:
     """Write the three Silver tables and return them as stored, so nothing is computed twice.
 
-    Only the partitions of the editions in ``bronze`` are written.
+    Only the partitions of the editions in ``bronze`` are written. The counts of the quality report are taken by the job that writes the
+    respondents and stored by edition, see :func:`read_quality`.
     """
     tables = tables or silver.default_mappings(spark)
-    parts = {
-        "respondents": silver.build_fact_respondent(bronze, tables),
-        "bridge_respondent_technology": silver.build_technology_bridge(bronze, tables),
-        "fact_ai_adoption": silver.build_ai_fact(bronze, tables),
-    }
-    for name, table in parts.items():
-        write_partitioned(table, f"{root}/silver/{name}")
+    raw = Observed(silver.EDITION, S.EDITIONS)
+    watched = Observed(
+        silver.EDITION, S.EDITIONS, [c for c in silver.FACT_COLUMNS if c not in LINEAGE], UNKNOWN_FIELDS,
+        open_ended="salary_open_ended", anomaly="salary_anomaly_flag",
+    )
+    tables["ai_priority"]  # built once, before the tables are made side by side
+
+    def write(name: str, make: Callable[[], DataFrame]) -> None:
+        write_partitioned(make(), f"{root}/silver/{name}")
+
+    side_by_side(spark, [
+        partial(write, "respondents", lambda: watched.watch(silver.build_fact_respondent(bronze, tables, watch=raw.watch))),
+        partial(write, "bridge_respondent_technology", lambda: silver.build_technology_bridge(bronze, tables)),
+        partial(write, "fact_ai_adoption", lambda: silver.build_ai_fact(bronze, tables)),
+    ])
+    for name, counts in {"raw": raw, "respondents": watched}.items():
+        write_partitioned(counts.counts(spark), f"{root}/quality/{name}")
     return read_silver(spark, root)
 
 
+def read_quality(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The quality report over all stored editions, from counts taken while Silver was written."""
+    raw, counts = spark.read.parquet(f"{root}/quality/raw"), spark.read.parquet(f"{root}/quality/respondents")
+    return {
+        "reconcile": observed.reconcile(raw, counts, silver.EDITION),
+        "unknown_matrix": observed.value_rate_matrix(counts, silver.EDITION, S.EDITIONS),
+        "missing_profile": observed.missing_profile(counts),
+        "band_flags": observed.band_counts(counts, silver.EDITION),
+    }
+
+
 def read_silver(spark: SparkSession, root: str) -> SilverTables:
     return SilverTables(
         spark.read.parquet(f"{root}/silver/respondents"),
@@ -146,19 +176,19 @@ def run(spark: SparkSession, raw: Mapping[str, str], root: str, multi_line: bool
     """
     stored, changed = refresh(spark, raw, root, mappings, multi_line)
     if changed:
-        for name, table in gold_tables(stored).items():
-            write_table(table, f"{root}/gold/{name}")
         bronze = {e: read_bronze(spark, f"{root}/bronze", e) for e in raw}
-        for name, table in family_tables(spark, bronze).items():
-            write_table(table, f"{root}/gold/{name}")
+        write_all(spark, {**gold_tables(stored), **family_tables(spark, bronze)}, f"{root}/gold")
     gold = read_gold(spark, root)
     answers = answer_plans.all_answers(gold)
     if changed:
-        for name, table in answers.items():
-            write_answer(table, f"{root}/gold/business_answers/{name}")
+        side_by_side(spark, [partial(write_answer, table, f"{root}/gold/business_answers/{name}") for name, table in answers.items()])
     return {**gold, **answers}
 
 
+def write_all(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str) -> None:
+    side_by_side(spark, [partial(write_table, table, f"{folder}/{name}") for name, table in tables.items()])
+
+
 def family_tables(spark: SparkSession, bronze: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Adoption, rank and change of every further option family whose block some edition printed."""
     headers = {e: df.columns for e, df in bronze.items()}

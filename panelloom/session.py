@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 # Adaptive execution sizes shuffles, splits skewed join partitions and switches to a
 # broadcast only after it has measured the side, so no operator needs a blind hint.
 _SETTINGS = {
@@ -47,3 +53,12 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh, unused path below the shared folder."""
     return f"{shared_folder(spark)}/panelloom-{label}-{uuid.uuid4().hex}"
+
+
+def side_by_side(spark: SparkSession, tasks: Iterable[Callable[[], T]], at_once: int = 4) -> list[T]:
+    """Results of tasks that do not depend on each other, their jobs submitted together.
+
+    Planning and the small jobs of one overlap with the others; the cluster shares its cores among them. The first error is raised.
+    """
+    with ThreadPoolExecutor(at_once) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]]

@@ -27,7 +27,8 @@ LINEAGE = ("survey_year", "source_file", "ingestion_timestamp")
 _SENT_BYTES = 256 << 20
 _ROW_BYTES = 130
 
-_FILE, _BLOCK = "__source_path", "__source_block"
+#: File and split a stored row came from.
+SOURCE = _FILE, _BLOCK = "__source_path", "__source_block"
 
 
 def with_lineage(df: DataFrame, edition: str, source_file: Column | str) -> DataFrame:

@@ -6,8 +6,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.functions.scalars import numbered_key
-from panelloom.sources.bronze import ROW_ID, first_numbers, numbered, tagged
+from panelloom.functions.scalars import numbered_key, quoted
+from panelloom.operators.state import stored_values
+from panelloom.sources.bronze import ROW_ID, SOURCE, first_numbers, numbered, tagged
 from panelloom.sources.tables import CSV_READ, read_headered_csv
 
 BATCH = "landing_batch"
@@ -56,12 +57,25 @@ def land_new_files(
         .start()
     )
     query.awaitTermination()
-    stored = spark.read.parquet(target)
-    return numbered(stored, spark.read.parquet(f"{target}/_numbers").drop(BATCH), "__row").select(
-        F.lit(edition).alias("survey_year"), "source_file", "ingestion_timestamp", numbered_key(F.lit(edition), F.col("__row")).alias(ROW_ID), *names, BATCH
+    return read_landed(spark, bronze_path, edition)
+
+
+def read_landed(spark: SparkSession, bronze_path: str, edition: str, batch: str | None = None) -> DataFrame:
+    """Landed rows of an edition with their lineage and keys: all of them, or one batch, whose folder alone is read then."""
+    target = f"{bronze_path.rstrip('/')}/{edition}"
+    part = "" if batch is None else f"/{BATCH}={batch}"
+    stored = spark.read.option("basePath", target).parquet(f"{target}{part}")
+    names = [c for c in stored.columns if c not in ("source_file", "ingestion_timestamp", BATCH, *SOURCE)]
+    return numbered(stored, spark.read.parquet(f"{target}/_numbers{part}").drop(BATCH), "__row").select(
+        F.lit(edition).alias("survey_year"), "source_file", "ingestion_timestamp", numbered_key(F.lit(edition), F.col("__row")).alias(ROW_ID),
+        *[quoted(c) for c in names], BATCH,
     )
 
 
+def landed_batches(spark: SparkSession, bronze_path: str, edition: str) -> list[str]:
+    return stored_values(spark, f"{bronze_path.rstrip('/')}/{edition}", BATCH)
+
+
 def _rows_of_others(spark: SparkSession, target: str, partition: str) -> int:
     try:
         stored = spark.read.parquet(target)

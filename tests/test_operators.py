@@ -81,6 +81,29 @@ def test_interpolated_quartile(spark):
     assert ST.distribution_stats(df, ["k"], "v").first()["salary_p75"] == 2750.5
 
 
+@pytest.mark.parametrize("shift", [-1e6, -3.0, 2.0, 1e6])
+def test_a_bracket_that_misses_its_rank_is_widened(spark, monkeypatch, shift):
+    """The first brackets lie beside the values asked for; the exact counts show it and the groups go round again."""
+    true_brackets, widths = ST._brackets, []
+
+    def misplaced(rows, groups, probabilities, width, accuracy):
+        widths.append(width)
+        found = true_brackets(rows, groups, probabilities, width, accuracy)
+        if len(widths) > 2:
+            return found
+        moved = {c: F.transform(c, lambda e: e + F.lit(shift)) for c in ("__lo", "__hi")}
+        return found.withColumns({c: F.when(F.col("__k0") == "a", m).otherwise(F.col(c)) for c, m in moved.items()})
+
+    monkeypatch.setattr(ST, "_brackets", misplaced)
+    rng = np.random.default_rng(4)
+    values = {k: rng.normal(size=400) for k in ("a", "b")}
+    df = spark.createDataFrame([(k, float(v)) for k, vs in values.items() for v in vs], "k string, v double")
+    got = {r["k"]: r["quantiles"] for r in ST.exact_quantiles(df, ["k"], "v", [0.25, 0.5, 0.9], accuracy=100).collect()}
+    assert len(widths) == 3 and widths[0] < widths[1] < widths[2]
+    for k in values:
+        assert np.allclose(got[k], np.quantile(values[k], [0.25, 0.5, 0.9]), rtol=0, atol=1e-12)
+
+
 @pytest.mark.parametrize("accuracy", [20, 2000])
 def test_exact_quantiles_match_numpy_on_skewed_and_stretched_groups(spark, accuracy):
     rng = np.random.default_rng(5)
