@@ -37,7 +37,7 @@ def _id_digests(doc_id: int, ids: list[int], decoded: bytes) -> tuple[int, str,
 
 
 def substring_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = substring_dedup.substring_dedup(read_documents(spark, sf_dir))
+    out = substring_dedup.substring_dedup(read_documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("__row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 

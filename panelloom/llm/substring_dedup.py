@@ -36,6 +36,7 @@ from panelloom.llm.frames import map_batches, scratch, stored
 
 K = 35
 M = 12
+SENT_SPANS = 1_000_000  # spans and texts that have some, sent to all tasks instead of moving texts; some 50 bytes each
 _ROW = ["__id", "__th"]
 _VERTEX = ["__h", "__e"]
 
@@ -167,7 +168,8 @@ def repeated_spans(source: DataFrame, k: int = K, m: int = M) -> DataFrame:
         F.count(F.lit(1)).alias("__n"), F.min(F.struct("__id", "__th", "__lo", "__hi")).alias("__first"), F.first("__mixed").alias("__mixed")
     )
     vertices = stored(vertices, "substring-vertices")
-    spots = found.join(vertices.where("__n > 1").select(*_VERTEX), _VERTEX)
+    # Stored as well: what follows joins it by vertex again, and a hot vertex can be split only where an exchange comes first.
+    spots = stored(found.join(vertices.where("__n > 1").select(*_VERTEX), _VERTEX), "substring-spots")
     in_text = Window.partitionBy(*_ROW).orderBy("__lo")
     placed = spots.join(_paths(spots), _VERTEX, "left").select(
         *_ROW, "__lo", "__hi", (F.row_number().over(in_text) - F.col("__rank")).alias("__shift"),
@@ -224,8 +226,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     with scratch(docs.sparkSession):
         spans = repeated_spans(source, k, m).groupBy(*_ROW).agg(F.collect_list(F.struct("start", "end")).alias("__spans"))
         spans = stored(spans, "substring-spans", keep=True)
-    joined = source.join(spans, _ROW, "left").select("__text", "__spans", "__row")
-    return map_batches(joined, *_removed(source.schema["__row"].dataType.simpleString()))
+    size = spans.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("__spans")).alias("spans")).first()
+    small = size["rows"] + (size["spans"] or 0) <= SENT_SPANS
+    # Spans go to the texts while they are few; beyond that each text moves once, inside its row.
+    joined = source.select(*_ROW, "__row").join(F.broadcast(spans) if small else spans, _ROW, "left")
+    text = F.coalesce(F.col("__row")[text_col].cast("string"), F.lit(""))
+    return map_batches(joined.select(text.alias("__text"), "__spans", "__row"), *_removed(source.schema["__row"].dataType.simpleString()))
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, m: int = M) -> DataFrame:
