@@ -12,8 +12,11 @@ text's make-up. Which features enter the model is decided from document frequenc
 unlabelled training texts; only the weights are fitted by numpy on a bounded sample of vectors (``max_positive``,
 ``max_unlabelled`` rows, chosen by a hash of the id). Scoring is one pass over all texts without a shuffle.
 
-Defined results: NULL text is empty text; an empty text has only its make-up features; without any positive or any
-unlabelled training text every score is the class prior; rows with a NULL id or label are never learned from.
+The unlabelled texts are those without a label; where every text has one, all of them with their labels ignored, which the risk allows
+just as well, as it only asks for texts drawn from the whole.
+
+Defined results: NULL text is empty text; an empty text has only its make-up features; without any positive training
+text every score is the class prior; rows with a NULL id or label are never learned from.
 """
 
 from __future__ import annotations
@@ -238,9 +241,11 @@ def learn(
     # Which rows take part is settled on ids alone; texts are read for these rows only.
     ids = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("__id"))
     by_hash = ids.join(marks, "__id", "left").withColumn("__h", F.xxhash64("__id", F.lit(label_col)))
+    sizes = by_hash.agg(F.count(F.when(F.col("__y") == 1, 1)).alias("p"), F.count(F.when(F.col("__y").isNull(), 1)).alias("u"), F.count(F.lit(1)).alias("all")).first()
+    as_unlabelled = F.col("__y").isNull() if sizes["u"] else F.lit(True)
     chosen = (
         by_hash.where("__y = 1").orderBy("__h", "__id").limit(max_positive).select("__id", F.lit(True).alias("__p"))
-        .unionByName(by_hash.where("__y is null").orderBy("__h", "__id").limit(max_unlabelled).select("__id", F.lit(False).alias("__p")))
+        .unionByName(by_hash.where(as_unlabelled).orderBy("__h", "__id").limit(max_unlabelled).select("__id", F.lit(False).alias("__p")))
     ).toPandas()
     positive_ids = np.sort(chosen.loc[chosen["__p"], "__id"].to_numpy(np.int64))
     other_ids = np.sort(chosen.loc[~chosen["__p"].astype(bool), "__id"].to_numpy(np.int64))
@@ -249,13 +254,12 @@ def learn(
     spark = docs.sparkSession
     bounded_batches(spark)
     sent = spark.sparkContext.broadcast((positive_ids, other_ids))
-    sizes = by_hash.agg(F.count(F.when(F.col("__y") == 1, 1)).alias("p"), F.count(F.when(F.col("__y").isNull(), 1)).alias("u")).first()
     source = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"))
 
     def sampled(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray]:
         own = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        p, u = (ids[np.minimum(np.searchsorted(ids, own), len(ids) - 1)] == own for ids in sent.value)
-        return batch.filter(pa.array(p | u)), p[p | u]
+        p, u = (np.flatnonzero(ids[np.minimum(np.searchsorted(ids, own), len(ids) - 1)] == own) for ids in sent.value)
+        return batch.take(pa.array(np.append(p, u))), np.repeat([True, False], [len(p), len(u)])
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -269,12 +273,11 @@ def learn(
             return pa.RecordBatch.from_arrays([pa.array(signed(h)), pa.array(p.astype(np.int64)), pa.array(u.astype(np.int64))], ["h", "p", "u"])
 
         for batch in batches:
-            is_positive = batch.column(0).to_numpy(zero_copy_only=False)
-            for part in texts(batch.column(1)):
+            of_p, of_u = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            for part in texts(batch.column(2)):
                 owner, hashes = _distinct(*features(part, kind))
-                mine = is_positive[part.first + owner]
                 h, inverse = np.unique(hashes, return_inverse=True)
-                parts.append((h, np.bincount(inverse, mine, len(h)), np.bincount(inverse, ~mine, len(h))))
+                parts.append((h, np.bincount(inverse, of_p[part.first + owner], len(h)), np.bincount(inverse, of_u[part.first + owner], len(h))))
             if sum(len(p[0]) for p in parts) > 2_000_000:
                 parts = [merged()]
                 if len(parts[0][0]) > 1_000_000:
@@ -286,9 +289,9 @@ def learn(
     mark = F.broadcast(marks) if counts["n"] <= BROADCAST_LABELS else marks
     every = (
         docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("__id"), F.col(text_col).cast("string").alias("__text"))
-        .join(mark, "__id", "left").where("__y is null or __y = 1").select(F.col("__y").isNotNull().alias("__p"), "__text")
+        .join(mark, "__id", "left").select(F.coalesce(F.col("__y") == 1, F.lit(False)).alias("__p"), as_unlabelled.alias("__u"), "__text").where("__p or __u")
     )
-    n_p, n_u = float(sizes["p"]), float(sizes["u"])
+    n_p, n_u = float(sizes["p"]), float(sizes["u"] or sizes["all"])
     p, u, both = F.col("p") / n_p, F.col("u") / n_u, (F.col("p") + F.col("u")) / (n_p + n_u)
     gap = F.abs(p - u) / F.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u) + 1e-12)
     top = (

@@ -164,6 +164,59 @@ def test_ngram_jaccard_around_the_threshold(spark, monkeypatch, hot):
     assert got == jaccard_components(rows)
 
 
+@pytest.mark.parametrize("few", [0.32, 0.06])
+def test_linked_sets_share_a_chosen_block_that_their_places_allow(monkeypatch, few):
+    """Pairs at the very threshold, over all bands; with far too few blocks a set says so and its band is cut into single bits."""
+    monkeypatch.setattr(ngram_jaccard, "_FEW", few)
+    monkeypatch.setattr(ngram_jaccard, "_MANY", few)
+    rng = np.random.default_rng(5)
+    low26, low24 = (1 << 26) - 1, (1 << 24) - 1
+    fallbacks = 0
+    for _ in range(400):
+        n = int(rng.integers(1, 1500))
+        base = rng.integers(1, 2**63, n).astype(np.uint64)
+        gone = int(rng.integers(0, n // 5 + 1))
+        extra = rng.integers(1, 2**63, int(rng.integers(0, n // 5 + 1))).astype(np.uint64)
+        a, b = np.unique(base), np.unique(np.concatenate([base[gone:], extra]))
+        shared, union = len(np.intersect1d(a, b)), len(np.union1d(a, b))
+        if 100 * shared < 80 * union:
+            continue
+        frequent = np.sort(rng.permutation(a)[: int(rng.integers(0, n + 1))])
+        farthest = len(a) + len(b) - 2 * -(-80 * (len(a) + len(b)) // 180)
+
+        def chosen(s, fine=None):
+            keys, infos = ngram_jaccard.band_keys(s, frequent, 80, fine)
+            marks = infos >> ngram_jaccard._SHORT & 1 == 1
+            assert ((infos[~marks] & low26) == len(s)).all()
+            return dict(zip(keys[~marks].tolist(), (infos[~marks] >> ngram_jaccard._PLACE & low24).tolist())), set(keys[marks].tolist())
+
+        (x, short_x), (y, short_y) = chosen(a), chosen(b)
+        found = any(max(x[key], y[key]) <= farthest for key in x.keys() & y.keys())
+        if short_x | short_y:
+            fallbacks += 1
+            fine = frozenset(int(band) for band in short_x | short_y)
+            (x, more_x), (y, more_y) = chosen(a, fine), chosen(b, fine)
+            assert not more_x and not more_y
+            found |= any(max(x[key], y[key]) <= farthest for key in x.keys() & y.keys())
+        assert found
+    assert (fallbacks > 0) == (few < 0.1)
+
+
+def test_a_band_with_too_few_blocks_loses_no_link(spark, monkeypatch):
+    monkeypatch.setattr(ngram_jaccard, "_MANY", 0.05)
+    monkeypatch.setattr(ngram_jaccard, "SMALL", 8)
+    r = random.Random(21)
+    rows = []
+    for family in range(6):
+        words = prose(900 + family, r.choice([30, 60, 120])).split()
+        for _ in range(6):
+            words = list(words)
+            words[r.randrange(len(words))] = f"w{r.randrange(10_000)}"
+            rows.append((len(rows), " ".join(words)))
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in ngram_jaccard.ngram_jaccard(table(spark, rows), sample=20).collect()}
+    assert got == jaccard_components(rows)
+
+
 def test_parity_distance_bounds_the_difference():
     r = np.random.default_rng(1)
     for _ in range(200):

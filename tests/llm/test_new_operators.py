@@ -265,3 +265,119 @@ def test_redaction_keeps_columns_and_rows(spark):
     out = pii.redact(docs)
     assert out.columns == docs.columns
     assert sorted((str(x.doc_id), str(x.text)) for x in out.collect()) == sorted((str(i), str(None if t is None else pii.mask(t))) for i, t, _ in rows)
+
+
+# ---- positive-unlabelled learning against plain recomputation
+
+
+def plain_risk(w, bias, texts_, positive, prior, decay):
+    """The non-negative risk, term by term."""
+    import math
+
+    loss = lambda z: math.log1p(math.exp(-abs(z))) + max(-z, 0)
+    z = [sum(w[j] * v for j, v in t.items()) + bias for t in texts_]
+    pos, unl = [x for x, p in zip(z, positive) if p], [x for x, p in zip(z, positive) if not p]
+    plus = sum(map(loss, pos)) / len(pos)
+    rest = sum(loss(-x) for x in unl) / len(unl) - prior * sum(loss(-x) for x in pos) / len(pos)
+    return prior * plus + max(0.0, rest) + decay / 2 * sum(x * x for x in w)
+
+
+def test_the_fit_minimises_the_risk():
+    from panelloom.llm.pu_learning import fit_weights
+
+    r = random.Random(3)
+    prior, width, decay = 0.3, 6, 0.05
+    rows = []
+    for i in range(400):
+        is_p = i < 120
+        bad = is_p or r.random() < prior
+        rows.append(({j: r.randint(1, 3) for j in range(width) if r.random() < (0.6 if (j < 3) == bad else 0.2)}, is_p))
+    row = np.array([i for i, (t, _) in enumerate(rows) for _ in t])
+    column = np.array([j for t, _ in rows for j in sorted(t)])
+    value = np.array([float(t[j]) for t, _ in rows for j in sorted(t)])
+    positive = np.array([p for _, p in rows])
+    w, bias = fit_weights(row, column, value, positive, width, prior, decay=decay)
+    found = plain_risk(w, bias, *zip(*rows), prior, decay)
+    assert found < plain_risk(np.zeros(width), np.log(prior / (1 - prior)), *zip(*rows), prior, decay)
+    rng = np.random.default_rng(1)
+    for size in (0.05, 0.2, 1.0):
+        for _ in range(40):
+            step = rng.normal(size=width + 1)
+            step *= size / np.linalg.norm(step)
+            assert plain_risk(w + step[:-1], bias + step[-1], *zip(*rows), prior, decay) > found - 1e-3
+
+
+def marked(spark, n=400, labelled=1.0):
+    r = random.Random(12)
+    vocabulary = ["".join(r.choice("abdeklmnorstu") for _ in range(r.randint(3, 8))) for _ in range(80)]
+    rows, labels = [], []
+    for i in range(n):
+        bad = i % 4 == 0
+        words = [r.choice(vocabulary) for _ in range(40)] + (["(Nastyword!)", "vile"] if bad else [])
+        rows.append((i, " ".join(words), "s"))
+        if i < labelled * n:
+            labels.append((i, int(not bad), int(bad)))
+    rows += [(None, "vile", "s"), (5000, None, "s"), (5001, "", "s"), (5002, "vile " * 20_000, "s"), (3, rows[3][1], "s")]
+    return documents(spark, rows), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"), rows
+
+
+@pytest.mark.parametrize("labelled", [0.5, 1.0])
+def test_scores_are_those_of_the_weights(spark, labelled):
+    from panelloom.llm import toxicity
+    from panelloom.llm.arrays import mix, span_hash
+    from panelloom.llm.pu_learning import PREFIXES
+
+    docs, labels, rows = marked(spark, labelled=labelled)
+    model = toxicity.learn_toxicity(docs, labels)
+    assert model.fitted and len(model.hashes)
+    weight = dict(zip(model.hashes.tolist(), model.weights.tolist()))
+
+    def hashed(word: bytes) -> int:
+        return int(span_hash(np.frombuffer(word, np.uint8), np.array([0]), np.array([len(word)]))[0])
+
+    def plain(text: str) -> float:
+        counts: Counter = Counter()
+        for word in WORD.findall(text.lower()):
+            core = (word.strip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~") or word).encode()
+            counts[hashed(core)] += 1
+            for n in PREFIXES:
+                if len(core) > n:
+                    counts[int(mix(np.array([hashed(core[:n])], np.uint64) + np.uint64(n))[0])] += 1
+        z = model.bias + sum(weight.get(h, 0.0) * min(c, model.kind.most) for h, c in counts.items())
+        return 1 / (1 + np.exp(-z))
+
+    got = toxicity.score_toxicity(docs, model).collect()
+    want = sorted((str(i), round(plain(t or ""), 9)) for i, t, _ in rows)
+    assert sorted((str(x.doc_id), round(x.score, 9)) for x in got) == want
+    assert all(x.predicted == (x.score >= 0.5) for x in got)
+    bad = [x.score for x in got if x.doc_id is not None and x.doc_id < 400 and x.doc_id % 4 == 0]
+    good = [x.score for x in got if x.doc_id is not None and x.doc_id < 400 and x.doc_id % 4]
+    assert min(bad) > max(good)
+
+
+def test_frequencies_and_sample_see_every_text_of_a_fully_labelled_corpus(spark):
+    from panelloom.llm import quality
+
+    docs, labels, _ = marked(spark)
+    scores = {x.doc_id: x.score for x in quality.score_quality(docs, quality.learn_quality(docs, labels)).collect()}
+    assert np.mean([scores[i] for i in range(0, 400, 4)]) < 0.5 < np.mean([scores[i] for i in range(400) if i % 4])
+
+
+# ---- language profiles against plain recomputation
+
+
+def test_language_of_ties_repeats_and_long_texts(spark):
+    from panelloom.llm import language_id
+
+    r = random.Random(1)
+    letters = {"xx": "abcdefg", "yy": "mnopqrs"}
+    prose = lambda lang, n: " ".join("".join(r.choice(letters[lang]) for _ in range(r.randint(2, 7))) for _ in range(n))
+    rows = [(i, prose("xx" if i % 2 else "yy", 60), "xx" if i % 2 else "yy") for i in range(60)]
+    train = spark.createDataFrame([(i, t, lang, "s", 0.5, "und") for i, t, lang in rows], "doc_id bigint, text string, lang string, source string, score double, lang_pred string")
+    asked = [(100, prose("xx", 30_000)), (101, prose("yy", 5)), (101, prose("yy", 5)), (102, None), (103, " 1 2 3 "), (104, ""), (None, prose("xx", 40)), (105, "zzz")]
+    docs = spark.createDataFrame([(i, t, None, "s", 0.1, "q") for i, t in asked], train.schema)
+    got = [(x.doc_id, x.lang_pred, x.score) for x in language_id.identify(docs, language_id.learn(train)).collect()]
+    found = {i: lang for i, lang, _ in got}
+    assert len(got) == len(asked) and all(0 <= s <= 1 for _, _, s in got)
+    assert (found[100], found[101], found[102], found[103], found[104], found[None]) == ("xx", "yy", "und", "und", "und", "xx")
+    assert found[105] in ("xx", "yy")
