@@ -34,6 +34,10 @@ HEADLINE = (
     "surrogate_key",
     "duplicate_rows",
     "unknown_matrix",
+    "family_bi_tool",
+    "map_as_of",
+    "unmapped_advice",
+    "counted_gold_market_overview",
     "from_raw_gold_market_overview",
 )
 
