@@ -19,7 +19,7 @@ again, single bits this time: these are counted among these very texts, exactly,
 ``s >= percent * (a + b) / (100 + percent)`` bits, so at most ``a - s`` and ``b - s`` come before the first one they share, and together at most
 ``a + b - 2 s``. A link between two texts of a hot group is one between two texts that choose again, so hot groups are dropped altogether.
 *Groups.* Groups with equal members count once. Each class is first compared with one pivot of its first group. Then groups with several
-components left go on: small ones compare all that is left, large ones take one pivot, then two, four and so on; a group is finished when its
+components left go on: small ones compare all that is left, large ones take ``PIVOTS`` of them, then ever more; a group is finished when its
 members are connected or all pairs the places allow have been compared. So a large group of near copies costs about one comparison per member.
 *Verification.* A pair goes on if the Hamming distance of the narrow sketches allows a link; then the sets are compared exactly.
 
@@ -51,6 +51,7 @@ SAMPLE = 8_000  # texts looked at for frequent shingles
 FREQUENT = 200_000  # shingles sent to all tasks, 8 bytes each
 SKETCH_BITS = 2048
 HOT = 32  # classes that may share a chosen bit; beyond it they choose again
+PIVOTS = 16  # members of a large group compared with all others in the first round, and by how much their number grows
 SALTS = 64  # tasks over which a bit frequent in the sample is spread
 SENT_IDS = 1_000_000  # ids sent to all tasks instead of shuffling texts; beyond that a join
 SMALL = 128  # below that size every bit is a block of its own
@@ -381,7 +382,7 @@ def _class_components(groups: DataFrame, source: DataFrame, classes: DataFrame,
     """``v, root`` over classes: compares pivots with the other members of each group until nothing is left to compare."""
     done = stored(_first_pairs(groups, percent), "jaccard-pairs")
     roots = components(_verified(done, source, classes, k, percent))
-    members, count = groups, 1
+    members, count = groups, PIVOTS
     while True:
         members = members.select("key", "c", "place", "n", "single").join(roots.withColumnRenamed("v", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
         open_ = members.groupBy("key").agg((F.min("root") != F.max("root")).alias("open")).where("open").select("key")
@@ -397,7 +398,7 @@ def _class_components(groups: DataFrame, source: DataFrame, classes: DataFrame,
                 roots = _merged(roots, found)
         # A pivot has met all members of other components: it need not stay.
         members = members.join(pivots.select("key", "c"), ["key", "c"], "left_anti").drop("root")
-        count *= 4
+        count *= PIVOTS
 
 
 def _merged(roots: DataFrame, found: DataFrame) -> DataFrame:
