@@ -3,12 +3,13 @@
 Plain identifiers (email, ip, card, phone) are matched first, on the text itself. Then three transducers rewrite the text, each
 carrying along which source characters every character came from:
 
-1. *characters*: digits of any script, full-width and other compatibility forms, and letters that look like Latin ones become
-   ASCII; invisible format characters go;
-2. *spelled digits*: three or more digit words in a row ("four one five", "double seven" as well), also with ``dot`` and
+1. *characters*: digits of any script, full-width and other compatibility forms, and letters, dots, dashes and brackets that look like
+   ASCII ones become these; invisible format characters go;
+2. *letters for digits*: ``O``, ``I`` and ``l`` among the digits of a number become 0 and 1;
+3. *spelled digits*: three or more digit words in a row ("four one five", "double seven" as well), also with numerals, ``dot``, ``dash`` and
    ``plus`` between them, become digits without the spaces;
-3. *at and dot*: bracketed, underscored and escaped forms always; the bare words only in a whole address whose dots are
-   spelled too, so that prose with "at" in it stays as it is.
+4. *at and dot*: bracketed, underscored, hyphenated and escaped forms always, an ``@`` between blanks where a host name follows; the bare words
+   only in a whole address whose dots are spelled too, so that prose with "at" in it stays as it is.
 
 The same matching runs on what they leave, and its spans go back to source characters through the carried places. Spans that a
 plain one of the same kind already covers add nothing; all others are added, and the plain ones always stay.
@@ -26,7 +27,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from bisect import bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 from typing import NamedTuple
 
@@ -47,6 +48,8 @@ HOMOGLYPHS = dict(
         strict=True,
     )
 )
+# Signs that look like a dot, a dash or a bracket.
+SIGNS = {**dict.fromkeys("。｡·•∙⋅", "."), **dict.fromkeys("‐‑‒–—―−", "-"), **dict(zip("【】〔〕", "[][]", strict=True))}
 # The digits in English, German, French and Spanish, from zero on.
 DIGIT_WORDS = (
     "zero one two three four five six seven eight nine",
@@ -54,12 +57,15 @@ DIGIT_WORDS = (
     "zéro un deux trois quatre cinq six sept huit neuf",
     "cero uno dos tres cuatro cinco seis siete ocho nueve",
 )
-# Words for "@", for "." and for repeated digits.
-AT_WORDS = ("at", "arroba", "arobase", "klammeraffe")
+# Words for "@", for ".", for "+", for "-" and for repeated digits; letters that stand for digits.
+AT_WORDS = ("at", "ät", "arroba", "arobase", "klammeraffe")
 DOT_WORDS = ("dot", "punkt", "punto", "point")
+PLUS_WORDS = ("plus", "más")
+DASH_WORDS = ("dash", "hyphen")
 TIMES = {"double": 2, "triple": 3}
+LETTER_DIGITS = {"O": "0", "o": "0", "I": "1", "l": "1"}
 
-DIGITS = {word: str(d) for line in DIGIT_WORDS for d, word in enumerate(line.split())}
+DIGITS = {word: str(d) for line in DIGIT_WORDS for d, word in enumerate(line.split())} | {"oh": "0"}
 MIN_DIGIT_WORDS = 3
 
 
@@ -154,8 +160,8 @@ class Traced:
 @cache
 def plain_character(c: str) -> str:
     """The ASCII character that ``c`` stands for, nothing for an invisible one, or ``c`` itself."""
-    if c in HOMOGLYPHS:
-        return HOMOGLYPHS[c]
+    if c in HOMOGLYPHS or c in SIGNS:
+        return HOMOGLYPHS.get(c) or SIGNS[c]
     digit = unicodedata.decimal(c, None)
     if digit is not None:
         return str(digit)
@@ -173,22 +179,28 @@ def normalise_characters(t: Traced) -> None:
         t.rewrite([(*m.span(), plain_character(m.group())) for m in re.finditer(f"[{re.escape(odd)}]", t.text)])
 
 
-_ONE = "|".join(sorted({*DIGITS, *TIMES}, key=len, reverse=True))
-_POINT = "|".join(DOT_WORDS)
-_GAP = r"(?:[ \t]*,[ \t]*|[ \t]+|-)"
-_SPELLED = re.compile(rf"(?i)(?<!\w)(?:plus{_GAP})?(?:{_ONE}){_GAP}(?:{_ONE}|{_POINT})(?:{_GAP}(?:{_ONE}|{_POINT}))+(?!\w)")
-_WORD = re.compile(r"[^\W\d_]+")
+_CHUNK = re.compile(r"(?<![A-Za-z0-9])[0-9OoIl]++(?![A-Za-z0-9])")
 
 
-def _digits_of(words: list[str]) -> str:
-    out, times = [], 1
-    for word in words:
-        if word in TIMES:
-            times = TIMES[word]
-            continue
-        out.append("+" if word == "plus" else "." if word in DOT_WORDS else DIGITS[word] * times)
-        times = 1
-    return "".join(out)
+def letters_for_digits(t: Traced) -> None:
+    """In chunks that hold a digit and letters that look like one: each such letter is a digit."""
+    edits = []
+    for m in _CHUNK.finditer(t.text):
+        chunk = m.group()
+        if not chunk.isdigit() and any(c.isdigit() for c in chunk):
+            edits += [(m.start() + i, m.start() + i + 1, LETTER_DIGITS[c]) for i, c in enumerate(chunk) if c in LETTER_DIGITS]
+    t.rewrite(edits)
+
+
+def _any(words: Iterable[str]) -> str:
+    return "|".join(sorted(words, key=len, reverse=True))
+
+
+_ONE, _FILL = _any({*DIGITS, *TIMES}), _any({*DOT_WORDS, *DASH_WORDS})
+_GAP = r"(?:[ \t]*,[ \t]*|[ \t]+|-)"
+_PART = rf"(?:(?:{_ONE}|{_FILL})(?!\w)|[0-9]++(?!\w))"
+_SPELLED = re.compile(rf"(?i)(?<!\w)(?:(?:{_any(PLUS_WORDS)}){_GAP})?{_PART}(?:{_GAP}{_PART}){{2,}}")
+_WORD = re.compile(r"[^\W\d_]+|[0-9]+")
 
 
 def spelled_digits(t: Traced) -> None:
@@ -196,25 +208,32 @@ def spelled_digits(t: Traced) -> None:
     edits = []
     for m in _SPELLED.finditer(t.text):
         words = [(w.group().lower(), *w.span()) for w in _WORD.finditer(t.text, *m.span())]
-        while words and words[-1][0] in {*DOT_WORDS, *TIMES}:  # what ends in no digit is prose again
+        # What begins or ends in no digit is prose.
+        while words and not (words[-1][0] in DIGITS or words[-1][0].isdigit()):
             words.pop()
+        while words and words[0][0] in (*DOT_WORDS, *DASH_WORDS):
+            del words[0]
         if sum(w in DIGITS for w, _, _ in words) < MIN_DIGIT_WORDS:
             continue
-        times = ""
+        times = 1
         for i, (word, a, b) in enumerate(words):
             if i:
                 edits.append((words[i - 1][2], a, ""))
-            edits.append((a, b, "" if word in TIMES else _digits_of([times, word] if times else [word])))
-            times = word if word in TIMES else ""
+            digit = "+" if word in PLUS_WORDS else "." if word in DOT_WORDS else "" if word in DASH_WORDS or word in TIMES else DIGITS.get(word, word) * times
+            edits.append((a, b, digit))
+            times = TIMES.get(word, 1)
     t.rewrite(edits)
 
 
 _OPEN, _CLOSE = r"[ \t]*[\[({<][ \t]*", r"[ \t]*[\])}>][ \t]*"
 _AT, _DOT = "|".join(AT_WORDS), "|".join(DOT_WORDS)
-_SURE_AT = rf"{_OPEN}(?:{_AT}|@){_CLOSE}|&#0*64;|&#x0*40;|&commat;|%40|[ \t]*[_*](?:{_AT})[_*][ \t]*"
-_SURE_DOT = rf"{_OPEN}(?:{_DOT}|\.){_CLOSE}|&#0*46;|&#x0*2e;|&period;|%2e|[ \t]*[_*](?:{_DOT})[_*][ \t]*"
+_HOST = r"[A-Za-z0-9-]+\.[A-Za-z0-9]"
+_SURE_AT = (
+    rf"{_OPEN}(?:{_AT}|@){_CLOSE}|[(\[]a[)\]]|&#0*64;|&#x0*40;|&commat;|%40|[ \t]*[_*-](?:{_AT})[_*-][ \t]*|[ \t]+@[ \t]*(?={_HOST})|@[ \t]+(?={_HOST})"
+)
+_SURE_DOT = rf"{_OPEN}(?:{_DOT}|\.){_CLOSE}|&#0*46;|&#x0*2e;|&period;|%2e|[ \t]*[_*-](?:{_DOT})[_*-][ \t]*"
 _SURE = re.compile(rf"(?i)(?<=[A-Za-z0-9.%+_-])(?:(?P<at>{_SURE_AT})|(?P<dot>{_SURE_DOT}))(?=[A-Za-z0-9])")
-_SURE_SIGNS = re.compile(r"(?i)[\[({<_*] ?\t*(?:at|ar|kl|@|dot|pun|poi|\.)|&[#cp]|%[42]")
+_SURE_SIGNS = re.compile(r"(?i)[\[({<_*-] ?\t*(?:a|ä|kl|@|dot|pun|poi|\.)|&[#cp]|%[42]|[ \t]@|@[ \t]")
 # A host name has 127 labels at most, so a chain of spelled dots ends there.
 _BARE = re.compile(
     rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:[ \t]+(?:{_DOT})[ \t]+[A-Za-z0-9_%+-]++){{0,126}}"
@@ -234,7 +253,7 @@ def spelled_signs(t: Traced) -> None:
         t.rewrite(edits)
 
 
-TRANSDUCERS: tuple[Callable[[Traced], None], ...] = (normalise_characters, spelled_digits, spelled_signs)
+TRANSDUCERS: tuple[Callable[[Traced], None], ...] = (normalise_characters, letters_for_digits, spelled_digits, spelled_signs)
 
 
 def find(text: str) -> list[Span]:

@@ -205,7 +205,18 @@ def test_plain_spans_are_those_of_the_patterns():
         ("+eins zwei drei vier fünf sechs sieben acht neun null", [("phone", "+eins zwei drei vier fünf sechs sieben acht neun null")]),
         ("+1 four one five triple five 0 one two one", [("phone", "+1 four one five triple five 0 one two one")]),
         ("four-five-three-nine-one-four-eight-eight-zero-three-four-three-six-four-six-seven", [("card", "four-five-three-nine-one-four-eight-eight-zero-three-four-three-six-four-six-seven")]),
+        ("ana-at-example-dot-org", [("email", "ana-at-example-dot-org")]),
+        ("write john @ example.com", [("email", "john @ example.com")]),
+        ("john(a)example.com", [("email", "john(a)example.com")]),
+        ("kurt (ät) beispiel punkt de", [("email", "kurt (ät) beispiel punkt de")]),
+        ("a【at】b。com", [("email", "a【at】b。com")]),
+        ("+49–151–1234567", [("phone", "+49–151–1234567")]),
+        ("host 1O.2O.0.1l is up", [("ip", "1O.2O.0.1l")]),
+        ("call plus 1 four one five dash five 5 5 dash oh one two three", [("phone", "plus 1 four one five dash five 5 5 dash oh one two three")]),
         # Prose stays as it is.
+        ("stay-at-home polka-dot dress", []),
+        ("Il a 10 ans, 1l de lait, I10", []),
+        ("(a) first, (b) second. at 3 o'clock", []),
         ("meet me at example.com at noon", []),
         ("one two three four", []),
         ("connect the dot at home", []),
