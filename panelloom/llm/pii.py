@@ -197,6 +197,7 @@ def _any(words: Iterable[str]) -> str:
 
 
 _ONE, _FILL = _any({*DIGITS, *TIMES}), _any({*DOT_WORDS, *DASH_WORDS})
+_DIGIT_WORDS = {*DIGITS, *TIMES}
 _GAP = r"(?:[ \t]*,[ \t]*|[ \t]+|-)"
 _PART = rf"(?:(?:{_ONE}|{_FILL})(?!\w)|[0-9]++(?!\w))"
 _SPELLED = re.compile(rf"(?i)(?<!\w)(?:(?:{_any(PLUS_WORDS)}){_GAP})?{_PART}(?:{_GAP}{_PART}){{2,}}")
@@ -205,6 +206,9 @@ _WORD = re.compile(r"[^\W\d_]+|[0-9]+")
 
 def spelled_digits(t: Traced) -> None:
     """Each word of a run becomes its digit; the gaps between them go with the word before."""
+    # A run has a digit word with gaps on both sides.
+    if _DIGIT_WORDS.isdisjoint(t.text.lower().replace("-", " ").replace(",", " ").split()):
+        return
     edits = []
     for m in _SPELLED.finditer(t.text):
         words = [(w.group().lower(), *w.span()) for w in _WORD.finditer(t.text, *m.span())]
@@ -233,7 +237,7 @@ _SURE_AT = (
 )
 _SURE_DOT = rf"{_OPEN}(?:{_DOT}|\.){_CLOSE}|&#0*46;|&#x0*2e;|&period;|%2e|[ \t]*[_*-](?:{_DOT})[_*-][ \t]*"
 _SURE = re.compile(rf"(?i)(?<=[A-Za-z0-9.%+_-])(?:(?P<at>{_SURE_AT})|(?P<dot>{_SURE_DOT}))(?=[A-Za-z0-9])")
-_SURE_SIGNS = re.compile(r"(?i)[\[({<_*-] ?\t*(?:a|ä|kl|@|dot|pun|poi|\.)|&[#cp]|%[42]|[ \t]@|@[ \t]")
+_SURE_SIGNS = re.compile(rf"[\[({{<][ \t]*(?:{_AT}|{_DOT}|[@.])|[(\[]a[)\]]|[_*-](?:{_AT}|{_DOT})[_*-]|&[#cp]|%[42]|[ \t]@|@[ \t]")
 # A host name has 127 labels at most, so a chain of spelled dots ends there.
 _BARE = re.compile(
     rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:[ \t]+(?:{_DOT})[ \t]+[A-Za-z0-9_%+-]++){{0,126}}"
@@ -243,7 +247,7 @@ _BARE_WORDS = re.compile(rf"(?i)[ \t]+(?:(?P<dot>{_DOT})|{_AT})[ \t]+|[ \t]*@[ \
 
 
 def spelled_signs(t: Traced) -> None:
-    if _SURE_SIGNS.search(t.text):
+    if _SURE_SIGNS.search(t.text.lower()):
         t.rewrite([(*m.span(), "@" if m["at"] else ".") for m in _SURE.finditer(t.text)])
     low = t.text.lower()
     if any(word in low for word in DOT_WORDS) and ("@" in low or any(word in low for word in AT_WORDS)):
