@@ -153,9 +153,9 @@ def test_ngram_jaccard_around_the_threshold(spark, monkeypatch, hot):
     monkeypatch.setattr(ngram_jaccard, "HOT", hot)
     r = random.Random(9)
     rows, passage = [], prose(77, 30).split()
-    for family in range(12):
+    for family in range(10):
         words = prose(500 + family, r.choice([6, 9, 20, 60, 300])).split() + (passage if family % 2 else [])
-        for _ in range(8):
+        for _ in range(6):
             words = list(words)
             for _ in range(max(1, len(words) // r.choice([30, 60, 100]))):
                 words[r.randrange(len(words))] = f"w{r.randrange(10_000)}"
