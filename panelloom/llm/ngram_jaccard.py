@@ -51,7 +51,7 @@ SAMPLE = 8_000  # texts looked at for frequent shingles
 FREQUENT = 200_000  # shingles sent to all tasks, 8 bytes each
 SKETCH_BITS = 2048
 HOT = 32  # classes that may share a chosen bit; beyond it they choose again
-PIVOTS = 16  # members of a large group compared with all others in the first round, and by how much their number grows
+PIVOTS = 4  # members of a large group compared with all others in the first round, and by how much their number grows
 SALTS = 64  # tasks over which a bit frequent in the sample is spread
 SENT_IDS = 1_000_000  # ids sent to all tasks instead of shuffling texts; beyond that a join
 SMALL = 128  # below that size every bit is a block of its own
