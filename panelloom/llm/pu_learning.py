@@ -161,7 +161,10 @@ class Index:
 
 
 def _folds(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, positive: np.ndarray, count: int) -> list[tuple[np.ndarray, ...]]:
-    """The rows dealt into ``count`` parts with P and U in proportion."""
+    """The rows dealt into ``count`` parts with P and U in proportion; one part is the arrays as they are, not a copy."""
+    if count == 1:
+        first = np.flatnonzero(np.diff(rows, prepend=-1))
+        return [(rows, columns, values, positive, rows[first], first)]
     order = np.argsort(~positive, kind="stable")
     part_of, number = np.empty(len(positive), np.int16), np.empty(len(positive), np.int32)
     part_of[order] = np.arange(len(positive)) % count
