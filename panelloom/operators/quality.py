@@ -27,10 +27,19 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def key_profile(df: DataFrame, period: str, key: str) -> DataFrame:
-    """Rows, distinct keys, smallest and largest key per period."""
-    return df.groupBy(period).agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("distinct_keys"), F.min(key).alias("first_key"), F.max(key).alias("last_key")
+    """Rows, distinct keys, smallest and largest key per period.
+
+    Texts are ordered by length first: the numbers of surrogate keys widen beyond their padding, ``_999999`` comes before ``_1000000``.
+    """
+    ordered = quoted(key)
+    if isinstance(df.schema[key].dataType, T.StringType):
+        ordered = F.when(ordered.isNotNull(), F.struct(F.length(ordered).alias("length"), ordered.alias("key")))
+    found = df.groupBy(period).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct(quoted(key)).alias("distinct_keys"), F.min(ordered).alias("first_key"), F.max(ordered).alias("last_key")
     )
+    if isinstance(df.schema[key].dataType, T.StringType):
+        found = found.withColumns({"first_key": F.col("first_key.key"), "last_key": F.col("last_key.key")})
+    return found
 
 
 def value_rate_matrix(df: DataFrame, period: str, periods: Sequence[str], fields: Sequence[str], value: str = "UNKNOWN") -> DataFrame:

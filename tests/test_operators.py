@@ -260,3 +260,11 @@ def test_an_option_in_two_columns_counts_a_respondent_once(spark):
     wide = O.option_adoption(df, options)
     long = O.adoption_from_bridge(O.option_bridge(df.withColumn("id", F.monotonically_increasing_id()), ["id", "survey_year"], options))
     assert rows(wide.select("technology_users", "eligible_respondents")) == rows(long.select("technology_users", "eligible_respondents")) == [(2, 3)]
+
+
+def test_keys_beyond_six_digits_come_after_shorter_ones(spark):
+    keys = [("y1", f"y1_{n:06d}") for n in (999_999, 1_000_000, 1_000_000, 7)] + [("y2", "y2_000000"), ("y2", None)]
+    found = rows(Q.key_profile(spark.createDataFrame(keys, "survey_year string, k string"), "survey_year", "k"))
+    assert found == [("y1", 4, 3, "y1_000007", "y1_1000000"), ("y2", 2, 1, "y2_000000", "y2_000000")]
+    numbers = spark.createDataFrame([("y1", 9), ("y1", 10), ("y1", -30)], "survey_year string, k bigint")
+    assert rows(Q.key_profile(numbers, "survey_year", "k")) == [("y1", 3, 3, -30, 10)]
