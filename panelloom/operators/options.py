@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelloom.functions.scalars import any_answered, is_selected, quoted, ratio, selected_or_null_sql
+from panelloom.functions.scalars import any_answered, is_selected, quoted, ratio, selected_or_null_sql, selected_sql
 from panelloom.operators.shares import rows_of, rows_where
 
 
@@ -91,6 +91,45 @@ def option_adoption(
     return _with_rate(long.where(F.col("eligible_respondents") > 0), users)
 
 
+_WORD = 62  # options whose answers go into one number
+
+
+def option_users(
+    df: DataFrame,
+    respondent: str,
+    options: Mapping[str, str],
+    option: str = "technology",
+    users: str = "users",
+    offered_in: Mapping[str, Sequence[str]] | None = None,
+    period: str = "survey_year",
+) -> DataFrame:
+    """Distinct respondents per option that has any, from the wide block, however many rows a respondent has.
+
+    All answers of a row are bits of one number (one per ``_WORD`` options), and a respondent's numbers are united. So the shuffle has a row per
+    respondent instead of one per option used, and no task holds more than that.
+    """
+    columns_of: dict[str, list[str]] = {}
+    for column, name in options.items():
+        columns_of.setdefault(name, []).append(column)
+    names = list(columns_of)
+
+    def bit(name: str, place: int) -> str:
+        chosen = " OR ".join(selected_sql(c) for c in columns_of[name])
+        if name in (offered_in or {}):
+            listed = ", ".join("'" + e.replace("\\", "\\\\").replace("'", "\\'") + "'" for e in offered_in[name])
+            chosen = f"({chosen}) AND {period} IN ({listed})"
+        return f"IF({chosen}, {1 << place}L, 0L)"
+
+    words = [names[i : i + _WORD] for i in range(0, len(names), _WORD)]
+    packed = [F.expr(" | ".join(bit(name, i) for i, name in enumerate(word))).alias(f"__w{w}") for w, word in enumerate(words)]
+    rows = df.where(quoted(respondent).isNotNull()).select(quoted(respondent).alias("__id"), *packed)
+    united = rows.groupBy("__id").agg(*[F.bit_or(f"__w{w}").alias(f"__w{w}") for w in range(len(words))])
+    counts = united.agg(*[F.expr(f"count_if((__w{i // _WORD} & {1 << i % _WORD}L) <> 0L) AS __o{i}") for i in range(len(names))])
+    number = F.substr("__option", F.lit(len("__o") + 1)).cast("int")
+    long = counts.unpivot([], [f"__o{i}" for i in range(len(names))], "__option", users)
+    return long.where(F.col(users) > 0).select(F.get(F.array(*[F.lit(n) for n in names]), number).alias(option), users)
+
+
 def adoption_from_bridge(
     bridge: DataFrame,
     eligible: DataFrame | None = None,

@@ -1008,9 +1008,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     """Distinct respondents per option and the minimum-users cut."""
-    users = panel.bridge(spark, sf_dir).where(F.col("selected")).groupBy("technology").agg(
-        F.count_distinct("respondent_id").alias("users")
-    )
+    users = panel.users(spark, sf_dir)
     return users.where(F.col("users") >= S.MIN_SAMPLE_SIZE)
 
 

@@ -14,7 +14,7 @@ from collections.abc import Collection, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.operators.options import option_adoption, option_bridge
+from panelloom.operators.options import option_adoption, option_bridge, option_users
 from panelloom.plans import gold as G
 from panelloom.plans import silver
 from panelloom.plans import survey_config as S
@@ -301,6 +301,10 @@ def bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return option_users(block(spark, sf_dir), "respondent_id", OPTION_COLUMNS, offered_in=S.DATABASE_OFFERED_IN)
+
+
 def adoption(spark: SparkSession, sf_dir: str) -> DataFrame:
     return option_adoption(block(spark, sf_dir), OPTION_COLUMNS, offered_in=S.DATABASE_OFFERED_IN)
 

@@ -268,3 +268,18 @@ def test_keys_beyond_six_digits_come_after_shorter_ones(spark):
     assert found == [("y1", 4, 3, "y1_000007", "y1_1000000"), ("y2", 2, 1, "y2_000000", "y2_000000")]
     numbers = spark.createDataFrame([("y1", 9), ("y1", 10), ("y1", -30)], "survey_year string, k bigint")
     assert rows(Q.key_profile(numbers, "survey_year", "k")) == [("y1", 3, 3, -30, 10)]
+
+
+def test_distinct_users_over_repeated_rows_and_many_options(spark):
+    options = {f"c{i}": f"O'{i}" for i in range(70)} | {"c70": "O'3"}
+    rng = random.Random(5)
+    data = [(rng.choice([None, "a", "b", "c", "d"]), rng.choice(["y1", "y2"]), *[rng.choice(["1", "0.0", None, "x"]) if i % 9 else "0" for i in range(71)]) for _ in range(12)]
+    df = spark.createDataFrame(data, "id string, survey_year string, " + ", ".join(f"c{i} string" for i in range(71)))
+    offered = {"O'3": ["y1"], "O'69": ["y2"]}
+    bridge = O.option_bridge(df.withColumn("row", F.monotonically_increasing_id()), ["row", "id", "survey_year"], options, offered_in=offered)
+    want = rows(bridge.where("selected and id is not null").groupBy("technology").agg(F.count_distinct("id")))
+    got = O.option_users(df, "id", options, offered_in=offered)
+    assert want and rows(got) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan.split("bit_or")[-1]  # options are taken apart after respondents were united
+    assert rows(O.option_users(df.limit(0), "id", options)) == []
