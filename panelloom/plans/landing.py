@@ -15,7 +15,7 @@ from panelloom.plans import survey_config as S
 from panelloom.plans.mapping_store import write_mappings
 from panelloom.plans.survey_job import SilverTables, gold_tables, read_gold, read_quality, refresh, write_all
 from panelloom.session import new_folder, side_by_side
-from panelloom.sources.sinks import write_csv
+from panelloom.sources.sinks import unsorted_partitions, write_csv
 from panelloom.sources.tables import literal_table
 
 _ALIAS_OF = {canonical: label for label, canonical in S.DATABASE_ALIASES.items()}
@@ -62,10 +62,13 @@ def raw_edition(answers: DataFrame, edition: str) -> DataFrame:
 def write_raw_editions(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
     """Write the three raw CSV editions below ``root``/raw and return their paths."""
     fields = [f for f in S.FIELD_CODES] + list(panel.OPTION_COLUMNS) + list(panel.GENAI_COLUMNS) + ["ai_priority"]
-    # Stored once: three writers read it, and the joins behind it are not repeated.
+    # Stored once: three writers read it, and the joins behind it are not repeated. The answers are printed when they are read, as
+    # the dozen columns they are made from are far less than the dozens of printed ones.
     staged = f"{root}/staged"
-    panel.raw_panel(spark, sf_dir, fields).write.mode("overwrite").partitionBy("survey_year").parquet(staged)
-    answers = spark.read.parquet(staged)
+    unsorted_partitions(spark)
+    orders = panel.answer_sources(spark, sf_dir, fields)
+    orders.withColumn("survey_year", F.expr(panel.EDITION_SQL)).write.mode("overwrite").partitionBy("survey_year").parquet(staged)
+    answers = panel.printed_answers(spark.read.schema(orders.schema.add("survey_year", "string")).parquet(staged), fields)
     paths = {}
     for edition in S.EDITIONS:
         paths[edition] = f"{root}/raw/{edition}"

@@ -183,9 +183,17 @@ def block_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_panel(spark: SparkSession, sf_dir: str, fields: Collection[str], key: str = "respondent_id") -> DataFrame:
-    """Edition, respondent key and the asked-for raw fields; only the tables they need are joined."""
-    order, customer, place, block = _order_fields(), _customer_fields(), _place_fields(), _block_fields()
+def _fields() -> tuple[dict[str, str], ...]:
+    return _order_fields(), _customer_fields(), _place_fields(), _block_fields()
+
+
+# What the fields are made from; other columns of the tables are not read.
+_SOURCES = ("o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "o_totalprice", "c_nationkey", "c_acctbal", "c_mktsegment", "n_name", "r_name", "mask", "line_count")
+
+
+def answer_sources(spark: SparkSession, sf_dir: str, fields: Collection[str]) -> DataFrame:
+    """One row per order with what its answers are made from; only the tables the fields need are joined."""
+    order, customer, place, block = _fields()
     unknown = [f for f in fields if f not in {**order, **customer, **place, **block}]
     if unknown:
         raise KeyError(f"unknown panel fields {unknown}")
@@ -201,14 +209,26 @@ def raw_panel(spark: SparkSession, sf_dir: str, fields: Collection[str], key: st
     if any(f in block for f in fields):
         masks = block_masks(spark, sf_dir).withColumnRenamed("l_orderkey", "o_orderkey")
         df = df.join(masks, "o_orderkey", "left")
+    return df.select(*[c for c in _SOURCES if c in df.columns])
+
+
+def printed_answers(sources: DataFrame, fields: Collection[str], key: str = "respondent_id") -> DataFrame:
+    """Edition, respondent key and the asked-for raw fields of :func:`answer_sources`."""
+    order, customer, place, block = _fields()
     every = {**order, **customer, **place, **block}
-    return df.selectExpr(
-        f"{EDITION_SQL} AS {EDITION}",
+    edition = EDITION if EDITION in sources.columns else f"{EDITION_SQL} AS {EDITION}"
+    return sources.selectExpr(
+        edition,
         f"format_string('%s_%06d', {EDITION_SQL}, o_orderkey) AS {key}",
         *[f"{every[f]} AS {f}" for f in fields],
     )
 
 
+def raw_panel(spark: SparkSession, sf_dir: str, fields: Collection[str], key: str = "respondent_id") -> DataFrame:
+    """Edition, respondent key and the asked-for raw fields; only the tables they need are joined."""
+    return printed_answers(answer_sources(spark, sf_dir, fields), fields, key)
+
+
 # Harmonized column: raw field it is made from, where the two differ.
 _MADE_FROM = {
     "salary_midpoint": "salary_band", "salary_lower_bound": "salary_band", "salary_upper_bound": "salary_band",

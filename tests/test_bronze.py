@@ -122,3 +122,20 @@ def test_a_new_checkpoint_does_not_overwrite_landed_rows(spark, tmp_path):
     landed = land_new_files(spark, str(tmp_path / "two"), target, str(tmp_path / "p2"), "year_1")
     assert [r["n"] for r in landed.orderBy("respondent_id").collect()] == [str(i) for i in range(7)]
     assert landed.select("respondent_id").distinct().count() == 7
+
+
+def test_few_partitions_are_written_without_a_sort(spark, tmp_path):
+    spark.conf.unset("spark.sql.maxConcurrentOutputFileWriters")
+    df = spark.range(0, 3000, 1, 1).selectExpr("id", "concat('year_', id % 3 + 1) AS survey_year")
+    sinks.write_partitioned(df, str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    assert rows(stored.groupBy("survey_year").count()) == [("year_1", 1000), ("year_2", 1000), ("year_3", 1000)]
+    spark.sql(f"CREATE TABLE unsorted_rows (id bigint, survey_year string) USING parquet PARTITIONED BY (survey_year) LOCATION '{tmp_path}/u'")
+    df.createOrReplaceTempView("rows_to_write")
+    plan = spark.sql("EXPLAIN INSERT INTO unsorted_rows SELECT * FROM rows_to_write").first()[0]
+    spark.sql("DROP TABLE unsorted_rows")
+    assert "Sort" not in plan
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "3")
+    sinks.write_partitioned(df, str(tmp_path / "t"))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "3"
+    spark.conf.unset("spark.sql.maxConcurrentOutputFileWriters")
