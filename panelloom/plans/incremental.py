@@ -22,9 +22,14 @@ PEOPLE = tuple(dict.fromkeys((EDITION, *G.MARKET_DIMENSIONS, *DIMENSION_TABLES.v
 _AI = (EDITION, "enterprise_ai_priority", *S.GENAI_METRICS, "genai_question_available", "genai_eligible")
 
 
-def count_batch(tables: SilverTables, root: str, batch: str) -> None:
-    """Count one batch's Silver rows; the same batch again replaces its counts."""
-    users = selected_users(tables.bridge, tables.fact, ["respondent_id", EDITION], OPTION, G.PROFILE)
+def count_batch(tables: SilverTables, root: str, batch: str, users: DataFrame | None = None) -> None:
+    """Count one batch's Silver rows; the same batch again replaces its counts.
+
+    ``users`` has one row per option a respondent uses, with the profile. Give it where option block and profile sit in one row (see
+    :func:`panelloom.operators.options.option_bridge`, with the profile as ids); otherwise the bridge is joined with the respondents.
+    """
+    if users is None:
+        users = selected_users(tables.bridge, tables.fact, ["respondent_id", EDITION], OPTION, G.PROFILE)
     for name, (df, keys) in {
         "people": (tables.fact, PEOPLE),
         "options": (tables.bridge, (EDITION, OPTION, "selected")),

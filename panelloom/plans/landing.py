@@ -121,14 +121,15 @@ def counted_gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _counted:
         root = new_folder(spark, "counts")
-        columns = [c for c in incremental.PEOPLE if c != panel.EDITION]
-        whole = {"fact": panel.fact(spark, sf_dir, columns), "bridge": panel.bridge(spark, sf_dir), "ai": panel.ai_facts(spark, sf_dir)}
-        drop = F.pmod(F.xxhash64("respondent_id"), F.lit(_DROPS)).cast("int")
-        for table, df in whole.items():
-            df.withColumn("drop", drop).write.partitionBy("drop").parquet(f"{root}/silver/{table}")
+        # What the answers are made from is stored, one narrow row a respondent; bridge rows are counted as they are made and never kept.
+        orders = panel.answer_sources(spark, sf_dir, panel.SILVER_FIELDS)
+        drop = F.pmod(F.xxhash64("o_orderkey"), F.lit(_DROPS)).cast("int")
+        unsorted_partitions(spark)
+        orders.withColumn("drop", drop).write.partitionBy("drop").parquet(f"{root}/orders")
         for number in [*range(_DROPS), 0]:
-            part = SilverTables(*(spark.read.parquet(f"{root}/silver/{table}/drop={number}") for table in whole))
-            incremental.count_batch(part, f"{root}/counts", f"drop-{number}")
+            part = spark.read.schema(orders.schema).parquet(f"{root}/orders/drop={number}")
+            tables, users = panel.silver_tables(part)
+            incremental.count_batch(tables, f"{root}/counts", f"drop-{number}", users)
         _counted[key] = f"{root}/counts"
     return incremental.gold_from_counts(spark, _counted[key])[name]
 

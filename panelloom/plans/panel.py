@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from panelloom.operators.options import option_adoption, option_bridge, option_users
 from panelloom.plans import gold as G
-from panelloom.plans import silver
+from panelloom.plans import incremental, silver
 from panelloom.plans import survey_config as S
-from panelloom.plans.survey_job import DIMENSION_TABLES
+from panelloom.plans.survey_job import DIMENSION_TABLES, SilverTables
 from panelloom.session import new_folder
 from panelloom.sources.tables import read_table
 
@@ -336,6 +336,27 @@ def ai_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_PEOPLE = tuple(c for c in incremental.PEOPLE if c != EDITION)
+
+#: Raw fields the three Silver tables are made from, as far as the counts of :mod:`panelloom.plans.incremental` read them.
+SILVER_FIELDS = tuple(
+    dict.fromkeys([*[_MADE_FROM.get(c, c) for c in _PEOPLE], *OPTION_COLUMNS, "block_shown", "ai_priority", *GENAI_COLUMNS])
+)
+
+
+def silver_tables(sources: DataFrame) -> tuple[SilverTables, DataFrame]:
+    """Silver of stored :func:`answer_sources`, and the users of each option with their profile: a row holds both, so nothing is joined."""
+    answers, tables = printed_answers(sources, SILVER_FIELDS), silver.default_mappings(sources.sparkSession)
+    wide = silver.harmonize(answers, tables, _PEOPLE)
+
+    def bridge(rows: DataFrame, ids: Sequence[str]) -> DataFrame:
+        return option_bridge(rows, list(ids), OPTION_COLUMNS, family="DATABASE", offered_in=S.DATABASE_OFFERED_IN, shown="block_shown")
+
+    ai = silver.ai_fact(answers, "ai_priority", GENAI_COLUMNS, F.col(EDITION) != "year_1", tables)
+    whole = SilverTables(wide.select(EDITION, "respondent_id", *_PEOPLE), bridge(answers, ["respondent_id", EDITION]), ai)
+    return whole, bridge(wide, [EDITION, *G.PROFILE]).where("selected")
+
+
 def gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Gold table over the driver tables, planned with just the columns it reads."""
     def people(*columns: str) -> DataFrame:

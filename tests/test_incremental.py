@@ -6,14 +6,14 @@ import random
 import shutil
 
 import pytest
-from conftest import rows
+from conftest import TESTDATA, rows
 from pyspark.sql import functions as F
 from test_survey_job import make_edition
 
 from panelloom.operators import shares as SH
 from panelloom.operators import state
 from panelloom.operators import stats as ST
-from panelloom.plans import incremental, silver, survey_job
+from panelloom.plans import incremental, panel, silver, survey_job
 from panelloom.plans import survey_config as S
 from panelloom.streaming.landing import land_new_files, landed_batches, read_landed
 
@@ -85,3 +85,16 @@ def test_conditions_count_weights(spark):
     assert df.agg(SH.rows_of(df), SH.rows_where(df, F.col("yes")), SH.rows_where(df, F.col("k") == "z")).first() == (15, 3, 0)
     plain = df.drop(SH.WEIGHT)
     assert plain.agg(SH.rows_of(plain), SH.rows_where(plain, F.col("yes"))).first() == (3, 1)
+
+
+def test_drops_of_narrow_rows_count_as_the_stored_tables_do(spark, tmp_path):
+    """Users come with their profile from the row they sit in: no join, and the same counts as with one."""
+    path = f"{TESTDATA}/sf0.001"
+    tables, users = panel.silver_tables(panel.answer_sources(spark, path, panel.SILVER_FIELDS))
+    fact = panel.fact(spark, path, [c for c in incremental.PEOPLE if c != panel.EDITION])
+    whole = survey_job.SilverTables(fact, panel.bridge(spark, path), panel.ai_facts(spark, path))
+    for name, batch in {"a": (tables, users), "b": (whole, None)}.items():
+        incremental.count_batch(batch[0], str(tmp_path / name), "one", batch[1])
+    for table in ("people", "options", "users", "ai"):
+        a, b = (rows(state.read_counts(spark, str(tmp_path / name / table))) for name in "ab")
+        assert a == b and a
