@@ -5,7 +5,7 @@ one class and take part once.
 
 *Sketch.* Every shingle flips one bit of a row, so the Hamming distance of two rows is at most the size of the sets' symmetric
 difference. The wide row has a bit for every hash value and is kept as the list of its set bits; the narrow one folds it to
-``SKETCH_BITS``.
+``SKETCH_BITS``, the short one to ``64 * SHORT_WORDS``.
 *Pigeonhole.* Sizes fall into bands, and a text at the lower end of one also takes part in the band below, where its smaller partners are. A band
 cuts the row into blocks, somewhat more than the largest distance ``d`` of its linked sets, so that a block holds two to four set bits.
 Linked sets differ in at most d blocks; so of a set's non-empty blocks all but d are found in the other one, and the first d + 1 of each in any one
@@ -18,9 +18,12 @@ which hashing makes all but impossible, sends its whole band there as well.
 again, single bits this time: these are counted among these very texts, exactly, and put in order from rare to frequent. Linked sets of sizes ``a <= b`` share
 ``s >= percent * (a + b) / (100 + percent)`` bits, so at most ``a - s`` and ``b - s`` come before the first one they share, and together at most
 ``a + b - 2 s``. A link between two texts of a hot group is one between two texts that choose again, so hot groups are dropped altogether.
-*Groups.* Groups with equal members count once. Each class is first compared with one pivot of its first group. Then groups with several
-components left go on: small ones compare all that is left, large ones take ``PIVOTS`` of them, then ever more; a group is finished when its
-members are connected or all pairs the places allow have been compared. So a large group of near copies costs about one comparison per member.
+*Groups.* Groups with equal members count once. Each class is first compared with one pivot of its first group. In groups with several
+components left, all members outside the largest one are then compared with a few of its members (``FIRST``): a straggler of a large group of near copies is
+like most others and need not meet them all. Groups still open go on: small ones compare all that is left, large ones take ``PIVOTS`` of them, then ever
+more; a group is finished when its members are connected or all pairs the places allow have been compared. So a large group of near copies costs about
+one comparison per member.
+Members carry their short sketches: a pair that these tell apart is dropped where the two meet and never becomes a row.
 *Verification.* A pair goes on if the Hamming distance of the narrow sketches allows a link; then the sets are compared exactly.
 
 The join's key rows are about a quarter of the shingles, 24 bytes each, in one shuffle; texts are read again only for classes that are
@@ -50,7 +53,9 @@ PERCENT = 80
 SAMPLE = 8_000  # texts looked at for frequent shingles
 FREQUENT = 200_000  # shingles sent to all tasks, 8 bytes each
 SKETCH_BITS = 2048
+SHORT_WORDS = 8  # 64-bit words of the sketch that members of a group carry
 HOT = 32  # classes that may share a chosen bit; beyond it they choose again
+FIRST = (2,)  # members of the largest component that the others of a group meet before any of these meets all
 PIVOTS = 4  # members of a large group compared with all others in the first round, and by how much their number grows
 SALTS = 64  # tasks over which a bit frequent in the sample is spread
 SENT_IDS = 1_000_000  # ids sent to all tasks instead of shuffling texts; beyond that a join
@@ -90,6 +95,13 @@ def narrow_sketch(shingles: np.ndarray) -> bytes:
     return np.packbits(flips.astype(np.uint8)).tobytes()
 
 
+def short_sketch(shingles: np.ndarray) -> np.ndarray:
+    """The parity row folded to a few 64-bit words."""
+    bits = 64 * SHORT_WORDS
+    flips = np.bincount((mix(shingles) >> np.uint64(32)).astype(np.int64) % bits, minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8)).view(np.int64)
+
+
 def _band_of(n: int) -> int:
     """Number of the size band of ``n``: from ``2**band`` to the next power of two."""
     return n.bit_length() - 1
@@ -158,6 +170,9 @@ def _frequent_shingles(source: DataFrame, k: int, sample: int) -> np.ndarray:
     return np.sort(top["s"].to_numpy(np.int64).view(np.uint64))
 
 
+_SHORT_SKETCH = [f"s{i}" for i in range(SHORT_WORDS)]
+
+
 def _sets_of(source: DataFrame, k: int) -> DataFrame:
     """``__id, n, c`` per row."""
 
@@ -172,6 +187,20 @@ def _sets_of(source: DataFrame, k: int) -> DataFrame:
     return map_batches(source, run, "__id bigint, n bigint, c bigint")
 
 
+def _short_sketches(rows: DataFrame, k: int) -> DataFrame:
+    """``c`` and the short sketch of some texts' classes, one row a class."""
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for part in texts(batch.column(1)):
+            sets = [s for s in shingle_sets(part, k) if len(s)]
+            if sets:
+                words_of = np.stack([short_sketch(s) for s in sets])
+                classes = pa.array(signed(np.array([class_of(s) for s in sets], np.uint64)))
+                yield pa.RecordBatch.from_arrays([classes, *[pa.array(np.ascontiguousarray(words_of[:, i])) for i in range(SHORT_WORDS)]], ["c", *_SHORT_SKETCH])
+
+    return map_batches(rows, run, "c bigint, " + ", ".join(f"{s} bigint" for s in _SHORT_SKETCH)).groupBy("c").agg(*[F.min(s).alias(s) for s in _SHORT_SKETCH])
+
+
 def _keys(source: DataFrame, k: int, percent: int, frequent: np.ndarray, fine: frozenset[int] | None = None) -> DataFrame:
     """``key, c, info`` of the chosen blocks; a class met before in the same task is left out."""
     bounded_batches(source.sparkSession)
@@ -296,12 +325,19 @@ def _can_link(percent: int) -> Column:
     return (F.least("n", "pn") >= share) & F.when(F.col("single"), bits).otherwise(F.greatest("place", "pplace") <= total - 2 * share)
 
 
+def _near(percent: int) -> Column:
+    """Whether the short sketches of two members allow a link: they differ in no more bits than the sets in shingles."""
+    far = reduce(Column.__add__, [F.bit_count(F.col(s).bitwiseXOR(F.col(f"p{s}"))) for s in _SHORT_SKETCH])
+    return far * (100 + percent) <= (F.col("n").cast("bigint") + F.col("pn")) * (100 - percent)
+
+
 def _pairs(members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
-    """``a, b`` distinct, of members and the pivots of their groups."""
-    met = members.join(pivots.select("key", F.col("c").alias("p"), F.col("n").alias("pn"), F.col("place").alias("pplace"), *([F.col("root").alias("other")] if "root" in pivots.columns else [])), "key")
+    """``a, b`` distinct, of members and the pivots of their groups; with roots and short sketches, as far as these allow."""
+    carried = {"root": "other", **{s: f"p{s}" for s in _SHORT_SKETCH}} if "root" in pivots.columns else {}
+    met = members.join(pivots.select("key", F.col("c").alias("p"), F.col("n").alias("pn"), F.col("place").alias("pplace"), *[F.col(a).alias(b) for a, b in carried.items()]), "key")
     met = met.where("c != p").where(_can_link(percent))
-    if "root" in pivots.columns:
-        met = met.where("root != other")
+    if carried:
+        met = met.where("root != other").where(_near(percent))
     return met.select(F.least("c", "p").alias("a"), F.greatest("c", "p").alias("b")).distinct()
 
 
@@ -373,23 +409,36 @@ def _pivots(members: DataFrame, count: int) -> DataFrame:
     order = Window.partitionBy("key").orderBy("size", "place", F.xxhash64("c"), "c")
     first = members.join(sizes, ["key", "root"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max(count, HOT))
     if count >= HOT:
-        return first.select("key", "c", "place", "n", "root")
+        return first.select("key", "c", "place", "n", "root", *_SHORT_SKETCH)
     small = members.groupBy("key").agg((F.count(F.lit(1)) <= HOT).alias("small"))
-    return first.join(small, "key").where((F.col("rank") <= count) | F.col("small")).select("key", "c", "place", "n", "root")
+    return first.join(small, "key").where((F.col("rank") <= count) | F.col("small")).select("key", "c", "place", "n", "root", *_SHORT_SKETCH)
+
+
+def _main_pivots(members: DataFrame, count: int) -> DataFrame:
+    """Up to ``count`` members of each group's largest component, those first whose places allow the most pairs."""
+    sizes = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("size", "root")).alias("top")).select("key", F.col("top.root").alias("root"))
+    order = Window.partitionBy("key").orderBy("place", F.xxhash64("c"), "c")
+    chosen = members.join(largest, ["key", "root"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count)
+    return chosen.select("key", "c", "place", "n", "root", *_SHORT_SKETCH)
 
 
 def _class_components(groups: DataFrame, source: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """``v, root`` over classes: compares pivots with the other members of each group until nothing is left to compare."""
     done = stored(_first_pairs(groups, percent), "jaccard-pairs")
     roots = components(_verified(done, source, classes, k, percent))
-    members, count = groups, PIVOTS
+    members, count, first, sketches = groups, PIVOTS, list(FIRST), None
     while True:
-        members = members.select("key", "c", "place", "n", "single").join(roots.withColumnRenamed("v", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+        members = members.select("key", "c", "place", "n", "single", *([] if sketches is None else _SHORT_SKETCH)).join(roots.withColumnRenamed("v", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
         open_ = members.groupBy("key").agg((F.min("root") != F.max("root")).alias("open")).where("open").select("key")
         members = stored(members.join(open_, "key"), "jaccard-members")
         if members.limit(1).count() == 0:
             return roots
-        pivots = stored(_pivots(members, count), "jaccard-pivots")
+        if sketches is None:  # read for the classes of open groups alone
+            sketches = stored(_short_sketches(_texts_of(source, classes, members.select("c")), k), "jaccard-short")
+            members = stored(members.join(sketches, "c"), "jaccard-members")
+        main = first.pop(0) if first else 0
+        pivots = stored(_main_pivots(members, main) if main else _pivots(members, count), "jaccard-pivots")
         pairs = stored(_pairs(members, pivots, percent).join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
         if pairs.limit(1).count():
             done = done.unionByName(pairs)
@@ -398,7 +447,8 @@ def _class_components(groups: DataFrame, source: DataFrame, classes: DataFrame,
                 roots = _merged(roots, found)
         # A pivot has met all members of other components: it need not stay.
         members = members.join(pivots.select("key", "c"), ["key", "c"], "left_anti").drop("root")
-        count *= PIVOTS
+        if not main:
+            count *= PIVOTS
 
 
 def _merged(roots: DataFrame, found: DataFrame) -> DataFrame:

@@ -481,3 +481,24 @@ def test_language_model_knows_the_word_before(spark):
         all_codes = np.append(part.w | ending, np.uint64(0x123456789000) | ending)
         log_p = part.look_up(all_codes)[1] + part.weight(v) + pairs.find(pitman_yor.pair_hash(v, all_codes & pitman_yor._WORD))[1]
         assert abs((10**log_p).sum() - 1) < 1e-6
+
+
+def test_stragglers_of_a_large_family_do_not_meet_all_of_it(spark, monkeypatch):
+    """Twice the family, not four times the pairs: unlike members are told apart where they meet, and like ones meet a few."""
+    real, made = ngram_jaccard._verified, []
+    monkeypatch.setattr(ngram_jaccard, "_verified", lambda pairs, *a: (made.append(pairs.count()), real(pairs, *a))[1])
+
+    def compared(size: int) -> int:
+        r = random.Random(3)
+        base, rows = [f"w{r.randrange(4000)}" for _ in range(120)], []
+        for i in range(size):
+            words = list(base)
+            for _ in range(r.choice([1, 2, 3])):
+                words[r.randrange(len(words))] = f"x{r.randrange(10**6)}"
+            rows.append((i, " ".join(words)))
+        made.clear()
+        got = {x.doc_id: (x.n_shingles, x.component_id) for x in ngram_jaccard.ngram_jaccard(table(spark, rows)).collect()}
+        assert got == jaccard_components(rows)
+        return sum(made)
+
+    assert compared(250) < 2 * 250
