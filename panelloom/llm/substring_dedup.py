@@ -37,6 +37,7 @@ from panelloom.llm.frames import map_batches, scratch, stored
 K = 35
 M = 12
 SENT_SPANS = 1_000_000  # spans and texts that have some, sent to all tasks instead of moving texts; some 50 bytes each
+MARKS = 1 << 20  # words of 64 marks, sent to all tasks to tell which texts need not move; some 32 bytes each
 _ROW = ["__id", "__th"]
 _VERTEX = ["__h", "__e"]
 
@@ -113,6 +114,19 @@ def _windows_at(k: int):
     return run
 
 
+def _marked(rows: DataFrame, keys: DataFrame, n: int, how: str) -> DataFrame:
+    """``left_semi``: the rows whose text may be among ``n`` keys; ``left_anti``: those whose text is surely not.
+
+    Each key sets one of at least 16 marks a key, up to ``64 * MARKS``; beyond, more rows that are no keys pass for keys.
+    """
+    words = min(MARKS, 1 << max(4, (n // 4).bit_length()))
+    place = F.xxhash64(*_ROW)
+    keys = keys.select(F.pmod(place, F.lit(words)).alias("__slot"), F.shiftrightunsigned(place, 58).cast("int").alias("__bit"))
+    marks = keys.groupBy("__slot").agg(F.bit_or(F.expr("shiftleft(1L, __bit)")).alias("__marks"))
+    here = (F.pmod(place, F.lit(words)) == F.col("__slot")) & (F.getbit("__marks", F.shiftrightunsigned(place, 58).cast("int")) == 1)
+    return rows.join(F.broadcast(marks), here, how)
+
+
 def _paths(spots: DataFrame) -> DataFrame:
     """Solid vertices on non-branching paths: ``__h, __e``, the path's head ``__ph, __pe`` and the distance ``__rank`` from it."""
     in_text = Window.partitionBy(*_ROW).orderBy("__lo")
@@ -182,8 +196,10 @@ def repeated_spans(source: DataFrame, k: int = K, m: int = M) -> DataFrame:
     # Both kinds of ends: what is there once, and one source of each content that is there more often.
     once = vertices.where("__mixed and __n = 1").select("__first.*", F.lit(1).alias("__weight"), "__h")
     more = vertices.where("__mixed and __n > 1").select("__first.*", F.lit(2).alias("__weight"), "__h")
-    listed = once.unionByName(more).groupBy(*_ROW).agg(F.collect_list(F.struct("__lo", "__hi", "__weight", "__h")).alias("__list"))
-    read = rows.join(listed, _ROW).select("__id", "__th", "__text", "__list")
+    to_read = once.unionByName(more)
+    listed = to_read.groupBy(*_ROW).agg(F.collect_list(F.struct("__lo", "__hi", "__weight", "__h")).alias("__list"))
+    texts_to_read = to_read.agg(F.approx_count_distinct(F.struct(*_ROW))).first()[0]
+    read = _marked(rows, to_read, texts_to_read, "left_semi").join(listed, _ROW).select("__id", "__th", "__text", "__list")
     windows = map_batches(read, _windows_at(k), "__h bigint, __w bigint, __id bigint, __th bigint, __lo int, __weight int")
     windows = stored(windows, "substring-windows")
     same = windows.groupBy("__h", "__w").agg(F.sum("__weight").alias("n"), F.min("__weight").alias("least")).where("n > 1 and least = 1")
@@ -228,8 +244,13 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         spans = stored(spans, "substring-spans", keep=True)
     size = spans.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("__spans")).alias("spans")).first()
     small = size["rows"] + (size["spans"] or 0) <= SENT_SPANS
-    # Spans go to the texts while they are few; beyond that each text moves once, inside its row.
-    joined = source.select(*_ROW, "__row").join(F.broadcast(spans) if small else spans, _ROW, "left")
+    # Spans go to the texts while they are few; beyond that a text that may have some moves once, inside its row.
+    rows = source.select(*_ROW, "__row")
+    if small:
+        joined = rows.join(F.broadcast(spans), _ROW, "left")
+    else:
+        moved = _marked(rows, spans, size["rows"], "left_semi").join(spans, _ROW, "left")
+        joined = moved.unionByName(_marked(rows, spans, size["rows"], "left_anti").withColumn("__spans", F.lit(None).cast(spans.schema["__spans"].dataType)))
     text = F.coalesce(F.col("__row")[text_col].cast("string"), F.lit(""))
     return map_batches(joined.select(text.alias("__text"), "__spans", "__row"), *_removed(source.schema["__row"].dataType.simpleString()))
 

@@ -114,6 +114,25 @@ def test_substring_dedup_of_random_overlaps(spark):
     assert sorted(map(tuple, got)) == [(i, *x) for i, x in enumerate(removed(texts, 10))]
 
 
+@pytest.mark.parametrize("marks", [1 << 20, 1])
+def test_substring_dedup_moves_only_texts_with_repeats(spark, monkeypatch, marks):
+    monkeypatch.setattr(substring_dedup, "SENT_SPANS", 0)
+    monkeypatch.setattr(substring_dedup, "MARKS", marks)
+    shared = prose(7, 50)
+    rows = [(i, prose(200 + i, 60)) for i in range(40)] + [(None, None), (40, ""), (41, shared + " a"), (42, "b " + shared), (None, shared)]
+    docs = table(spark, rows)
+    out = substring_dedup.substring_dedup(docs)
+    assert "LeftAnti" in out._jdf.queryExecution().optimizedPlan().toString()  # the others take a way of their own, without an exchange
+    got = out.select("__row.doc_id", "n_words", "n_removed", "kept").collect()
+    want = [(i, *x) for (i, _), x in zip(rows, removed([t for _, t in rows], 35), strict=True)]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    source = substring_dedup._source(docs, "doc_id", "text").drop("__row")
+    keys = source.where("__text like '% b %' or __id in (3, 41)").select("__id", "__th")
+    semi, anti = ({r["__id"] for r in substring_dedup._marked(source, keys, keys.count(), how).collect()} for how in ("left_semi", "left_anti"))
+    assert {3, 41} <= semi and not {3, 41} & anti and len(semi | anti) == 44
+    assert len(anti) > 30 or marks == 1
+
+
 def jaccard_components(rows: list[tuple], percent: int = 80) -> dict:
     sets = []
     for _, t in rows:
