@@ -472,6 +472,43 @@ def test_language_model(edge, nothing):
     assert pitman_yor.score(nothing, model).count() == 0
 
 
+def test_language_model_packs_pairs_and_deletes_its_tables(spark, edge):
+    from collections import Counter
+    from pathlib import Path
+
+    from panelloom.session import shared_folder
+
+    rows, docs = edge
+    r = random.Random(11)
+    often = " ".join(f"the w{r.randrange(700)}" for _ in range(2000))  # one context with many words, counts beyond a byte
+    docs = docs.unionByName(table(spark, [(100 + i, often + " x y" * 200) for i in range(3)]))
+    word = lambda x: int(pitman_yor.tokens(next(pitman_yor.texts(pa.array([x]))))[0][0] & pitman_yor._WORD) if x else int(pitman_yor._END)
+    count: Counter = Counter()
+    for t in [t for _, t in rows] + 3 * [often + " x y" * 200]:
+        own = [None, *WORD.findall((t or "").translate(LOW)), None]
+        count.update(zip(own[1:], own[:-1]))
+    hashes = {x: word(x) for pair in count for x in pair}
+    want = {(hashes[w], hashes[v]): n for (w, v), n in count.items()}
+    got = pitman_yor.pair_counts(docs).collect()
+    assert len(got) == len(want) and {(x.w % (1 << 64), x.v % (1 << 64)): x.n for x in got} == want
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.glob("panelloom-lm-*"))
+    model = pitman_yor.learn(docs)
+    left = sorted(p.name.split("-")[2] for p in set(folder.glob("panelloom-lm-*")) - before)
+    assert left == ["corrections", "rows"]  # what the model itself is read from
+    assert model.pairs.count() == len(want) and model.rows.count() == len({w for w, _ in want})
+
+
+def test_seating_does_not_depend_on_batches():
+    n = np.array([1, 2, 70, 5000, 1, 3, 900] * 50)
+    weight, key = np.linspace(0.001, 0.9, len(n)), np.arange(len(n), dtype=np.uint64)
+    whole = pitman_yor.seat(n, weight, 0.6, key, 3)
+    assert (whole == np.concatenate([pitman_yor.seat(n[i : i + 20], weight[i : i + 20], 0.6, key[i : i + 20], 3) for i in range(0, len(n), 20)])).all()
+    batches = [pa.RecordBatch.from_arrays([pa.array([i, i])], ["a"]) for i in range(10)] + [pa.RecordBatch.from_arrays([pa.array([], pa.int64())], ["a"])]
+    gathered = list(pitman_yor._gathered(iter(batches), 48))
+    assert [b.num_rows for b in gathered] == [6, 6, 6, 2] and sum((b.column(0).to_pylist() for b in gathered), []) == sorted(2 * list(range(10)))
+
+
 def test_predictive_probabilities_add_up(edge):
     """Over all known tokens and one unknown, each context's probabilities sum to one."""
     _, docs = edge
