@@ -27,12 +27,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from panelloom.llm.arrays import CHUNK_BYTES, LOWER, Memo, Texts, cut, ranges, span_hash, texts, words
 from panelloom.llm.frames import bounded_batches
 
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 300_000
+TEXT_BYTES = CHUNK_BYTES // 2  # of text encoded at once; its words take some 100 times as much
+PIECES = 250  # sent back at once, at most 4 MB of ids
 POOL = 128
 SCHEMA = "start bigint, length bigint, ids binary, loss_tokens bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -59,17 +61,11 @@ class WordTokenizer:
             raise ValueError("added tokens that take white space, need word ends or a normalized text are not supported")
         self._special = {content: np.array([i], np.uint32) for content, i in special.items()}
         self._printed = re.compile(b"|".join(re.escape(c) for c in sorted(special, key=len, reverse=True))) if special else None
-        # For words of lower-case letters the normalizer and the pattern do nothing: skip them.
-        config["normalizer"] = None
-        config["pre_tokenizer"] = {
-            "type": "Sequence",
-            "pretokenizers": [
-                {"type": "WhitespaceSplit"},
-                {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
-            ],
-        }
-        self._letters = Tokenizer.from_str(json.dumps(config))
-        self._letters.encode_special_tokens = True
+        # For words of lower-case letters the normalizer and the pattern do nothing: skip them. The model is held once.
+        self._letters = Tokenizer(self._whole.model)
+        self._letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)]
+        )
         self.mark = {c: self._ids(c.decode()) for c in (b".", b",")}
         self.kept = Memo(KEPT_WORDS)
         suffix = config["model"]["end_of_word_suffix"]
@@ -99,6 +95,11 @@ class WordTokenizer:
                 part = at[i : i + 20_000]
                 learn(hashes[part], cut(data, starts[part], ends[part]))
 
+    def column(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each row of a text column, in bounded memory."""
+        for part in texts(column, TEXT_BYTES):
+            yield from self.rows(part)
+
     def rows(self, part: Texts) -> Iterator[np.ndarray]:
         """The ids of each row, special tokens included where the text has them in print."""
         body = part.data.tobytes()
@@ -256,11 +257,10 @@ def pack(
         out: list[tuple] = []
         for batch in batches:
             id_list, loss_list = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            for part in texts(batch.column(1), 2 * CHUNK_BYTES):
-                for i, ids in enumerate(words_of.rows(part), part.first):
-                    ids = np.append(ids, np.uint32(end_id))
-                    out += packer.add(id_list[i], ids, len(ids) if loss_list[i] is None else max(0, loss_list[i]))
-                if len(out) >= 1000:
+            for i, ids in enumerate(words_of.column(batch.column(1))):
+                ids = np.append(ids, np.uint32(end_id))
+                out += packer.add(id_list[i], ids, len(ids) if loss_list[i] is None else max(0, loss_list[i]))
+                if len(out) >= PIECES:
                     yield batch_of(out)
                     out = []
         out += packer.finish()
